@@ -1,0 +1,101 @@
+import datetime as dt
+
+from arealens.plans.jobseeker import load_jobseeker
+from arealens.plans.payment_types import load_payment_types
+from arealens.plans.rental import DWELLING_TYPES, load_rental, rental_header
+from arealens.sources.sheets import pick_sheets, sheets_per_source
+from fixtures import (JOBSEEKER_SHEET, JOBSEEKER_URL, PAYMENT_SA2, PAYMENT_URL, RENTAL_SHEET,
+                      RENTAL_URL, sheet, sheet_rows)
+
+DEC21 = dt.date(2021, 12, 1)
+
+
+def _payment(spark):
+    recs = sheet(PAYMENT_URL, "SA2", 1, PAYMENT_SA2)
+    recs += sheet(PAYMENT_URL, "LGA", 2, [["t"], ["t"], ["LGA", "LGA name", "Age Pension"],
+                                          ["20110", "Alpine", "<5"], ["30000", "Other", "9"]])
+    recs += sheet(PAYMENT_URL, "Postcode", 3, [["t"], ["t"], ["Postcode", "Age Pension"],
+                                               ["3000", "12"], ["2000", "4"]])
+    return sheet_rows(spark, recs)
+
+
+def test_payment_types_sa2_numeric(spark):
+    out = load_payment_types(_payment(spark), "sa2")
+    assert out.columns == ["sa2_5dig", "sa2_name", "quarter", "series", "value", "month_date"]
+    got = sorted((r.sa2_5dig, r.series, r.value, r.quarter, r.month_date) for r in out.collect())
+    assert got == [("21105", "Age Pension", 120.0, "December-2021", DEC21),
+                   ("21105", "Commonwealth Seniors Health Card", 5.0, "December-2021", DEC21),
+                   ("21110", "Health Care Card", 7.0, "December-2021", DEC21)]
+
+
+def test_payment_types_text_mode_keeps_np(spark):
+    out = load_payment_types(_payment(spark), "sa2", compare="text")
+    got = sorted((r.sa2_5dig, r.series, r.value) for r in out.collect())
+    assert ("21110", "Age Pension", None) in got and len(got) == 4
+
+
+def test_payment_types_lga_and_postcode(spark):
+    lga = load_payment_types(_payment(spark), "lga")
+    assert [(r.lga_code, r.lga_name, r.value) for r in lga.collect()] == [("20110", "Alpine", 5.0)]
+    pc = load_payment_types(_payment(spark), "postcode")
+    assert pc.columns == ["postcode", "quarter", "series", "value", "month_date"]
+    assert [(r.postcode, r.value) for r in pc.collect()] == [("3000", 12.0)]
+
+
+def test_sheet_pick_is_case_sensitive_substring_and_checkable(spark):
+    sr = _payment(spark)
+    assert {r.sheet_no for r in pick_sheets(sr, name_contains="SA").collect()} == {1}
+    assert {r.sheet_no for r in pick_sheets(sr, name_contains="sa").collect()} == set()
+    bad = sheets_per_source(pick_sheets(sr, name_contains="A")).filter("n_sheets != 1")
+    assert bad.count() == 1
+
+
+def test_jobseeker_keeps_zero_and_null(spark):
+    recs = sheet(JOBSEEKER_URL, "Table 4 - By SA2", 4, JOBSEEKER_SHEET)
+    recs += sheet(JOBSEEKER_URL, "Table 3", 3, JOBSEEKER_SHEET)  # ignored: not the named sheet
+    out = load_jobseeker(sheet_rows(spark, recs))
+    assert out.columns == ["sa2_5dig", "sa2_name", "month", "series", "value", "month_date"]
+    got = sorted((r.sa2_5dig, r.series, r.value, r.month, r.month_date) for r in out.collect())
+    assert got == [("21105", "JobSeeker Payment", 0.0, "December 2021", DEC21),
+                   ("21105", "Youth Allowance Payments", None, "December 2021", DEC21),
+                   ("21110", "JobSeeker Payment", 35.0, "December 2021", DEC21),
+                   ("21110", "Youth Allowance Payments", None, "December 2021", DEC21)]
+
+
+def _rental(spark, url=RENTAL_URL, remnant="LGA"):
+    layout = [[remnant if c == "LGA" else c for c in r] for r in RENTAL_SHEET]
+    recs = []
+    for no in DWELLING_TYPES:
+        recs += sheet(url, f"Table {no}", no, layout)
+    return sheet_rows(spark, recs)
+
+
+def test_rental_header_pairs_blank_columns_with_their_left_neighbour(spark):
+    h = rental_header(_rental(spark)).filter("sheet_no = 1").first()
+    assert h.names == ["x1", "x2", "sep_2021", "x4", "dec_2021", "x6"]
+    assert [(c.pos, c.quarter, c.series) for c in h.columns] == [
+        (3, "September 2021", "No. New Lettings"), (4, "September 2021", "Moving Annual Median"),
+        (5, "December 2021", "No. New Lettings"), (6, "December 2021", "Moving Annual Median")]
+
+
+def test_rental_current_period_only(spark):
+    out = load_rental(_rental(spark), "lga")
+    assert out.columns == ["lga", "value", "quarter", "series", "dwelling_type", "month_date"]
+    one = sorted((r.lga, r.series, r.value) for r in out.filter("dwelling_type = '1 bedroom flat'").collect())
+    assert one == [("Melbourne", "Moving Annual Median", 410.0), ("Melbourne", "No. New Lettings", 110.0),
+                   ("Yarra", "Moving Annual Median", 395.0), ("Yarra", "No. New Lettings", 20.0)]
+    assert out.count() == 4 * 7
+    assert {r.quarter for r in out.collect()} == {"December 2021"}
+    assert {r.month_date for r in out.collect()} == {DEC21}
+
+
+def test_rental_all_periods_and_suburb_geography(spark):
+    out = load_rental(_rental(spark), "lga", current_only=False)
+    sep = sorted((r.lga, r.series, r.value) for r in
+                 out.filter("quarter = 'September 2021' AND dwelling_type = 'All properties'").collect())
+    assert sep == [("Melbourne", "Moving Annual Median", 400.0), ("Melbourne", "No. New Lettings", 100.0),
+                   ("Yarra", "Moving Annual Median", None), ("Yarra", "No. New Lettings", None)]
+    sub = load_rental(_rental(spark, RENTAL_URL.replace("quarterly", "suburb"), "Suburb"), "suburb")
+    assert sub.columns[0] == "suburb" and sub.count() == 4 * 7
+    # a workbook whose URL does not name the geography is not read
+    assert load_rental(_rental(spark), "suburb").count() == 0
