@@ -97,7 +97,7 @@ def seifa_index(spark, d) -> DataFrame:
 def _orders_by_nation(spark, d) -> DataFrame:
     o = table(spark, d, "orders").select("o_custkey", "o_orderdate", "o_orderstatus",
                                          "o_orderpriority", "o_totalprice")
-    c = table(spark, d, "customer").select("c_custkey", "c_nationkey")
+    c = table(spark, d, "customer").select("c_custkey", "c_nationkey", "c_name")
     n = table(spark, d, "nation").select("n_nationkey", "n_name")
     return (o.join(c, o.o_custkey == c.c_custkey)
              .join(n, c.c_nationkey == n.n_nationkey)
@@ -205,24 +205,25 @@ def payment_type_sheets(spark, d) -> DataFrame:
     lga = body(["s_nationkey", "n_name"], (F.col("s_nationkey") + 19990).cast("string"),
                F.col("n_name"), "By LGA", 2, "s_nationkey")
     pc = body(["l_partkey"], _txt("l_partkey"), None, "By Postcode", 3, "l_partkey")
-    months = x.select("m").distinct()
-    meta = []
+    # layout rows of the three sheets of every publication: two title rows,
+    # the header, a footnote without an area code
+    months = li.select(F.trunc("l_shipdate", "month").alias("m")).distinct()
+    nul = F.lit(None).cast("string")
+
+    def lay(name, no, r, *cells):
+        return F.struct(F.lit(name).alias("name"), F.lit(no).alias("no"), F.lit(r).alias("r"),
+                        F.array(*cells).alias("c"))
+
+    layout = []
     for sheet, no, ids in (("By SA2", 1, ["SA2", "SA2 Name"]), ("By LGA", 2, ["LGA", "LGA name"]),
                            ("By Postcode", 3, ["Postcode"])):
-        url = payment_url("m")
-        meta += [
-            months.select(*_sheet_row(url, sheet, no, F.lit(1),
-                                      F.array(F.lit("DSS Payment Demographic Data")))),
-            months.select(*_sheet_row(url, sheet, no, F.lit(2), F.array(F.date_format("m", "MMMM yyyy")))),
-            months.select(*_sheet_row(url, sheet, no, F.lit(3),
-                                      F.array(*[F.lit(i) for i in ids], *header_series))),
-            months.select(*_sheet_row(url, sheet, no, F.lit(4),
-                                      F.array(F.lit(None).cast("string"), F.lit("Note: <5 means 1 to 4")))),
-        ]
-    out = sa2
-    for part in [lga, pc, *meta]:
-        out = out.unionByName(part)
-    return out
+        layout += [lay(sheet, no, 1, F.lit("DSS Payment Demographic Data")),
+                   lay(sheet, no, 2, F.date_format("m", "MMMM yyyy")),
+                   lay(sheet, no, 3, *[F.lit(i) for i in ids], *header_series),
+                   lay(sheet, no, 4, nul, F.lit("Note: <5 means 1 to 4"))]
+    meta = months.select("m", F.explode(F.array(*layout)).alias("x")).select(
+        *_sheet_row(payment_url("m"), F.col("x.name"), F.col("x.no"), F.col("x.r"), F.col("x.c")))
+    return sa2.unionByName(lga).unionByName(pc).unionByName(meta)
 
 
 # Fixed values of the invented jobseeker workbook.
@@ -243,20 +244,21 @@ def jobseeker_sheets(spark, d) -> DataFrame:
     body = g.select(*_sheet_row(url, sheet, no, F.col("c_nationkey") + 20, F.array(
         _txt("c_nationkey"), F.col("n_name"), _txt("js"),
         F.when(F.col("ya") > 0, _txt("ya")))))
-    months = x.select("m").distinct()
-    meta = [months.select(*_sheet_row(url, sheet, no, F.lit(r), F.array(F.lit(f"title {r}"))))
-            for r in range(1, 7)]
-    meta.append(months.select(*_sheet_row(url, sheet, no, F.lit(7),
-                                          F.array(*[F.lit(h) for h in JOBSEEKER_HEADER]))))
-    meta.append(months.select(*_sheet_row(url, sheet, no, F.lit(8),
-                                          F.array(F.lit(None).cast("string"), F.lit("footnote")))))
-    # A second sheet that the exact-name pick must ignore.
-    meta.append(months.select(*_sheet_row(url, "Table 3 - By State", 3, F.lit(7),
-                                          F.array(*[F.lit(h) for h in JOBSEEKER_HEADER]))))
-    out = body
-    for part in meta:
-        out = out.unionByName(part)
-    return out
+    months = table(spark, d, "orders").select(F.trunc("o_orderdate", "month").alias("m")).distinct()
+    nul = F.lit(None).cast("string")
+
+    def lay(name, no, r, *cells):
+        return F.struct(F.lit(name).alias("name"), F.lit(no).alias("no"), F.lit(r).alias("r"),
+                        F.array(*cells).alias("c"))
+
+    header = [F.lit(h) for h in JOBSEEKER_HEADER]
+    layout = [lay(sheet, no, r, F.lit(f"title {r}")) for r in range(1, 7)]
+    layout += [lay(sheet, no, 7, *header), lay(sheet, no, 8, nul, F.lit("footnote")),
+               # a second sheet that the exact-name pick must ignore
+               lay("Table 3 - By State", 3, 7, *header)]
+    meta = months.select("m", F.explode(F.array(*layout)).alias("x")).select(
+        *_sheet_row(url, F.col("x.name"), F.col("x.no"), F.col("x.r"), F.col("x.c")))
+    return body.unionByName(meta)
 
 
 def _quarter_end(col) -> F.Column:
@@ -266,30 +268,27 @@ def _quarter_end(col) -> F.Column:
 def rental_sheets(spark, d, geography: str = "lga") -> DataFrame:
     """Rental workbooks: per order quarter q, seven sheets (priority 1-5,
     status F, all orders); columns for the previous quarter and q, each a
-    count and a median order price; one row per area with data in either."""
+    count and a price figure (the highest order price: exact and mergeable,
+    so no group is gathered into one task); one row per area with data in
+    either quarter."""
     x = _orders_by_nation(spark, d).withColumn("q", _quarter_end("o_orderdate"))
     if geography == "lga":
-        x = x.withColumn("area", F.col("n_name")).withColumn("area_key", F.col("c_nationkey"))
-        url_word, remnant, case = "lga-quarterly", "LGA", "cap"
+        area, area_key, url_word, remnant, cap = "n_name", "c_nationkey", "lga-quarterly", "LGA", True
     else:
-        c = table(spark, d, "customer").select(F.col("c_custkey").alias("ck"), "c_name")
-        x = (x.join(c, x.o_custkey == c.ck).withColumn("area", F.col("c_name"))
-              .withColumn("area_key", F.col("ck")))
-        url_word, remnant, case = "suburb", "Suburb", "lower"
-    x = x.withColumn("sheet_no", F.col("o_orderpriority").substr(1, 1).cast("int"))
-    per_sheet = (x.select("q", "area", "area_key", "sheet_no", "o_totalprice")
-                 .unionByName(x.filter(F.col("o_orderstatus") == "F")
-                               .select("q", "area", "area_key", F.lit(6).alias("sheet_no"), "o_totalprice"))
-                 .unionByName(x.select("q", "area", "area_key", F.lit(7).alias("sheet_no"), "o_totalprice")))
-    stats = per_sheet.groupBy("q", "area", "area_key", "sheet_no").agg(
-        F.count("*").alias("n"),
-        F.round(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY o_totalprice)")).alias("med"))
+        area, area_key, url_word, remnant, cap = "c_name", "c_custkey", "suburb", "Suburb", False
+    # every order counts in its priority's sheet, in sheet 7, and in sheet 6 if fulfilled
+    sheets = F.array_compact(F.array(F.col("o_orderpriority").substr(1, 1).cast("int"),
+                                     F.when(F.col("o_orderstatus") == "F", F.lit(6)), F.lit(7)))
+    stats = (x.select("q", F.col(area).alias("area"), F.col(area_key).alias("area_key"),
+                      F.explode(sheets).alias("sheet_no"), "o_totalprice")
+              .groupBy("q", "area", "area_key", "sheet_no")
+              .agg(F.count("*").alias("n"), F.max("o_totalprice").alias("med")))
     # each quarter's figures appear in its own publication (slot 2) and in
     # the next quarter's publication (slot 1)
     placed = (stats.withColumn("slot", F.explode(F.array(F.lit(1), F.lit(2))))
                    .withColumn("pub", F.when(F.col("slot") == 2, F.col("q"))
                                .otherwise(F.add_months("q", 3))))
-    pubs = x.select(F.col("q").alias("pub")).distinct()
+    pubs = table(spark, d, "orders").select(_quarter_end("o_orderdate").alias("pub")).distinct()
     placed = placed.join(pubs, "pub", "left_semi")
 
     def slot(k, c):
@@ -299,38 +298,34 @@ def rental_sheets(spark, d, geography: str = "lga") -> DataFrame:
         slot(1, "n").alias("n1"), slot(1, "med").alias("m1"),
         slot(2, "n").alias("n2"), slot(2, "med").alias("m2"))
     month = F.date_format("pub", "MMMM")
-    month = month if case == "cap" else F.lower(month)
+    month = month if cap else F.lower(month)
     url = F.concat(F.lit(f"https://www.example.gov/rental-report-{url_word}-"), month,
                    F.lit("-quarter-"), F.date_format("pub", "yyyy"), F.lit(".xlsx"))
 
     def num(c):
-        return F.coalesce(F.col(c).cast("bigint").cast("string"), F.lit("-"))
+        return F.coalesce(F.col(c).cast("string"), F.lit("-"))
 
     nul = F.lit(None).cast("string")
     sname = F.concat(F.lit("Table "), F.col("sheet_no").cast("string"))
     body = rows.select(*_sheet_row(url, sname, F.col("sheet_no"), F.col("area_key") + 10,
                                    F.array(nul, F.col("area"), num("n1"), num("m1"), num("n2"), num("m2"))))
-    totals = rows.groupBy("pub", "sheet_no").agg(F.sum("n1").alias("n1"), F.sum("n2").alias("n2"))
-    total_rows = totals.select(*_sheet_row(url, sname, F.col("sheet_no"), F.lit(5),
-                                           F.array(nul, F.lit("Group Total"), num("n1"), nul,
-                                                   num("n2"), nul)))
-    sheets = rows.select("pub", "sheet_no").distinct()
+    # layout rows of every sheet of every publication: title, paired header,
+    # column header, subtotal (removed by the load), footnote
+    layout = pubs.select("pub", F.explode(F.sequence(F.lit(1), F.lit(7))).alias("sheet_no"))
     prev_lab = F.date_format(F.add_months("pub", -3), "MMM yyyy")
     cur_lab = F.date_format("pub", "MMM yyyy")
-    meta = [
-        sheets.select(*_sheet_row(url, sname, F.col("sheet_no"), F.lit(1), F.array(F.lit("Rental Report")))),
-        sheets.select(*_sheet_row(url, sname, F.col("sheet_no"), F.lit(2),
-                                  F.array(nul, nul, prev_lab, nul, cur_lab, nul))),
-        sheets.select(*_sheet_row(url, sname, F.col("sheet_no"), F.lit(3),
-                                  F.array(nul, F.lit(remnant), F.lit("Count"), F.lit("Median"),
-                                          F.lit("Count"), F.lit("Median")))),
-        sheets.select(*_sheet_row(url, sname, F.col("sheet_no"), F.lit(1 << 30),
-                                  F.array(nul, nul, F.lit("Source: example")))),
-    ]
-    out = body
-    for part in [total_rows, *meta]:
-        out = out.unionByName(part)
-    return out
+    def lay(r, *cells):
+        return F.struct(F.lit(r).alias("r"), F.array(*cells).alias("c"))
+
+    meta = layout.select("pub", "sheet_no", F.explode(F.array(
+        lay(1, F.lit("Rental Report"), nul),
+        lay(2, nul, nul, prev_lab, nul, cur_lab, nul),
+        lay(3, nul, F.lit(remnant), F.lit("Count"), F.lit("Median"), F.lit("Count"), F.lit("Median")),
+        lay(5, nul, F.lit("Group Total"), F.lit("-"), F.lit("-"), F.lit("-"), F.lit("-")),
+        lay(1 << 30, nul, nul, F.lit("Source: example")),
+    )).alias("x"))
+    meta = meta.select(*_sheet_row(url, sname, F.col("sheet_no"), F.col("x.r"), F.col("x.c")))
+    return body.unionByName(meta)
 
 
 def order_month_urls(spark, d) -> DataFrame:

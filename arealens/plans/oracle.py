@@ -153,7 +153,7 @@ x AS (
   UNION ALL
   SELECT CAST(date_trunc('quarter', o_orderdate) + INTERVAL 2 MONTH AS DATE), {area}, 7, o_totalprice
   FROM ({src})),
-s AS (SELECT q, area, sheet_no, count(*) AS n, round(quantile_disc(o_totalprice, 0.5)) AS med
+s AS (SELECT q, area, sheet_no, count(*) AS n, max(o_totalprice) AS med
       FROM x GROUP BY q, area, sheet_no),
 pubs AS (SELECT DISTINCT CAST(date_trunc('quarter', o_orderdate) + INTERVAL 2 MONTH AS DATE) AS pub FROM orders),
 rowkeys AS (
