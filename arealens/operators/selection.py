@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,11 +49,17 @@ def block_ids(blocks: Iterable) -> list[str]:
 
 def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint only after proving the relation has at most ``max_rows``
-    rows (a ``limit`` count, which stops early).  Larger relations are left to
-    the planner: shuffle join, converted to broadcast by AQE if the measured
-    size turns out small, skew-split otherwise."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    rows (a ``limit`` count, which stops early).  A relation that passes stays
+    persisted, so the broadcast reuses the counted rows instead of computing
+    them again; its size is bounded by the check.  Larger relations are left
+    to the planner: shuffle join, converted to broadcast by AQE if the
+    measured size turns out small, skew-split otherwise."""
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    n = kept.limit(max_rows + 1).count()
+    if n <= max_rows:
+        return F.broadcast(kept)
+    kept.unpersist()
+    return df
 
 
 def select_blocks(concord: DataFrame, blocks, block_col: str = "block_id") -> tuple[DataFrame, list[str]]:
@@ -63,17 +70,20 @@ def select_blocks(concord: DataFrame, blocks, block_col: str = "block_id") -> tu
         that reaches the Parquet scan, long ones a broadcast semi-join (the
         list lives on the driver, so its size is known);
       * a DataFrame with ``block_id`` and optionally ``selection_id``: many
-        selections answered in one job.  It is joined without a hint, so AQE
-        chooses broadcast or shuffle from its measured size.
+        selections answered in one job.  It is broadcast when a count shows
+        it small (the concordance is then never shuffled for this join);
+        otherwise it is a shuffle join that AQE may still turn into a
+        broadcast from measured sizes, with skewed partitions split.
     Returns the filtered concordance and the extra grouping columns
     (``["selection_id"]`` or ``[]``).
     """
     if isinstance(blocks, DataFrame):
         sel = blocks.withColumn(block_col, F.col(block_col).cast("string"))
         if "selection_id" in sel.columns:
-            sel = sel.select("selection_id", block_col).distinct()
+            sel = bounded_broadcast(sel.select("selection_id", block_col).distinct())
             return concord.join(sel, block_col, "inner"), ["selection_id"]
-        return concord.join(sel.select(block_col), block_col, "left_semi"), []
+        sel = bounded_broadcast(sel.select(block_col).distinct())
+        return concord.join(sel, block_col, "left_semi"), []
     ids = block_ids(blocks)
     if not ids:
         raise ValueError("no blocks selected")

@@ -28,6 +28,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from arealens.operators.selection import bounded_broadcast
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "pages")
 
@@ -36,6 +38,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dim(spark: SparkSession, sf_dir: str, name: str, *cols) -> DataFrame:
+    """A dimension table, broadcast only if a count proves it small."""
+    t = table(spark, sf_dir, name)
+    return bounded_broadcast(t.select(*cols) if cols else t)
+
+
 def _txt(c) -> F.Column:
     return F.col(c).cast("string")
 
@@ -45,8 +53,8 @@ def _txt(c) -> F.Column:
 def region_selections(spark, d) -> DataFrame:
     """(selection_id, block_id): every supplier, grouped by its region."""
     s = table(spark, d, "supplier").select("s_suppkey", "s_nationkey")
-    n = table(spark, d, "nation").select("n_nationkey", "n_regionkey")
-    r = table(spark, d, "region").select("r_regionkey", "r_name")
+    n = dim(spark, d, "nation", "n_nationkey", "n_regionkey")
+    r = dim(spark, d, "region", "r_regionkey", "r_name")
     return (s.join(n, s.s_nationkey == n.n_nationkey)
              .join(r, n.n_regionkey == r.r_regionkey)
              .select(F.col("r_name").alias("selection_id"), _txt("s_suppkey").alias("block_id")))
@@ -65,7 +73,7 @@ def cbsa1mb(spark, d) -> DataFrame:
 
 def cbsa2(spark, d) -> DataFrame:
     s = table(spark, d, "supplier")
-    n = table(spark, d, "nation")
+    n = dim(spark, d, "nation")
     return (s.join(n, s.s_nationkey == n.n_nationkey)
              .select(_txt("s_suppkey").alias("block_id"), _txt("s_nationkey").alias("sa2_5dig"),
                      (F.col("s_nationkey") + 200000000).cast("string").alias("sa2_main"),
@@ -97,8 +105,8 @@ def seifa_index(spark, d) -> DataFrame:
 def _orders_by_nation(spark, d) -> DataFrame:
     o = table(spark, d, "orders").select("o_custkey", "o_orderdate", "o_orderstatus",
                                          "o_orderpriority", "o_totalprice")
-    c = table(spark, d, "customer").select("c_custkey", "c_nationkey", "c_name")
-    n = table(spark, d, "nation").select("n_nationkey", "n_name")
+    c = dim(spark, d, "customer", "c_custkey", "c_nationkey", "c_name")
+    n = dim(spark, d, "nation", "n_nationkey", "n_name")
     return (o.join(c, o.o_custkey == c.c_custkey)
              .join(n, c.c_nationkey == n.n_nationkey)
              .withColumn("m", F.trunc("o_orderdate", "month")))
@@ -188,8 +196,8 @@ PAYMENT_SERIES = (("A", "Age Pension"), ("N", "Health Care Card"),
 def payment_type_sheets(spark, d) -> DataFrame:
     """Payment-type workbooks: three sheets (SA2, LGA, Postcode) per ship month."""
     li = table(spark, d, "lineitem").select("l_suppkey", "l_partkey", "l_returnflag", "l_shipdate")
-    s = table(spark, d, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    n = table(spark, d, "nation").select("n_nationkey", "n_name")
+    s = dim(spark, d, "supplier", "s_suppkey", "s_name", "s_nationkey")
+    n = dim(spark, d, "nation", "n_nationkey", "n_name")
     x = (li.join(s, li.l_suppkey == s.s_suppkey).join(n, s.s_nationkey == n.n_nationkey)
            .withColumn("m", F.trunc("l_shipdate", "month")))
     counts = [F.count_if(F.col("l_returnflag") == f).alias(f) for f, _ in PAYMENT_SERIES]

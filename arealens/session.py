@@ -6,10 +6,16 @@ import os
 
 from pyspark.sql import SparkSession
 
-# Settings every job relies on.  AQE turns a sort-merge join into a broadcast
-# join once a side's *measured* shuffle size is below the threshold, splits
-# skewed join partitions and coalesces small shuffle partitions.
+# Settings every job relies on.
+# * No broadcast from the planner's *estimates*: a compressed Parquet file
+#   looks several times smaller than its rows, so estimate-based broadcasting
+#   ships large tables.  Broadcasts happen only where a side was counted
+#   (``bounded_broadcast``) or where AQE *measured* a finished shuffle stage
+#   below the adaptive threshold.
+# * AQE also splits skewed join partitions and coalesces small partitions.
 _DEFAULTS = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
