@@ -22,6 +22,7 @@ from arealens.plans import bindings as b
 from arealens.plans.jobseeker import jobseeker_month, load_jobseeker
 from arealens.plans.payment_types import load_payment_types, payment_period
 from arealens.plans.rental import load_rental, rental_period
+from arealens.session import use_policy
 from arealens.sources.links import link_inventory, newest_link
 
 # Rank rules for order priorities: an overlapping label (first rule wins)
@@ -212,4 +213,14 @@ def q_rental_load_suburb(spark, d):
     return load_rental(b.rental_sheets(spark, d, "suburb"), "suburb")
 
 
-QUERIES = {name[2:]: fn for name, fn in globals().items() if name.startswith("q_") and callable(fn)}
+def _with_policy(fn):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        use_policy(spark)
+        return fn(spark, sf_dir)
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
+QUERIES = {name[2:]: _with_policy(fn) for name, fn in list(globals().items())
+           if name.startswith("q_") and callable(fn)}

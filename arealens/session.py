@@ -52,6 +52,20 @@ def get_session(master: str | None = None, app_name: str = "arealens",
     return spark
 
 
+# Runtime SQL settings the operators are planned for; applied to a session
+# someone else built (``use_policy``).
+POLICY = {k: v for k, v in _DEFAULTS.items()
+          if k.startswith("spark.sql.") and k != "spark.sql.session.timeZone"}
+
+
+def use_policy(spark: SparkSession) -> SparkSession:
+    """Apply the broadcast / AQE policy above to an existing session."""
+    for k, v in POLICY.items():
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
+    return spark
+
+
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
