@@ -301,6 +301,12 @@ NEWEST_LINK = "WITH " + _LINKS.format(html="html") + """
 SELECT page_id, arg_min(href, link_no) AS href, min(link_no) AS link_no
 FROM links WHERE regexp_matches(href, 'e') GROUP BY page_id"""
 
+SHEET_PICK = f"""
+WITH mm AS (SELECT DISTINCT CAST(date_trunc('month', l_shipdate) AS DATE) AS m FROM lineitem)
+SELECT 'https://data.example.org/dss-demographics-' || {_TOKEN} || '.xlsx' AS source_url,
+       CAST(1 AS BIGINT) AS n_sheets
+FROM mm"""
+
 ORACLE_SQL = {
     "apportioned_distribution": APPORTIONED,
     "distribution_bucket_rank": BUCKET_RANK,
@@ -326,6 +332,7 @@ ORACLE_SQL = {
     "link_inventory": LINKS,
     "link_inventory_scoped": LINKS_SCOPED,
     "newest_link": NEWEST_LINK,
+    "sheet_pick_check": SHEET_PICK,
     "payment_types_load_sa2": PAY_SA2,
     "payment_types_load_lga": PAY_LGA,
     "payment_types_load_postcode": PAY_PC,

@@ -24,6 +24,7 @@ from arealens.plans.payment_types import load_payment_types, payment_period
 from arealens.plans.rental import load_rental, rental_period
 from arealens.session import use_policy
 from arealens.sources.links import link_inventory, newest_link
+from arealens.sources.sheets import pick_sheets, sheets_per_source
 
 # Rank rules for order priorities: an overlapping label (first rule wins)
 # and an unlisted one (no rank).
@@ -189,6 +190,11 @@ def q_newest_link(spark, d):
     return newest_link(link_inventory(b.table(spark, d, "pages"), keep="e"))
 
 
+def q_sheet_pick_check(spark, d):
+    """Sheets picked per publication by the "SA" name pattern (must be 1)."""
+    return sheets_per_source(pick_sheets(b.payment_type_sheets(spark, d), name_contains="SA"))
+
+
 def q_payment_types_load_sa2(spark, d):
     return load_payment_types(b.payment_type_sheets(spark, d), "sa2")
 
