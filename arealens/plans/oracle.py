@@ -312,7 +312,7 @@ ORACLE_SQL = {
     "distribution_bucket_rank": BUCKET_RANK,
     "weighted_index": WEIGHTED,
     "area_series_sa2": AS_SA2,
-    "area_series_jobkeeper": AS_JOBKEEPER,
+    "area_series_renamed_measure": AS_JOBKEEPER,
     "area_series_postcode": AS_POSTCODE,
     "area_series_sa2_quarterly": AS_SA2_Q,
     "area_series_main_key": AS_MAIN,

@@ -52,7 +52,7 @@ def q_area_series_sa2(spark, d):
                        "jobseeker_monthly_payments_sa2")
 
 
-def q_area_series_jobkeeper(spark, d):
+def q_area_series_renamed_measure(spark, d):
     return area_series(b.jobkeeper_fact(spark, d), b.cbpostcodes(spark, d),
                        b.region_selections(spark, d), "jobkeeper_monthly_applications_pc")
 

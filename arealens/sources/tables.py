@@ -17,15 +17,22 @@ def read_table(spark: SparkSession, name: str, fmt: str = "parquet") -> DataFram
 
 
 def append_table(df: DataFrame, path: str, period_col: str = "month_date",
-                 only_new: bool = True, fmt: str = "parquet") -> None:
+                 only_new: bool = True, fmt: str = "parquet",
+                 replace_periods: bool = False) -> None:
     """Append ``df`` partitioned by its period column.
 
     With ``only_new`` the rows of periods already stored are removed first
     (anti join on the distinct stored periods), so a re-run or a retried job
-    after a lost executor adds nothing twice.  Spark's file commit protocol
-    makes each append all-or-nothing.
+    after a lost executor adds nothing twice.  ``replace_periods`` instead
+    rewrites exactly the periods present in ``df`` (dynamic partition
+    overwrite) - for a corrected re-publication.  Spark's file commit
+    protocol makes each write all-or-nothing.
     """
     spark = df.sparkSession
+    if replace_periods:
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy(period_col).format(fmt).save(path))
+        return
     out = df
     if only_new:
         try:

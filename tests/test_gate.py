@@ -62,6 +62,16 @@ def test_append_table_is_idempotent(spark, scratch):
     assert {r.month_date for r in stored.select("month_date").collect()} == {dt.date(2021, 12, 1)}
 
 
+def test_replace_periods_rewrites_only_those_periods(spark, scratch):
+    path = os.path.join(scratch, "pc")
+    append_table(_stored(spark).filter("month_date IS NOT NULL"), path)
+    fix = spark.createDataFrame([("3000", "December-2019", "Age Pension", 60.0, dt.date(2019, 12, 1))],
+                                S.PAYMENT_TYPES_PC)
+    append_table(fix, path, replace_periods=True)
+    got = {(r.quarter, r.value) for r in read_table(spark, path).collect()}
+    assert got == {("September-2019", 5.0), ("December-2019", 60.0)}
+
+
 def test_incremental_stream_loads_each_file_once(spark, scratch):
     landing = os.path.join(scratch, "landing")
     sink = os.path.join(scratch, "sink")

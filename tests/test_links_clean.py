@@ -2,8 +2,8 @@ from pyspark.sql import functions as F
 
 from arealens.functions.rank import bucket_rank
 from arealens.functions.text import clean_header_names
-from arealens.operators.clean import (cast_numbers, drop_labels, keep_positive, keep_prefix,
-                                      keep_present, lower_names, strip_markers_all)
+from arealens.operators.clean import (cast_numbers, drop_labels, fill_numeric_nulls, keep_positive,
+                                      keep_prefix, keep_present, lower_names, strip_markers_all)
 from arealens.operators.reshape import melt, tagged_union
 from arealens.sources.links import link_inventory, newest_link
 from conftest import rows
@@ -46,6 +46,8 @@ def test_markers_casts_and_filters(spark):
     assert rows(keep_positive(s, "a", compare="text"), "a") == [("5",), ("12",), ("0.0",)]
     assert drop_labels(df, "code", ["31"]).count() == 2  # NULL code goes too
     assert lower_names(df.withColumnRenamed("a", "Age Pension")).columns == ["code", "age pension", "b"]
+    filled = fill_numeric_nulls(c)  # numbers only; text NULLs stay
+    assert rows(filled, "code", "b") == [("21", 0.0), ("31", 7.0), (None, 0.0), ("2x", 100000.0)]
 
 
 def test_melt_keeps_nulls_and_totals(spark):
