@@ -54,7 +54,7 @@ def apportioned_distribution(measure: DataFrame, concord: DataFrame, blocks,
     m = measure.select("sa1_7dig", "year", "eq_income_yearly", "eq_income_weekly", "value")
     joined = m.join(shares, ["sa1_7dig", "year"], "inner")
     out = (joined.groupBy(*sel, "eq_income_yearly", "eq_income_weekly", "year")
-                 .agg(F.round(F.sum(F.col("value") * F.col("share"))).alias("value")))
+                 .agg(F.round(F.sum(F.col("value") * F.col("share"))).cast("double").alias("value")))
     out = out.select(*sel, "eq_income_weekly", "eq_income_yearly", "value", "year")
     rank = bucket_rank("eq_income_weekly", rank_rules)
     if with_rank:
@@ -104,7 +104,8 @@ def weighted_index(index: DataFrame, concord: DataFrame, blocks,
                        (F.col("value") * F.col("sa1_persons")).alias("weight"))
                .distinct())
     out = (rows.groupBy(*sel, "seifaindextype", "seifa_measure", "year")
-               .agg(F.round(F.try_divide(F.sum("weight"), F.sum("sa1_persons"))).alias("value")))
+               .agg(F.round(F.try_divide(F.sum("weight"), F.sum("sa1_persons")))
+                     .cast("double").alias("value")))
     return out.select(*sel, "seifaindextype", "seifa_measure", "value", "year")
 
 

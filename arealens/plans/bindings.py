@@ -9,7 +9,7 @@ grows with them.  Mapping (text ids throughout):
 * blocks            = suppliers; a *selection* = all suppliers of one region
 * cbsa1mb           = lineitem: block l_suppkey, sa1_7dig l_orderkey,
                       sa1_main l_partkey, persons l_partkey % 97 + 1,
-                      share l_quantity / 50, year of l_shipdate
+                      share l_quantity * 0.02, year of l_shipdate
 * income measure    = orders: sa1_7dig o_orderkey, year of o_orderdate,
                       weekly o_orderpriority, yearly o_orderstatus, value o_totalprice
 * seifa index       = part: sa1_main p_partkey, type p_brand, measure p_type,
@@ -25,11 +25,18 @@ grows with them.  Mapping (text ids throughout):
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arealens.operators.selection import bounded_broadcast
 
+# Money and shares are exact decimals (as a numeric database column would
+# be): sums are then exact, and round() meets a true .5 tie the same way in
+# every engine and every summation order.
+MONEY = "decimal(12,2)"
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "pages")
 
@@ -67,7 +74,7 @@ def cbsa1mb(spark, d) -> DataFrame:
     return li.select(_txt("l_suppkey").alias("block_id"), _txt("l_orderkey").alias("sa1_7dig"),
                      _txt("l_partkey").alias("sa1_main"),
                      (F.col("l_partkey") % 97 + 1).cast("bigint").alias("sa1_persons"),
-                     (F.col("l_quantity") / 50).alias("per_pct"),
+                     (F.col("l_quantity").cast(MONEY) * F.lit(Decimal("0.02"))).alias("per_pct"),
                      F.year("l_shipdate").alias("year"))
 
 
@@ -93,13 +100,13 @@ def income_measure(spark, d) -> DataFrame:
     return o.select(_txt("o_orderkey").alias("sa1_7dig"), F.year("o_orderdate").alias("year"),
                     F.col("o_orderstatus").alias("eq_income_yearly"),
                     F.col("o_orderpriority").alias("eq_income_weekly"),
-                    F.col("o_totalprice").alias("value"))
+                    F.col("o_totalprice").cast(MONEY).alias("value"))
 
 
 def seifa_index(spark, d) -> DataFrame:
     p = table(spark, d, "part")
     return p.select(_txt("p_partkey").alias("sa1_main"), F.col("p_brand").alias("seifaindextype"),
-                    F.col("p_type").alias("seifa_measure"), F.col("p_retailprice").alias("value"))
+                    F.col("p_type").alias("seifa_measure"), F.col("p_retailprice").cast(MONEY).alias("value"))
 
 
 def _orders_by_nation(spark, d) -> DataFrame:

@@ -15,7 +15,7 @@ SEL = """sel AS (
 CBSA1MB = """cc1 AS (
   SELECT CAST(l_suppkey AS VARCHAR) AS block_id, CAST(l_orderkey AS VARCHAR) AS sa1_7dig,
          CAST(l_partkey AS VARCHAR) AS sa1_main, CAST(l_partkey % 97 + 1 AS BIGINT) AS sa1_persons,
-         l_quantity / 50 AS per_pct, CAST(year(l_shipdate) AS INTEGER) AS year
+         CAST(l_quantity AS DECIMAL(12,2)) * 0.02 AS per_pct, CAST(year(l_shipdate) AS INTEGER) AS year
   FROM lineitem)"""
 
 CBSA2 = """cc2 AS (
@@ -39,16 +39,16 @@ def _with(*ctes):
 
 INCOME = """income AS (
   SELECT sel.selection_id, o_orderstatus AS eq_income_yearly, o_orderpriority AS eq_income_weekly,
-         o_totalprice * cc1.per_pct AS dwellings, cc1.year
+         CAST(o_totalprice AS DECIMAL(12,2)) * cc1.per_pct AS dwellings, cc1.year
   FROM cc1 JOIN sel ON cc1.block_id = sel.block_id
   JOIN orders ON cc1.sa1_7dig = CAST(o_orderkey AS VARCHAR) AND cc1.year = year(o_orderdate))"""
 
 APPORTIONED = _with(SEL, CBSA1MB, INCOME) + """
-SELECT selection_id, eq_income_weekly, eq_income_yearly, round(sum(dwellings)) AS value, year
+SELECT selection_id, eq_income_weekly, eq_income_yearly, CAST(round(sum(dwellings)) AS DOUBLE) AS value, year
 FROM income GROUP BY selection_id, eq_income_yearly, eq_income_weekly, year"""
 
 BUCKET_RANK = _with(SEL, CBSA1MB, INCOME) + """
-SELECT selection_id, eq_income_weekly, eq_income_yearly, round(sum(dwellings)) AS value, year,
+SELECT selection_id, eq_income_weekly, eq_income_yearly, CAST(round(sum(dwellings)) AS DOUBLE) AS value, year,
        CAST(CASE WHEN eq_income_weekly = '1-URGENT' THEN 1
                  WHEN eq_income_weekly = '2-HIGH' OR eq_income_weekly = '3-MEDIUM' THEN 2
                  WHEN eq_income_weekly = '3-MEDIUM' OR eq_income_weekly = '4-NOT SPECIFIED' THEN 3
@@ -60,12 +60,13 @@ cc AS (SELECT DISTINCT sel.selection_id, cc1.sa1_main, cc1.sa1_persons, cc1.year
        FROM cc1 JOIN sel ON cc1.block_id = sel.block_id),
 seifa AS (
   SELECT DISTINCT cc.selection_id, CAST(p_partkey AS VARCHAR) AS sa1_main, cc.sa1_persons,
-         p_brand AS seifaindextype, p_type AS seifa_measure, p_retailprice AS seifa_index, cc.year,
-         p_retailprice * cc.sa1_persons AS weight
+         p_brand AS seifaindextype, p_type AS seifa_measure,
+         CAST(p_retailprice AS DECIMAL(12,2)) AS seifa_index, cc.year,
+         CAST(p_retailprice AS DECIMAL(12,2)) * cc.sa1_persons AS weight
   FROM part JOIN cc ON cc.sa1_main = CAST(p_partkey AS VARCHAR)
   WHERE p_retailprice IS NOT NULL)
 SELECT selection_id, seifaindextype, seifa_measure,
-       round(sum(weight) / NULLIF(sum(sa1_persons), 0)) AS value, year
+       CAST(round(sum(weight) / NULLIF(sum(sa1_persons), 0)) AS DOUBLE) AS value, year
 FROM seifa GROUP BY selection_id, seifaindextype, seifa_measure, year"""
 
 AS_SA2 = _with(SEL, CBSA2, OBN) + """,
