@@ -27,7 +27,10 @@ def text_greater_than(col, bound: str = "0") -> Column:
 
 
 def _clean_one(name: Column) -> Column:
-    s = F.lower(F.trim(name))
+    s = F.trim(name)
+    s = F.regexp_replace(s, "([A-Z]+)([A-Z][a-z])", "$1_$2")   # "ABCDef" -> "ABC_Def"
+    s = F.regexp_replace(s, "([a-z0-9])([A-Z])", "$1_$2")      # "JobSeeker" -> "Job_Seeker"
+    s = F.lower(s)
     s = F.regexp_replace(s, "%", "_percent_")
     s = F.regexp_replace(s, "[^a-z0-9]+", "_")
     s = F.regexp_replace(s, "^_+|_+$", "")
@@ -39,8 +42,8 @@ def clean_header_names(names) -> Column:
 
     Per position ``p`` (1-based): a blank or NULL cell becomes ``x<p>``; a label
     that occurs more than once in the same header gets ``_<p>`` appended; every
-    other label is lower-cased, runs of other characters become one ``_``,
-    and a leading digit gets an ``x`` prefix.  Works on the whole header in
+    other label is split at camelCase boundaries, lower-cased, runs of other
+    characters become one ``_``, and a leading digit gets an ``x`` prefix.  Works on the whole header in
     one row, so no shuffle is needed however many sheets are processed.
     """
     arr = _c(names)

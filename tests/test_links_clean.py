@@ -26,10 +26,11 @@ def test_link_inventory_order_filter_prefix_and_scope(spark):
 
 
 def test_clean_header_names(spark):
-    df = spark.createDataFrame([([None, "SA2 Name", "Sep 2021", "", "Dec 2003", "Dec 2003", "2020 %"],)],
-                               "h array<string>")
+    df = spark.createDataFrame([([None, "SA2 Name", "Sep 2021", "", "Dec 2003", "Dec 2003", "2020 %",
+                                  "JobSeeker Payment", "Youth Allowance (other)"],)], "h array<string>")
     got = df.select(clean_header_names("h").alias("n")).first().n
-    assert got == ["x1", "sa2_name", "sep_2021", "x4", "dec_2003_5", "dec_2003_6", "x2020_percent"]
+    assert got == ["x1", "sa2_name", "sep_2021", "x4", "dec_2003_5", "dec_2003_6", "x2020_percent",
+                   "job_seeker_payment", "youth_allowance_other"]
 
 
 def test_markers_casts_and_filters(spark):
