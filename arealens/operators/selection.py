@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +18,7 @@ SEIFA_MEASURES = ("SCORE", "RWAD", "RWSD", "RWSP", "RWSR", "RWAR", "RWAP", "URP"
 MAX_INLINE_IDS = 1000
 # Largest relation ``bounded_broadcast`` will ship to every executor.
 MAX_BROADCAST_ROWS = 200_000
+MAX_BROADCAST_BYTES = 64 << 20
 
 
 def as_list(values) -> list:
@@ -47,19 +47,23 @@ def block_ids(blocks: Iterable) -> list[str]:
     return [str(b) for b in as_list(blocks)]
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only after proving the relation has at most ``max_rows``
-    rows (a ``limit`` count, which stops early).  A relation that passes stays
-    persisted, so the broadcast reuses the counted rows instead of computing
-    them again; its size is bounded by the check.  Larger relations are left
-    to the planner: shuffle join, converted to broadcast by AQE if the
-    measured size turns out small, skew-split otherwise."""
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = kept.limit(max_rows + 1).count()
-    if n <= max_rows:
-        return F.broadcast(kept)
-    kept.unpersist()
-    return df
+def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
+                      max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint only after proving the relation small: one job over at
+    most ``max_rows + 1`` rows counts them and sums their size as JSON text
+    (a stand-in for their width).  Above either bound the relation is left to
+    the planner: shuffle join, turned into a broadcast by AQE if the measured
+    shuffle size is small, skew-split otherwise.
+
+    Nothing is cached: a cached relation would be substituted for every later
+    identical plan and could hide rows that arrive afterwards.
+    """
+    probe = (df.limit(max_rows + 1)
+               .select(F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns]))).alias("b"))
+               .agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("bytes"))
+               .first())
+    n, size = probe["n"], probe["bytes"] or 0
+    return F.broadcast(df) if n <= max_rows and size <= max_bytes else df
 
 
 def select_blocks(concord: DataFrame, blocks, block_col: str = "block_id") -> tuple[DataFrame, list[str]]:

@@ -45,10 +45,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def dim(spark: SparkSession, sf_dir: str, name: str, *cols) -> DataFrame:
-    """A dimension table, broadcast only if a count proves it small."""
-    t = table(spark, sf_dir, name)
-    return bounded_broadcast(t.select(*cols) if cols else t)
+def supplier_nation(spark, d) -> DataFrame:
+    """supplier x nation x region (dimension-to-dimension joins: small on both
+    sides, planned by AQE from measured sizes)."""
+    s = table(spark, d, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    n = table(spark, d, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    r = table(spark, d, "region").select("r_regionkey", "r_name")
+    return (s.join(n, s.s_nationkey == n.n_nationkey)
+             .join(r, n.n_regionkey == r.r_regionkey)
+             .drop("n_nationkey", "n_regionkey", "r_regionkey"))
+
+
+def customer_nation(spark, d) -> DataFrame:
+    c = table(spark, d, "customer").select("c_custkey", "c_nationkey", "c_name")
+    n = table(spark, d, "nation").select("n_nationkey", "n_name")
+    return c.join(n, c.c_nationkey == n.n_nationkey).drop("n_nationkey")
 
 
 def _txt(c) -> F.Column:
@@ -59,12 +70,8 @@ def _txt(c) -> F.Column:
 
 def region_selections(spark, d) -> DataFrame:
     """(selection_id, block_id): every supplier, grouped by its region."""
-    s = table(spark, d, "supplier").select("s_suppkey", "s_nationkey")
-    n = dim(spark, d, "nation", "n_nationkey", "n_regionkey")
-    r = dim(spark, d, "region", "r_regionkey", "r_name")
-    return (s.join(n, s.s_nationkey == n.n_nationkey)
-             .join(r, n.n_regionkey == r.r_regionkey)
-             .select(F.col("r_name").alias("selection_id"), _txt("s_suppkey").alias("block_id")))
+    return supplier_nation(spark, d).select(F.col("r_name").alias("selection_id"),
+                                            _txt("s_suppkey").alias("block_id"))
 
 
 # ------------------------------------------------------------ concordances --
@@ -79,9 +86,7 @@ def cbsa1mb(spark, d) -> DataFrame:
 
 
 def cbsa2(spark, d) -> DataFrame:
-    s = table(spark, d, "supplier")
-    n = dim(spark, d, "nation")
-    return (s.join(n, s.s_nationkey == n.n_nationkey)
+    return (supplier_nation(spark, d)
              .select(_txt("s_suppkey").alias("block_id"), _txt("s_nationkey").alias("sa2_5dig"),
                      (F.col("s_nationkey") + 200000000).cast("string").alias("sa2_main"),
                      F.col("n_name").alias("sa2_name")))
@@ -112,10 +117,8 @@ def seifa_index(spark, d) -> DataFrame:
 def _orders_by_nation(spark, d) -> DataFrame:
     o = table(spark, d, "orders").select("o_custkey", "o_orderdate", "o_orderstatus",
                                          "o_orderpriority", "o_totalprice")
-    c = dim(spark, d, "customer", "c_custkey", "c_nationkey", "c_name")
-    n = dim(spark, d, "nation", "n_nationkey", "n_name")
-    return (o.join(c, o.o_custkey == c.c_custkey)
-             .join(n, c.c_nationkey == n.n_nationkey)
+    cn = bounded_broadcast(customer_nation(spark, d))
+    return (o.join(cn, o.o_custkey == cn.c_custkey)
              .withColumn("m", F.trunc("o_orderdate", "month")))
 
 
@@ -203,9 +206,8 @@ PAYMENT_SERIES = (("A", "Age Pension"), ("N", "Health Care Card"),
 def payment_type_sheets(spark, d) -> DataFrame:
     """Payment-type workbooks: three sheets (SA2, LGA, Postcode) per ship month."""
     li = table(spark, d, "lineitem").select("l_suppkey", "l_partkey", "l_returnflag", "l_shipdate")
-    s = dim(spark, d, "supplier", "s_suppkey", "s_name", "s_nationkey")
-    n = dim(spark, d, "nation", "n_nationkey", "n_name")
-    x = (li.join(s, li.l_suppkey == s.s_suppkey).join(n, s.s_nationkey == n.n_nationkey)
+    sn = bounded_broadcast(supplier_nation(spark, d).drop("r_name"))
+    x = (li.join(sn, li.l_suppkey == sn.s_suppkey)
            .withColumn("m", F.trunc("l_shipdate", "month")))
     counts = [F.count_if(F.col("l_returnflag") == f).alias(f) for f, _ in PAYMENT_SERIES]
     header_series = [F.lit(sname) for _, sname in PAYMENT_SERIES]

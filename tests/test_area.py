@@ -130,3 +130,5 @@ def test_bounded_broadcast_only_below_the_bound(spark):
     assert "broadcast" in str(selection.bounded_broadcast(small, 10)._jdf.queryExecution().logical()).lower()
     big = spark.range(50)
     assert selection.bounded_broadcast(big, 10) is big
+    wide = spark.range(5).select(F.repeat(F.lit("x"), 1000).alias("s"))
+    assert selection.bounded_broadcast(wide, 10, max_bytes=1000) is wide
