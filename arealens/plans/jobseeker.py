@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from arealens.functions.period import (MONTHLY_PERIOD_PATTERN, extract_period, period_to_date,
                                        sentence_case)
 from arealens.functions.text import lenient_number
-from arealens.sources.sheets import cell, pick_sheets, sheet_table
+from arealens.sources.sheets import cell, pick_sheets, sheet_table, value_cells
 
 # --- Fixed values: workbook layout and series names. -----------------------
 JOBSEEKER_SHEET = "Table 4 - By SA2"
@@ -28,10 +28,7 @@ def load_jobseeker(sheet_rows: DataFrame) -> DataFrame:
     ids = list(JOBSEEKER_IDS)
     rows = sheet_table(pick_sheets(sheet_rows, name_equals=JOBSEEKER_SHEET), JOBSEEKER_SKIP)
     wide = rows.withColumns({i: cell(i) for i in ids}).filter(F.col("SA2").isNotNull())
-    pairs = F.transform(F.col("header"), lambda h, i: F.struct(
-        h.alias("series"), F.try_element_at(F.col("cells"), (i + 1).cast("int")).alias("value")))
-    values = F.filter(pairs, lambda z: z["series"].isNull() | ~z["series"].isin(ids))
-    long = wide.select("source_url", *ids, F.inline(values))
+    long = wide.select("source_url", *ids, F.inline(value_cells(ids)))
     series = F.col("series")
     for old, new in JOBSEEKER_SERIES_RENAMES.items():
         series = F.when(F.col("series") == old, F.lit(new)).otherwise(series)

@@ -15,7 +15,7 @@ from arealens.functions.period import (PAYMENT_PERIOD_PATTERN, extract_period, p
                                        repair_period_label, sentence_case)
 from arealens.functions.text import lenient_number, strip_marker
 from arealens.operators.clean import keep_positive
-from arealens.sources.sheets import cell, pick_sheets, sheet_table
+from arealens.sources.sheets import cell, pick_sheets, sheet_table, value_cells
 
 # --- Fixed values: workbook layout. ----------------------------------------
 PAYMENT_SKIP = 2
@@ -48,10 +48,7 @@ def load_payment_types(sheet_rows: DataFrame, geography: str = "sa2",
     wide = (rows.withColumns({i: strip_marker(cell(i)) for i in ids})
                 .filter(F.col(g["code"]).isNotNull())
                 .filter(F.col(g["code"]).startswith(g["prefix"])))
-    pairs = F.transform(F.col("header"), lambda h, i: F.struct(
-        h.alias("series"), F.try_element_at(F.col("cells"), (i + 1).cast("int")).alias("value")))
-    values = F.filter(pairs, lambda z: z["series"].isNull() | ~z["series"].isin(ids))
-    long = (wide.select("source_url", *ids, F.inline(values))
+    long = (wide.select("source_url", *ids, F.inline(value_cells(ids)))
                 .withColumn("value", strip_marker("value")))
     long = keep_positive(long, "value", compare)
     quarter = payment_period("source_url")

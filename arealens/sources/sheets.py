@@ -69,16 +69,20 @@ def cell(name: str, header_col: str = "header") -> F.Column:
     return F.when(pos > 0, F.try_element_at(F.col("cells"), pos.cast("int")))
 
 
-def melt_cells(df: DataFrame, id_names, keep_cols=(), header_col: str = "header",
-               variable: str = "series", value: str = "value") -> DataFrame:
-    """Wide -> long on sheet rows: id cells looked up by header label, every
-    other header position becomes (series = header label, value = cell).
-    NULL cells are kept; cells beyond the header's width are ignored."""
+def value_cells(id_names, header_col: str = "header") -> F.Column:
+    """Array of (series, value) structs: every header position whose label is
+    not an id column, paired with the row's cell there (NULL cells kept;
+    cells beyond the header's width ignored).  ``F.inline`` of it melts the
+    row without a shuffle."""
     ids = list(id_names)
     pairs = F.transform(F.col(header_col), lambda h, i: F.struct(
-        h.alias("h"), F.try_element_at(F.col("cells"), (i + 1).cast("int")).alias("c")))
-    values = F.filter(pairs, lambda z: z["h"].isNull() | ~z["h"].isin(ids))
-    long = df.select(*keep_cols, *[cell(n, header_col).alias(n) for n in ids],
-                     F.explode(values).alias("_z"))
-    return long.select(*keep_cols, *ids, F.col("_z.h").alias(variable),
-                       F.col("_z.c").alias(value))
+        h.alias("series"), F.try_element_at(F.col("cells"), (i + 1).cast("int")).alias("value")))
+    return F.filter(pairs, lambda z: z["series"].isNull() | ~z["series"].isin(ids))
+
+
+def melt_cells(df: DataFrame, id_names, keep_cols=(), header_col: str = "header") -> DataFrame:
+    """Wide -> long on sheet rows: id cells looked up by header label, other
+    columns become (series = header label, value = cell)."""
+    ids = list(id_names)
+    return df.select(*keep_cols, *[cell(n, header_col).alias(n) for n in ids],
+                     F.inline(value_cells(ids, header_col)))
