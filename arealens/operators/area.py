@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from arealens.functions.period import period_to_date
 from arealens.functions.rank import INCOME_WEEKLY_RANKS, bucket_rank
 from arealens.operators.selection import (SEIFA_INDEX_TYPES, SEIFA_MEASURES, SUPPORTED_YEARS,
-                                          as_list, check_members, select_blocks)
+                                          check_members, select_blocks)
 
 
 def order_nulls_last(df: DataFrame, cols) -> DataFrame:

@@ -9,8 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arealens.functions.period import (MONTHLY_PERIOD_PATTERN, PAYMENT_PERIOD_PATTERN,
-                                       expand_header_month, extract_period, fix_header_typos,
+from arealens.functions.period import (PAYMENT_PERIOD_PATTERN, expand_header_month, extract_period, fix_header_typos,
                                        period_to_date, repair_period_label, sentence_case)
 from arealens.operators.area import apportioned_distribution, area_series, weighted_index
 from arealens.operators.clean import (cast_numbers, drop_labels, keep_positive, keep_prefix,
@@ -72,21 +71,21 @@ def q_area_series_main_key(spark, d):
                        "sa2_salm")
 
 
-def _part_text(spark, d, small_marker):
+def _part_text(spark, d, small) -> DataFrame:
+    """Part sizes as published text: sizes below 5 written as ``small(size)``."""
     p = b.table(spark, d, "part")
-    size = F.when(F.col("p_size") < 5, F.lit(small_marker) if small_marker != "<"
-                  else F.concat(F.lit("<"), F.col("p_size").cast("string"))
-                  ).otherwise(F.col("p_size").cast("string"))
+    text = F.col("p_size").cast("string")
+    size = F.when(F.col("p_size") < 5, small(text)).otherwise(text)
     return p.select("p_partkey", "p_name", "p_brand", "p_type", size.alias("p_size_text"),
                     F.col("p_retailprice").cast("string").alias("p_price_text"))
 
 
 def q_strip_markers(spark, d):
-    return strip_markers_all(_part_text(spark, d, "<"))
+    return strip_markers_all(_part_text(spark, d, lambda t: F.concat(F.lit("<"), t)))
 
 
 def q_lenient_cast(spark, d):
-    return cast_numbers(_part_text(spark, d, "n.p."), ["p_size_text", "p_price_text"])
+    return cast_numbers(_part_text(spark, d, lambda t: F.lit("n.p.")), ["p_size_text", "p_price_text"])
 
 
 def q_wide_to_long(spark, d):

@@ -1,7 +1,6 @@
 import datetime as dt
 import os
 
-from pyspark.sql import functions as F
 
 from arealens import schemas as S
 from arealens.operators.gate import (current_period_rows, freshness_gate, new_periods_only,

@@ -1,7 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from arealens.functions import period as P
 from arealens.plans.jobseeker import jobseeker_month
