@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from arealens.functions.period import (MONTHLY_PERIOD_PATTERN, extract_period, period_to_date,
                                        sentence_case)
 from arealens.functions.text import lenient_number
-from arealens.sources.sheets import cell, pick_sheets, sheet_table, value_cells
+from arealens.sources.sheets import (explode_values, id_cell, pick_sheets, sheet_layout,
+                                     sheet_table)
 
 # --- Fixed values: workbook layout and series names. -----------------------
 JOBSEEKER_SHEET = "Table 4 - By SA2"
@@ -26,9 +27,10 @@ def jobseeker_month(url) -> F.Column:
 def load_jobseeker(sheet_rows: DataFrame) -> DataFrame:
     """(sa2_5dig, sa2_name, month, series, value, month_date)."""
     ids = list(JOBSEEKER_IDS)
-    rows = sheet_table(pick_sheets(sheet_rows, name_equals=JOBSEEKER_SHEET), JOBSEEKER_SKIP)
-    wide = rows.withColumns({i: cell(i) for i in ids}).filter(F.col("SA2").isNotNull())
-    long = wide.select("source_url", *ids, F.inline(value_cells(ids)))
+    picked = pick_sheets(sheet_rows, name_equals=JOBSEEKER_SHEET)
+    rows = sheet_table(picked, JOBSEEKER_SKIP, header=sheet_layout(picked, JOBSEEKER_SKIP, ids))
+    wide = rows.withColumns({n: id_cell(k) for k, n in enumerate(ids)}).filter(F.col("SA2").isNotNull())
+    long = explode_values(wide, ["source_url", *ids])
     series = F.col("series")
     for old, new in JOBSEEKER_SERIES_RENAMES.items():
         series = F.when(F.col("series") == old, F.lit(new)).otherwise(series)

@@ -15,7 +15,8 @@ from arealens.functions.period import (PAYMENT_PERIOD_PATTERN, extract_period, p
                                        repair_period_label, sentence_case)
 from arealens.functions.text import lenient_number, strip_marker
 from arealens.operators.clean import keep_positive
-from arealens.sources.sheets import cell, pick_sheets, sheet_table, value_cells
+from arealens.sources.sheets import (explode_values, id_cell, pick_sheets, sheet_layout,
+                                     sheet_table)
 
 # --- Fixed values: workbook layout. ----------------------------------------
 PAYMENT_SKIP = 2
@@ -44,11 +45,12 @@ def load_payment_types(sheet_rows: DataFrame, geography: str = "sa2",
         raise ValueError("geography should be one of " + ", ".join(PAYMENT_GEOGRAPHIES))
     g = PAYMENT_GEOGRAPHIES[geography]
     ids = [g["code"]] + ([g["name"]] if g["name"] else [])
-    rows = sheet_table(pick_sheets(sheet_rows, name_contains=g["sheet"]), PAYMENT_SKIP)
-    wide = (rows.withColumns({i: strip_marker(cell(i)) for i in ids})
+    picked = pick_sheets(sheet_rows, name_contains=g["sheet"])
+    rows = sheet_table(picked, PAYMENT_SKIP, header=sheet_layout(picked, PAYMENT_SKIP, ids))
+    wide = (rows.withColumns({n: strip_marker(id_cell(k)) for k, n in enumerate(ids)})
                 .filter(F.col(g["code"]).isNotNull())
                 .filter(F.col(g["code"]).startswith(g["prefix"])))
-    long = (wide.select("source_url", *ids, F.inline(value_cells(ids)))
+    long = (explode_values(wide, ["source_url", *ids])
                 .withColumn("value", strip_marker("value")))
     long = keep_positive(long, "value", compare)
     quarter = payment_period("source_url")

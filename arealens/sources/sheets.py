@@ -63,26 +63,44 @@ def sheet_table(sheet_rows: DataFrame, skip: int, header: DataFrame | None = Non
     return body_rows(sheet_rows, skip).join(bounded_broadcast(hdr), SHEET_KEY, "inner")
 
 
-def cell(name: str, header_col: str = "header") -> F.Column:
-    """Cell under the header label ``name`` (NULL when the label is absent)."""
-    pos = F.array_position(F.col(header_col), F.lit(name))
-    return F.when(pos > 0, F.try_element_at(F.col("cells"), pos.cast("int")))
+def sheet_layout(sheet_rows: DataFrame, skip: int, id_names) -> DataFrame:
+    """(source_url, sheet_no, id_pos, value_cols), one row per sheet.
+
+    ``id_pos[k]`` is the 1-based position of ``id_names[k]`` in the header
+    (0 when absent); ``value_cols`` lists (series, pos) for every other header
+    position.  Resolving labels here - with array functions on a relation of
+    one row per sheet - leaves body rows with plain positional lookups, which
+    stay inside whole-stage code generation.
+    """
+    ids = list(id_names)
+    cols = F.transform(F.col("header"), lambda h, i: F.struct(
+        h.alias("series"), (i + 1).cast("int").alias("pos")))
+    value_cols = F.filter(cols, lambda z: z["series"].isNull() | ~z["series"].isin(ids))
+    id_pos = F.array(*[F.array_position(F.col("header"), F.lit(n)).cast("int") for n in ids]) \
+        if ids else F.array().cast("array<int>")
+    return header_rows(sheet_rows, skip).select(*SHEET_KEY, id_pos.alias("id_pos"),
+                                                value_cols.alias("value_cols"))
 
 
-def value_cells(id_names, header_col: str = "header") -> F.Column:
-    """Array of (series, value) structs: every header position whose label is
-    not an id column, paired with the row's cell there (NULL cells kept;
-    cells beyond the header's width ignored).  ``F.inline`` of it melts the
-    row without a shuffle."""
-    ids = list(id_names)
-    pairs = F.transform(F.col(header_col), lambda h, i: F.struct(
-        h.alias("series"), F.try_element_at(F.col("cells"), (i + 1).cast("int")).alias("value")))
-    return F.filter(pairs, lambda z: z["series"].isNull() | ~z["series"].isin(ids))
+def id_cell(k: int) -> F.Column:
+    """Cell of the k-th id column (0-based, as given to ``sheet_layout``)."""
+    pos = F.element_at(F.col("id_pos"), k + 1)
+    return F.when(pos > 0, F.try_element_at(F.col("cells"), pos))
+
+
+def explode_values(df: DataFrame, keep_cols) -> DataFrame:
+    """Rows of a ``sheet_table(.., layout)`` times their value columns:
+    ``keep_cols`` + (series, value).  NULL cells are kept; a header position
+    beyond the row's cells gives NULL."""
+    z = df.select(*keep_cols, "cells", F.explode("value_cols").alias("_z"))
+    return z.select(*keep_cols, F.col("_z.series").alias("series"),
+                    F.try_element_at(F.col("cells"), F.col("_z.pos")).alias("value"))
 
 
-def melt_cells(df: DataFrame, id_names, keep_cols=(), header_col: str = "header") -> DataFrame:
+def melt_cells(sheet_rows: DataFrame, skip: int, id_names, keep_cols=()) -> DataFrame:
     """Wide -> long on sheet rows: id cells looked up by header label, other
     columns become (series = header label, value = cell)."""
     ids = list(id_names)
-    return df.select(*keep_cols, *[cell(n, header_col).alias(n) for n in ids],
-                     F.inline(value_cells(ids, header_col)))
+    t = sheet_table(sheet_rows, skip, header=sheet_layout(sheet_rows, skip, ids))
+    wide = t.select(*keep_cols, *[id_cell(k).alias(n) for k, n in enumerate(ids)], "cells", "value_cols")
+    return explode_values(wide, [*keep_cols, *ids])

@@ -103,9 +103,8 @@ def test_rental_all_periods_and_suburb_geography(spark):
 
 def test_melt_cells_generic(spark):
     recs = sheet(PAYMENT_URL, "SA2", 1, PAYMENT_SA2)
-    from arealens.sources.sheets import melt_cells, sheet_table
-    t = sheet_table(sheet_rows(spark, recs), 2)
-    long = melt_cells(t, ["SA2"], keep_cols=["row_no"])
+    from arealens.sources.sheets import melt_cells
+    long = melt_cells(sheet_rows(spark, recs), 2, ["SA2"], keep_cols=["row_no"])
     assert long.columns == ["row_no", "SA2", "series", "value"]
     # 4 body rows x 4 non-id columns, NULL cells kept
     assert long.count() == 16
