@@ -294,10 +294,11 @@ def rental_sheets(spark, d, geography: str = "lga") -> DataFrame:
     else:
         area, area_key, url_word, remnant, cap = "c_name", "c_custkey", "suburb", "Suburb", False
     # every order counts in its priority's sheet, in sheet 7, and in sheet 6 if fulfilled
-    sheets = F.array_compact(F.array(F.col("o_orderpriority").substr(1, 1).cast("int"),
-                                     F.when(F.col("o_orderstatus") == "F", F.lit(6)), F.lit(7)))
+    sheets = F.array(F.col("o_orderpriority").substr(1, 1).cast("int"),
+                     F.when(F.col("o_orderstatus") == "F", F.lit(6)), F.lit(7))
     stats = (x.select("q", F.col(area).alias("area"), F.col(area_key).alias("area_key"),
                       F.explode(sheets).alias("sheet_no"), "o_totalprice")
+              .filter(F.col("sheet_no").isNotNull())
               .groupBy("q", "area", "area_key", "sheet_no")
               .agg(F.count("*").alias("n"), F.max("o_totalprice").alias("med")))
     # each quarter's figures appear in its own publication (slot 2) and in
