@@ -22,7 +22,7 @@ from arealens.plans.jobseeker import jobseeker_month, load_jobseeker
 from arealens.plans.payment_types import load_payment_types, payment_period
 from arealens.plans.rental import load_rental, rental_period
 from arealens.session import use_policy
-from arealens.sources.links import link_inventory, newest_link
+from arealens.sources.links import first_link, link_inventory
 from arealens.sources.sheets import pick_sheets, sheets_per_source
 
 # Rank rules for order priorities: an overlapping label (first rule wins)
@@ -186,7 +186,7 @@ def q_link_inventory_scoped(spark, d):
 
 
 def q_newest_link(spark, d):
-    return newest_link(link_inventory(b.table(spark, d, "pages"), keep="e"))
+    return first_link(b.table(spark, d, "pages"), keep="e")
 
 
 def q_sheet_pick_check(spark, d):

@@ -16,11 +16,8 @@ from pyspark.sql import functions as F
 HREF_PATTERN = r'<a[^>]*href="([^"]*)"'
 
 
-def link_inventory(pages: DataFrame, keep: str | None = None, container: str | None = None,
-                   prefix=None, page_cols=("page_id",)) -> DataFrame:
-    """(page columns, link_no, href): every anchor in page order (``link_no``
-    from 1), kept when ``href`` matches the regex ``keep``.  ``prefix`` (text
-    or Column, e.g. the page's host) is put in front of each kept href."""
+def page_hrefs(container: str | None = None) -> F.Column:
+    """Array of the page's hrefs in page order (optionally within a container)."""
     html = F.col("html")
     if container is not None:
         if container.startswith("#"):
@@ -28,8 +25,15 @@ def link_inventory(pages: DataFrame, keep: str | None = None, container: str | N
         else:
             scope = r"(?s)<" + container + r"\b[^>]*>.*?</" + container + ">"
         html = F.coalesce(F.regexp_substr(html, F.lit(scope)), F.lit(""))
-    hrefs = F.regexp_extract_all(html, F.lit(HREF_PATTERN), 1)
-    links = pages.select(*page_cols, F.posexplode(hrefs).alias("pos", "href"))
+    return F.regexp_extract_all(html, F.lit(HREF_PATTERN), 1)
+
+
+def link_inventory(pages: DataFrame, keep: str | None = None, container: str | None = None,
+                   prefix=None, page_cols=("page_id",)) -> DataFrame:
+    """(page columns, link_no, href): every anchor in page order (``link_no``
+    from 1), kept when ``href`` matches the regex ``keep``.  ``prefix`` (text
+    or Column, e.g. the page's host) is put in front of each kept href."""
+    links = pages.select(*page_cols, F.posexplode(page_hrefs(container)).alias("pos", "href"))
     links = links.select(*page_cols, (F.col("pos") + 1).alias("link_no"), "href")
     if keep is not None:
         links = links.filter(F.col("href").rlike(keep))
@@ -39,9 +43,27 @@ def link_inventory(pages: DataFrame, keep: str | None = None, container: str | N
     return links
 
 
+def first_link(pages: DataFrame, keep: str | None = None, container: str | None = None,
+               prefix=None, page_cols=("page_id",)) -> DataFrame:
+    """(page columns, href, link_no): the first kept link of each page, read
+    from the page's own ordered link array - no shuffle, one row per page
+    that has a kept link."""
+    hrefs = page_hrefs(container)
+    kept = hrefs if keep is None else F.filter(hrefs, lambda h: h.rlike(keep))
+    first = F.try_element_at(kept, F.lit(1))
+    out = (pages.select(*page_cols, hrefs.alias("_all"), first.alias("href"))
+                .filter(F.col("href").isNotNull())
+                .select(*page_cols, "href", F.array_position("_all", F.col("href")).cast("int").alias("link_no")))
+    if prefix is not None:
+        p = F.lit(prefix) if isinstance(prefix, str) else prefix
+        out = out.withColumn("href", F.concat(p, F.col("href")))
+    return out
+
+
 def newest_link(links: DataFrame, group_cols=("page_id",)) -> DataFrame:
-    """First listed link per page (publishers list the newest first).  Uses
-    the explicit position, never row order; a partial aggregate, so a page
-    with very many links is reduced map-side."""
+    """First listed link per page of an exploded link frame (publishers list
+    the newest first).  Uses the explicit position, never row order; a
+    partial aggregate, so a page with very many links is reduced map-side.
+    For pages, ``first_link`` does the same without a shuffle."""
     return links.groupBy(*group_cols).agg(F.min_by("href", "link_no").alias("href"),
                                           F.min("link_no").alias("link_no"))

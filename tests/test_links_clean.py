@@ -5,7 +5,7 @@ from arealens.functions.text import clean_header_names
 from arealens.operators.clean import (cast_numbers, drop_labels, fill_numeric_nulls, keep_positive,
                                       keep_prefix, keep_present, lower_names, strip_markers_all)
 from arealens.operators.reshape import melt, tagged_union
-from arealens.sources.links import link_inventory, newest_link
+from arealens.sources.links import first_link, link_inventory, newest_link
 from conftest import rows
 
 HTML = ('<html><body><nav><a href="/home">h</a><a class="x" href="/data/latest.xlsx">l</a></nav>'
@@ -23,6 +23,10 @@ def test_link_inventory_order_filter_prefix_and_scope(spark):
     nav = link_inventory(pages, keep=r"\.xlsx", container="nav", prefix="https://host")
     assert rows(nav, "href") == [("https://host/data/latest.xlsx",)]
     assert rows(newest_link(scoped), "href") == [("https://x/dec-2021.xlsx",)]
+    first = first_link(pages, keep="https://", container="#dataset-resources")
+    assert rows(first, "href", "link_no") == [("https://x/dec-2021.xlsx", 1)]
+    assert rows(first_link(pages, keep=r"\.pdf$"), "href", "link_no") == [("https://x/other.pdf", 5)]
+    assert first_link(pages, keep="nothing-matches").count() == 0
 
 
 def test_clean_header_names(spark):
