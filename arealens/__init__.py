@@ -10,6 +10,26 @@ built-in expressions, so Catalyst plans it and AQE picks join strategies from
 runtime sizes.
 """
 
-from arealens.session import get_session, checkpoint_dir
+from arealens.operators.area import apportioned_distribution, area_series, weighted_index
+from arealens.operators.gate import (current_period_rows, freshness_gate, new_periods_only,
+                                     newest_period)
+from arealens.plans.catalog import (area_time_series, income_distribution, run_jobseeker_load,
+                                    run_payment_types_load, run_rental_load, seifa_index)
+from arealens.plans.jobseeker import load_jobseeker
+from arealens.plans.payment_types import load_payment_types
+from arealens.plans.rental import load_rental
+from arealens.session import checkpoint_dir, get_session, use_policy
+from arealens.sources.links import first_link, link_inventory, newest_link
+from arealens.sources.tables import append_table, read_table
+from arealens.streaming.landing import incremental_load
 
-__all__ = ["get_session", "checkpoint_dir"]
+__all__ = [
+    "apportioned_distribution", "area_series", "weighted_index",
+    "current_period_rows", "freshness_gate", "new_periods_only", "newest_period",
+    "area_time_series", "income_distribution", "seifa_index",
+    "run_jobseeker_load", "run_payment_types_load", "run_rental_load",
+    "load_jobseeker", "load_payment_types", "load_rental",
+    "checkpoint_dir", "get_session", "use_policy",
+    "first_link", "link_inventory", "newest_link", "append_table", "read_table",
+    "incremental_load",
+]
