@@ -34,14 +34,16 @@ def apportioned_distribution(measure: DataFrame, concord: DataFrame, blocks,
     measure: (sa1_7dig, year, eq_income_yearly, eq_income_weekly, value)
     concord: (block_id, sa1_7dig, year, per_pct) - per_pct is the share of the
              area that lies in the block; duplicate rows count every time.
-    Result: eq_income_weekly, eq_income_yearly, value = round(sum(value*per_pct)),
-    year [, selection_id] [, bucket_rank], ordered by bucket rank (NULL last)
-    then year.  ``years=None`` keeps every year.
+    Result: [selection_id,] eq_income_weekly, eq_income_yearly,
+    value = round(sum(value*per_pct)) (half up, as double), year
+    [, bucket_rank], ordered by bucket rank (NULL last) then year.
+    ``years=None`` keeps every year.
 
     Plan: the concordance is reduced to one row per (selection, area, year)
     with the summed share *before* the join (sum(v*p1)+sum(v*p2) =
-    v*(p1+p2)), so a block set or area holding a large part of the
-    concordance never reaches the join as many rows.  The final aggregate has
+    v*(p1+p2); exact for decimal inputs, equal up to float rounding for
+    doubles), so a block set or area holding a large part of the concordance
+    never reaches the join as many rows.  The final aggregate has
     a partial (map-side) stage, so hot buckets do not skew the shuffle.
     """
     cc, sel = select_blocks(concord, blocks)
@@ -74,9 +76,9 @@ def weighted_index(index: DataFrame, concord: DataFrame, blocks,
 
     index:   (sa1_main, seifaindextype, seifa_measure, value [, year])
     concord: (block_id, sa1_main, sa1_persons, year)
-    Result: seifaindextype, seifa_measure, value, year [, selection_id] with
-    value = round(sum(value*persons)/sum(persons)); NULL when the population
-    is zero.  ``None`` for a filter keeps every value.
+    Result: [selection_id,] seifaindextype, seifa_measure, value, year with
+    value = round(sum(value*persons)/sum(persons)) (half up, as double); NULL
+    when the population is zero.  ``None`` for a filter keeps every value.
 
     Each area counts once however many selected blocks fall in it (distinct
     concordance rows), and equal index values of different areas are both
@@ -167,9 +169,11 @@ def area_series(fact: DataFrame, concord: DataFrame, blocks,
     distinct, so an area reached through several blocks appears once.
 
     Plan: the selected concordance is made distinct on (selection, join key,
-    kept columns) before the join - at most one row per area - so the join
-    cannot multiply fact rows; the only remaining shuffle is the DISTINCT,
-    which deduplicates map-side first.
+    kept columns) before the join - one row per area and label, however many
+    blocks reach it - so the join does not multiply fact rows; it is small
+    and AQE broadcasts it from its measured size.  The result DISTINCT
+    deduplicates map-side first; its keys are whole rows, so a hot area or
+    period does not land in one task.
     """
     if spec is None:
         if table not in AREA_SERIES_SPECS:

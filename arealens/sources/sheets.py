@@ -5,11 +5,12 @@ holds every row of every sheet of every publication.  Positions are explicit
 (``row_no``, array index), so nothing depends on row order.  A sheet's header
 is the row after ``skip`` title rows; body rows follow it.
 
-The header is kept as *one row per sheet* holding the whole header array.
-Joining it to the body rows attaches column names to cells without exploding
-the header, and the header relation is tiny (one row per sheet), so it is
-broadcast after a size check: no shuffle of the body, and no skew when one
-sheet holds most of the rows.
+The header is kept as *one row per sheet* holding the whole header array;
+``sheet_layout`` resolves its labels there once (positions of the id
+columns, positions of the value columns).  Joining that relation to the body
+rows attaches the layout without exploding the header, and it is tiny (one
+row per sheet), so it is broadcast after a size probe: no shuffle of the
+body, and no skew when one sheet or publication holds most of the rows.
 """
 
 from __future__ import annotations
