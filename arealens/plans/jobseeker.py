@@ -28,14 +28,20 @@ def load_jobseeker(sheet_rows: DataFrame) -> DataFrame:
     """(sa2_5dig, sa2_name, month, series, value, month_date)."""
     ids = list(JOBSEEKER_IDS)
     picked = pick_sheets(sheet_rows, name_equals=JOBSEEKER_SHEET)
-    rows = sheet_table(picked, JOBSEEKER_SKIP, header=sheet_layout(picked, JOBSEEKER_SKIP, ids))
+
+    def renamed(z):
+        label = z["series"]
+        for old, new in JOBSEEKER_SERIES_RENAMES.items():
+            label = F.when(z["series"] == old, F.lit(new)).otherwise(label)
+        return F.struct(label.alias("series"), z["pos"].alias("pos"))
+
+    # period and series names are resolved once per sheet
+    layout = (sheet_layout(picked, JOBSEEKER_SKIP, ids)
+              .withColumn("value_cols", F.transform("value_cols", renamed))
+              .withColumn("month", jobseeker_month("source_url"))
+              .withColumn("month_date", period_to_date("month")))
+    rows = sheet_table(picked, JOBSEEKER_SKIP, header=layout)
     wide = rows.withColumns({n: id_cell(k) for k, n in enumerate(ids)}).filter(F.col("SA2").isNotNull())
-    long = explode_values(wide, ["source_url", *ids])
-    series = F.col("series")
-    for old, new in JOBSEEKER_SERIES_RENAMES.items():
-        series = F.when(F.col("series") == old, F.lit(new)).otherwise(series)
-    month = jobseeker_month("source_url")
-    out = long.select(*[F.col(k).alias(v) for k, v in JOBSEEKER_IDS.items()],
-                      month.alias("month"), series.alias("series"),
-                      lenient_number("value").alias("value"))
-    return out.withColumn("month_date", period_to_date("month"))
+    long = explode_values(wide, ["month", "month_date", *ids])
+    return long.select(*[F.col(k).alias(v) for k, v in JOBSEEKER_IDS.items()],
+                       "month", "series", lenient_number("value").alias("value"), "month_date")

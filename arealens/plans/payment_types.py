@@ -46,16 +46,17 @@ def load_payment_types(sheet_rows: DataFrame, geography: str = "sa2",
     g = PAYMENT_GEOGRAPHIES[geography]
     ids = [g["code"]] + ([g["name"]] if g["name"] else [])
     picked = pick_sheets(sheet_rows, name_contains=g["sheet"])
-    rows = sheet_table(picked, PAYMENT_SKIP, header=sheet_layout(picked, PAYMENT_SKIP, ids))
+    # the period comes from the file name: resolved once per sheet
+    layout = (sheet_layout(picked, PAYMENT_SKIP, ids)
+              .withColumn("quarter", payment_period("source_url"))
+              .withColumn("month_date", period_to_date("quarter")))
+    rows = sheet_table(picked, PAYMENT_SKIP, header=layout)
     wide = (rows.withColumns({n: strip_marker(id_cell(k)) for k, n in enumerate(ids)})
                 .filter(F.col(g["code"]).isNotNull())
                 .filter(F.col(g["code"]).startswith(g["prefix"])))
-    long = (explode_values(wide, ["source_url", *ids])
+    long = (explode_values(wide, ["quarter", "month_date", *ids])
                 .withColumn("value", strip_marker("value")))
     long = keep_positive(long, "value", compare)
-    quarter = payment_period("source_url")
-    out = long.select(F.col(g["code"]).alias(g["out_code"]),
-                      *([F.col(g["name"]).alias(g["out_name"])] if g["name"] else []),
-                      quarter.alias("quarter"), "series",
-                      lenient_number("value").alias("value"))
-    return out.withColumn("month_date", period_to_date("quarter"))
+    return long.select(F.col(g["code"]).alias(g["out_code"]),
+                       *([F.col(g["name"]).alias(g["out_name"])] if g["name"] else []),
+                       "quarter", "series", lenient_number("value").alias("value"), "month_date")

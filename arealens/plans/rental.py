@@ -48,7 +48,7 @@ def rental_period(url) -> F.Column:
 
 def rental_header(sheet_rows: DataFrame, skip: int = RENTAL_SKIP) -> DataFrame:
     """(source_url, sheet_no, names, columns): ``columns`` is an array of
-    (pos, quarter, series) for every value column of the sheet."""
+    (pos, quarter, series, month_date) for every value column of the sheet."""
     h = header_rows(sheet_rows, skip).withColumn("names", clean_header_names("header"))
     names = F.col("names")
 
@@ -57,9 +57,10 @@ def rental_header(sheet_rows: DataFrame, skip: int = RENTAL_SKIP) -> DataFrame:
         is_x = n.rlike("^x[0-9]+$")
         left = F.when(pos > FIRST_VALUE_POSITION, F.try_element_at(names, i.cast("int")))
         label = F.when(is_x, left).otherwise(n)
-        return F.struct(pos.cast("int").alias("pos"),
-                        fix_header_typos(expand_header_month(label)).alias("quarter"),
-                        F.when(is_x, F.lit(MEDIAN_SERIES)).otherwise(F.lit(COUNT_SERIES)).alias("series"))
+        quarter = fix_header_typos(expand_header_month(label))
+        return F.struct(pos.cast("int").alias("pos"), quarter.alias("quarter"),
+                        F.when(is_x, F.lit(MEDIAN_SERIES)).otherwise(F.lit(COUNT_SERIES)).alias("series"),
+                        period_to_date(quarter).alias("month_date"))
 
     cols = F.filter(F.transform(names, column), lambda c: c["pos"] >= FIRST_VALUE_POSITION)
     return h.select(*SHEET_KEY, "names", cols.alias("columns"))
@@ -86,8 +87,8 @@ def load_rental(sheet_rows: DataFrame, geography: str = "lga",
     dwelling = F.create_map(*[x for k, v in DWELLING_TYPES.items() for x in (F.lit(k), F.lit(v))])
     long = t.select("area", "cells", dwelling[F.col("sheet_no")].alias("dwelling_type"),
                     F.explode("columns").alias("c"))
-    out = long.select(F.col("area").alias(geography),
-                      lenient_number(F.try_element_at(F.col("cells"), F.col("c.pos"))).alias("value"),
-                      F.col("c.quarter").alias("quarter"), F.col("c.series").alias("series"),
-                      "dwelling_type").distinct()
-    return out.withColumn("month_date", period_to_date("quarter"))
+    # month_date is a function of quarter, so it can ride along in the DISTINCT
+    return long.select(F.col("area").alias(geography),
+                       lenient_number(F.try_element_at(F.col("cells"), F.col("c.pos"))).alias("value"),
+                       F.col("c.quarter").alias("quarter"), F.col("c.series").alias("series"),
+                       "dwelling_type", F.col("c.month_date").alias("month_date")).distinct()
