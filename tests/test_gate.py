@@ -6,7 +6,7 @@ from arealens import schemas as S
 from arealens.operators.gate import (current_period_rows, freshness_gate, new_periods_only,
                                      newest_period)
 from arealens.plans.payment_types import load_payment_types
-from arealens.sources.tables import append_table, read_table
+from arealens.sources.tables import append_table, read_table, write_clustered
 from arealens.streaming import incremental_load
 from fixtures import PAYMENT_SA2, sheet, sheet_rows
 
@@ -89,3 +89,26 @@ def test_incremental_stream_loads_each_file_once(spark, scratch):
     q.awaitTermination()
     got = read_table(spark, sink).groupBy("quarter").count().collect()
     assert {(r.quarter, r["count"]) for r in got} == {("December-2021", 3), ("March-2022", 3)}
+
+
+def test_clustered_writes_prune_and_split_hot_keys(spark, scratch):
+    from pyspark.sql import functions as F
+    # block "b0" holds a third of the rows
+    df = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("b0")).otherwise(F.format_string("b%05d", F.col("id"))).alias("block_id"),
+        F.col("id").cast("string").alias("sa1_7dig"))
+    path = os.path.join(scratch, "concord")
+    write_clustered(df, path, ["block_id", "sa1_7dig"], partitions=6)
+    files = [f for f in os.listdir(path) if f.endswith(".parquet")]
+    assert len(files) == 6
+    back = read_table(spark, path)
+    assert back.count() == 30000
+    # the hot block is spread over more than one file
+    per_file = back.select("block_id", F.input_file_name().alias("f")).filter("block_id = 'b0'")
+    assert per_file.select("f").distinct().count() > 1
+    got = back.filter(F.col("block_id").isin(["b00001", "b00002"])).count()
+    assert got == 2
+    append_table(spark.createDataFrame([("3000", "March-2020", "Age Pension", 1.0, dt.date(2020, 3, 1))],
+                                       S.PAYMENT_TYPES_PC), os.path.join(scratch, "pc"),
+                 cluster_by=["postcode"])
+    assert read_table(spark, os.path.join(scratch, "pc")).count() == 1
