@@ -52,10 +52,11 @@ def get_session(master: str | None = None, app_name: str = "arealens",
     return spark
 
 
-# Runtime SQL settings the operators are planned for; applied to a session
-# someone else built (``use_policy``).
+# Runtime SQL settings the operators are planned for (broadcast and AQE only);
+# applied to a session someone else built (``use_policy``).  The operators
+# use try_* functions, so they give the same answers with ANSI mode on or off.
 POLICY = {k: v for k, v in _DEFAULTS.items()
-          if k.startswith("spark.sql.") and k != "spark.sql.session.timeZone"}
+          if k.startswith("spark.sql.adaptive.") or k == "spark.sql.autoBroadcastJoinThreshold"}
 
 
 def use_policy(spark: SparkSession) -> SparkSession:
