@@ -43,7 +43,9 @@ def clean_header_names(names) -> Column:
     Per position ``p`` (1-based): a blank or NULL cell becomes ``x<p>``; a label
     that occurs more than once in the same header gets ``_<p>`` appended; every
     other label is split at camelCase boundaries, lower-cased, runs of other
-    characters become one ``_``, and a leading digit gets an ``x`` prefix.  Works on the whole header in
+    characters become one ``_``, and a leading digit gets an ``x`` prefix.
+    Labels that only collide after cleaning ("a b", "a_b") are numbered from
+    their second occurrence on ("a_b", "a_b_2").  Works on the whole header in
     one row, so no shuffle is needed however many sheets are processed.
     """
     arr = _c(names)
@@ -57,4 +59,11 @@ def clean_header_names(names) -> Column:
                  .when(dup, F.concat(base, F.lit("_"), pos))
                  .otherwise(base))
 
-    return F.transform(arr, one)
+    first = F.transform(arr, one)
+
+    def numbered(n, i):
+        # names equal only after cleaning: 2nd, 3rd ... occurrence get _2, _3 ...
+        k = F.size(F.filter(F.slice(first, 1, i), lambda o: o == n)) + 1
+        return F.when(k > 1, F.concat(n, F.lit("_"), k.cast("string"))).otherwise(n)
+
+    return F.transform(first, numbered)

@@ -35,6 +35,8 @@ def test_clean_header_names(spark):
     got = df.select(clean_header_names("h").alias("n")).first().n
     assert got == ["x1", "sa2_name", "sep_2021", "x4", "dec_2003_5", "dec_2003_6", "x2020_percent",
                    "job_seeker_payment", "youth_allowance_other"]
+    df = spark.createDataFrame([(["a b", "a_b", "A-B", None],)], "h array<string>")
+    assert df.select(clean_header_names("h").alias("n")).first().n == ["a_b", "a_b_2", "a_b_3", "x4"]
 
 
 def test_markers_casts_and_filters(spark):
