@@ -77,16 +77,19 @@ def _stored_or_none(spark: SparkSession, name: str, tables=None) -> DataFrame |
 
 def append_new(df: DataFrame, name: str, period_col: str = "month_date", tables=None) -> DataFrame:
     """Append the rows of periods not yet in table ``name`` (created on the
-    first load, partitioned by the period).  Returns the rows written."""
+    first load, partitioned by the period).  Returns the lazy frame that was
+    appended (evaluated again later, it compares with the table as it is
+    then).  ``tables`` (name -> DataFrame) replaces the catalog and skips the
+    write, for dry runs and tests."""
     spark = df.sparkSession
     stored = _stored_or_none(spark, name, tables)
     new = df if stored is None else new_periods_only(df, stored, period_col)
     if tables is None:
-        writer = new.write.mode("append").format("parquet")
         if stored is None:
-            writer.partitionBy(period_col).saveAsTable(name)
+            new.write.mode("append").format("parquet").partitionBy(period_col).saveAsTable(name)
         else:
-            writer.insertInto(name)
+            # insertInto matches by position: use the stored column order
+            new.select(*stored.columns).write.insertInto(name)
     return new
 
 

@@ -39,3 +39,18 @@ def test_loads_append_only_new_periods(spark):
     assert again["sa2"].count() == 0
     rental = C.run_rental_load(sr, tables={})
     assert rental["lga"].count() == 28 and rental["suburb"].count() == 0
+
+
+def test_loads_into_catalog_tables(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS dss")
+    sr = sheet_rows(spark, sheet(PAYMENT_URL, "SA2", 1, PAYMENT_SA2))
+    C.run_payment_types_load(sr)
+    C.run_payment_types_load(sr)  # same publication again: nothing added
+    stored = spark.table("dss.payment_types_qrt_sa2")
+    assert stored.count() == 3
+    assert stored.columns == ["sa2_5dig", "sa2_name", "quarter", "series", "value", "month_date"]
+    js = C.area_time_series(spark, ["73", "74"], "payment_types_qrt_sa2",
+                            tables={"concord.cbsa2": cbsa2(spark),
+                                    "dss.payment_types_qrt_sa2": stored})
+    assert rows(js, "sa2_main", "series", "value") == [
+        ("206041117", "Age Pension", 120.0), ("206041117", "Commonwealth Seniors Health Card", 5.0)]
