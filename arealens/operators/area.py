@@ -15,7 +15,17 @@ from pyspark.sql import functions as F
 from arealens.functions.period import period_to_date
 from arealens.functions.rank import INCOME_WEEKLY_RANKS, bucket_rank
 from arealens.operators.selection import (SEIFA_INDEX_TYPES, SEIFA_MEASURES, SUPPORTED_YEARS,
-                                          check_members, select_blocks)
+                                          check_members, reachable_keys, select_blocks)
+
+
+def _prune_to(df: DataFrame, cc: DataFrame, blocks, cc_key: str, df_key: str) -> DataFrame:
+    """For a literal block list, restrict ``df`` to the areas the blocks
+    reach (a pushed-down ``IN`` filter); frames of selections are left to the
+    join."""
+    if isinstance(blocks, DataFrame):
+        return df
+    keys = reachable_keys(cc, cc_key)
+    return df if keys is None else df.filter(F.col(df_key).isin(keys))
 
 
 def order_nulls_last(df: DataFrame, cols) -> DataFrame:
@@ -53,6 +63,7 @@ def apportioned_distribution(measure: DataFrame, concord: DataFrame, blocks,
         measure = measure.filter(F.col("year").isin(yrs))
     shares = (cc.groupBy(*sel, "sa1_7dig", "year")
                 .agg(F.sum("per_pct").alias("share")))
+    measure = _prune_to(measure, cc, blocks, "sa1_7dig", "sa1_7dig")
     m = measure.select("sa1_7dig", "year", "eq_income_yearly", "eq_income_weekly", "value")
     joined = m.join(shares, ["sa1_7dig", "year"], "inner")
     out = (joined.groupBy(*sel, "eq_income_yearly", "eq_income_weekly", "year")
@@ -92,7 +103,7 @@ def weighted_index(index: DataFrame, concord: DataFrame, blocks,
         cc = cc.filter(F.col("year").isin(yrs))
     key = ["sa1_main", "year"] if join_year else ["sa1_main"]
     cc = cc.select(*sel, "sa1_main", "sa1_persons", "year").distinct()
-    idx = index.filter(F.col("value").isNotNull())
+    idx = _prune_to(index, cc, blocks, "sa1_main", "sa1_main").filter(F.col("value").isNotNull())
     if index_types is not None:
         idx = idx.filter(F.col("seifaindextype").isin(
             check_members("seifaindex", index_types, supported_index_types)))
@@ -181,6 +192,7 @@ def area_series(fact: DataFrame, concord: DataFrame, blocks,
         spec = AREA_SERIES_SPECS[table]
     cc, sel = select_blocks(concord, blocks)
     cc = (cc.select(*sel, F.col(spec.concord_key).alias("_k"), *spec.concord_cols).distinct())
+    fact = _prune_to(fact, cc, blocks, "_k", spec.fact_key)
     f = fact.select(F.col(spec.fact_key).alias("_k"),
                     *[c for c in spec.fact_cols if c != spec.fact_key])
     joined = f.join(cc, "_k", "inner")

@@ -132,3 +132,14 @@ def test_bounded_broadcast_only_below_the_bound(spark):
     assert selection.bounded_broadcast(big, 10) is big
     wide = spark.range(5).select(F.repeat(F.lit("x"), 1000).alias("s"))
     assert selection.bounded_broadcast(wide, 10, max_bytes=1000) is wide
+
+
+def test_literal_block_lists_push_the_reached_areas_into_the_area_scan(spark, scratch):
+    import os
+    path = os.path.join(scratch, "income")
+    income(spark).write.parquet(path)
+    measure = spark.read.parquet(path)
+    out = apportioned_distribution(measure, cbsa1mb(spark), ["83"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "In(sa1_7dig, [2100002])" in plan or "EqualTo(sa1_7dig,2100002)" in plan
+    assert [r.value for r in out.collect()] == [4.0, 3.0]
