@@ -308,6 +308,16 @@ SELECT 'https://data.example.org/dss-demographics-' || {_TOKEN} || '.xlsx' AS so
        CAST(1 AS BIGINT) AS n_sheets
 FROM mm"""
 
+PENDING = "WITH " + _LINKS.format(html="html") + """,
+first AS (SELECT page_id, arg_min(href, link_no) AS href, min(link_no) AS link_no,
+                 any_value(url) AS url
+          FROM links WHERE regexp_matches(href, 'e') GROUP BY page_id),
+newest AS (SELECT lower(strftime(max(date_trunc('month', o_orderdate)), '%B-%Y')) AS label
+           FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)
+SELECT page_id, regexp_extract(url, '^(https?://[^/]+)', 1) || href AS href, link_no,
+       label AS newest, contains(regexp_extract(url, '^(https?://[^/]+)', 1) || href, label) AS already_loaded
+FROM first, newest"""
+
 ORACLE_SQL = {
     "apportioned_distribution": APPORTIONED,
     "distribution_bucket_rank": BUCKET_RANK,
@@ -333,6 +343,7 @@ ORACLE_SQL = {
     "link_inventory": LINKS,
     "link_inventory_scoped": LINKS_SCOPED,
     "newest_link": NEWEST_LINK,
+    "pending_publications": PENDING,
     "sheet_pick_check": SHEET_PICK,
     "payment_types_load_sa2": PAY_SA2,
     "payment_types_load_lga": PAY_LGA,

@@ -20,6 +20,7 @@ from arealens.operators.reshape import melt, tagged_union
 from arealens.plans import bindings as b
 from arealens.plans.jobseeker import jobseeker_month, load_jobseeker
 from arealens.plans.payment_types import load_payment_types, payment_period
+from arealens.plans.publications import pending_publications
 from arealens.plans.rental import load_rental, rental_period
 from arealens.session import use_policy
 from arealens.sources.links import first_link, link_inventory
@@ -189,6 +190,12 @@ def q_newest_link(spark, d):
     return first_link(b.table(spark, d, "pages"), keep="e")
 
 
+def q_pending_publications(spark, d):
+    """Newest link of every page, gated on the newest stored payment period."""
+    return pending_publications(b.table(spark, d, "pages"), b.payment_types_pc_fact(spark, d),
+                                keep="e", prefix=_host())
+
+
 def q_sheet_pick_check(spark, d):
     """Sheets picked per publication by the "SA" name pattern (must be 1)."""
     return sheets_per_source(pick_sheets(b.payment_type_sheets(spark, d), name_contains="SA"))

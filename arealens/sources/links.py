@@ -51,13 +51,11 @@ def first_link(pages: DataFrame, keep: str | None = None, container: str | None
     hrefs = page_hrefs(container)
     kept = hrefs if keep is None else F.filter(hrefs, lambda h: h.rlike(keep))
     first = F.try_element_at(kept, F.lit(1))
-    out = (pages.select(*page_cols, hrefs.alias("_all"), first.alias("href"))
-                .filter(F.col("href").isNotNull())
-                .select(*page_cols, "href", F.array_position("_all", F.col("href")).cast("int").alias("link_no")))
-    if prefix is not None:
-        p = F.lit(prefix) if isinstance(prefix, str) else prefix
-        out = out.withColumn("href", F.concat(p, F.col("href")))
-    return out
+    pre = F.lit("") if prefix is None else (F.lit(prefix) if isinstance(prefix, str) else prefix)
+    return (pages.select(*page_cols, hrefs.alias("_all"), first.alias("_h"), pre.alias("_p"))
+                 .filter(F.col("_h").isNotNull())
+                 .select(*page_cols, F.concat("_p", "_h").alias("href"),
+                         F.array_position("_all", F.col("_h")).cast("int").alias("link_no")))
 
 
 def newest_link(links: DataFrame, group_cols=("page_id",)) -> DataFrame:

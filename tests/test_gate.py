@@ -8,6 +8,7 @@ from arealens.operators.gate import (current_period_rows, freshness_gate, new_pe
 from arealens.plans.payment_types import load_payment_types
 from arealens.sources.tables import append_table, read_table, write_clustered
 from arealens.streaming import incremental_load
+from conftest import rows
 from fixtures import PAYMENT_SA2, sheet, sheet_rows
 
 
@@ -112,3 +113,20 @@ def test_clustered_writes_prune_and_split_hot_keys(spark, scratch):
                                        S.PAYMENT_TYPES_PC), os.path.join(scratch, "pc"),
                  cluster_by=["postcode"])
     assert read_table(spark, os.path.join(scratch, "pc")).count() == 1
+
+
+def test_pending_publications_from_pages(spark):
+    from arealens.plans.publications import pending_publications
+    from arealens.plans.payment_types import payment_period
+    from arealens.functions.period import period_to_date
+    pages = spark.createDataFrame([
+        (1, "https://a/p", '<div id="r"><a href="https://a/december-2019.xlsx">x</a>'
+                           '<a href="https://a/september-2019.xlsx">y</a></div>'),
+        (2, "https://b/p", '<div id="r"><a href="https://b/march2020.xlsx">x</a></div>'),
+    ], "page_id long, url string, html string")
+    got = pending_publications(pages, _stored(spark), keep=r"\.xlsx$", container="#r")
+    assert rows(got, "page_id", "href", "already_loaded") == [
+        (1, "https://a/december-2019.xlsx", True), (2, "https://b/march2020.xlsx", False)]
+    later = pending_publications(pages, _stored(spark), keep=r"\.xlsx$", container="#r", mode="later",
+                                 period=period_to_date(payment_period("href")))
+    assert rows(later, "page_id", "already_loaded") == [(1, True), (2, False)]
