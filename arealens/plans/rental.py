@@ -66,16 +66,21 @@ def rental_header(sheet_rows: DataFrame, skip: int = RENTAL_SKIP) -> DataFrame:
     return h.select(*SHEET_KEY, "names", cols.alias("columns"))
 
 
-def load_rental(sheet_rows: DataFrame, geography: str = "lga",
-                current_only: bool = True) -> DataFrame:
-    """(lga|suburb, value, quarter, series, dwelling_type, month_date) of the
-    publication's own period (all periods with ``current_only=False``),
-    distinct."""
-    if geography not in RENTAL_GEOGRAPHIES:
-        raise ValueError("geography should be one of " + ", ".join(RENTAL_GEOGRAPHIES))
-    g = RENTAL_GEOGRAPHIES[geography]
-    rows = pick_sheets(sheet_rows, url_pattern=g["url"], sheet_nos=list(DWELLING_TYPES))
-    hdr = rental_header(rows).withColumn("period", rental_period("source_url"))
+def load_rental_all(sheet_rows: DataFrame, current_only: bool = True) -> DataFrame:
+    """Both geographies in one plan (one scan of the landing table):
+    (geography, area, value, quarter, series, dwelling_type, month_date),
+    distinct.  A workbook's geography comes from its URL (resolved once per
+    sheet on the header side); a URL naming both is loaded for both."""
+    rows = pick_sheets(sheet_rows, sheet_nos=list(DWELLING_TYPES))
+    geos = F.filter(F.array(*[F.when(F.col("source_url").rlike(g["url"]), F.lit(name))
+                              for name, g in RENTAL_GEOGRAPHIES.items()]),
+                    lambda x: x.isNotNull())
+    remnant = F.create_map(*[x for name, g in RENTAL_GEOGRAPHIES.items()
+                             for x in (F.lit(name), F.lit(g["remnant"]))])
+    hdr = (rental_header(rows)
+           .withColumn("geography", F.explode(geos))
+           .withColumn("remnant", remnant[F.col("geography")])
+           .withColumn("period", rental_period("source_url")))
     if current_only:
         hdr = hdr.withColumn("columns", F.filter("columns", lambda c: c["quarter"] == F.col("period")))
     t = body_rows(rows, RENTAL_SKIP).join(bounded_broadcast(hdr), SHEET_KEY, "inner")
@@ -83,12 +88,25 @@ def load_rental(sheet_rows: DataFrame, geography: str = "lga",
     area = F.when(area_pos > 0, F.try_element_at(F.col("cells"), area_pos))
     t = (t.withColumn("area", area)
           .filter(F.col("area").isNotNull())
-          .filter((F.col("area") != SUBTOTAL) & (F.col("area") != g["remnant"])))
+          .filter((F.col("area") != SUBTOTAL) & (F.col("area") != F.col("remnant"))))
     dwelling = F.create_map(*[x for k, v in DWELLING_TYPES.items() for x in (F.lit(k), F.lit(v))])
-    long = t.select("area", "cells", dwelling[F.col("sheet_no")].alias("dwelling_type"),
+    long = t.select("geography", "area", "cells", dwelling[F.col("sheet_no")].alias("dwelling_type"),
                     F.explode("columns").alias("c"))
     # month_date is a function of quarter, so it can ride along in the DISTINCT
-    return long.select(F.col("area").alias(geography),
+    return long.select("geography", "area",
                        lenient_number(F.try_element_at(F.col("cells"), F.col("c.pos"))).alias("value"),
                        F.col("c.quarter").alias("quarter"), F.col("c.series").alias("series"),
                        "dwelling_type", F.col("c.month_date").alias("month_date")).distinct()
+
+
+def load_rental(sheet_rows: DataFrame, geography: str = "lga",
+                current_only: bool = True) -> DataFrame:
+    """(lga|suburb, value, quarter, series, dwelling_type, month_date) of the
+    publication's own period (all periods with ``current_only=False``),
+    distinct.  The geography filter reaches the header side of the plan."""
+    if geography not in RENTAL_GEOGRAPHIES:
+        raise ValueError("geography should be one of " + ", ".join(RENTAL_GEOGRAPHIES))
+    return (load_rental_all(sheet_rows, current_only)
+            .filter(F.col("geography") == geography)
+            .select(F.col("area").alias(geography), "value", "quarter", "series", "dwelling_type",
+                    "month_date"))

@@ -36,7 +36,7 @@ def write_clustered(df: DataFrame, path: str, by, mode: str = "overwrite",
 
 def append_table(df: DataFrame, path: str, period_col: str = "month_date",
                  only_new: bool = True, fmt: str = "parquet",
-                 replace_periods: bool = False, cluster_by=None) -> None:
+                 replace_periods: bool = False, cluster_by=None, by=()) -> None:
     """Append ``df`` partitioned by its period column.
 
     With ``only_new`` the rows of periods already stored are removed first
@@ -46,15 +46,18 @@ def append_table(df: DataFrame, path: str, period_col: str = "month_date",
     overwrite) - for a corrected re-publication.  ``cluster_by`` (columns)
     range-partitions the rows on (period, *cluster_by) first, so each period
     is written as few, well-clustered files while a large period is still
-    spread over several tasks.  Spark's file commit protocol makes each
-    write all-or-nothing.
+    spread over several tasks.  ``by`` adds leading partition columns (e.g.
+    ``["geography"]``): several outputs are then written by one job into one
+    dataset, each gated on its own stored periods.  Spark's file commit
+    protocol makes each write all-or-nothing.
     """
+    keys = [*([by] if isinstance(by, str) else by), period_col]
     spark = df.sparkSession
     if cluster_by:
-        df = clustered(df, [period_col, *([cluster_by] if isinstance(cluster_by, str) else cluster_by)])
+        df = clustered(df, [*keys, *([cluster_by] if isinstance(cluster_by, str) else cluster_by)])
     if replace_periods:
         (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy(period_col).format(fmt).save(path))
+           .partitionBy(*keys).format(fmt).save(path))
         return
     out = df
     if only_new:
@@ -62,6 +65,6 @@ def append_table(df: DataFrame, path: str, period_col: str = "month_date",
             stored = spark.read.format(fmt).load(path)
         except AnalysisException:  # first load: nothing stored yet
             stored = None
-        if stored is not None and period_col in stored.columns:
-            out = new_periods_only(df, stored, period_col)
-    out.write.mode("append").partitionBy(period_col).format(fmt).save(path)
+        if stored is not None and all(k in stored.columns for k in keys):
+            out = new_periods_only(df, stored, keys)
+    out.write.mode("append").partitionBy(*keys).format(fmt).save(path)

@@ -109,3 +109,20 @@ def test_melt_cells_generic(spark):
     # 4 body rows x 4 non-id columns, NULL cells kept
     assert long.count() == 16
     assert long.filter("SA2 = '21110' AND series = 'Commonwealth Seniors Health Card'").first().value is None
+
+
+def test_both_rental_geographies_in_one_plan_and_one_write(spark, scratch):
+    import os
+    from arealens.plans.rental import load_rental_all
+    from arealens.sources.tables import append_table, read_table
+    sr = _rental(spark).unionByName(
+        _rental(spark, RENTAL_URL.replace("quarterly", "suburb"), "Suburb"))
+    both = load_rental_all(sr)
+    assert {(r.geography, r["count"]) for r in both.groupBy("geography").count().collect()} == {
+        ("lga", 28), ("suburb", 28)}
+    path = os.path.join(scratch, "rental")
+    append_table(both, path, by=["geography"])
+    append_table(both, path, by=["geography"])  # nothing new the second time
+    stored = read_table(spark, path)
+    assert stored.count() == 56
+    assert {"geography=lga", "geography=suburb"} <= set(os.listdir(path))
