@@ -1,9 +1,11 @@
 """Quarterly payment-type workbooks -> long tables by SA2, LGA and postcode.
 
-One plan melts every publication present in the landing table at once.
-Steps: pick the geography's sheet, attach its header, drop rows without an
-area code, strip the "<" suppression marker, take the period from the file
-name, keep the region's codes, melt, keep positive values, type the result.
+One plan melts every geography of every publication in the landing table.
+Per sheet (once, on the header side): which geography the sheet serves, where
+its code and name columns are, its value columns, region prefix and the
+period from the file name.  Per body row: drop rows without an area code,
+strip the "<" suppression marker, keep the region's codes, melt, keep
+positive values, type the result.
 """
 
 from __future__ import annotations
@@ -15,8 +17,7 @@ from arealens.functions.period import (PAYMENT_PERIOD_PATTERN, extract_period, p
                                        repair_period_label, sentence_case)
 from arealens.functions.text import lenient_number, strip_marker
 from arealens.operators.clean import keep_positive
-from arealens.sources.sheets import (explode_values, id_cell, pick_sheets, sheet_layout,
-                                     sheet_table)
+from arealens.sources.sheets import SHEET_KEY, explode_values, id_cell, pick_sheets, sheet_table
 
 # --- Fixed values: workbook layout. ----------------------------------------
 PAYMENT_SKIP = 2
@@ -36,27 +37,67 @@ def payment_period(url) -> F.Column:
     return repair_period_label(sentence_case(extract_period(url, PAYMENT_PERIOD_PATTERN)))
 
 
+def _by_geography(field: str) -> F.Column:
+    return F.create_map(*[x for name, g in PAYMENT_GEOGRAPHIES.items()
+                          for x in (F.lit(name), F.lit(g[field]))])[F.col("geography")]
+
+
+def payment_layout(sheet_rows: DataFrame) -> DataFrame:
+    """One row per (sheet, geography) of the workbook: the geography a sheet
+    serves (by its name; a name matching several serves several), positions
+    of its code and name columns, its value columns, its region prefix and
+    the publication period from the file name - all resolved once per sheet."""
+    geos = F.filter(F.array(*[F.when(F.col("sheet_name").contains(g["sheet"]), F.lit(name))
+                              for name, g in PAYMENT_GEOGRAPHIES.items()]),
+                    lambda x: x.isNotNull())
+    h = (sheet_rows.filter(F.col("row_no") == PAYMENT_SKIP + 1)
+                   .select(*SHEET_KEY, "sheet_name", F.col("cells").alias("header"))
+                   .withColumn("geography", F.explode(geos))
+                   .withColumn("code_label", _by_geography("code"))
+                   .withColumn("name_label", _by_geography("name")))
+    id_labels = F.when(F.col("name_label").isNull(), F.array("code_label")) \
+                 .otherwise(F.array("code_label", "name_label"))
+    cols = F.transform(F.col("header"), lambda x, i: F.struct(
+        x.alias("series"), (i + 1).cast("int").alias("pos")))
+    value_cols = F.filter(cols, lambda z: z["series"].isNull() | ~F.array_contains(id_labels, z["series"]))
+
+    def pos(label):
+        return F.coalesce(F.array_position(F.col("header"), F.col(label)).cast("int"), F.lit(0))
+
+    quarter = payment_period("source_url")
+    return h.select(*SHEET_KEY, "geography", _by_geography("prefix").alias("prefix"),
+                    F.array(pos("code_label"), pos("name_label")).alias("id_pos"),
+                    value_cols.alias("value_cols"), quarter.alias("quarter"),
+                    period_to_date(quarter).alias("month_date"))
+
+
+def load_payment_types_all(sheet_rows: DataFrame, compare: str = "numeric") -> DataFrame:
+    """Every geography of every publication in one plan:
+    (geography, code, name, quarter, series, value, month_date)."""
+    rows = sheet_table(sheet_rows, PAYMENT_SKIP, header=payment_layout(sheet_rows))
+    wide = (rows.withColumn("code", strip_marker(id_cell(0)))
+                .withColumn("name", strip_marker(id_cell(1)))
+                .filter(F.col("code").isNotNull())
+                .filter(F.col("code").startswith(F.col("prefix"))))
+    long = (explode_values(wide, ["geography", "quarter", "month_date", "code", "name"])
+                .withColumn("value", strip_marker("value")))
+    long = keep_positive(long, "value", compare)
+    return long.select("geography", "code", "name", "quarter", "series",
+                       lenient_number("value").alias("value"), "month_date")
+
+
 def load_payment_types(sheet_rows: DataFrame, geography: str = "sa2",
                        compare: str = "numeric") -> DataFrame:
     """Long rows (code[, name], quarter, series, value, month_date) of one
-    geography.  ``compare="text"`` keeps the all-text positivity test of the
-    original load (see ``keep_positive``)."""
+    geography, named as its stored table.  ``compare="text"`` keeps the
+    all-text positivity test of the original load (see ``keep_positive``).
+    The geography filter reaches the per-sheet layout side of the plan."""
     if geography not in PAYMENT_GEOGRAPHIES:
         raise ValueError("geography should be one of " + ", ".join(PAYMENT_GEOGRAPHIES))
     g = PAYMENT_GEOGRAPHIES[geography]
-    ids = [g["code"]] + ([g["name"]] if g["name"] else [])
+    # only sheets whose name can serve this geography; drops the others' rows at the scan
     picked = pick_sheets(sheet_rows, name_contains=g["sheet"])
-    # the period comes from the file name: resolved once per sheet
-    layout = (sheet_layout(picked, PAYMENT_SKIP, ids)
-              .withColumn("quarter", payment_period("source_url"))
-              .withColumn("month_date", period_to_date("quarter")))
-    rows = sheet_table(picked, PAYMENT_SKIP, header=layout)
-    wide = (rows.withColumns({n: strip_marker(id_cell(k)) for k, n in enumerate(ids)})
-                .filter(F.col(g["code"]).isNotNull())
-                .filter(F.col(g["code"]).startswith(g["prefix"])))
-    long = (explode_values(wide, ["quarter", "month_date", *ids])
-                .withColumn("value", strip_marker("value")))
-    long = keep_positive(long, "value", compare)
-    return long.select(F.col(g["code"]).alias(g["out_code"]),
-                       *([F.col(g["name"]).alias(g["out_name"])] if g["name"] else []),
-                       "quarter", "series", lenient_number("value").alias("value"), "month_date")
+    rows = load_payment_types_all(picked, compare).filter(F.col("geography") == geography)
+    return rows.select(F.col("code").alias(g["out_code"]),
+                       *([F.col("name").alias(g["out_name"])] if g["name"] else []),
+                       "quarter", "series", "value", "month_date")
