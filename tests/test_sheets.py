@@ -126,3 +126,15 @@ def test_both_rental_geographies_in_one_plan_and_one_write(spark, scratch):
     stored = read_table(spark, path)
     assert stored.count() == 56
     assert {"geography=lga", "geography=suburb"} <= set(os.listdir(path))
+
+
+def test_payment_types_all_geographies_in_one_frame(spark):
+    from arealens.plans.payment_types import load_payment_types_all
+    out = load_payment_types_all(_payment(spark))
+    assert out.columns == ["geography", "code", "name", "quarter", "series", "value", "month_date"]
+    got = sorted((r.geography, r.code, r.name, r.series, r.value) for r in out.collect())
+    assert got == [("lga", "20110", "Alpine", "Age Pension", 5.0),
+                   ("postcode", "3000", None, "Age Pension", 12.0),
+                   ("sa2", "21105", "Carlton", "Age Pension", 120.0),
+                   ("sa2", "21105", "Carlton", "Commonwealth Seniors Health Card", 5.0),
+                   ("sa2", "21110", "Docklands", "Health Care Card", 7.0)]
