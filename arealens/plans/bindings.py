@@ -37,10 +37,6 @@ from arealens.operators.selection import bounded_broadcast
 # every engine and every summation order.
 MONEY = "decimal(12,2)"
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
-          "events", "pages")
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -193,7 +189,7 @@ def _sheet_row(url, name, no, row_no, cells) -> list:
             cells.alias("cells")]
 
 
-def _marked(n) -> F.Column:
+def marked_count(n) -> F.Column:
     """Published count cell: "<5" for 1-4, the count otherwise."""
     return F.when((n >= 1) & (n <= 4), F.lit("<5")).otherwise(n.cast("string"))
 
@@ -215,7 +211,7 @@ def payment_type_sheets(spark, d) -> DataFrame:
     def body(keys, code, name, sheet, no, row_key):
         g = x.groupBy("m", *keys).agg(*counts)
         cells = F.array(code, *([name] if name is not None else []),
-                        *[_marked(F.col(f)) for f, _ in PAYMENT_SERIES])
+                        *[marked_count(F.col(f)) for f, _ in PAYMENT_SERIES])
         return g.select(*_sheet_row(payment_url("m"), sheet, no, F.col(row_key) + 10, cells))
 
     sa2 = body(["l_suppkey", "s_name"], _txt("l_suppkey"), F.col("s_name"), "By SA2", 1, "l_suppkey")

@@ -95,7 +95,7 @@ def q_wide_to_long(spark, d):
     flags = ["A", "N", "R"]
     wide = li.groupBy(area.alias("area")).agg(*[
         F.when(F.count_if(F.col("l_returnflag") == f) > 0,
-               b._marked(F.count_if(F.col("l_returnflag") == f))).alias(f"flag_{f}") for f in flags])
+               b.marked_count(F.count_if(F.col("l_returnflag") == f))).alias(f"flag_{f}") for f in flags])
     long = melt(wide, ["area"], [f"flag_{f}" for f in flags], "series", "value")
     long = strip_markers_all(long, columns=["value"])
     long = keep_prefix(long, "area", "2")
