@@ -29,6 +29,9 @@ PAYMENT_GEOGRAPHIES = {
     "postcode": {"sheet": "Post", "code": "Postcode", "name": None, "prefix": "3",
                  "out_code": "postcode", "out_name": None},
 }
+# Series read as numbers before the all-text positivity test (text mode):
+# their non-numeric cells ("n.p.") are missing values and drop out.
+PAYMENT_NUMERIC_SERIES = ("Commonwealth Seniors Health Card", "Health Care Card")
 # ---------------------------------------------------------------------------
 
 
@@ -81,6 +84,9 @@ def load_payment_types_all(sheet_rows: DataFrame, compare: str = "numeric") -> D
                 .filter(F.col("code").startswith(F.col("prefix"))))
     long = (explode_values(wide, ["geography", "quarter", "month_date", "code", "name"])
                 .withColumn("value", strip_marker("value")))
+    if compare == "text":
+        long = long.filter(~F.col("series").isin(list(PAYMENT_NUMERIC_SERIES))
+                           | lenient_number("value").isNotNull())
     long = keep_positive(long, "value", compare)
     return long.select("geography", "code", "name", "quarter", "series",
                        lenient_number("value").alias("value"), "month_date")

@@ -32,6 +32,10 @@ def test_payment_types_text_mode_keeps_np(spark):
     out = load_payment_types(_payment(spark), "sa2", compare="text")
     got = sorted((r.sa2_5dig, r.series, r.value) for r in out.collect())
     assert ("21110", "Age Pension", None) in got and len(got) == 4
+    # "n.p." in a series that is read as a number first is a missing value
+    recs = sheet(PAYMENT_URL, "SA2", 1, PAYMENT_SA2[:3] + [["21105", "Carlton", "n.p.", "n.p.", "n.p."]])
+    got = load_payment_types(sheet_rows(spark, recs), "sa2", compare="text").collect()
+    assert [(r.series, r.value) for r in got] == [("Age Pension", None)]
 
 
 def test_payment_types_lga_and_postcode(spark):
