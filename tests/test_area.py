@@ -143,3 +143,9 @@ def test_literal_block_lists_push_the_reached_areas_into_the_area_scan(spark, sc
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "In(sa1_7dig, [2100002])" in plan or "EqualTo(sa1_7dig,2100002)" in plan
     assert [r.value for r in out.collect()] == [4.0, 3.0]
+
+
+def test_reachable_keys_are_bounded(spark):
+    cc = spark.range(50).select(F.col("id").cast("string").alias("sa1_7dig"))
+    assert sorted(selection.reachable_keys(cc, "sa1_7dig", max_keys=60)) == sorted(str(i) for i in range(50))
+    assert selection.reachable_keys(cc, "sa1_7dig", max_keys=10) is None
