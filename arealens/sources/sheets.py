@@ -19,10 +19,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arealens.operators.selection import bounded_broadcast
+from arealens.schemas import SHEET_ROWS
 
 SHEET_KEY = ["source_url", "sheet_no"]
 
 
+def read_sheet_rows(spark, path: str, fmt: str = "parquet") -> DataFrame:
+    """The landing table at ``path`` with its declared schema (no inference,
+    so listing a large landing folder does not read file footers for it)."""
+    return spark.read.schema(SHEET_ROWS).format(fmt).load(path)
+
+
 def pick_sheets(sheet_rows: DataFrame, name_contains: str | None = None,
                 name_equals: str | None = None, sheet_nos=None,
                 url_pattern: str | None = None) -> DataFrame:

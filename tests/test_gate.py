@@ -81,6 +81,9 @@ def test_incremental_stream_loads_each_file_once(spark, scratch):
     def plan(batch):
         return load_payment_types(batch, "sa2")
 
+    from arealens.sources import read_sheet_rows
+    assert read_sheet_rows(spark, os.path.join(landing, "p1")).count() == len(first)
+
     q = incremental_load(spark, landing + "/*", plan, sink, "payments-test")
     q.awaitTermination()
     assert read_table(spark, sink).count() == 3
