@@ -84,8 +84,9 @@ def select_blocks(concord: DataFrame, blocks, block_col: str = "block_id") -> tu
 
     ``blocks`` is either
       * an iterable of ids: one selection; small lists become an ``IN`` filter
-        that reaches the Parquet scan, long ones a broadcast semi-join (the
-        list lives on the driver, so its size is known);
+        that reaches the Parquet scan, long ones a semi-join, broadcast up to
+        ``MAX_BROADCAST_ROWS`` ids (the list lives on the driver, so its size
+        is known);
       * a DataFrame with ``block_id`` and optionally ``selection_id``: many
         selections answered in one job.  It is broadcast when a count shows
         it small (the concordance is then never shuffled for this join);
@@ -107,5 +108,8 @@ def select_blocks(concord: DataFrame, blocks, block_col: str = "block_id") -> tu
     if len(ids) <= MAX_INLINE_IDS:
         return concord.filter(F.col(block_col).isin(ids)), []
     spark = concord.sparkSession
-    sel = spark.createDataFrame([(i,) for i in sorted(set(ids))], f"{block_col} string")
-    return concord.join(F.broadcast(sel), block_col, "left_semi"), []
+    distinct_ids = sorted(set(ids))
+    sel = spark.createDataFrame([(i,) for i in distinct_ids], f"{block_col} string")
+    if len(distinct_ids) <= MAX_BROADCAST_ROWS:  # size known on the driver
+        sel = F.broadcast(sel)
+    return concord.join(sel, block_col, "left_semi"), []
