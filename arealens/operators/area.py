@@ -172,12 +172,16 @@ AREA_SERIES_SPECS = {
 
 def area_series(fact: DataFrame, concord: DataFrame, blocks,
                 table: str = "jobseeker_monthly_payments_sa2",
-                spec: SeriesSpec | None = None, ordered: bool = True) -> DataFrame:
+                spec: SeriesSpec | None = None, ordered: bool = True,
+                stored_date: bool = False) -> DataFrame:
     """Series of the areas the selected blocks fall in (no aggregation).
 
     ``table`` picks a layout from ``AREA_SERIES_SPECS``; ``spec`` overrides it.
-    The period label is parsed to the first day of its month.  Rows are
-    distinct, so an area reached through several blocks appears once.
+    The period label is parsed to the first day of its month; with
+    ``stored_date=True`` the fact's stored ``month_date`` is read instead (no
+    per-row parsing; equal for rows written by this library's loads, which
+    store the first of the month).  Rows are distinct, so an area reached
+    through several blocks appears once.
 
     Plan: the selected concordance is made distinct on (selection, join key,
     kept columns) before the join - one row per area and label, however many
@@ -193,6 +197,8 @@ def area_series(fact: DataFrame, concord: DataFrame, blocks,
     cc, sel = select_blocks(concord, blocks)
     cc = (cc.select(*sel, F.col(spec.concord_key).alias("_k"), *spec.concord_cols).distinct())
     fact = _prune_to(fact, cc, blocks, "_k", spec.fact_key)
+    if stored_date and "month_date" in fact.columns:
+        fact = fact.withColumn(spec.period, F.col("month_date"))
     f = fact.select(F.col(spec.fact_key).alias("_k"),
                     *[c for c in spec.fact_cols if c != spec.fact_key])
     joined = f.join(cc, "_k", "inner")
@@ -200,7 +206,9 @@ def area_series(fact: DataFrame, concord: DataFrame, blocks,
     def fact_col(c):
         if c == spec.fact_key:
             return F.col("_k").alias(c)
-        return period_to_date(c).alias(c) if c == spec.period else F.col(c)
+        if c == spec.period and not (stored_date and "month_date" in fact.columns):
+            return period_to_date(c).alias(c)
+        return F.col(c)
 
     cols = [*sel] + ([F.col("_k")] if spec.keep_key else []) + \
         [F.col(c) for c in spec.concord_cols] + [fact_col(c) for c in spec.fact_cols]

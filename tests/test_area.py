@@ -149,3 +149,14 @@ def test_reachable_keys_are_bounded(spark):
     cc = spark.range(50).select(F.col("id").cast("string").alias("sa1_7dig"))
     assert sorted(selection.reachable_keys(cc, "sa1_7dig", max_keys=60)) == sorted(str(i) for i in range(50))
     assert selection.reachable_keys(cc, "sa1_7dig", max_keys=10) is None
+
+
+def test_area_series_can_read_the_stored_date(spark):
+    import datetime as dt2
+    fact = spark.createDataFrame([("21105", "Carlton", "May 2020", "JobSeeker Payment", 10.0, dt2.date(2020, 5, 1)),
+                                  ("21105", "Carlton", "bad label", "JobSeeker Payment", 11.0, dt2.date(2020, 6, 1))],
+                                 S.JOBSEEKER_SA2)
+    parsed = area_series(fact, cbsa2(spark), ["73"], "jobseeker_monthly_payments_sa2")
+    stored = area_series(fact, cbsa2(spark), ["73"], "jobseeker_monthly_payments_sa2", stored_date=True)
+    assert [r.month for r in parsed.collect()] == [dt2.date(2020, 5, 1), None]  # NULL last
+    assert [r.month for r in stored.collect()] == [dt2.date(2020, 5, 1), dt2.date(2020, 6, 1)]
