@@ -6,18 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arealens.functions.text import lenient_number, strip_marker
+from arealens.operators.selection import quoted
 
 
 def strip_markers_all(df: DataFrame, marker: str = "<", columns=None) -> DataFrame:
     """Remove ``marker`` from every string column (or from ``columns``), in
     one projection."""
     cols = columns or [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
-    return df.withColumns({c: strip_marker(c, marker) for c in cols})
+    return df.withColumns({c: strip_marker(quoted(c), marker) for c in cols})
 
 
 def cast_numbers(df: DataFrame, columns) -> DataFrame:
     """Lenient text -> double for the named columns (bad text -> NULL)."""
-    return df.withColumns({c: lenient_number(c) for c in columns})
+    return df.withColumns({c: lenient_number(quoted(c)) for c in columns})
 
 
 def fill_numeric_nulls(df: DataFrame, value: float = 0) -> DataFrame:

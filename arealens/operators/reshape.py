@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from arealens.operators.selection import quoted
+
 
 def melt(df: DataFrame, ids, values=None, variable: str = "series",
          value: str = "value", value_type: str = "string") -> DataFrame:
@@ -15,8 +17,9 @@ def melt(df: DataFrame, ids, values=None, variable: str = "series",
     because Spark's unpivot needs a single value type."""
     ids = list(ids)
     values = [c for c in df.columns if c not in ids] if values is None else list(values)
-    typed = df.select(*ids, *[F.col(c).cast(value_type).alias(c) for c in values])
-    return typed.unpivot(ids, values, variable, value)
+    typed = df.select(*[quoted(c) for c in ids],
+                      *[quoted(c).cast(value_type).alias(c) for c in values])
+    return typed.unpivot([quoted(c) for c in ids], [quoted(c) for c in values], variable, value)
 
 
 def tagged_union(frames: dict, tag: str = "dwelling_type") -> DataFrame:

@@ -21,6 +21,11 @@ MAX_BROADCAST_ROWS = 200_000
 MAX_BROADCAST_BYTES = 64 << 20
 
 
+def quoted(name: str) -> F.Column:
+    """Column by its literal name (dots, spaces and backticks allowed)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def as_list(values) -> list:
     if values is None:
         return []
@@ -59,7 +64,7 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
     identical plan and could hide rows that arrive afterwards.
     """
     probe = (df.limit(max_rows + 1)
-               .select(F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns]))).alias("b"))
+               .select(F.octet_length(F.to_json(F.struct(*[quoted(c) for c in df.columns]))).alias("b"))
                .agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("bytes"))
                .first())
     n, size = probe["n"], probe["bytes"] or 0

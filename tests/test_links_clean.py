@@ -75,3 +75,13 @@ def test_tagged_union_by_name(spark):
 def test_bucket_rank_first_rule_wins_and_unknown_is_null(spark):
     df = spark.createDataFrame([("800-999",), ("1-199",), ("Negative income",), ("zzz",)], "w string")
     assert rows(df.select(bucket_rank("w").alias("r"))) == [(8,), (3,), (1,), (None,)]
+
+
+def test_column_names_with_dots(spark):
+    from arealens.operators.selection import bounded_broadcast
+    df = spark.createDataFrame([("1", "<5", "7")], ["id", "No. New Lettings", "Median"])
+    assert rows(strip_markers_all(df), "No. New Lettings") == [("5",)]
+    assert rows(cast_numbers(df, ["Median"]), "Median") == [(7.0,)]
+    long = melt(df, ["id"])
+    assert sorted(rows(long, "series", "value")) == [("Median", "7"), ("No. New Lettings", "<5")]
+    assert bounded_broadcast(df, 10) is not df
