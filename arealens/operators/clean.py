@@ -35,7 +35,7 @@ def keep_present(df: DataFrame, *columns) -> DataFrame:
     """Drop rows whose key cells are NULL (footnotes, blank rows)."""
     cond = None
     for c in columns:
-        cond = F.col(c).isNotNull() if cond is None else cond & F.col(c).isNotNull()
+        cond = quoted(c).isNotNull() if cond is None else cond & quoted(c).isNotNull()
     return df.filter(cond)
 
 
@@ -44,13 +44,13 @@ def drop_labels(df: DataFrame, column: str, labels) -> DataFrame:
     ``col != label`` is not true for NULL."""
     cond = None
     for lab in ([labels] if isinstance(labels, str) else labels):
-        cond = (F.col(column) != lab) if cond is None else cond & (F.col(column) != lab)
+        cond = (quoted(column) != lab) if cond is None else cond & (quoted(column) != lab)
     return df.filter(cond)
 
 
 def keep_prefix(df: DataFrame, column: str, prefix: str) -> DataFrame:
     """Area codes starting with ``prefix``; the column is compared as text."""
-    return df.filter(F.col(column).cast("string").startswith(prefix))
+    return df.filter(quoted(column).cast("string").startswith(prefix))
 
 
 def keep_positive(df: DataFrame, column: str = "value", compare: str = "numeric") -> DataFrame:
@@ -58,5 +58,5 @@ def keep_positive(df: DataFrame, column: str = "value", compare: str = "numeric"
     number (text and NULL drop out); ``compare="text"`` compares the text with
     "0" as an all-text sheet would ("n.p." passes, NULL drops)."""
     if compare == "text":
-        return df.filter(F.col(column).cast("string") > F.lit("0"))
-    return df.filter(lenient_number(F.col(column).cast("string")) > 0)
+        return df.filter(quoted(column).cast("string") > F.lit("0"))
+    return df.filter(lenient_number(quoted(column).cast("string")) > 0)
