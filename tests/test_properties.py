@@ -61,3 +61,22 @@ def test_melt_keeps_the_total_and_the_row_count(spark, data):
     assert long.count() == 3 * len(data)
     total = sum(a + b + (c or 0) for a, b, c in data)
     assert (long.agg(F.sum("value")).first()[0] or 0) == total
+
+
+@SETTINGS
+@given(st.integers(1, 12), st.integers(1990, 2030))
+def test_every_spelling_of_a_month_repairs_to_one_label(spark, month, year):
+    import calendar
+    import datetime as dt
+    from arealens.functions.period import period_to_date, repair_period_label, sentence_case
+    full = calendar.month_name[month].lower()
+    spellings = [f"{full}-{year}", f"{full}{year}", f"{year}{month:02d}"]
+    if month == 12:
+        spellings += [f"dec-{year}", f"dec{year}"]
+    if month == 9:
+        spellings += [f"sept-{year}", f"sept{year}"]
+    df = spark.createDataFrame([(x,) for x in spellings], "s string")
+    label = repair_period_label(sentence_case("s"))
+    got = df.select(label.alias("l"), period_to_date(label).alias("d")).collect()
+    assert {r.l for r in got} == {f"{calendar.month_name[month]}-{year}"}
+    assert {r.d for r in got} == {dt.date(year, month, 1)}
