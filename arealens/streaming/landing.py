@@ -1,7 +1,9 @@
 """Load new publications from a landing folder, once per schedule tick.
 
 The landing folder receives ``sheet_rows`` Parquet files as publications are
-fetched.  A file-source stream with ``trigger(availableNow=True)`` processes
+fetched, each publication as one file (``write_publication``).  The stream
+batches by file, and a sheet's body rows are matched to its header row within
+a batch, so a publication must not be split across files.  A file-source stream with ``trigger(availableNow=True)`` processes
 every file not seen before and stops; its checkpoint (under the cluster's
 ``spark.checkpoint.dir``) remembers which files were loaded, so a scheduler
 can simply start it again.  Each micro-batch is cleaned by the given plan
@@ -21,11 +23,19 @@ from arealens.session import checkpoint_dir
 from arealens.sources.tables import append_table
 
 
+def write_publication(rows: DataFrame, landing_dir: str, name: str) -> None:
+    """Land one publication's ``sheet_rows`` as a single Parquet file (a
+    publication is a few thousand rows), so no micro-batch ever holds part of
+    a sheet."""
+    rows.coalesce(1).write.mode("errorifexists").parquet(f"{landing_dir}/{name}")
+
+
 def incremental_load(spark: SparkSession, landing_dir: str, plan: Callable[[DataFrame], DataFrame],
                      sink_path: str, name: str, period_col: str = "month_date",
                      max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the stream; call ``awaitTermination()`` on the result to wait
-    until every available file is loaded."""
+    until every available file is loaded.  ``max_files_per_trigger`` bounds
+    the batch size; it is safe because each file is a whole publication."""
     reader = spark.readStream.schema(SHEET_ROWS)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

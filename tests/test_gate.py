@@ -75,8 +75,9 @@ def test_replace_periods_rewrites_only_those_periods(spark, scratch):
 def test_incremental_stream_loads_each_file_once(spark, scratch):
     landing = os.path.join(scratch, "landing")
     sink = os.path.join(scratch, "sink")
+    from arealens.streaming import write_publication
     first = sheet("https://h/dss-demographics-december-2021.xlsx", "SA2", 1, PAYMENT_SA2)
-    sheet_rows(spark, first).write.parquet(os.path.join(landing, "p1"))
+    write_publication(sheet_rows(spark, first), landing, "p1")
 
     def plan(batch):
         return load_payment_types(batch, "sa2")
@@ -88,7 +89,7 @@ def test_incremental_stream_loads_each_file_once(spark, scratch):
     q.awaitTermination()
     assert read_table(spark, sink).count() == 3
     second = sheet("https://h/dss-demographics-march2022.xlsx", "SA2", 1, PAYMENT_SA2)
-    sheet_rows(spark, second).write.parquet(os.path.join(landing, "p2"))
+    write_publication(sheet_rows(spark, second), landing, "p2")
     q = incremental_load(spark, landing + "/*", plan, sink, "payments-test")
     q.awaitTermination()
     got = read_table(spark, sink).groupBy("quarter").count().collect()
@@ -133,3 +134,19 @@ def test_pending_publications_from_pages(spark):
     later = pending_publications(pages, _stored(spark), keep=r"\.xlsx$", container="#r", mode="later",
                                  period=period_to_date(payment_period("href")))
     assert rows(later, "page_id", "already_loaded") == [(1, True), (2, False)]
+
+
+def test_stream_in_several_batches_loads_each_period_once(spark, scratch):
+    landing = os.path.join(scratch, "landing")
+    sink = os.path.join(scratch, "sink")
+    from arealens.streaming import write_publication
+    for i, url in enumerate(["https://h/dss-demographics-december-2021.xlsx",
+                             "https://h/dss-demographics-march2022.xlsx",
+                             "https://h/dss-demographics-dec-2021-revised.xlsx"]):  # same period again
+        write_publication(sheet_rows(spark, sheet(url, "SA2", 1, PAYMENT_SA2)), landing, f"p{i}")
+    q = incremental_load(spark, landing + "/*", lambda b: load_payment_types(b, "sa2"), sink,
+                         "payments-batches", max_files_per_trigger=1)
+    q.awaitTermination()
+    assert len(q.recentProgress) >= 3
+    got = read_table(spark, sink).groupBy("quarter").count().collect()
+    assert {(r.quarter, r["count"]) for r in got} == {("December-2021", 3), ("March-2022", 3)}
