@@ -40,7 +40,8 @@ SUBURB_RENTAL = _s(("suburb", S), ("value", D), ("quarter", S), ("series", S),
                    ("dwelling_type", S), ("month_date", DT))
 
 # Landing table for published workbooks: one row per sheet row, cells as text,
-# positions explicit because Spark rows carry no order.
+# positions explicit because Spark rows carry no order.  Key: (source_url,
+# sheet_no, row_no); each publication is landed once, as one file.
 SHEET_ROWS = StructType([
     StructField("source_url", S, False),
     StructField("sheet_name", S, True),

@@ -1,8 +1,10 @@
 """Published workbooks as a landing table of sheet rows.
 
 ``sheet_rows(source_url, sheet_name, sheet_no, row_no, cells array<string>)``
-holds every row of every sheet of every publication.  Positions are explicit
-(``row_no``, array index), so nothing depends on row order.  A sheet's header
+holds every row of every sheet of every publication; ``(source_url,
+sheet_no, row_no)`` is its key (a publication is landed once - the freshness
+gate decides which links to fetch).  Positions are explicit (``row_no``,
+array index), so nothing depends on row order.  A sheet's header
 is the row after ``skip`` title rows; body rows follow it.
 
 The header is kept as *one row per sheet* holding the whole header array;
