@@ -55,6 +55,13 @@ def sheets_per_source(sheet_rows: DataFrame) -> DataFrame:
     return sheet_rows.groupBy("source_url").agg(F.countDistinct("sheet_no").alias("n_sheets"))
 
 
+def landing_key_violations(sheet_rows: DataFrame) -> DataFrame:
+    """(source_url, sheet_no, row_no, n) for keys landed more than once - a
+    diagnostic to run on demand (one shuffle over the landing table)."""
+    return (sheet_rows.groupBy(*SHEET_KEY, "row_no").agg(F.count(F.lit(1)).alias("n"))
+                      .filter(F.col("n") > 1))
+
+
 def header_rows(sheet_rows: DataFrame, skip: int) -> DataFrame:
     """(source_url, sheet_no, header) - the row right after ``skip`` title rows."""
     return (sheet_rows.filter(F.col("row_no") == skip + 1)

@@ -1,6 +1,7 @@
 import datetime as dt
 
 from arealens.plans.jobseeker import load_jobseeker
+from conftest import rows
 from arealens.plans.payment_types import load_payment_types
 from arealens.plans.rental import DWELLING_TYPES, load_rental, rental_header
 from arealens.sources.sheets import pick_sheets, sheets_per_source
@@ -142,3 +143,11 @@ def test_payment_types_all_geographies_in_one_frame(spark):
                    ("sa2", "21105", "Carlton", "Age Pension", 120.0),
                    ("sa2", "21105", "Carlton", "Commonwealth Seniors Health Card", 5.0),
                    ("sa2", "21110", "Docklands", "Health Care Card", 7.0)]
+
+
+def test_landing_key_violations(spark):
+    from arealens.sources.sheets import landing_key_violations
+    sr = _payment(spark)
+    assert landing_key_violations(sr).count() == 0
+    twice = sr.unionByName(sr.filter("sheet_no = 1 AND row_no = 4"))
+    assert rows(landing_key_violations(twice), "sheet_no", "row_no", "n") == [(1, 4, 2)]
