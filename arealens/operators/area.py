@@ -186,9 +186,11 @@ def area_series(fact: DataFrame, concord: DataFrame, blocks,
     Plan: the selected concordance is made distinct on (selection, join key,
     kept columns) before the join - one row per area and label, however many
     blocks reach it - so the join does not multiply fact rows; it is small
-    and AQE broadcasts it from its measured size.  The result DISTINCT
-    deduplicates map-side first; its keys are whole rows, so a hot area or
-    period does not land in one task.
+    and AQE broadcasts it from its measured size.  With ``ordered`` one range
+    shuffle on the sort keys serves both the result DISTINCT and the global
+    order (sort within partitions); the range bounds split a hot area or
+    period by the remaining sort keys.  Unordered, the DISTINCT is a hash
+    shuffle on whole rows after a map-side pass.
     """
     if spec is None:
         if table not in AREA_SERIES_SPECS:
@@ -212,10 +214,17 @@ def area_series(fact: DataFrame, concord: DataFrame, blocks,
 
     cols = [*sel] + ([F.col("_k")] if spec.keep_key else []) + \
         [F.col(c) for c in spec.concord_cols] + [fact_col(c) for c in spec.fact_cols]
-    rows = joined.select(*cols).distinct()
+    rows = joined.select(*cols)
+    renamed = dict(spec.renames)
+    if ordered:
+        # one range shuffle on the sort keys serves both the DISTINCT (its keys
+        # include them) and the global order; a hot area or period is still
+        # split by the remaining sort keys
+        inverse = {v: k for k, v in renamed.items()}
+        keys = [F.col(inverse.get(c, c)).asc_nulls_last() for c in [*sel, *spec.order]]
+        rows = rows.repartitionByRange(*keys).distinct().sortWithinPartitions(*keys)
+    else:
+        rows = rows.distinct()
     for old, new in spec.renames:
         rows = rows.withColumnRenamed(old, new)
-    out = rows.select(*sel, *spec.output)
-    if ordered:
-        out = order_nulls_last(out, [*sel, *spec.order])
-    return out
+    return rows.select(*sel, *spec.output)
