@@ -188,8 +188,8 @@ def area_series(fact: DataFrame, concord: DataFrame, blocks,
     blocks reach it - so the join does not multiply fact rows; it is small
     and AQE broadcasts it from its measured size.  With ``ordered`` one range
     shuffle on the sort keys serves both the result DISTINCT and the global
-    order (sort within partitions); the range bounds split a hot area or
-    period by the remaining sort keys.  Unordered, the DISTINCT is a hash
+    order (sort within partitions); the range keys continue with the other
+    output columns, so even many rows of one area and period are split.  Unordered, the DISTINCT is a hash
     shuffle on whole rows after a map-side pass.
     """
     if spec is None:
@@ -221,7 +221,9 @@ def area_series(fact: DataFrame, concord: DataFrame, blocks,
         # include them) and the global order; a hot area or period is still
         # split by the remaining sort keys
         inverse = {v: k for k, v in renamed.items()}
-        keys = [F.col(inverse.get(c, c)).asc_nulls_last() for c in [*sel, *spec.order]]
+        first = [inverse.get(c, c) for c in [*sel, *spec.order]]
+        rest = [c for c in rows.columns if c not in first]   # tie-breakers: whole rows
+        keys = [F.col(c).asc_nulls_last() for c in [*first, *rest]]
         rows = rows.repartitionByRange(*keys).distinct().sortWithinPartitions(*keys)
     else:
         rows = rows.distinct()
