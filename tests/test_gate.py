@@ -150,3 +150,13 @@ def test_stream_in_several_batches_loads_each_period_once(spark, scratch):
     assert len(q.recentProgress) >= 3
     got = read_table(spark, sink).groupBy("quarter").count().collect()
     assert {(r.quarter, r["count"]) for r in got} == {("December-2021", 3), ("March-2022", 3)}
+
+
+def test_first_load_has_nothing_stored(spark):
+    empty = spark.createDataFrame([], S.PAYMENT_TYPES_PC)
+    cand = spark.createDataFrame([("https://x/december-2019.xlsx", dt.date(2019, 12, 1))],
+                                 "url string, period date")
+    assert [r.already_loaded for r in freshness_gate(cand, empty, "url").collect()] == [False]
+    later = freshness_gate(cand, empty, "url", period_col="period", mode="later")
+    assert [r.already_loaded for r in later.collect()] == [False]
+    assert new_periods_only(_stored(spark), empty).count() == 3

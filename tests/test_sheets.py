@@ -151,3 +151,16 @@ def test_landing_key_violations(spark):
     assert landing_key_violations(sr).count() == 0
     twice = sr.unionByName(sr.filter("sheet_no = 1 AND row_no = 4"))
     assert rows(landing_key_violations(twice), "sheet_no", "row_no", "n") == [(1, 4, 2)]
+
+
+def test_blank_first_value_column_borrows_no_period(spark):
+    # Q7: the first value column has a blank header; it gets no period rather
+    # than the previous row's last header
+    layout = [["title"], [None, None, None, "Dec 2021"], [None, "LGA", "Median", "Count"],
+              [None, "Melbourne", "400", "110"]]
+    recs = sheet(RENTAL_URL, "Table 1", 1, layout)
+    h = rental_header(sheet_rows(spark, recs)).first()
+    assert [(c.pos, c.quarter, c.series) for c in h.columns] == [
+        (3, None, "Moving Annual Median"), (4, "December 2021", "No. New Lettings")]
+    out = load_rental(sheet_rows(spark, recs), "lga")
+    assert rows(out, "lga", "series", "value") == [("Melbourne", "No. New Lettings", 110.0)]
