@@ -160,3 +160,14 @@ def test_area_series_can_read_the_stored_date(spark):
     stored = area_series(fact, cbsa2(spark), ["73"], "jobseeker_monthly_payments_sa2", stored_date=True)
     assert [r.month for r in parsed.collect()] == [dt2.date(2020, 5, 1), None]  # NULL last
     assert [r.month for r in stored.collect()] == [dt2.date(2020, 5, 1), dt2.date(2020, 6, 1)]
+
+
+def test_weighted_index_can_join_on_year(spark):
+    # Q9: an index frame holding several censuses is joined on area and year
+    idx = spark.createDataFrame([("20601100001", "IRSD", "SCORE", 1000.0, 2016),
+                                 ("20601100001", "IRSD", "SCORE", 500.0, 2011)],
+                                "sa1_main string, seifaindextype string, seifa_measure string, value double, year int")
+    mixed = weighted_index(idx, cbsa1mb(spark), ["73"], years=[2011, 2016])
+    by_year = weighted_index(idx, cbsa1mb(spark), ["73"], years=[2011, 2016], join_year=True)
+    assert sorted(rows(by_year, "year", "value")) == [(2011, 500.0), (2016, 1000.0)]
+    assert sorted(rows(mixed, "year", "value")) == [(2011, 750.0), (2016, 750.0)]

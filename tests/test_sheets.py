@@ -164,3 +164,13 @@ def test_blank_first_value_column_borrows_no_period(spark):
         (3, None, "Moving Annual Median"), (4, "December 2021", "No. New Lettings")]
     out = load_rental(sheet_rows(spark, recs), "lga")
     assert rows(out, "lga", "series", "value") == [("Melbourne", "No. New Lettings", 110.0)]
+
+
+def test_only_x_numbered_headers_are_median_columns(spark):
+    # Q8: a label that merely contains "x" is a period column, not a median
+    layout = [["title"], [None, None, "Dec 2021", None, "Max 2021"], [None, "LGA", "Count", "Median", "Count"],
+              [None, "Melbourne", "110", "410", "7"]]
+    h = rental_header(sheet_rows(spark, sheet(RENTAL_URL, "Table 1", 1, layout))).first()
+    assert [(c.quarter, c.series) for c in h.columns] == [
+        ("December 2021", "No. New Lettings"), ("December 2021", "Moving Annual Median"),
+        ("max_2021", "No. New Lettings")]
