@@ -171,3 +171,11 @@ def test_weighted_index_can_join_on_year(spark):
     by_year = weighted_index(idx, cbsa1mb(spark), ["73"], years=[2011, 2016], join_year=True)
     assert sorted(rows(by_year, "year", "value")) == [(2011, 500.0), (2016, 1000.0)]
     assert sorted(rows(mixed, "year", "value")) == [(2011, 750.0), (2016, 750.0)]
+
+
+def test_round_half_up_per_group(spark):
+    # Q11: 5 * 0.5 = 2.5 rounds to 3; Q20: groups are rounded one by one
+    cc = spark.createDataFrame([("1", "a", "a", 1, 0.5, 2016)], S.CBSA1MB)
+    m = spark.createDataFrame([("a", 2016, "y", "w1", 5.0), ("a", 2016, "y", "w2", 5.0)], S.SA1_INCOME)
+    out = apportioned_distribution(m, cc, ["1"], ordered=False)
+    assert sorted(rows(out, "eq_income_weekly", "value")) == [("w1", 3.0), ("w2", 3.0)]  # total 5 -> 6
