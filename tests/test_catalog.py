@@ -54,3 +54,10 @@ def test_loads_into_catalog_tables(spark):
                                     "dss.payment_types_qrt_sa2": stored})
     assert rows(js, "sa2_main", "series", "value") == [
         ("206041117", "Age Pension", 120.0), ("206041117", "Commonwealth Seniors Health Card", 5.0)]
+
+
+def test_labour_force_series_by_name(spark):
+    salm = spark.createDataFrame([("206041122", "March 2011", "Unemployment rate", 4.5)], S.SA2_SALM)
+    t = {"concord.cbsa2": cbsa2(spark), "lmip.sa2_salm": salm}
+    out = C.area_time_series(spark, ["83"], "sa2_salm", tables=t)
+    assert rows(out) == [("206041122", "Docklands", dt.date(2011, 3, 1), "Unemployment rate", 4.5)]

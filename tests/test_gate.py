@@ -160,3 +160,14 @@ def test_first_load_has_nothing_stored(spark):
     later = freshness_gate(cand, empty, "url", period_col="period", mode="later")
     assert [r.already_loaded for r in later.collect()] == [False]
     assert new_periods_only(_stored(spark), empty).count() == 3
+
+
+def test_publication_is_landed_once(spark, scratch):
+    import pytest
+    from pyspark.errors import AnalysisException
+    from arealens.streaming import write_publication
+    rows_ = sheet_rows(spark, sheet("https://h/dss-demographics-december-2021.xlsx", "SA2", 1, PAYMENT_SA2))
+    write_publication(rows_, scratch, "dec-2021")
+    assert len([f for f in os.listdir(os.path.join(scratch, "dec-2021")) if f.endswith(".parquet")]) == 1
+    with pytest.raises(AnalysisException):
+        write_publication(rows_, scratch, "dec-2021")
