@@ -61,7 +61,9 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
     shuffle size is small, skew-split otherwise.
 
     Nothing is cached: a cached relation would be substituted for every later
-    identical plan and could hide rows that arrive afterwards.
+    identical plan and could hide rows that arrive afterwards.  The probe runs
+    when the plan is built, so operators using it (selection frames, sheet
+    layouts) start one small job before the caller's action.
     """
     probe = (df.limit(max_rows + 1)
                .select(F.octet_length(F.to_json(F.struct(*[quoted(c) for c in df.columns]))).alias("b"))
@@ -79,6 +81,7 @@ def reachable_keys(cc: DataFrame, key: str, max_keys: int = MAX_INLINE_IDS) -> l
     bounded by the list itself: the keys then become an ``IN`` filter on the
     area table, pushed into its Parquet scan so row groups of other areas are
     skipped (manual dynamic pruning for tables not partitioned by area).
+    Runs one small job when the plan is built.
     """
     keys = [r[0] for r in cc.select(key).distinct().limit(max_keys + 1).collect()]
     return keys if len(keys) <= max_keys else None
