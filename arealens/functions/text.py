@@ -45,7 +45,9 @@ def clean_header_names(names) -> Column:
     other label is split at camelCase boundaries, lower-cased, runs of other
     characters become one ``_``, and a leading digit gets an ``x`` prefix.
     Labels that only collide after cleaning ("a b", "a_b") are numbered from
-    their second occurrence on ("a_b", "a_b_2").  Works on the whole header in
+    their second occurrence on ("a_b", "a_b_2"); a numbered name that still
+    meets an existing label gets its position ("a_b_2_p3"), so the result is
+    always unique.  Works on the whole header in
     one row, so no shuffle is needed however many sheets are processed.
     """
     arr = _c(names)
@@ -66,4 +68,12 @@ def clean_header_names(names) -> Column:
         k = F.size(F.filter(F.slice(first, 1, i), lambda o: o == n)) + 1
         return F.when(k > 1, F.concat(n, F.lit("_"), k.cast("string"))).otherwise(n)
 
-    return F.transform(first, numbered)
+    second = F.transform(first, numbered)
+
+    def unique(n, i):
+        # a generated name may still equal a label further on: later copies
+        # take their position, which no other name can end with twice
+        dup = F.size(F.filter(F.slice(second, 1, i), lambda o: o == n)) > 0
+        return F.when(dup, F.concat(n, F.lit("_p"), (i + 1).cast("string"))).otherwise(n)
+
+    return F.transform(second, unique)

@@ -37,6 +37,9 @@ def test_clean_header_names(spark):
                    "job_seeker_payment", "youth_allowance_other"]
     df = spark.createDataFrame([(["a b", "a_b", "A-B", None],)], "h array<string>")
     assert df.select(clean_header_names("h").alias("n")).first().n == ["a_b", "a_b_2", "a_b_3", "x4"]
+    df = spark.createDataFrame([(["a b", "a_b", "a_b_2"],)], "h array<string>")
+    got = df.select(clean_header_names("h").alias("n")).first().n
+    assert got == ["a_b", "a_b_2", "a_b_2_p3"] and len(set(got)) == 3
 
 
 def test_markers_casts_and_filters(spark):
