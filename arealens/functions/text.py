@@ -46,8 +46,8 @@ def clean_header_names(names) -> Column:
     characters become one ``_``, and a leading digit gets an ``x`` prefix.
     Labels that only collide after cleaning ("a b", "a_b") are numbered from
     their second occurrence on ("a_b", "a_b_2"); a numbered name that still
-    meets an existing label gets its position ("a_b_2_p3"), so the result is
-    always unique.  Works on the whole header in
+    meets an earlier name gets its position ("a_b_2_p3"), so names repeat only
+    if a label is itself spelled like such a generated name.  Works on the whole header in
     one row, so no shuffle is needed however many sheets are processed.
     """
     arr = _c(names)
@@ -71,8 +71,8 @@ def clean_header_names(names) -> Column:
     second = F.transform(first, numbered)
 
     def unique(n, i):
-        # a generated name may still equal a label further on: later copies
-        # take their position, which no other name can end with twice
+        # a generated name may still equal another label: later copies take
+        # their position as a suffix
         dup = F.size(F.filter(F.slice(second, 1, i), lambda o: o == n)) > 0
         return F.when(dup, F.concat(n, F.lit("_p"), (i + 1).cast("string"))).otherwise(n)
 
