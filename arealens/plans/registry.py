@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arealens.functions.period import (PAYMENT_PERIOD_PATTERN, expand_header_month, extract_period, fix_header_typos,
-                                       period_to_date, repair_period_label, sentence_case)
+from arealens.functions.period import (PAYMENT_PERIOD_PATTERN, expand_header_month, extract_period,
+                                       fix_header_typos, period_to_date, repair_period_label,
+                                       sentence_case)
 from arealens.operators.area import apportioned_distribution, area_series, weighted_index
 from arealens.operators.clean import (cast_numbers, drop_labels, keep_positive, keep_prefix,
                                       keep_present, strip_markers_all)
@@ -32,42 +33,50 @@ PRIORITY_RANKS = [(1, ["1-URGENT"]), (2, ["2-HIGH", "3-MEDIUM"]), (3, ["3-MEDIUM
 
 
 def q_apportioned_distribution(spark: SparkSession, d: str) -> DataFrame:
+    """Order totals apportioned to every region's suppliers (blocks) through lineitem shares."""
     return apportioned_distribution(b.income_measure(spark, d), b.cbsa1mb(spark, d),
                                     b.region_selections(spark, d), years=None)
 
 
 def q_distribution_bucket_rank(spark, d):
+    """The same, with the first-match bucket rank as a column."""
     return apportioned_distribution(b.income_measure(spark, d), b.cbsa1mb(spark, d),
                                     b.region_selections(spark, d), years=None,
                                     rank_rules=PRIORITY_RANKS, with_rank=True)
 
 
 def q_weighted_index(spark, d):
+    """Part prices weighted by persons over each region's distinct reachable parts."""
     return weighted_index(b.seifa_index(spark, d), b.cbsa1mb(spark, d), b.region_selections(spark, d),
                           index_types=None, measures=None, years=None)
 
 
 def q_area_series_sa2(spark, d):
+    """Monthly series of the nations (SA2s) each region's suppliers fall in."""
     return area_series(b.jobseeker_fact(spark, d), b.cbsa2(spark, d), b.region_selections(spark, d),
                        "jobseeker_monthly_payments_sa2")
 
 
 def q_area_series_renamed_measure(spark, d):
+    """Monthly counts by postcode, measure renamed to value."""
     return area_series(b.jobkeeper_fact(spark, d), b.cbpostcodes(spark, d),
                        b.region_selections(spark, d), "jobkeeper_monthly_applications_pc")
 
 
 def q_area_series_postcode(spark, d):
+    """Hyphen-labelled series by postcode."""
     return area_series(b.payment_types_pc_fact(spark, d), b.cbpostcodes(spark, d),
                        b.region_selections(spark, d), "payment_types_qrt_pc")
 
 
 def q_area_series_sa2_quarterly(spark, d):
+    """T3d: hyphen-labelled series by SA2 (fact key kept in the DISTINCT)."""
     return area_series(b.payment_types_sa2_fact(spark, d), b.cbsa2(spark, d),
                        b.region_selections(spark, d), "payment_types_qrt_sa2")
 
 
 def q_area_series_main_key(spark, d):
+    """T3e: series joined on the main SA2 code."""
     return area_series(b.sa2_salm_fact(spark, d), b.cbsa2(spark, d), b.region_selections(spark, d),
                        "sa2_salm")
 
@@ -90,6 +99,7 @@ def q_lenient_cast(spark, d):
 
 
 def q_wide_to_long(spark, d):
+    """Per supplier-month wide counts with '<5' markers, melted, region prefix, text positivity."""
     li = b.table(spark, d, "lineitem")
     area = F.concat(F.col("l_suppkey").cast("string"), F.lit("-"), F.date_format("l_shipdate", "yyyyMM"))
     flags = ["A", "N", "R"]
@@ -103,10 +113,12 @@ def q_wide_to_long(spark, d):
 
 
 def q_paired_header_long(spark, d):
+    """Rental workbooks melted for every period in the paired header."""
     return load_rental(b.rental_sheets(spark, d, "lga"), "lga", current_only=False)
 
 
 def q_tagged_union(spark, d):
+    """Two frames of different shape stacked by name with a tag."""
     li = b.table(spark, d, "lineitem")
     small = li.filter(F.col("l_quantity") <= 10).groupBy("l_returnflag").agg(F.count("*").alias("n"))
     every = li.groupBy("l_returnflag").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("qty"))
@@ -114,6 +126,7 @@ def q_tagged_union(spark, d):
 
 
 def q_drop_subtotals(spark, d):
+    """rollup subtotal and grand-total rows removed."""
     c = b.table(spark, d, "customer")
     n = b.table(spark, d, "nation")
     r = b.table(spark, d, "region")
@@ -125,6 +138,7 @@ def q_drop_subtotals(spark, d):
 
 
 def q_period_from_url(spark, d):
+    """Period labels from three URL spellings per order month."""
     u = b.order_month_urls(spark, d)
     raw = extract_period("payment_url", PAYMENT_PERIOD_PATTERN)
     return u.select(F.col("m").cast("date").alias("month_date"), raw.alias("extracted"),
@@ -134,6 +148,7 @@ def q_period_from_url(spark, d):
 
 
 def q_period_repair(spark, d):
+    """Label repair and header month expansion per order month."""
     u = b.order_month_urls(spark, d)
     token = sentence_case(extract_period("payment_url", PAYMENT_PERIOD_PATTERN))
     header = F.concat(F.lower(F.date_format("m", "MMM")), F.lit("_"), F.date_format("m", "yyyy"))
@@ -144,12 +159,14 @@ def q_period_repair(spark, d):
 
 
 def q_current_period_rows(spark, d):
+    """Rows of the newest month only, distinct."""
     fact = b.jobseeker_fact(spark, d)
     newest = fact.agg(F.date_format(F.max("month_date"), "MMMM yyyy").alias("month"))
     return current_period_rows(fact.drop("month_date"), "month", newest)
 
 
 def q_newest_period(spark, d):
+    """A3/L1: newest stored period parsed from labels, with the unparsed count."""
     return newest_period(b.payment_types_pc_fact(spark, d), date_col=None, label_col="quarter")
 
 
@@ -159,16 +176,19 @@ def _candidates(spark, d):
 
 
 def q_freshness_gate(spark, d):
+    """Ship-month publications gated on the newest stored label (contains)."""
     return freshness_gate(_candidates(spark, d), b.payment_types_pc_fact(spark, d), "url")
 
 
 def q_freshness_gate_later(spark, d):
+    """L2: the same with the later-than rule on repaired periods."""
     c = _candidates(spark, d).withColumn("period", period_to_date(payment_period("url")))
     return freshness_gate(c, b.payment_types_pc_fact(spark, d), "url", period_col="period",
                           mode="later")
 
 
 def q_append_new_periods(spark, d):
+    """Loaded payment rows of periods not stored yet."""
     incoming = load_payment_types(b.payment_type_sheets(spark, d), "sa2")
     return new_periods_only(incoming, b.payment_types_sa2_fact(spark, d), "month_date")
 
@@ -178,15 +198,18 @@ def _host():
 
 
 def q_link_inventory(spark, d):
+    """Page anchors containing 'the', prefixed with the page host."""
     return link_inventory(b.table(spark, d, "pages"), keep="the", prefix=_host(),
                           page_cols=("page_id", "url")).drop("url")
 
 
 def q_link_inventory_scoped(spark, d):
+    """Anchors inside each page's nav element."""
     return link_inventory(b.table(spark, d, "pages"), container="nav")
 
 
 def q_newest_link(spark, d):
+    """First link containing 'e' per page."""
     return first_link(b.table(spark, d, "pages"), keep="e")
 
 
@@ -202,26 +225,32 @@ def q_sheet_pick_check(spark, d):
 
 
 def q_payment_types_load_sa2(spark, d):
+    """T4/T5: payment-type workbooks -> SA2 table."""
     return load_payment_types(b.payment_type_sheets(spark, d), "sa2")
 
 
 def q_payment_types_load_lga(spark, d):
+    """T5: payment-type workbooks -> LGA table."""
     return load_payment_types(b.payment_type_sheets(spark, d), "lga")
 
 
 def q_payment_types_load_postcode(spark, d):
+    """T5: payment-type workbooks -> postcode table."""
     return load_payment_types(b.payment_type_sheets(spark, d), "postcode")
 
 
 def q_jobseeker_load(spark, d):
+    """Jobseeker workbooks -> SA2 table (zeros and NULLs kept)."""
     return load_jobseeker(b.jobseeker_sheets(spark, d))
 
 
 def q_rental_load_lga(spark, d):
+    """Rental workbooks -> LGA table, current period."""
     return load_rental(b.rental_sheets(spark, d, "lga"), "lga")
 
 
 def q_rental_load_suburb(spark, d):
+    """Rental workbooks -> suburb table, current period."""
     return load_rental(b.rental_sheets(spark, d, "suburb"), "suburb")
 
 
