@@ -91,10 +91,12 @@ def _part_text(spark, d, small) -> DataFrame:
 
 
 def q_strip_markers(spark, d):
+    """E1/P7: '<' removed from every text column of part."""
     return strip_markers_all(_part_text(spark, d, lambda t: F.concat(F.lit("<"), t)))
 
 
 def q_lenient_cast(spark, d):
+    """Named text columns read as numbers ('n.p.' -> NULL)."""
     return cast_numbers(_part_text(spark, d, lambda t: F.lit("n.p.")), ["p_size_text", "p_price_text"])
 
 
