@@ -16,6 +16,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from arealens.schemas import SHEET_ROWS
@@ -30,18 +31,33 @@ def write_publication(rows: DataFrame, landing_dir: str, name: str) -> None:
     rows.coalesce(1).write.mode("errorifexists").parquet(f"{landing_dir}/{name}")
 
 
+def sheets_without_header(batch: DataFrame, header_row: int) -> DataFrame:
+    """(source_url, sheet_no) of sheets present in ``batch`` whose header row
+    (``row_no == header_row``) is not in it."""
+    return (batch.groupBy("source_url", "sheet_no")
+                 .agg(F.max((F.col("row_no") == header_row).cast("int")).alias("has_header"))
+                 .filter(F.col("has_header") == 0))
+
+
 def incremental_load(spark: SparkSession, landing_dir: str, plan: Callable[[DataFrame], DataFrame],
                      sink_path: str, name: str, period_col: str = "month_date",
-                     max_files_per_trigger: int | None = None) -> StreamingQuery:
+                     max_files_per_trigger: int | None = None,
+                     header_row: int | None = None) -> StreamingQuery:
     """Start the stream; call ``awaitTermination()`` on the result to wait
     until every available file is loaded.  ``max_files_per_trigger`` bounds
-    the batch size; it is safe because each file is a whole publication."""
+    the batch size; it is safe because each file is a whole publication.
+    With ``header_row`` (the plan's ``skip + 1``) each batch is checked first:
+    a sheet whose header row is missing fails the batch, so its files stay
+    unprocessed instead of losing body rows."""
     reader = spark.readStream.schema(SHEET_ROWS)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     rows = reader.parquet(landing_dir)
 
     def load_batch(batch: DataFrame, epoch_id: int) -> None:
+        if header_row is not None and sheets_without_header(batch, header_row).limit(1).count():
+            raise ValueError(f"batch {epoch_id}: a sheet's header row is in another file; "
+                             "land each publication as one file")
         append_table(plan(batch), sink_path, period_col, only_new=True)
 
     location = f"{checkpoint_dir(spark)}/streams/{name}"

@@ -171,3 +171,18 @@ def test_publication_is_landed_once(spark, scratch):
     assert len([f for f in os.listdir(os.path.join(scratch, "dec-2021")) if f.endswith(".parquet")]) == 1
     with pytest.raises(AnalysisException):
         write_publication(rows_, scratch, "dec-2021")
+
+
+def test_stream_refuses_a_batch_with_a_split_sheet(spark, scratch):
+    import pytest
+    from pyspark.errors import StreamingQueryException
+    landing = os.path.join(scratch, "landing")
+    recs = sheet("https://h/dss-demographics-december-2021.xlsx", "SA2", 1, PAYMENT_SA2)
+    # the header (row 3) and the body land in different files
+    sheet_rows(spark, recs[:3]).coalesce(1).write.parquet(os.path.join(landing, "a"))
+    sheet_rows(spark, recs[3:]).coalesce(1).write.parquet(os.path.join(landing, "b"))
+    q = incremental_load(spark, landing + "/*", lambda b: load_payment_types(b, "sa2"),
+                         os.path.join(scratch, "sink"), "split-check", max_files_per_trigger=1,
+                         header_row=3)
+    with pytest.raises(StreamingQueryException):
+        q.awaitTermination()
