@@ -5,10 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import secrets, shards, winnow
+from . import langid, packing, secrets, shards, simhash, winnow
 from .common import table
 
 
+def op1_pack_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 1024 ids, one row per piece."""
+    return packing.pack(table(spark, sf_dir, "documents"), window=1024, with_ids=False)
+
+
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprint and near-duplicate component of every document."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), width=4, max_bits=4)
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document, weak parts only where complementary parts co-occur."""
     return secrets.secret_report(table(spark, sf_dir, "documents"))
@@ -28,7 +38,14 @@ def op8_winnow_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the rows outside the held-out fold."""
+    found = langid.identify(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", (langid.fold() == 2).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 LLM_QUERIES = {f.__name__: f for f in (
-    op3_secret_scan, op7_minimax_shards, op8_winnow_decontamination)}
+    op1_pack_windows, op2_simhash_near_dedup, op3_secret_scan, op7_minimax_shards,
+    op8_winnow_decontamination, op9_language_id)}
 
 LLM_ORACLE_SQL: dict[str, str] = {}
