@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, packing, secrets, shards, simhash, winnow
+from . import hilbert, langid, packing, secrets, shards, simhash, warc, winnow, wrappers
 from .common import table
 
 
@@ -24,6 +24,26 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
 
 
+def op4_wrapper_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page by its host's inferred wrapper."""
+    return wrappers.extract_pages(table(spark, sf_dir, "pages"))
+
+
+def op5_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives and read back through the chunked record table."""
+    pages = table(spark, sf_dir, "pages")
+    kind = pages.schema["page_id"].dataType
+    manifest, folder = warc.archive(pages, least_bytes=1000)
+    return warc.read_records(manifest, folder).select(
+        F.col("id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast(kind).alias("refers_to"))
+
+
+def op6_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """20 nearest vectors of every vector whose id is divisible by 20."""
+    return hilbert.nearest(table(spark, sf_dir, "embeddings"), k=20, every=20)
+
+
 def op7_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 40 shards of near equal bytes; equal texts stay together."""
     placed = shards.shard_documents(table(spark, sf_dir, "documents"), shards=40)
@@ -45,7 +65,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {f.__name__: f for f in (
-    op1_pack_windows, op2_simhash_near_dedup, op3_secret_scan, op7_minimax_shards,
-    op8_winnow_decontamination, op9_language_id)}
+    op1_pack_windows, op2_simhash_near_dedup, op3_secret_scan, op4_wrapper_text, op5_warc_chunks,
+    op6_hilbert_neighbours, op7_minimax_shards, op8_winnow_decontamination, op9_language_id)}
 
 LLM_ORACLE_SQL: dict[str, str] = {}
