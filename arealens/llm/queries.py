@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hilbert, langid, packing, secrets, shards, simhash, warc, winnow, wrappers
+from . import hilbert, langid, packing, repeats, secrets, shards, simhash, warc, winnow, wrappers
 from .common import table
 
 
@@ -64,8 +64,13 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (langid.fold() == 2).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op10_column_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of 200-byte strings that occur elsewhere."""
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"), width=200).drop("kept")
+
+
 LLM_QUERIES = {f.__name__: f for f in (
     op1_pack_windows, op2_simhash_near_dedup, op3_secret_scan, op4_wrapper_text, op5_warc_chunks,
-    op6_hilbert_neighbours, op7_minimax_shards, op8_winnow_decontamination, op9_language_id)}
+    op6_hilbert_neighbours, op7_minimax_shards, op8_winnow_decontamination, op9_language_id, op10_column_repeats)}
 
 LLM_ORACLE_SQL: dict[str, str] = {}
