@@ -30,10 +30,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, small, text_key
 from .graph import components
 
 PIECE = 1 << 16  # shingles hashed at a time
+BROADCAST_ROWS = 200_000
 TILE = 1 << 15  # fingerprints of a shard compared in one task
 
 
@@ -238,20 +239,23 @@ def near_duplicates(docs: DataFrame, width: int = 4, max_bits: int = 4, blocks:
         "component_id")
 
 
-def keep_one(docs: DataFrame, width: int = 4, max_bits: int = 4, id_col: str = "doc_id",
-             text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each near-duplicate group, that of the smallest id.
+def keep_one(docs: DataFrame, width: int = 4, max_bits: int = 4, blocks: int = 4,
+             id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each near-duplicate group; same columns.
 
-    Rows with a null id form no group with a name and all stay; of rows
-    repeated with the same id, one stays (of different texts under one id, the
-    first by text).
+    The row with the smallest id stays (null ids come last, then the smaller
+    digest of the text); of rows repeated with id and text one stays.
     """
     names = docs.columns
-    found = near_duplicates(docs, width, max_bits, id_col=id_col, text_col=text_col)
-    kept = found.filter(F.col(id_col) == F.col("component_id")).select(id_col).distinct()
-    with_id = docs.join(kept, id_col, "left_semi")
-    twice = with_id.groupBy(id_col).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").select(id_col)
-    again = with_id.join(twice, id_col, "left_semi").groupBy(id_col).agg(
-        F.min_by(F.struct(*names), F.coalesce(F.col(text_col), F.lit(""))).alias("__r")).select("__r.*")
-    return (with_id.join(twice, id_col, "left_anti").unionByName(again.select(*names))
-            .unionByName(docs.filter(F.col(id_col).isNull())).select(*names))
+    keyed = docs.withColumn("__row", F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"),
+                                              text_key(F.col(text_col)).alias("text")))
+    found = cut(near_duplicates(keyed, width, max_bits, blocks, "__row", text_col))
+    surplus = cut(found.filter(F.col("__row") != F.col("component_id")).select("__row").distinct())
+    kept = keyed.join(small(surplus, BROADCAST_ROWS), "__row", "left_anti")
+    again = cut(found.filter(F.col("__row") == F.col("component_id")).groupBy("__row")
+                .agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("__row"))
+    if not again.isEmpty():
+        again = small(again, BROADCAST_ROWS)
+        kept = kept.join(again, "__row", "left_anti").unionByName(
+            kept.join(again, "__row", "left_semi").dropDuplicates(["__row"]))
+    return kept.select(*names)

@@ -82,30 +82,19 @@ def _windows(hashes: Column, lengths: list[int]) -> Column:
     return F.concat(*[of(m) for m in lengths])
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, span: int = 10, k_words: int = 5,
-                  id_col: str = "doc_id", text_col: str = "text",
-                  item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """Words of each document that lie in a window of a benchmark item.
-
-    One row per document row: id, ``n_words``, ``n_hit`` (words inside any
-    occurrence of a window), ``n_items`` (items with an occurring window),
-    ``items`` (their ids as sorted strings), ``contaminated``.  Null or empty
-    texts have no words; null ids are kept as documents and ignored as items;
-    repeated rows are repeated in the result; other columns are ignored; empty
-    tables give zero hits or no rows.
-    """
+def _per_text(docs: DataFrame, benchmark: DataFrame, span: int, k_words: int, id_col: str,
+              text_col: str, item_col: str, item_text_col: str) -> tuple[DataFrame, DataFrame] | None:
+    """(rows, texts): one row per id and text with its words and copies, and the
+    hits of each text that has any; None where no item has a word."""
     items = cut(benchmark.select(F.col(item_col).cast("string").alias("item"),
                                  word_hashes(F.col(item_text_col)).alias("h"))
                 .withColumn("n", F.size("h")).filter("n > 0 and item is not null")
                 .withColumn("m", F.least("n", F.lit(span))))
     lengths = sorted(r[0] for r in items.select("m").distinct().collect())  # at most `span` values
+    if not lengths:
+        return None
     slim = docs.select(F.col(id_col).alias("id"), text_key(F.col(text_col)).alias("key"),
                        F.col(text_col).alias("text"))
-    if not lengths:
-        return docs.select(F.col(id_col), F.size(words(F.col(text_col))).cast("long").alias("n_words"),
-                           F.lit(0).cast("long").alias("n_hit"), F.lit(0).cast("long").alias("n_items"),
-                           F.array().cast("array<string>").alias("items"),
-                           F.lit(False).alias("contaminated"))
 
     def of_item(make) -> DataFrame:
         """Item side: each item only with its own window length."""
@@ -146,7 +135,28 @@ def contamination(docs: DataFrame, benchmark: DataFrame, span: int = 10, k_words
              .join(small(item_windows, BROADCAST_ROWS), ["m", "a", "b"])
              .groupBy("key").agg(F.array_sort(F.collect_set("item")).alias("items")))
     per_text = cut(covered.join(named, "key"))
+    return base, per_text
+
 
+def contamination(docs: DataFrame, benchmark: DataFrame, span: int = 10, k_words: int = 5,
+                  id_col: str = "doc_id", text_col: str = "text",
+                  item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """Words of each document that lie in a window of a benchmark item.
+
+    One row per document row: id, ``n_words``, ``n_hit`` (words inside any
+    occurrence of a window), ``n_items`` (items with an occurring window),
+    ``items`` (their ids as sorted strings), ``contaminated``.  Null or empty
+    texts have no words; null ids are kept as documents and ignored as items;
+    repeated rows are repeated in the result; other columns are ignored; empty
+    tables give zero hits or no rows.
+    """
+    found = _per_text(docs, benchmark, span, k_words, id_col, text_col, item_col, item_text_col)
+    if found is None:
+        return docs.select(F.col(id_col), F.size(words(F.col(text_col))).cast("long").alias("n_words"),
+                           F.lit(0).cast("long").alias("n_hit"), F.lit(0).cast("long").alias("n_items"),
+                           F.array().cast("array<string>").alias("items"),
+                           F.lit(False).alias("contaminated"))
+    base, per_text = found
     copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
     return (base.join(small(per_text, BROADCAST_ROWS // 4), "key", "left")
             .select("*", copies.alias("__copy"))
@@ -155,3 +165,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, span: int = 10, k_words
                     F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
                     F.coalesce("items", F.array().cast("array<string>")).alias("items"),
                     (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated")))
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, span: int = 10, k_words: int = 5,
+                      id_col: str = "doc_id", text_col: str = "text",
+                      item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows whose text holds a window of an item; same columns."""
+    found = _per_text(docs, benchmark, span, k_words, id_col, text_col, item_col, item_text_col)
+    if found is None:
+        return docs
+    return (docs.withColumn("__key", text_key(F.col(text_col)))
+            .join(small(found[1].select(F.col("key").alias("__key")), BROADCAST_ROWS), "__key", "left_anti")
+            .select(*docs.columns))
