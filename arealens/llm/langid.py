@@ -78,7 +78,7 @@ def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 12) -
 
 
 def fit(labelled: DataFrame, per_language: int = 600, per_class: int = 4, max_languages: int = 200,
-        slack: float = 0.6, seed: int = 5, id_col: str = "doc_id", text_col: str = "text",
+        slack: float = 0.4, seed: int = 5, id_col: str = "doc_id", text_col: str = "text",
         lang_col: str = "lang") -> Model | None:
     """Fit on a bounded sample: about ``per_language`` rows of each language,
     those with the smallest hash of text (so copies don't count twice as much
