@@ -66,10 +66,10 @@ def rental_header(sheet_rows: DataFrame, skip: int = RENTAL_SKIP) -> DataFrame:
     return h.select(*SHEET_KEY, "names", cols.alias("columns"))
 
 
-def load_rental_all(sheet_rows: DataFrame, current_only: bool = True) -> DataFrame:
+def load_rental_all(sheet_rows: DataFrame, current_only: bool = True, with_source: bool = False) -> DataFrame:
     """Both geographies in one plan (one scan of the landing table):
     (geography, area, value, quarter, series, dwelling_type, month_date),
-    distinct.  A workbook's geography comes from its URL (resolved once per
+    distinct; ``with_source`` adds ``source_url``.  A workbook's geography comes from its URL (resolved once per
     sheet on the header side); a URL naming both is loaded for both."""
     rows = pick_sheets(sheet_rows, sheet_nos=list(DWELLING_TYPES))
     geos = F.filter(F.array(*[F.when(F.col("source_url").rlike(g["url"]), F.lit(name))
@@ -90,23 +90,24 @@ def load_rental_all(sheet_rows: DataFrame, current_only: bool = True) -> DataFra
           .filter(F.col("area").isNotNull())
           .filter((F.col("area") != SUBTOTAL) & (F.col("area") != F.col("remnant"))))
     dwelling = F.create_map(*[x for k, v in DWELLING_TYPES.items() for x in (F.lit(k), F.lit(v))])
-    long = t.select("geography", "area", "cells", dwelling[F.col("sheet_no")].alias("dwelling_type"),
+    source = ["source_url"] if with_source else []
+    long = t.select(*source, "geography", "area", "cells", dwelling[F.col("sheet_no")].alias("dwelling_type"),
                     F.explode("columns").alias("c"))
     # month_date is a function of quarter, so it can ride along in the DISTINCT
-    return long.select("geography", "area",
+    return long.select(*source, "geography", "area",
                        lenient_number(F.try_element_at(F.col("cells"), F.col("c.pos"))).alias("value"),
                        F.col("c.quarter").alias("quarter"), F.col("c.series").alias("series"),
                        "dwelling_type", F.col("c.month_date").alias("month_date")).distinct()
 
 
 def load_rental(sheet_rows: DataFrame, geography: str = "lga",
-                current_only: bool = True) -> DataFrame:
+                current_only: bool = True, with_source: bool = False) -> DataFrame:
     """(lga|suburb, value, quarter, series, dwelling_type, month_date) of the
     publication's own period (all periods with ``current_only=False``),
     distinct.  The geography filter reaches the header side of the plan."""
     if geography not in RENTAL_GEOGRAPHIES:
         raise ValueError("geography should be one of " + ", ".join(RENTAL_GEOGRAPHIES))
-    return (load_rental_all(sheet_rows, current_only)
+    return (load_rental_all(sheet_rows, current_only, with_source)
             .filter(F.col("geography") == geography)
-            .select(F.col("area").alias(geography), "value", "quarter", "series", "dwelling_type",
+            .select(*(["source_url"] if with_source else []), F.col("area").alias(geography), "value", "quarter", "series", "dwelling_type",
                     "month_date"))

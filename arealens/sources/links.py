@@ -1,31 +1,64 @@
 """Link inventory of fetched pages (``pages(page_id, url, html)``).
 
-Anchors are found with a regular expression over the page text, not a DOM
-parser: ``<a ... href="...">``, optionally only inside a container element:
-``"#name"`` is the element whose id is ``name``, ``"tag"`` the first element
-of that tag.  The scope runs to the first closing tag of the same name, so a
-nested element of the same tag name ends it early.
+A page is read as its sequence of tags (one regular expression; comments,
+scripts and styles are one token each), not through a DOM.  ``container``
+limits it to the elements with that id (``"#name"``) or tag: open and close
+tags of the container's name are counted, so nested elements stay inside and
+every matching element counts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Fixed value: an anchor's href attribute (double-quoted).
-HREF_PATTERN = r'<a[^>]*href="([^"]*)"'
+from arealens.functions.text import let
 
+_TAGS = (r"""(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>"""
+         r"""|</?[a-z][^\s>/]*[^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*>""")
+_VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
 
-def page_hrefs(container: str | None = None) -> F.Column:
+
+def _attribute(tag: Column, name: str) -> Column:
+    """Value of a tag's attribute in any quoting; NULL without one."""
+    pattern = rf"""(?is)^<[a-z][^\s>/]*(?:[^>"']*?|"[^"]*"|'[^']*')*?[\s"'/]{name}\s*=\s*"""
+    pattern += r"""(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+    value = F.concat(*[F.regexp_extract(tag, pattern, i) for i in (1, 2, 3)])
+    return F.when(tag.rlike(pattern), F.replace(value, F.lit("&amp;"), F.lit("&")))
+
+
+def _is_anchor(tag: Column) -> Column:
+    return tag.rlike(r"(?i)^<a[\s/]")
+
+
+def page_hrefs(container: str | None = None) -> Column:
     """Array of the page's hrefs in page order (optionally within a container)."""
-    html = F.col("html")
-    if container is not None:
-        if container.startswith("#"):
-            scope = r'(?s)<(\w+)[^>]*\bid="' + container[1:] + r'"[^>]*>.*?</\1>'
-        else:
-            scope = r"(?s)<" + container + r"\b[^>]*>.*?</" + container + ">"
-        html = F.coalesce(F.regexp_substr(html, F.lit(scope)), F.lit(""))
-    return F.regexp_extract_all(html, F.lit(HREF_PATTERN), 1)
+    tags = F.regexp_extract_all(F.coalesce(F.col("html"), F.lit("")), F.lit(_TAGS), F.lit(0))
+
+    def hrefs(anchors: Column) -> Column:
+        return F.filter(F.transform(anchors, lambda t: _attribute(t, "href")), lambda h: h.isNotNull())
+
+    if container is None:
+        return hrefs(F.filter(tags, _is_anchor))
+
+    def step(acc: Column, tag: Column) -> Column:
+        name = F.lower(F.regexp_extract(tag, r"^</?([A-Za-z][^\s>/]*)", 1))
+        closing = tag.startswith("</")
+        wanted = (_attribute(tag, "id") == container[1:]) if container.startswith("#") \
+            else name == container.lower()
+        leaf = name.isin(*_VOID) | tag.endswith("/>")
+        enters = (acc["depth"] == 0) & ~closing & ~leaf & F.coalesce(wanted, F.lit(False))
+        same = (acc["depth"] > 0) & (name == acc["name"]) & ~leaf
+        return F.struct(
+            F.when(enters, name).otherwise(acc["name"]).alias("name"),
+            F.when(enters, F.lit(1)).when(same & closing, acc["depth"] - 1)
+             .when(same, acc["depth"] + 1).otherwise(acc["depth"]).alias("depth"),
+            F.when((acc["depth"] > 0) & _is_anchor(tag), F.concat(acc["anchors"], F.array(tag)))
+             .otherwise(acc["anchors"]).alias("anchors"))
+
+    start = F.struct(F.lit("").alias("name"), F.lit(0).alias("depth"),
+                     F.array().cast("array<string>").alias("anchors"))
+    return hrefs(F.aggregate(tags, start, step, lambda acc: acc["anchors"]))
 
 
 def link_inventory(pages: DataFrame, keep: str | None = None, container: str | None = None,
@@ -47,15 +80,15 @@ def first_link(pages: DataFrame, keep: str | None = None, container: str | None
                prefix=None, page_cols=("page_id",)) -> DataFrame:
     """(page columns, href, link_no): the first kept link of each page, read
     from the page's own ordered link array - no shuffle, one row per page
-    that has a kept link."""
-    hrefs = page_hrefs(container)
-    kept = hrefs if keep is None else F.filter(hrefs, lambda h: h.rlike(keep))
-    first = F.try_element_at(kept, F.lit(1))
+    that has a kept link.  The array is built once per page."""
+    def first(hrefs: Column) -> Column:
+        numbered = F.transform(hrefs, lambda h, i: F.struct(h.alias("href"), (i + 1).cast("int").alias("link_no")))
+        return F.get(numbered if keep is None else F.filter(numbered, lambda x: x["href"].rlike(keep)), F.lit(0))
+
     pre = F.lit("") if prefix is None else (F.lit(prefix) if isinstance(prefix, str) else prefix)
-    return (pages.select(*page_cols, hrefs.alias("_all"), first.alias("_h"), pre.alias("_p"))
-                 .filter(F.col("_h").isNotNull())
-                 .select(*page_cols, F.concat("_p", "_h").alias("href"),
-                         F.array_position("_all", F.col("_h")).cast("int").alias("link_no")))
+    return (pages.select(*page_cols, F.explode(F.filter(F.array(let(page_hrefs(container), first)),
+                                                        lambda x: x.isNotNull())).alias("_h"), pre.alias("_p"))
+                 .select(*page_cols, F.concat("_p", "_h.href").alias("href"), F.col("_h.link_no").alias("link_no")))
 
 
 def newest_link(links: DataFrame, group_cols=("page_id",)) -> DataFrame:

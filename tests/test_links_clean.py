@@ -42,6 +42,36 @@ def test_clean_header_names(spark):
     assert got == ["a_b", "a_b_2", "a_b_2_p3"] and len(set(got)) == 3
 
 
+def test_header_marks_quotes_and_accents(spark):
+    df = spark.createDataFrame([(["# Lettings", "Région 'x'", "2003_31", "2003_39", "Año %"],)], "h array<string>")
+    assert df.select(clean_header_names("h").alias("n")).first().n == [
+        "number_lettings", "region_x", "x2003_31", "x2003_39", "ano_percent"]
+
+
+def test_wide_header_is_cleaned_quickly(spark):
+    import time
+    cells = [None if i % 2 else f"Sep {2000 + i // 8}" for i in range(176)]
+    df = spark.createDataFrame([(cells,)], "h array<string>").select(clean_header_names("h").alias("n"))
+    df.first()  # plan and code of the session
+    began = time.perf_counter()
+    names = df.first().n
+    assert time.perf_counter() - began < 1.5
+    assert len(set(names)) == 176 and names[0] == "sep_2000_1" and names[1] == "x2"
+
+
+def test_links_of_nested_and_repeated_containers(spark):
+    html = ('<div id="page-content"><div>x</div><A HREF=\'a.xlsx\'>1</A><div data-id="other"><a href=b.xlsx>2</a>'
+            '</div></div><a href="out.xlsx">3</a><div data-id="page-content"><a href="no.xlsx">4</a></div>'
+            '<nav><a href="/n1?x=1&amp;y=2">5</a></nav><abbr href="no">t</abbr><NAV><nav><a href="/n2">6</a></nav>'
+            '<a href="/n3">7</a></NAV><!-- <a href="comment">8</a> --><script>"<a href=\\"s\\">"</script>')
+    pages = spark.createDataFrame([(1, html)], "page_id long, html string")
+    assert rows(link_inventory(pages, container="#page-content"), "href") == [("a.xlsx",), ("b.xlsx",)]
+    assert rows(link_inventory(pages, container="nav"), "href") == [("/n1?x=1&y=2",), ("/n2",), ("/n3",)]
+    assert [r[0] for r in rows(link_inventory(pages), "href")] == [
+        "a.xlsx", "b.xlsx", "out.xlsx", "no.xlsx", "/n1?x=1&y=2", "/n2", "/n3"]
+    assert link_inventory(pages, container="#missing").count() == 0
+
+
 def test_markers_casts_and_filters(spark):
     df = spark.createDataFrame([("21", "<5", "n.p."), ("31", "0", "7"), (None, "12", None),
                                 ("2x", "0.0", "1e+05")], "code string, a string, b string")
