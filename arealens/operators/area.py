@@ -15,22 +15,7 @@ from pyspark.sql import functions as F
 from arealens.functions.period import period_to_date
 from arealens.functions.rank import INCOME_WEEKLY_RANKS, bucket_rank
 from arealens.operators.selection import (SEIFA_INDEX_TYPES, SEIFA_MEASURES, SUPPORTED_YEARS,
-                                          check_members, reachable_keys, select_blocks)
-
-
-def _prune_to(df: DataFrame, cc: DataFrame, blocks, cc_key: str, df_key: str) -> DataFrame:
-    """For a literal block list, restrict ``df`` to the areas the blocks
-    reach (a pushed-down ``IN`` filter); frames of selections are left to the
-    join."""
-    if isinstance(blocks, DataFrame):
-        return df
-    keys = reachable_keys(cc, cc_key)
-    return df if keys is None else df.filter(F.col(df_key).isin(keys))
-
-
-def order_nulls_last(df: DataFrame, cols) -> DataFrame:
-    """ORDER BY with NULLs after values (Spark's ascending default is NULLS FIRST)."""
-    return df.orderBy(*[F.col(c).asc_nulls_last() for c in cols])
+                                          check_members, select_blocks)
 
 
 # ---------------------------------------------------------------- T1 ------
@@ -63,7 +48,6 @@ def apportioned_distribution(measure: DataFrame, concord: DataFrame, blocks,
         measure = measure.filter(F.col("year").isin(yrs))
     shares = (cc.groupBy(*sel, "sa1_7dig", "year")
                 .agg(F.sum("per_pct").alias("share")))
-    measure = _prune_to(measure, cc, blocks, "sa1_7dig", "sa1_7dig")
     m = measure.select("sa1_7dig", "year", "eq_income_yearly", "eq_income_weekly", "value")
     joined = m.join(shares, ["sa1_7dig", "year"], "inner")
     out = (joined.groupBy(*sel, "eq_income_yearly", "eq_income_weekly", "year")
@@ -103,7 +87,7 @@ def weighted_index(index: DataFrame, concord: DataFrame, blocks,
         cc = cc.filter(F.col("year").isin(yrs))
     key = ["sa1_main", "year"] if join_year else ["sa1_main"]
     cc = cc.select(*sel, "sa1_main", "sa1_persons", "year").distinct()
-    idx = _prune_to(index, cc, blocks, "sa1_main", "sa1_main").filter(F.col("value").isNotNull())
+    idx = index.filter(F.col("value").isNotNull())
     if index_types is not None:
         idx = idx.filter(F.col("seifaindextype").isin(
             check_members("seifaindex", index_types, supported_index_types)))
@@ -170,6 +154,10 @@ AREA_SERIES_SPECS = {
 # ---------------------------------------------------------------------------
 
 
+def unknown_series(table: str) -> ValueError:
+    return ValueError(f"no area series is laid out for table {table!r}; known: " + ", ".join(AREA_SERIES_SPECS))
+
+
 def area_series(fact: DataFrame, concord: DataFrame, blocks,
                 table: str = "jobseeker_monthly_payments_sa2",
                 spec: SeriesSpec | None = None, ordered: bool = True,
@@ -186,19 +174,16 @@ def area_series(fact: DataFrame, concord: DataFrame, blocks,
     Plan: the selected concordance is made distinct on (selection, join key,
     kept columns) before the join - one row per area and label, however many
     blocks reach it - so the join does not multiply fact rows; it is small
-    and AQE broadcasts it from its measured size.  With ``ordered`` one range
-    shuffle on the sort keys serves both the result DISTINCT and the global
-    order (sort within partitions); the range keys continue with the other
-    output columns, so even many rows of one area and period are split.  Unordered, the DISTINCT is a hash
-    shuffle on whole rows after a map-side pass.
+    and AQE broadcasts it from its measured size.  The result DISTINCT has a
+    map-side pass; with ``ordered`` its rows are then range-sorted on the sort
+    keys and, behind them, all other columns, so a hot area or period is split.
     """
     if spec is None:
         if table not in AREA_SERIES_SPECS:
-            raise ValueError("table should be one of: " + ", ".join(AREA_SERIES_SPECS))
+            raise unknown_series(table)
         spec = AREA_SERIES_SPECS[table]
     cc, sel = select_blocks(concord, blocks)
     cc = (cc.select(*sel, F.col(spec.concord_key).alias("_k"), *spec.concord_cols).distinct())
-    fact = _prune_to(fact, cc, blocks, "_k", spec.fact_key)
     if stored_date and "month_date" in fact.columns:
         fact = fact.withColumn(spec.period, F.col("month_date"))
     f = fact.select(F.col(spec.fact_key).alias("_k"),
@@ -217,14 +202,11 @@ def area_series(fact: DataFrame, concord: DataFrame, blocks,
     rows = joined.select(*cols)
     renamed = dict(spec.renames)
     if ordered:
-        # one range shuffle on the sort keys serves both the DISTINCT (its keys
-        # include them) and the global order; a hot area or period is still
-        # split by the remaining sort keys
+        # the DISTINCT is reduced map-side before its shuffle; only its result is sorted
         inverse = {v: k for k, v in renamed.items()}
         first = [inverse.get(c, c) for c in [*sel, *spec.order]]
         rest = [c for c in rows.columns if c not in first]   # tie-breakers: whole rows
-        keys = [F.col(c).asc_nulls_last() for c in [*first, *rest]]
-        rows = rows.repartitionByRange(*keys).distinct().sortWithinPartitions(*keys)
+        rows = rows.distinct().orderBy(*[F.col(c).asc_nulls_last() for c in [*first, *rest]])
     else:
         rows = rows.distinct()
     for old, new in spec.renames:

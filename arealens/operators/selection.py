@@ -73,20 +73,6 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
     return F.broadcast(df) if n <= max_rows and size <= max_bytes else df
 
 
-def reachable_keys(cc: DataFrame, key: str, max_keys: int = MAX_INLINE_IDS) -> list | None:
-    """Distinct ``key`` values of an already block-filtered concordance, if
-    there are at most ``max_keys`` of them (else None).
-
-    Used only for literal block lists, where the count of reachable areas is
-    bounded by the list itself: the keys then become an ``IN`` filter on the
-    area table, pushed into its Parquet scan so row groups of other areas are
-    skipped (manual dynamic pruning for tables not partitioned by area).
-    Runs one small job when the plan is built.
-    """
-    keys = [r[0] for r in cc.select(key).distinct().limit(max_keys + 1).collect()]
-    return keys if len(keys) <= max_keys else None
-
-
 def select_blocks(concord: DataFrame, blocks, block_col: str = "block_id") -> tuple[DataFrame, list[str]]:
     """Keep concordance rows of the selected blocks.
 

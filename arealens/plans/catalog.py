@@ -13,11 +13,12 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from arealens.operators.area import (AREA_SERIES_SPECS, apportioned_distribution, area_series,
-                                     weighted_index)
+                                     unknown_series, weighted_index)
 from arealens.operators.gate import new_periods_only
 from arealens.plans.jobseeker import load_jobseeker
 from arealens.plans.payment_types import load_payment_types
 from arealens.plans.rental import load_rental
+from arealens.sources.tables import load_key, split_unperioded
 
 # --- Fixed values: stored table names. -------------------------------------
 CONCORD_SA1 = "concord.cbsa1mb"
@@ -62,7 +63,7 @@ def area_time_series(spark: SparkSession, blocks, sel_tbl: str = "jobseeker_mont
                      tables=None) -> DataFrame:
     """Time series of the areas the blocks fall in, from the named table."""
     if sel_tbl not in AREA_SERIES_SPECS:
-        raise ValueError("Please use one of the following tables: " + ", ".join(AREA_SERIES_SPECS))
+        raise unknown_series(sel_tbl)
     spec = AREA_SERIES_SPECS[sel_tbl]
     concord = CONCORD_SA2 if spec.concord == "cbsa2" else CONCORD_POSTCODE
     fact = resolve(spark, f"{SERIES_SCHEMAS[sel_tbl]}.{sel_tbl}", tables)
@@ -83,7 +84,11 @@ def append_new(df: DataFrame, name: str, period_col: str = "month_date", tables=
     write, for dry runs and tests."""
     spark = df.sparkSession
     stored = _stored_or_none(spark, name, tables)
-    new = df if stored is None else new_periods_only(df, stored, period_col)
+    keys = load_key(df, period_col)
+    if stored is not None and (missing := [k for k in keys if k not in stored.columns]):
+        raise ValueError(f"table {name} has no column {', '.join(missing)}")
+    df = split_unperioded(df, period_col, None)
+    new = df if stored is None else new_periods_only(df, stored, keys)
     if tables is None:
         if stored is None:
             new.write.mode("append").format("parquet").partitionBy(period_col).saveAsTable(name)

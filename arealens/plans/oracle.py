@@ -2,8 +2,9 @@
 
 They read the driver's views (region nation customer supplier part orders
 lineitem events pages ...) and follow the bindings of
-``arealens.plans.bindings`` directly, without the sheet landing model, so a
-mistake in the Spark operators cannot repeat itself here.
+``arealens.plans.bindings`` directly, without the sheet landing model: areas are
+reached with EXISTS and pre-summed persons, links by splitting pages at "<".
+Period and label patterns of the publishers are fixed values on both sides.
 """
 
 from __future__ import annotations
@@ -55,61 +56,40 @@ SELECT selection_id, eq_income_weekly, eq_income_yearly, CAST(round(sum(dwelling
             END AS INTEGER) AS bucket_rank
 FROM income GROUP BY selection_id, eq_income_yearly, eq_income_weekly, year"""
 
-WEIGHTED = _with(SEL, CBSA1MB) + """,
-cc AS (SELECT DISTINCT sel.selection_id, cc1.sa1_main, cc1.sa1_persons, cc1.year
-       FROM cc1 JOIN sel ON cc1.block_id = sel.block_id),
-seifa AS (
-  SELECT DISTINCT cc.selection_id, CAST(p_partkey AS VARCHAR) AS sa1_main, cc.sa1_persons,
-         p_brand AS seifaindextype, p_type AS seifa_measure,
-         CAST(p_retailprice AS DECIMAL(12,2)) AS seifa_index, cc.year,
-         CAST(p_retailprice AS DECIMAL(12,2)) * cc.sa1_persons AS weight
-  FROM part JOIN cc ON cc.sa1_main = CAST(p_partkey AS VARCHAR)
-  WHERE p_retailprice IS NOT NULL)
-SELECT selection_id, seifaindextype, seifa_measure,
-       CAST(round(sum(weight) / NULLIF(sum(sa1_persons), 0)) AS DOUBLE) AS value, year
-FROM seifa GROUP BY selection_id, seifaindextype, seifa_measure, year"""
-
-AS_SA2 = _with(SEL, CBSA2, OBN) + """,
-fact AS (SELECT CAST(c_nationkey AS VARCHAR) AS sa2_5dig, n_name AS sa2_name,
-                strftime(m, '%B %Y') AS month, o_orderpriority AS series, CAST(count(*) AS DOUBLE) AS value
-         FROM obn GROUP BY ALL),
-js AS (SELECT DISTINCT sel.selection_id, f.sa2_5dig, cc2.sa2_main, cc2.sa2_name,
-              CAST(strptime(replace(f.month, '-', ' '), '%B %Y') AS DATE) AS month, f.series, f.value
-       FROM cc2 JOIN sel ON cc2.block_id = sel.block_id JOIN fact f ON cc2.sa2_5dig = f.sa2_5dig)
-SELECT selection_id, sa2_main, sa2_name, month, series, value FROM js"""
-
-AS_JOBKEEPER = _with(SEL, CBPC, OBN) + """,
-fact AS (SELECT CAST(c_nationkey + 3000 AS VARCHAR) AS postcode, strftime(m, '%B %Y') AS month,
-                count(*) AS applications
-         FROM obn GROUP BY ALL)
-SELECT DISTINCT sel.selection_id, f.postcode,
-       CAST(strptime(replace(f.month, '-', ' '), '%B %Y') AS DATE) AS month, f.applications AS value
-FROM ccp JOIN sel ON ccp.block_id = sel.block_id JOIN fact f ON ccp.abs_postcode = f.postcode"""
-
-AS_POSTCODE = _with(SEL, CBPC, OBN) + """,
-fact AS (SELECT CAST(c_nationkey + 3000 AS VARCHAR) AS postcode, strftime(m, '%B-%Y') AS quarter,
-                o_orderstatus AS series, CAST(count(*) AS DOUBLE) AS value
-         FROM obn GROUP BY ALL)
-SELECT DISTINCT sel.selection_id, f.postcode,
-       CAST(strptime(replace(f.quarter, '-', ' '), '%B %Y') AS DATE) AS quarter, f.series, f.value
-FROM ccp JOIN sel ON ccp.block_id = sel.block_id JOIN fact f ON ccp.abs_postcode = f.postcode"""
-
-AS_SA2_Q = _with(SEL, CBSA2, OBN) + """,
-fact AS (SELECT CAST(c_nationkey AS VARCHAR) AS sa2_5dig, n_name AS sa2_name,
-                strftime(m, '%B-%Y') AS quarter, o_orderstatus AS series, CAST(count(*) AS DOUBLE) AS value
-         FROM obn GROUP BY ALL),
-pt AS (SELECT DISTINCT sel.selection_id, f.sa2_5dig, cc2.sa2_main, cc2.sa2_name,
-              CAST(strptime(replace(f.quarter, '-', ' '), '%B %Y') AS DATE) AS quarter, f.series, f.value
-       FROM cc2 JOIN sel ON cc2.block_id = sel.block_id JOIN fact f ON cc2.sa2_5dig = f.sa2_5dig)
-SELECT selection_id, sa2_main, sa2_name, quarter, series, value FROM pt"""
-
-AS_MAIN = _with(SEL, CBSA2, OBN) + """,
-fact AS (SELECT CAST(c_nationkey + 200000000 AS VARCHAR) AS sa2_main, strftime(m, '%B %Y') AS quarter,
-                o_orderpriority AS series, CAST(count(*) AS DOUBLE) AS value
-         FROM obn GROUP BY ALL)
-SELECT DISTINCT sel.selection_id, f.sa2_main, cc2.sa2_name,
-       CAST(strptime(replace(f.quarter, '-', ' '), '%B %Y') AS DATE) AS quarter, f.series, f.value
-FROM cc2 JOIN sel ON cc2.block_id = sel.block_id JOIN fact f ON cc2.sa2_main = f.sa2_main"""
+# Persons are summed per region, year and part first; an index value then counts once per part.
+WEIGHTED = """
+WITH reached AS (
+  SELECT DISTINCT n_regionkey AS region, l_partkey AS part, year(l_shipdate) AS y
+  FROM lineitem, supplier, nation WHERE s_suppkey = l_suppkey AND n_nationkey = s_nationkey),
+persons AS (SELECT region, y, part, part % 97 + 1 AS p FROM reached),
+sums AS (
+  SELECT region, y, p_brand, p_type, sum(CAST(p_retailprice AS DECIMAL(12,2)) * p) AS top, sum(p) AS bottom
+  FROM persons JOIN part ON p_partkey = part WHERE p_retailprice IS NOT NULL GROUP BY ALL)
+SELECT (SELECT r_name FROM region WHERE r_regionkey = sums.region) AS selection_id, p_brand AS seifaindextype,
+       p_type AS seifa_measure, CAST(round(top / nullif(bottom, 0)) AS DOUBLE) AS value, CAST(y AS INTEGER) AS year
+FROM sums"""
+
+# One row per nation with a supplier (blocks reach their nation), then a count per month of its customers' orders.
+_COUNTS = """
+WITH months AS (
+  SELECT c_nationkey AS nation, CAST(date_trunc('month', o_orderdate) AS DATE) AS m, {series} AS series, count(*) AS n
+  FROM customer, orders WHERE o_custkey = c_custkey GROUP BY ALL),
+areas AS (
+  SELECT n_nationkey AS nation, n_name AS label, (SELECT r_name FROM region WHERE r_regionkey = n_regionkey) AS sel
+  FROM nation WHERE EXISTS (SELECT 1 FROM supplier WHERE s_nationkey = n_nationkey))
+SELECT sel AS selection_id, {columns} FROM areas JOIN months USING (nation)"""
+
+_SA2_MAIN = "CAST(nation + 200000000 AS VARCHAR) AS sa2_main, label AS sa2_name"
+_POSTCODE = "CAST(nation + 3000 AS VARCHAR) AS postcode"
+AS_SA2 = _COUNTS.format(series="o_orderpriority",
+                        columns=f"{_SA2_MAIN}, m AS month, series, CAST(n AS DOUBLE) AS value")
+AS_JOBKEEPER = _COUNTS.format(series="NULL", columns=f"{_POSTCODE}, m AS month, n AS value")
+AS_POSTCODE = _COUNTS.format(series="o_orderstatus",
+                             columns=f"{_POSTCODE}, m AS quarter, series, CAST(n AS DOUBLE) AS value")
+AS_SA2_Q = _COUNTS.format(series="o_orderstatus",
+                          columns=f"{_SA2_MAIN}, m AS quarter, series, CAST(n AS DOUBLE) AS value")
+AS_MAIN = _COUNTS.format(series="o_orderpriority",
+                         columns=f"{_SA2_MAIN}, m AS quarter, series, CAST(n AS DOUBLE) AS value")
 
 STRIP = """
 SELECT p_partkey, replace(p_name, '<', '') AS p_name, replace(p_brand, '<', '') AS p_brand,
@@ -286,21 +266,35 @@ UNION ALL
 SELECT CAST(c_nationkey AS VARCHAR), n_name, strftime(m, '%B %Y'), 'Youth Allowance Payments',
        CASE WHEN ya > 0 THEN CAST(ya AS DOUBLE) END, m FROM g"""
 
-_LINKS = """links AS (
-  SELECT page_id, url, unnest(h) AS href, CAST(unnest(generate_series(1, len(h))) AS INTEGER) AS link_no
-  FROM (SELECT page_id, url, regexp_extract_all({html}, '<a[^>]*href="([^"]*)"', 1) AS h FROM pages))"""
-
-LINKS = "WITH " + _LINKS.format(html="html") + """
-SELECT page_id, link_no, regexp_extract(url, '^(https?://[^/]+)', 1) || href AS href
-FROM links WHERE regexp_matches(href, 'the')"""
-
-LINKS_SCOPED = "WITH " + _LINKS.format(
-    html="coalesce(regexp_extract(html, '(?s)<nav\\b[^>]*>.*?</nav>', 0), '')") + """
-SELECT page_id, link_no, href FROM links"""
-
-NEWEST_LINK = "WITH " + _LINKS.format(html="html") + """
-SELECT page_id, arg_min(href, link_no) AS href, min(link_no) AS link_no
-FROM links WHERE regexp_matches(href, 'e') GROUP BY page_id"""
+# Pages are split at "<"; an anchor is a piece that starts with the tag name.
+_LINKS = """pieces AS (
+  SELECT page_id, url, unnest(p) AS piece, unnest(generate_series(1, len(p))) AS n
+  FROM (SELECT page_id, url, string_split(html, '<') AS p FROM pages)),
+anchors AS (
+  SELECT page_id, url, n,
+         replace(split_part(split_part(piece, 'href="', 2), '"', 1), '&amp;', '&') AS href
+  FROM pieces WHERE starts_with(piece, 'a ') AND contains(split_part(piece, '>', 1), 'href="')),
+links AS (
+  SELECT page_id, url, href, n, CAST(row_number() OVER (PARTITION BY page_id ORDER BY n) AS INTEGER) AS link_no
+  FROM anchors)"""
+
+LINKS = "WITH " + _LINKS + """
+SELECT page_id, link_no, split_part(url, '/', 1) || '//' || split_part(url, '/', 3) || href AS href
+FROM links WHERE contains(href, 'the')"""
+
+# Inside a nav: more opening than closing tags of it before the anchor.
+LINKS_SCOPED = "WITH " + _LINKS + """,
+marks AS (
+  SELECT page_id, n, CASE WHEN starts_with(piece, 'nav>') OR starts_with(piece, 'nav ') THEN 1 ELSE -1 END AS step
+  FROM pieces WHERE starts_with(piece, 'nav>') OR starts_with(piece, 'nav ') OR starts_with(piece, '/nav>')),
+inside AS (
+  SELECT l.page_id, l.href, l.n FROM links l JOIN marks m ON m.page_id = l.page_id AND m.n < l.n
+  GROUP BY l.page_id, l.href, l.n HAVING sum(m.step) > 0)
+SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY n) AS INTEGER) AS link_no, href FROM inside"""
+
+NEWEST_LINK = "WITH " + _LINKS + """
+SELECT page_id, href, link_no FROM links WHERE contains(href, 'e')
+QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY link_no) = 1"""
 
 SHEET_PICK = f"""
 WITH mm AS (SELECT DISTINCT CAST(date_trunc('month', l_shipdate) AS DATE) AS m FROM lineitem)
@@ -308,15 +302,13 @@ SELECT 'https://data.example.org/dss-demographics-' || {_TOKEN} || '.xlsx' AS so
        CAST(1 AS BIGINT) AS n_sheets
 FROM mm"""
 
-PENDING = "WITH " + _LINKS.format(html="html") + """,
-first AS (SELECT page_id, arg_min(href, link_no) AS href, min(link_no) AS link_no,
-                 any_value(url) AS url
-          FROM links WHERE regexp_matches(href, 'e') GROUP BY page_id),
-newest AS (SELECT lower(strftime(max(date_trunc('month', o_orderdate)), '%B-%Y')) AS label
-           FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)
-SELECT page_id, regexp_extract(url, '^(https?://[^/]+)', 1) || href AS href, link_no,
-       label AS newest, contains(regexp_extract(url, '^(https?://[^/]+)', 1) || href, label) AS already_loaded
-FROM first, newest"""
+PENDING = "WITH " + _LINKS + """,
+label AS (SELECT lower(strftime(max(o_orderdate), '%B-%Y')) AS newest FROM orders
+          WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_nationkey IN (SELECT n_nationkey FROM nation)))
+SELECT page_id, split_part(url, '/', 1) || '//' || split_part(url, '/', 3) || href AS href, link_no, newest,
+       strpos(split_part(url, '/', 1) || '//' || split_part(url, '/', 3) || href, newest) > 0 AS already_loaded
+FROM links, label WHERE contains(href, 'e')
+QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY link_no) = 1"""
 
 ORACLE_SQL = {
     "apportioned_distribution": APPORTIONED,

@@ -74,26 +74,29 @@ def payment_layout(sheet_rows: DataFrame) -> DataFrame:
                     period_to_date(quarter).alias("month_date"))
 
 
-def load_payment_types_all(sheet_rows: DataFrame, compare: str = "numeric") -> DataFrame:
+def load_payment_types_all(sheet_rows: DataFrame, compare: str = "numeric",
+                           with_source: bool = False) -> DataFrame:
     """Every geography of every publication in one plan:
-    (geography, code, name, quarter, series, value, month_date)."""
+    (geography, code, name, quarter, series, value, month_date);
+    ``with_source`` adds ``source_url``."""
+    source = ["source_url"] if with_source else []
     rows = sheet_table(sheet_rows, PAYMENT_SKIP, header=payment_layout(sheet_rows))
     wide = (rows.withColumn("code", strip_marker(id_cell(0)))
                 .withColumn("name", strip_marker(id_cell(1)))
                 .filter(F.col("code").isNotNull())
                 .filter(F.col("code").startswith(F.col("prefix"))))
-    long = (explode_values(wide, ["geography", "quarter", "month_date", "code", "name"])
+    long = (explode_values(wide, [*source, "geography", "quarter", "month_date", "code", "name"])
                 .withColumn("value", strip_marker("value")))
     if compare == "text":
         long = long.filter(~F.col("series").isin(list(PAYMENT_NUMERIC_SERIES))
                            | lenient_number("value").isNotNull())
     long = keep_positive(long, "value", compare)
-    return long.select("geography", "code", "name", "quarter", "series",
+    return long.select(*source, "geography", "code", "name", "quarter", "series",
                        lenient_number("value").alias("value"), "month_date")
 
 
 def load_payment_types(sheet_rows: DataFrame, geography: str = "sa2",
-                       compare: str = "numeric") -> DataFrame:
+                       compare: str = "numeric", with_source: bool = False) -> DataFrame:
     """Long rows (code[, name], quarter, series, value, month_date) of one
     geography, named as its stored table.  ``compare="text"`` keeps the
     all-text positivity test of the original load (see ``keep_positive``).
@@ -103,7 +106,7 @@ def load_payment_types(sheet_rows: DataFrame, geography: str = "sa2",
     g = PAYMENT_GEOGRAPHIES[geography]
     # only sheets whose name can serve this geography; drops the others' rows at the scan
     picked = pick_sheets(sheet_rows, name_contains=g["sheet"])
-    rows = load_payment_types_all(picked, compare).filter(F.col("geography") == geography)
-    return rows.select(F.col("code").alias(g["out_code"]),
+    rows = load_payment_types_all(picked, compare, with_source).filter(F.col("geography") == geography)
+    return rows.select(*(["source_url"] if with_source else []), F.col("code").alias(g["out_code"]),
                        *([F.col("name").alias(g["out_name"])] if g["name"] else []),
                        "quarter", "series", "value", "month_date")

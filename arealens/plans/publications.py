@@ -17,12 +17,13 @@ from arealens.sources.links import first_link
 
 def pending_publications(pages: DataFrame, stored: DataFrame, keep: str | None = None,
                          container: str | None = None, prefix=None, date_col: str = "month_date",
-                         mode: str = "contains", period=None) -> DataFrame:
+                         mode: str = "later", period=None) -> DataFrame:
     """(page_id, href, link_no, newest..., already_loaded) for each page's
-    newest matching link.  ``mode="later"`` needs ``period``: a Column
-    computing the link's period date from ``href``."""
+    newest matching link.  ``mode="later"`` (default) compares the link's
+    period - ``period``, a Column computed from ``href``, or what the payment
+    file names' pattern finds in it - with the newest stored one."""
     links = first_link(pages, keep=keep, container=container, prefix=prefix)
-    if mode == "later":
+    if mode == "later" and period is not None:
         links = links.withColumn("period", period)
         return freshness_gate(links, stored, "href", period_col="period", date_col=date_col,
                               mode="later")

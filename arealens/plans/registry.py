@@ -23,7 +23,6 @@ from arealens.plans.jobseeker import jobseeker_month, load_jobseeker
 from arealens.plans.payment_types import load_payment_types, payment_period
 from arealens.plans.publications import pending_publications
 from arealens.plans.rental import load_rental, rental_period
-from arealens.session import use_policy
 from arealens.sources.links import first_link, link_inventory
 from arealens.sources.sheets import pick_sheets, sheets_per_source
 
@@ -179,7 +178,8 @@ def _candidates(spark, d):
 
 def q_freshness_gate(spark, d):
     """Ship-month publications gated on the newest stored label (contains)."""
-    return freshness_gate(_candidates(spark, d), b.payment_types_pc_fact(spark, d), "url")
+    return freshness_gate(_candidates(spark, d), b.payment_types_pc_fact(spark, d), "url",
+                          mode="contains")
 
 
 def q_freshness_gate_later(spark, d):
@@ -218,7 +218,7 @@ def q_newest_link(spark, d):
 def q_pending_publications(spark, d):
     """Newest link of every page, gated on the newest stored payment period."""
     return pending_publications(b.table(spark, d, "pages"), b.payment_types_pc_fact(spark, d),
-                                keep="e", prefix=_host())
+                                keep="e", prefix=_host(), mode="contains")
 
 
 def q_sheet_pick_check(spark, d):
@@ -256,14 +256,5 @@ def q_rental_load_suburb(spark, d):
     return load_rental(b.rental_sheets(spark, d, "suburb"), "suburb")
 
 
-def _with_policy(fn):
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        use_policy(spark)
-        return fn(spark, sf_dir)
-    run.__name__ = fn.__name__
-    run.__doc__ = fn.__doc__
-    return run
-
-
-QUERIES = {name[2:]: _with_policy(fn) for name, fn in list(globals().items())
+QUERIES = {name[2:]: fn for name, fn in list(globals().items())
            if name.startswith("q_") and callable(fn)}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from arealens.operators.gate import new_periods_only
 
@@ -34,37 +35,75 @@ def write_clustered(df: DataFrame, path: str, by, mode: str = "overwrite",
     clustered(df, by, partitions).write.mode(mode).format(fmt).save(path)
 
 
+#: Column naming the publication a row came from; part of a load's key where present.
+SOURCE_COLUMN = "source_url"
+_NOTHING_STORED = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
+def load_key(df: DataFrame, period_col: str, by=()) -> list[str]:
+    """What makes a load's rows new: leading partitions, period and publication."""
+    keys = [*([by] if isinstance(by, str) else by), period_col]
+    return keys + [SOURCE_COLUMN] if SOURCE_COLUMN in df.columns and SOURCE_COLUMN not in keys else keys
+
+
+def stored_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
+    """The table at ``path``; None only where nothing is stored there yet."""
+    try:
+        return spark.read.format(fmt).load(path)
+    except AnalysisException as e:
+        if e.getCondition() in _NOTHING_STORED:
+            return None
+        raise
+
+
+def split_unperioded(df: DataFrame, period_col: str, quarantine: str | None, fmt: str = "parquet") -> DataFrame:
+    """``df`` without rows that have no period.  They go to ``quarantine`` (a
+    path); without one, their presence fails the load before anything is
+    written."""
+    lost = df.filter(F.col(period_col).isNull())
+    if quarantine is not None:
+        lost.write.mode("append").format(fmt).save(quarantine)
+    elif not lost.isEmpty():
+        raise ValueError(f"rows without a period in {period_col!r}; name a quarantine path to set them aside")
+    return df.filter(F.col(period_col).isNotNull())
+
+
 def append_table(df: DataFrame, path: str, period_col: str = "month_date",
                  only_new: bool = True, fmt: str = "parquet",
-                 replace_periods: bool = False, cluster_by=None, by=()) -> None:
+                 replace_periods: bool = False, cluster_by=(), by=(),
+                 quarantine: str | None = None) -> None:
     """Append ``df`` partitioned by its period column.
 
-    With ``only_new`` the rows of periods already stored are removed first
-    (anti join on the distinct stored periods), so a re-run or a retried job
-    after a lost executor adds nothing twice.  ``replace_periods`` instead
-    rewrites exactly the periods present in ``df`` (dynamic partition
-    overwrite) - for a corrected re-publication.  ``cluster_by`` (columns)
-    range-partitions the rows on (period, *cluster_by) first, so each period
-    is written as few, well-clustered files while a large period is still
-    spread over several tasks.  ``by`` adds leading partition columns (e.g.
-    ``["geography"]``): several outputs are then written by one job into one
-    dataset, each gated on its own stored periods.  Spark's file commit
-    protocol makes each write all-or-nothing.
+    With ``only_new`` the rows whose key is already stored are removed first,
+    so a re-run or a retried job after a lost executor adds nothing twice.
+    The key is ``by``, the period and, where ``df`` has it, ``source_url``: a
+    second publication of a period is new, a second load of the same one is
+    not.  ``replace_periods`` instead rewrites exactly the periods present in
+    ``df`` (dynamic partition overwrite) - for a corrected re-publication.
+    Rows are range-partitioned on the partition columns (and ``cluster_by``)
+    first, so each period is written as few files while a large period is
+    still spread over several tasks; ``cluster_by=None`` writes them as they
+    come.  ``by`` adds leading partition columns (e.g. ``["geography"]``):
+    several outputs are then written by one job into one dataset.  Rows
+    without a period go to ``quarantine`` or fail the load.  A stored table
+    without a key column fails it too.  Spark's file commit protocol makes
+    each write all-or-nothing.
     """
-    keys = [*([by] if isinstance(by, str) else by), period_col]
+    partitions = [*([by] if isinstance(by, str) else by), period_col]
     spark = df.sparkSession
-    if cluster_by:
-        df = clustered(df, [*keys, *([cluster_by] if isinstance(cluster_by, str) else cluster_by)])
+    out = split_unperioded(df, period_col, quarantine, fmt)
+    if only_new and not replace_periods:
+        stored = stored_table(spark, path, fmt)
+        if stored is not None:
+            keys = load_key(df, period_col, by)
+            missing = [k for k in keys if k not in stored.columns]
+            if missing:
+                raise ValueError(f"the stored table has no column {', '.join(missing)}")
+            out = new_periods_only(out, stored, keys)
+    if cluster_by is not None:
+        out = clustered(out, [*partitions, *([cluster_by] if isinstance(cluster_by, str) else cluster_by)])
+    write = out.write.partitionBy(*partitions).format(fmt)
     if replace_periods:
-        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy(*keys).format(fmt).save(path))
-        return
-    out = df
-    if only_new:
-        try:
-            stored = spark.read.format(fmt).load(path)
-        except AnalysisException:  # first load: nothing stored yet
-            stored = None
-        if stored is not None and all(k in stored.columns for k in keys):
-            out = new_periods_only(df, stored, keys)
-    out.write.mode("append").partitionBy(*keys).format(fmt).save(path)
+        write.mode("overwrite").option("partitionOverwriteMode", "dynamic").save(path)
+    else:
+        write.mode("append").save(path)

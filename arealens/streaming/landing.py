@@ -7,8 +7,8 @@ a batch, so a publication must not be split across files.  A file-source stream
 every file not seen before and stops; its checkpoint (under the cluster's
 ``spark.checkpoint.dir``) remembers which files were loaded, so a scheduler
 can simply start it again.  Each micro-batch is cleaned by the given plan
-and appended with the period anti-join, so a batch replayed after a failure
-adds nothing twice.
+and appended with an anti-join on period and publication, so a batch replayed
+after a failure adds nothing twice.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from arealens.schemas import SHEET_ROWS
 from arealens.session import checkpoint_dir
-from arealens.sources.tables import append_table
+from arealens.sources.tables import SOURCE_COLUMN, append_table
 
 
 def write_publication(rows: DataFrame, landing_dir: str, name: str) -> None:
@@ -40,25 +40,32 @@ def sheets_without_header(batch: DataFrame, header_row: int) -> DataFrame:
 
 
 def incremental_load(spark: SparkSession, landing_dir: str, plan: Callable[[DataFrame], DataFrame],
-                     sink_path: str, name: str, period_col: str = "month_date",
-                     max_files_per_trigger: int | None = None,
-                     header_row: int | None = None) -> StreamingQuery:
+                     sink_path: str, name: str, header_row: int, period_col: str = "month_date",
+                     max_files_per_trigger: int | None = None, by=(),
+                     quarantine: str | None = None) -> StreamingQuery:
     """Start the stream; call ``awaitTermination()`` on the result to wait
-    until every available file is loaded.  ``max_files_per_trigger`` bounds
-    the batch size; it is safe because each file is a whole publication.
-    With ``header_row`` (the plan's ``skip + 1``) each batch is checked first:
-    a sheet whose header row is missing fails the batch, so its files stay
-    unprocessed instead of losing body rows."""
+    until every available file is loaded.
+
+    ``plan``'s rows carry ``source_url``: together with ``by`` and the period
+    it is the load's key, so the result is the same whether
+    ``max_files_per_trigger`` bounds the batches or not.  ``header_row`` is the
+    plan's ``skip + 1``: a sheet whose header row is not in its batch fails the
+    batch, so its files stay unprocessed instead of losing body rows.  Rows
+    without a period go to ``quarantine`` or fail the batch."""
     reader = spark.readStream.schema(SHEET_ROWS)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     rows = reader.parquet(landing_dir)
 
     def load_batch(batch: DataFrame, epoch_id: int) -> None:
-        if header_row is not None and sheets_without_header(batch, header_row).limit(1).count():
+        if not sheets_without_header(batch, header_row).isEmpty():
             raise ValueError(f"batch {epoch_id}: a sheet's header row is in another file; "
                              "land each publication as one file")
-        append_table(plan(batch), sink_path, period_col, only_new=True)
+        out = plan(batch)
+        if SOURCE_COLUMN not in out.columns:
+            raise ValueError(f"the plan's rows need {SOURCE_COLUMN}: loads of one period by several files "
+                             "can't be told apart without it")
+        append_table(out, sink_path, period_col, only_new=True, by=by, quarantine=quarantine)
 
     location = f"{checkpoint_dir(spark)}/streams/{name}"
     return (rows.writeStream.foreachBatch(load_batch)

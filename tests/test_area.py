@@ -134,21 +134,21 @@ def test_bounded_broadcast_only_below_the_bound(spark):
     assert selection.bounded_broadcast(wide, 10, max_bytes=1000) is wide
 
 
-def test_literal_block_lists_push_the_reached_areas_into_the_area_scan(spark, scratch):
-    import os
-    path = os.path.join(scratch, "income")
-    income(spark).write.parquet(path)
-    measure = spark.read.parquet(path)
-    out = apportioned_distribution(measure, cbsa1mb(spark), ["83"])
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "In(sa1_7dig, [2100002])" in plan or "EqualTo(sa1_7dig,2100002)" in plan
-    assert [r.value for r in out.collect()] == [4.0, 3.0]
-
+def test_list_and_frame_selections_agree_after_the_concordance_grows(spark, scratch):
+    fact = spark.createDataFrame([("a1", "March 2020", "s", 1.0), ("a2", "March 2020", "s", 2.0)],
+                                 "sa2_5dig string, month string, series string, value double")
+    path = scratch + "/concord"
+    kind = "block_id string, sa2_5dig string, sa2_main string, sa2_name string"
+    spark.createDataFrame([("73", "a1", "m1", "n1")], kind).write.parquet(path + "/p=1")
+    cc = spark.read.schema(kind).parquet(path + "/*")
+    frame = spark.createDataFrame([("73",)], "block_id string")
+    args = "jobseeker_monthly_payments_sa2"
+    listed, framed = area_series(fact, cc, ["73"], args), area_series(fact, cc, frame, args)
+    assert listed.count() == framed.count() == 1
+    spark.createDataFrame([("73", "a2", "m2", "n2")], kind).write.parquet(path + "/p=2")
+    cc = spark.read.schema(kind).parquet(path + "/*")
+    assert area_series(fact, cc, ["73"], args).count() == area_series(fact, cc, frame, args).count() == 2
 
-def test_reachable_keys_are_bounded(spark):
-    cc = spark.range(50).select(F.col("id").cast("string").alias("sa1_7dig"))
-    assert sorted(selection.reachable_keys(cc, "sa1_7dig", max_keys=60)) == sorted(str(i) for i in range(50))
-    assert selection.reachable_keys(cc, "sa1_7dig", max_keys=10) is None
 
 
 def test_area_series_can_read_the_stored_date(spark):

@@ -1,6 +1,8 @@
 import datetime as dt
 import os
 
+from pyspark.sql import functions as F
+
 
 from arealens import schemas as S
 from arealens.operators.gate import (current_period_rows, freshness_gate, new_periods_only,
@@ -9,7 +11,7 @@ from arealens.plans.payment_types import load_payment_types
 from arealens.sources.tables import append_table, read_table, write_clustered
 from arealens.streaming import incremental_load
 from conftest import rows
-from fixtures import PAYMENT_SA2, sheet, sheet_rows
+from fixtures import PAYMENT_SA2, RENTAL_SHEET, sheet, sheet_rows
 
 
 def _stored(spark):
@@ -32,11 +34,11 @@ def test_freshness_gate_both_rules(spark):
                                   ("https://x/dec-2019.xlsx", dt.date(2019, 12, 1)),
                                   ("https://x/march2020.xlsx", dt.date(2020, 3, 1))],
                                  "url string, period date")
-    contains = [r.already_loaded for r in freshness_gate(cand, _stored(spark), "url").collect()]
-    assert contains == [True, False, False]  # the published rule misses "dec-2019"
+    contains = [r.already_loaded for r in freshness_gate(cand, _stored(spark), "url", mode="contains").collect()]
+    assert contains == [True, True, False]  # "dec-2019" is the stored period too
     later = freshness_gate(cand, _stored(spark), "url", period_col="period", mode="later")
     assert [r.already_loaded for r in later.collect()] == [True, True, False]
-    plan = freshness_gate(cand, _stored(spark), "url")._jdf.queryExecution().optimizedPlan().toString()
+    plan = freshness_gate(cand, _stored(spark), "url", mode="contains")._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan  # scalar subquery, no join
 
 
@@ -80,17 +82,17 @@ def test_incremental_stream_loads_each_file_once(spark, scratch):
     write_publication(sheet_rows(spark, first), landing, "p1")
 
     def plan(batch):
-        return load_payment_types(batch, "sa2")
+        return load_payment_types(batch, "sa2", with_source=True)
 
     from arealens.sources import read_sheet_rows
     assert read_sheet_rows(spark, os.path.join(landing, "p1")).count() == len(first)
 
-    q = incremental_load(spark, landing + "/*", plan, sink, "payments-test")
+    q = incremental_load(spark, landing + "/*", plan, sink, "payments-test", header_row=3)
     q.awaitTermination()
     assert read_table(spark, sink).count() == 3
     second = sheet("https://h/dss-demographics-march2022.xlsx", "SA2", 1, PAYMENT_SA2)
     write_publication(sheet_rows(spark, second), landing, "p2")
-    q = incremental_load(spark, landing + "/*", plan, sink, "payments-test")
+    q = incremental_load(spark, landing + "/*", plan, sink, "payments-test", header_row=3)
     q.awaitTermination()
     got = read_table(spark, sink).groupBy("quarter").count().collect()
     assert {(r.quarter, r["count"]) for r in got} == {("December-2021", 3), ("March-2022", 3)}
@@ -136,20 +138,83 @@ def test_pending_publications_from_pages(spark):
     assert rows(later, "page_id", "already_loaded") == [(1, True), (2, False)]
 
 
-def test_stream_in_several_batches_loads_each_period_once(spark, scratch):
-    landing = os.path.join(scratch, "landing")
-    sink = os.path.join(scratch, "sink")
+def _stream(spark, landing, plan, sink, name, **options):
+    incremental_load(spark, landing + "/*", plan, sink, name, **options).awaitTermination()
+    return sorted(tuple(r) for r in read_table(spark, sink).groupBy("source_url", "month_date").count().collect())
+
+
+def test_batch_size_does_not_change_a_payment_load(spark, scratch):
     from arealens.streaming import write_publication
+    landing = os.path.join(scratch, "landing")
     for i, url in enumerate(["https://h/dss-demographics-december-2021.xlsx",
                              "https://h/dss-demographics-march2022.xlsx",
                              "https://h/dss-demographics-dec-2021-revised.xlsx"]):  # same period again
         write_publication(sheet_rows(spark, sheet(url, "SA2", 1, PAYMENT_SA2)), landing, f"p{i}")
-    q = incremental_load(spark, landing + "/*", lambda b: load_payment_types(b, "sa2"), sink,
-                         "payments-batches", max_files_per_trigger=1)
-    q.awaitTermination()
-    assert len(q.recentProgress) >= 3
-    got = read_table(spark, sink).groupBy("quarter").count().collect()
-    assert {(r.quarter, r["count"]) for r in got} == {("December-2021", 3), ("March-2022", 3)}
+
+    def plan(batch):
+        return load_payment_types(batch, "sa2", with_source=True)
+
+    one = _stream(spark, landing, plan, os.path.join(scratch, "one"), "pay-one", header_row=3,
+                  max_files_per_trigger=1)
+    every = _stream(spark, landing, plan, os.path.join(scratch, "all"), "pay-all", header_row=3)
+    assert one == every and [r[2] for r in one] == [3, 3, 3]
+
+
+def test_batch_size_does_not_change_a_rental_load(spark, scratch):
+    from arealens.plans.rental import load_rental_all
+    from arealens.streaming import write_publication
+    landing = os.path.join(scratch, "landing")
+    for name in ("quarterly", "suburb"):
+        recs = []
+        for no in range(1, 8):
+            recs += sheet(f"https://h/{name}-rent-September-quarter-2021.xlsx", f"Table {no}", no, RENTAL_SHEET)
+        write_publication(sheet_rows(spark, recs), landing, name)
+
+    def plan(batch):
+        return load_rental_all(batch, with_source=True)
+
+    one = _stream(spark, landing, plan, os.path.join(scratch, "one"), "rent-one", header_row=2,
+                  max_files_per_trigger=1, by=["geography"])
+    every = _stream(spark, landing, plan, os.path.join(scratch, "all"), "rent-all", header_row=2, by=["geography"])
+    assert one == every and len(one) == 2 and all(r[2] > 0 for r in one)
+
+
+def test_rows_without_a_period_fail_or_go_to_quarantine(spark, scratch):
+    import pytest
+    df = _stored(spark).select("postcode", "quarter", "series", "value", "month_date")
+    bad = spark.createDataFrame([("3000", "no period", "s", 1.0, None)], df.schema)
+    path, aside = os.path.join(scratch, "t"), os.path.join(scratch, "aside")
+    good = df.filter("month_date IS NOT NULL")
+    with pytest.raises(ValueError):
+        append_table(good.unionByName(bad), path)
+    assert not os.path.exists(path)
+    for _ in range(2):
+        append_table(good.unionByName(bad), path, quarantine=aside)
+    assert read_table(spark, path).count() == good.count()
+    assert read_table(spark, aside).count() == 2  # every attempt is kept aside
+
+
+def test_null_keys_are_not_appended_twice(spark):
+    df = _stored(spark)
+    with_null = df.unionByName(df.limit(1).withColumn("month_date", F.lit(None).cast("date")))
+    assert new_periods_only(with_null, with_null).count() == 0
+
+
+def test_stored_table_without_a_key_column_fails(spark, scratch):
+    import pytest
+    path = os.path.join(scratch, "t")
+    good = _stored(spark).filter("month_date IS NOT NULL")
+    append_table(good, path)
+    with pytest.raises(ValueError):
+        append_table(good.withColumn("source_url", F.lit("u")), path)
+
+
+def test_abbreviated_period_is_the_stored_one(spark):
+    cand = spark.createDataFrame([("https://x/dss-dec-2019.xlsx",), ("https://x/dss-march2020.xlsx",),
+                                  ("https://x/none.xlsx",)], "url string")
+    for mode in ("contains", "later"):
+        got = [r.already_loaded for r in freshness_gate(cand, _stored(spark), "url", mode=mode).collect()]
+        assert got == [True, False, False]
 
 
 def test_first_load_has_nothing_stored(spark):
@@ -181,7 +246,7 @@ def test_stream_refuses_a_batch_with_a_split_sheet(spark, scratch):
     # the header (row 3) and the body land in different files
     sheet_rows(spark, recs[:3]).coalesce(1).write.parquet(os.path.join(landing, "a"))
     sheet_rows(spark, recs[3:]).coalesce(1).write.parquet(os.path.join(landing, "b"))
-    q = incremental_load(spark, landing + "/*", lambda b: load_payment_types(b, "sa2"),
+    q = incremental_load(spark, landing + "/*", lambda b: load_payment_types(b, "sa2", with_source=True),
                          os.path.join(scratch, "sink"), "split-check", max_files_per_trigger=1,
                          header_row=3)
     with pytest.raises(StreamingQueryException):
