@@ -55,6 +55,14 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def hash_sample(df: DataFrame, rows: int, total: int, *columns: str) -> DataFrame:
+    """About ``rows`` of ``total`` rows, those with the smallest hash of ``columns``:
+    the same rows whatever the partitions."""
+    if total <= rows:
+        return df
+    return df.filter(F.pmod(F.xxhash64(*columns), F.lit(1 << 30)) < F.lit(int((1 << 30) * rows / total)))
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z, every other character unchanged."""
     return F.translate(text, UPPER, LOWER)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, hash_sample
 
 BLOCK = 8192  # vectors or queries of a task's block
 
@@ -152,8 +152,8 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, curves: int = 8, s
     if not n_asks:
         return asks.select("query_id", F.lit(0).alias("rank"), F.col("query_id").alias(id_col),
                            F.lit(0.0).alias("score")).limit(0)
-    sample = np.array([r[0] for r in classes.orderBy(F.xxhash64("cls")).limit(sample_rows)
-                       .select("vec").collect()])
+    sample = np.array([r["vec"] for r in sorted(
+        hash_sample(classes.select("cls", "vec"), sample_rows, n, "cls").collect(), key=lambda r: r["cls"])])
     plan = Orderings(sample, curves, segments, dims, bits, seed)
     blocks = math.ceil(n / segments / BLOCK)
     ask_blocks = math.ceil(3 * n_asks / segments / BLOCK)

@@ -110,11 +110,10 @@ def fit(labelled: DataFrame, per_language: int = 600, per_class: int = 4, max_la
                 [batch.column("lang"), batch.column("draw"), pa.array(tf, pa.binary()),
                  pa.array([n for _, n in got], pa.int64())], names=["lang", "draw", "tf", "letters"])
 
-    # Twice the sample is drawn by hash, and the first of each language are kept: the bound is hard.
+    # About twice the sample is drawn by hash, and the first of each language are kept.
     rows = sorted(
         ((r["lang"], r["draw"], bytes(r["tf"]), r["letters"]) for r in
-         sample.select("text", "lang", draw.alias("draw")).orderBy("draw")
-         .limit(2 * per_language * len(sizes)).mapInArrow(
+         sample.select("text", "lang", draw.alias("draw")).mapInArrow(
              run, "lang string, draw long, tf binary, letters long").filter("letters > 0").toLocalIterator()),
         key=lambda r: (r[0], r[1], r[2]))
     taken, seen = [], {}

@@ -6,6 +6,9 @@ prunes next to nothing at radius 4: half of the rows lie in the overlap of
 every split.  The fingerprint is therefore cut into ``blocks`` parts; two
 fingerprints within ``max_bits`` differ by at most ``max_bits // blocks`` in
 one of them, and each part has its own tree with that much smaller radius.
+With more blocks than ``max_bits`` that radius is 0: the bounds prune all
+branches but one and a fingerprint lies in one shard per block.  With fewer
+blocks the shards overlap at their boundaries (same pairs, more rows).
 
 * Fitting: vantage points and median radii come from a bounded sample of
   fingerprints (``sample_rows``); they decide only how rows are dealt.
@@ -30,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, small, text_key
+from .common import cut, hash_sample, small, text_key
 from .graph import components
 
 PIECE = 1 << 16  # shingles hashed at a time
@@ -108,6 +111,9 @@ def deal(tree, values: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]
     """(row, leaf) of every row in every leaf that its ball may reach."""
     rows, at = [], []
 
+    # few distinct values: a block of 13 bits has 8192
+    values, where = np.unique(values, return_inverse=True)
+
     def walk(node, own: np.ndarray) -> None:
         if not len(own):
             return
@@ -122,7 +128,15 @@ def deal(tree, values: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]
 
     walk(tree, np.arange(len(values)))
     none = np.zeros(0, np.int64)
-    return np.concatenate(rows or [none]), np.concatenate(at or [none])
+    value, leaf = np.concatenate(rows or [none]), np.concatenate(at or [none])
+    # from (value, leaf) to (row, leaf): every row of a value goes where the value does
+    by_value = np.argsort(value, kind="stable")
+    value, leaf = value[by_value], leaf[by_value]
+    first = np.searchsorted(value, where)
+    count = np.searchsorted(value, where, side="right") - first
+    row = np.repeat(np.arange(len(where)), count)
+    step = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+    return row, leaf[np.repeat(first, count) + step]
 
 
 def spanning_links(fps: np.ndarray, max_bits: int) -> tuple[list[int], list[int]]:
@@ -149,7 +163,7 @@ def spanning_links(fps: np.ndarray, max_bits: int) -> tuple[list[int], list[int]
     return left, right
 
 
-def hamming_links(fps: DataFrame, max_bits: int = 4, blocks: int = 4, leaf_rows: int = 512,
+def hamming_links(fps: DataFrame, max_bits: int = 4, blocks: int = 5, leaf_rows: int = 256,
                   sample_rows: int = 1 << 15, seed: int = 7) -> DataFrame:
     """(u, v): links that connect exactly the fingerprints within ``max_bits``.
 
@@ -159,8 +173,8 @@ def hamming_links(fps: DataFrame, max_bits: int = 4, blocks: int = 4, leaf_rows:
     radius, parts = max_bits // blocks, _parts(blocks)
     n = fps.count()
     # Fit on a bounded sample: the fingerprints with the smallest hashes.
-    sample = np.array([r[0] for r in fps.orderBy(F.xxhash64("fp"), "fp").limit(sample_rows).collect()],
-                      np.int64).view(np.uint64)
+    sample = np.sort(np.array([r[0] for r in hash_sample(fps.select("fp"), sample_rows, n, "fp").collect()],
+                              np.int64)).view(np.uint64)
     rng = np.random.default_rng(seed)
     share = max(2.0, leaf_rows * len(sample) / max(1, n))
     trees = [fit_tree((sample >> np.uint64(s)) & np.uint64(m), radius, share, rng) for s, m in parts]
@@ -216,7 +230,7 @@ def hamming_links(fps: DataFrame, max_bits: int = 4, blocks: int = 4, leaf_rows:
     return shards.select("fps").mapInArrow(match, "u long, v long").distinct()
 
 
-def near_duplicates(docs: DataFrame, width: int = 4, max_bits: int = 4, blocks: int = 4,
+def near_duplicates(docs: DataFrame, width: int = 4, max_bits: int = 4, blocks: int = 5,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document row: id, ``fingerprint`` (16 hex digits), ``component_id``.
 
@@ -239,7 +253,7 @@ def near_duplicates(docs: DataFrame, width: int = 4, max_bits: int = 4, blocks:
         "component_id")
 
 
-def keep_one(docs: DataFrame, width: int = 4, max_bits: int = 4, blocks: int = 4,
+def keep_one(docs: DataFrame, width: int = 4, max_bits: int = 4, blocks: int = 5,
              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each near-duplicate group; same columns.
 
