@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import hilbert, langid, packing, repeats, secrets, shards, simhash, warc, winnow, wrappers
 from .common import table
+from .oracle import ORACLES
 
 
 def op1_pack_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,4 +74,4 @@ LLM_QUERIES = {f.__name__: f for f in (
     op1_pack_windows, op2_simhash_near_dedup, op3_secret_scan, op4_wrapper_text, op5_warc_chunks,
     op6_hilbert_neighbours, op7_minimax_shards, op8_winnow_decontamination, op9_language_id, op10_column_repeats)}
 
-LLM_ORACLE_SQL: dict[str, str] = {}
+LLM_ORACLE_SQL: dict[str, str] = dict(ORACLES)

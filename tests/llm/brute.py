@@ -84,3 +84,61 @@ def minimax(sizes, shards):
 
 def crc32(text):
     return zlib.crc32((text or "").encode())
+
+
+def fingerprint(text, width=4):
+    import xxhash
+
+    ws = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
+    if not ws:
+        return 0
+    shingles = [" ".join(ws[i:i + width]) for i in range(len(ws) - width + 1)] or [" ".join(ws)]
+    ones = Counter()
+    for s in shingles:
+        h = xxhash.xxh64_intdigest(s.encode(), seed=42)
+        ones.update(b for b in range(64) if h >> b & 1)
+    return sum(1 << b for b in range(64) if 2 * ones[b] > len(shingles))
+
+
+def components(ids, fps, bits=4):
+    """Smallest id reachable from each place (null ids never name one)."""
+    top = list(range(len(ids)))
+
+    def find(x):
+        while top[x] != x:
+            x = top[x]
+        return x
+
+    for i in range(len(ids)):
+        for j in range(i):
+            if bin(fps[i] ^ fps[j]).count("1") <= bits:
+                top[find(i)] = find(j)
+    least = defaultdict(list)
+    for i, x in enumerate(ids):
+        if x is not None:
+            least[find(i)].append(x)
+    return [min(least[find(i)], default=None) for i in range(len(ids))]
+
+
+def repeats(texts, width=200):
+    """[(bytes, removed, runs, kept)] of each text."""
+    raw = [(t or "").encode() for t in texts]
+    seen = Counter(x[i:i + width] for x in raw for i in range(len(x) - width + 1))
+    out = []
+    for x in raw:
+        gone = bytearray(len(x))
+        for i in range(len(x) - width + 1):
+            if seen[x[i:i + width]] > 1:
+                gone[i:i + width] = b"\1" * width
+        runs = sum(1 for i in range(len(x)) if gone[i] and (i == 0 or not gone[i - 1]))
+        out.append((len(x), sum(gone), runs, bytes(b for b, g in zip(x, gone) if not g)))
+    return out
+
+
+def best_cuts(at, penalty, window):
+    """Least cost of cutting at ``at`` (all predecessors tried)."""
+    best = [0] + [None] * (len(at) - 1)
+    for j in range(1, len(at)):
+        best[j] = min(best[i] + (0 if (n := at[j] - at[i]) & (n - 1) == 0 else window - n)
+                      for i in range(j) if at[j] - at[i] <= window) + penalty[j]
+    return best[-1]
