@@ -27,7 +27,7 @@ Every step between is a Spark table in shuffle files or the shared folder.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -115,7 +115,7 @@ def _groups(texts: list[bytes], width: int) -> Iterator[tuple[list[int], list[in
         yield who, where, parts
 
 
-def all_reads(texts: list[bytes], width: int, gram: int):
+def all_reads(texts: list[bytes], width: int, gram: int, named_only: bool = False):
     """Per piece: (bytes, text numbers, shifts, names, class hashes, places, firsts, lasts).
 
     ``shifts`` added to a place in the piece give the place in the text.  The
@@ -127,6 +127,9 @@ def all_reads(texts: list[bytes], width: int, gram: int):
         name, place, first, last = reads_of(np.frombuffer(data, np.uint8), ends, width, gram)
         if not len(first):
             continue
+        if named_only:
+            yield data, None, None, name, None, place, first, last
+            continue
         piece = np.searchsorted(ends, first, side="right")
         shift = np.array(where)[piece] - np.concatenate(([0], ends[:-1]))[piece]
         digest = xxhash.xxh3_64_digest
@@ -196,34 +199,46 @@ def repeated_spans(docs: DataFrame, width: int = 200, gram: int = 56, step: int
     slim = docs.select(F.xxhash64(F.col(text_col)).alias("key"), F.col(text_col).cast("binary").alias("text"),
                        ).filter(F.octet_length("text") >= width)
 
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = batch.column("key").to_numpy(zero_copy_only=False)
-            for _, who, shift, name, digest, place, first, last in all_reads(
-                    batch.column("text").to_pylist(), width, gram):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(name.view(np.int64)), pa.array(digest.view(np.int64)), pa.array(keys[who]),
-                     pa.array(((first + shift) << 32) | (last + shift))], names=["name", "cls", "key", "span"])
-
-    reads = cut(slim.mapInArrow(find, "name long, cls long, key long, span long"))
+    def find(named_only: bool) -> Callable:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                keys = batch.column("key").to_numpy(zero_copy_only=False)
+                for _, who, shift, name, digest, place, first, last in all_reads(
+                        batch.column("text").to_pylist(), width, gram, named_only):
+                    columns = [pa.array(name.view(np.int64))]
+                    if not named_only:
+                        columns += [pa.array(digest.view(np.int64)), pa.array(keys[who]),
+                                    pa.array(((first + shift) << 32) | (last + shift))]
+                    yield pa.RecordBatch.from_arrays(columns, names=["name", "cls", "key", "span"][:len(columns)])
+
+        return run
+
+    # Most names occur once; their reads are never written.
+    names = cut(slim.mapInArrow(find(True), "name long").groupBy("name").agg(F.count(F.lit(1)).alias("n"))
+                .filter("n > 1").select("name"))
+    reads = cut(slim.mapInArrow(find(False), "name long, cls long, key long, span long")
+                .join(_bounded(names, 16 * names.count()), "name"))
     classes = cut(reads.groupBy("name", "cls").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("key")))
     several = classes.groupBy("name").agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("least")).filter(
         "k > 1 and least = 1").select("name")
     open_ = classes.join(several, "name", "left_semi")
-    wanted = cut(open_.groupBy("key").agg(F.collect_list(F.struct("name", "cls", "n")).alias("want")))
-    size = wanted.agg(F.sum(F.size("want") * 24 + 32)).first()[0] or 0
-    sources = slim.join(_bounded(wanted, size), "key").dropDuplicates(["key"]).select("text", "want")
+    once, twice_or_more = F.when(F.col("n") == 1, F.col("cls")), F.when(F.col("n") > 1, F.col("cls"))
+    wanted = cut(open_.groupBy("key").agg(F.collect_list(once).alias("once"),
+                                          F.collect_list(twice_or_more).alias("more")))
+    size = wanted.agg(F.sum((F.size("once") + F.size("more")) * 8 + 48)).first()[0] or 0
+    sources = slim.join(_bounded(wanted, size), "key").dropDuplicates(["key"]).select("text", "once", "more")
 
     def cut_reads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(len(batch)):
-                want = {(w["name"], w["cls"]): w["n"] for w in batch.column("want")[i].as_py()}
+                want = dict.fromkeys(batch.column("once")[i].as_py(), 1)
+                want.update(dict.fromkeys(batch.column("more")[i].as_py(), 2))
                 rows: list[tuple] = []
                 for data, _, _, name, digest, place, first, last in all_reads(
                         [batch.column("text")[i].as_py()], width, gram):
                     for g, c, p, a, b in zip(name.view(np.int64).tolist(), digest.view(np.int64).tolist(),
                                              place.tolist(), first.tolist(), last.tolist()):
-                        n = want.pop((g, c), 0)
+                        n = want.pop(c, 0)
                         if not n:
                             continue
                         # windows start p - b to p - a bytes before the name
@@ -240,10 +255,11 @@ def repeated_spans(docs: DataFrame, width: int = 200, gram: int = 56, step: int
 
     parts = cut(sources.mapInArrow(
         cut_reads, "core long, name long, cls long, n long, col long, base long, bytes binary"))
-    groups = parts.groupBy("core").agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("least")).filter(
-        "k > 1 and least = 1").select("core", (F.col("k") > shard).alias("large"))
-    live = cut(parts.join(groups, "core"))
-    shards = max(1, -(-live.count() // (shard // 2)))
+    groups = cut(parts.groupBy("core").agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("least")).filter(
+        "k > 1 and least = 1").select("core", "k"))
+    usual_parts = parts.join(groups.filter(F.col("k") <= shard).select("core"), "core", "left_semi")
+    large = groups.filter(F.col("k") > shard).select("core")
+    shards = max(1, -(-(groups.agg(F.sum("k")).first()[0] or 0) // (shard // 2)))
     columns = width + step - 1
 
     def order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,7 +289,7 @@ def repeated_spans(docs: DataFrame, width: int = 200, gram: int = 56, step: int
         if held:
             yield flush(held)
 
-    usual = (live.filter(~F.col("large")).repartition(shards, "core").sortWithinPartitions("core")
+    usual = (usual_parts.repartition(shards, "core").sortWithinPartitions("core")
              .mapInArrow(order, "name long, cls long, a long, b long"))
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -286,8 +302,7 @@ def repeated_spans(docs: DataFrame, width: int = 200, gram: int = 56, step: int
                     [pa.array(hashes, pa.binary()), *[pa.array(np.full(n, row[x])) for x in ("name", "cls", "n")],
                      pa.array(row["base"] + row["col"] + np.arange(n))], names=["w", "name", "cls", "n", "a"])
 
-    large = live.filter("large")
-    each = large.mapInArrow(windows, "w binary, name long, cls long, n long, a long")
+    each = parts.join(large, "core", "left_semi").mapInArrow(windows, "w binary, name long, cls long, n long, a long")
     twice = each.groupBy("w").agg(F.sum("n").alias("times")).filter("times > 1").select("w")
     counted = (each.filter("n = 1").join(twice, "w", "left_semi")
                .select("name", "cls", "a", F.col("a").alias("b")))
