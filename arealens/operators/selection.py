@@ -73,6 +73,13 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
     return F.broadcast(df) if n <= max_rows and size <= max_bytes else df
 
 
+def staged(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept in the shared checkpoint folder, where the
+    session names one: later uses (a size probe, several outputs) read that
+    instead of the sources again.  Without a folder ``df`` stays as it is."""
+    return df.checkpoint(eager=True) if df.sparkSession.sparkContext.getCheckpointDir() else df
+
+
 def select_blocks(concord: DataFrame, blocks, block_col: str = "block_id") -> tuple[DataFrame, list[str]]:
     """Keep concordance rows of the selected blocks.
 

@@ -30,7 +30,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arealens.operators.selection import bounded_broadcast
+from arealens.operators.selection import SEIFA_INDEX_TYPES, SEIFA_MEASURES, bounded_broadcast
 
 # Money and shares are exact decimals (as a numeric database column would
 # be): sums are then exact, and round() meets a true .5 tie the same way in
@@ -353,3 +353,58 @@ def order_month_urls(spark, d) -> DataFrame:
                  F.date_format("m", "yyyy"), F.lit(".xlsx")).alias("monthly_url"),
         F.concat(F.lit("https://www.example.gov/rental-report-suburb-"), q, F.lit("-quarter-"),
                  F.date_format("m", "yyyy"), F.lit(".xlsx")).alias("rental_url"))
+
+
+# ------------------------------------------------- calls by table name --
+
+# The blocks of a user's call, and the census years that order years stand for.
+CALL_BLOCKS = ("1", "2", "3", "5", "8")
+YEAR_SHIFT = 18
+
+
+def named_tables(spark, d) -> dict:
+    """Stored tables by name, with years and index types in the calls' domains
+    (1998 stands for 2016; part number modulo 4 and 8 for index and measure)."""
+    later = (F.col("year") + YEAR_SHIFT).cast("int")
+    part = F.col("sa1_main").cast("bigint")
+
+    def pick(values, n):
+        return F.element_at(F.array(*[F.lit(v) for v in values]), (n + 1).cast("int"))
+
+    return {
+        "concord.cbsa1mb": cbsa1mb(spark, d).withColumn("year", later),
+        "concord.cbsa2": cbsa2(spark, d), "concord.cbpostcodes": cbpostcodes(spark, d),
+        "abs.sa1_tb_hh_equivalised_income": income_measure(spark, d).withColumn("year", later),
+        "abs.sa1_seifa": seifa_index(spark, d).withColumn("seifaindextype", pick(SEIFA_INDEX_TYPES, part % 4))
+                                              .withColumn("seifa_measure", pick(SEIFA_MEASURES, part % 8)),
+        "dss.payment_types_qrt_pc": payment_types_pc_fact(spark, d),
+        "dss.payment_types_qrt_sa2": payment_types_sa2_fact(spark, d)}
+
+
+def odd_headers(spark, d) -> DataFrame:
+    """(p_brand, p_size, header): raw labels with blanks, marks, accents and repeats."""
+    p = table(spark, d, "part")
+    fixed = [F.lit(None).cast("string"), F.col("p_brand"), F.col("p_brand"), F.lit(" "), F.lit("2003_31"),
+             F.lit("2003_39"), F.lit("O'Neil Région %"), F.lit("JobSeeker Payment"), F.lit("job seeker payment")]
+    return (p.groupBy("p_brand", "p_size").agg(F.array_sort(F.collect_list("p_type")).alias("types"))
+             .select("p_brand", "p_size", F.concat(F.array(*fixed), F.col("types")).alias("header")))
+
+
+def faulty_payment_sheets(spark, d) -> DataFrame:
+    """Payment-type header rows with faults by ship month: February's file names
+    have no period, April's SA2 sheets no code column, June's a second SA2
+    sheet, August's no postcode sheet."""
+    rows = payment_type_sheets(spark, d)
+    months = table(spark, d, "lineitem").select(F.trunc("l_shipdate", "month").alias("m")).distinct()
+    urls = bounded_broadcast(months.select(payment_url("m").alias("source_url"), F.month("m").alias("mon"),
+                                           F.year("m").alias("y")))
+    x = rows.join(urls, "source_url")
+    x = x.filter((F.col("mon") != 8) | (F.col("sheet_name") != "By Postcode"))
+    x = x.withColumn("source_url", F.when(F.col("mon") == 2, F.concat(
+        F.lit("https://data.example.org/dss-demographics-x"), F.col("y").cast("string"), F.lit(".xlsx")))
+        .otherwise(F.col("source_url")))
+    x = x.withColumn("cells", F.when((F.col("mon") == 4) & (F.col("sheet_name") == "By SA2"), F.transform(
+        "cells", lambda c: F.when(c == "SA2", F.lit("Code")).otherwise(c))).otherwise(F.col("cells")))
+    twice = F.when((F.col("mon") == 6) & (F.col("sheet_name") == "By SA2"), F.array(F.lit(1), F.lit(9)))
+    return (x.withColumn("sheet_no", F.explode(F.coalesce(twice, F.array("sheet_no"))))
+             .select(*rows.columns))

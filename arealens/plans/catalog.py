@@ -16,8 +16,10 @@ from arealens.operators.area import (AREA_SERIES_SPECS, apportioned_distribution
                                      unknown_series, weighted_index)
 from arealens.operators.gate import new_periods_only
 from arealens.plans.jobseeker import load_jobseeker
-from arealens.plans.payment_types import load_payment_types
-from arealens.plans.rental import load_rental
+from arealens.operators.selection import staged
+from arealens.plans.payment_types import (load_payment_types_all, one_payment_geography,
+                                          payment_quarantine)
+from arealens.plans.rental import load_rental_all, one_rental_geography
 from arealens.sources.tables import load_key, split_unperioded
 
 # --- Fixed values: stored table names. -------------------------------------
@@ -98,9 +100,23 @@ def append_new(df: DataFrame, name: str, period_col: str = "month_date", tables=
     return new
 
 
-def run_payment_types_load(sheet_rows: DataFrame, tables=None) -> dict:
-    """The three payment-type tables from one landing table."""
-    return {g: append_new(load_payment_types(sheet_rows, g), sink, tables=tables)
+def run_payment_types_load(sheet_rows: DataFrame, tables=None, faulty: str = "fail") -> dict:
+    """The three payment-type tables from one landing table, melted once.
+
+    Sheets that can't be placed (``payment_quarantine``) stop the load before
+    anything is written, or are left out with ``faulty="skip"``.  A geography
+    that a publication has no sheet for has nothing to load."""
+    if faulty not in ("fail", "skip"):
+        raise ValueError("faulty should be 'fail' or 'skip'")
+    bad = staged(payment_quarantine(sheet_rows))
+    if faulty == "fail" and (first := bad.filter("reason <> 'no sheet'").limit(5).collect()):
+        raise ValueError("sheets that can't be placed: "
+                         + "; ".join(f"{r.source_url} {r.geography}: {r.reason}" for r in first))
+    every = load_payment_types_all(sheet_rows, with_source=True)
+    if faulty == "skip":
+        every = every.join(bad.select("source_url", "geography").distinct(), ["source_url", "geography"], "left_anti")
+    every = staged(every.drop("source_url"))
+    return {g: append_new(one_payment_geography(every, g), sink, tables=tables)
             for g, sink in PAYMENT_SINKS.items()}
 
 
@@ -109,6 +125,7 @@ def run_jobseeker_load(sheet_rows: DataFrame, tables=None) -> DataFrame:
 
 
 def run_rental_load(sheet_rows: DataFrame, tables=None) -> dict:
-    """Both rental tables, each gated on its own stored periods."""
-    return {g: append_new(load_rental(sheet_rows, g), sink, tables=tables)
+    """Both rental tables from one melt, each gated on its own stored periods."""
+    every = staged(load_rental_all(sheet_rows))
+    return {g: append_new(one_rental_geography(every, g), sink, tables=tables)
             for g, sink in RENTAL_SINKS.items()}

@@ -310,6 +310,60 @@ SELECT page_id, split_part(url, '/', 1) || '//' || split_part(url, '/', 3) || hr
 FROM links, label WHERE contains(href, 'e')
 QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY link_no) = 1"""
 
+# The calls by name: blocks 1, 2, 3, 5, 8; 1998 stands for 2016.
+INCOME_BLOCKS = """
+SELECT o_orderpriority AS eq_income_weekly, o_orderstatus AS eq_income_yearly,
+       CAST(round(sum(CAST(o_totalprice AS DECIMAL(12,2)) * share)) AS DOUBLE) AS value, 2016 AS year
+FROM (SELECT l_orderkey, sum(CAST(l_quantity AS DECIMAL(12,2)) * 0.02) AS share FROM lineitem
+      WHERE l_suppkey IN (1, 2, 3, 5, 8) AND year(l_shipdate) = 1998 GROUP BY 1)
+JOIN orders ON o_orderkey = l_orderkey WHERE year(o_orderdate) = 1998 GROUP BY 1, 2"""
+
+SEIFA_BLOCKS = """
+SELECT 'IRSD' AS seifaindextype, 'SCORE' AS seifa_measure,
+       CAST(round(sum(CAST(p_retailprice AS DECIMAL(12,2)) * (p_partkey % 97 + 1)) / sum(p_partkey % 97 + 1)) AS DOUBLE) AS value,
+       2016 AS year
+FROM part WHERE p_partkey % 4 = 0 AND p_partkey % 8 = 0 AND p_retailprice IS NOT NULL AND p_partkey IN (
+  SELECT l_partkey FROM lineitem WHERE l_suppkey IN (1, 2, 3, 5, 8) AND year(l_shipdate) = 1998)
+HAVING count(*) > 0"""
+
+SERIES_BLOCKS = """
+SELECT CAST(c_nationkey + 200000000 AS VARCHAR) AS sa2_main, (SELECT n_name FROM nation WHERE n_nationkey = c_nationkey) AS sa2_name,
+       CAST(date_trunc('month', o_orderdate) AS DATE) AS quarter, o_orderstatus AS series, CAST(count(*) AS DOUBLE) AS value
+FROM customer JOIN orders ON o_custkey = c_custkey
+WHERE c_nationkey IN (SELECT s_nationkey FROM supplier WHERE s_suppkey IN (1, 2, 3, 5, 8)) GROUP BY ALL"""
+
+HEADER_NAMES = r"""
+WITH cells AS (
+  SELECT p_brand, p_size, unnest(h) AS cell, unnest(generate_series(1, len(h))) AS i FROM (
+    SELECT p_brand, p_size, [NULL, p_brand, p_brand, ' ', '2003_31', '2003_39', 'O' || chr(39) || 'Neil Région %', 'JobSeeker Payment',
+                             'job seeker payment'] || list(p_type ORDER BY p_type) AS h
+    FROM part GROUP BY p_brand, p_size)),
+plain AS (
+  SELECT *, trim(cell) AS t, regexp_replace(regexp_replace(replace(strip_accents(trim(cell)), chr(39), ''),
+    '([A-Z]+)([A-Z][a-z])', '\1_\2', 'g'), '([a-z0-9])([A-Z])', '\1_\2', 'g') AS c FROM cells),
+snake AS (
+  SELECT *, trim(regexp_replace(replace(replace(lower(c), '%', '_percent_'), '#', '_number_'), '[^a-z0-9]+', '_', 'g'), '_') AS s,
+         count(*) OVER (PARTITION BY p_brand, p_size, t) AS n FROM plain),
+base AS (
+  SELECT *, CASE WHEN coalesce(s, '') = '' THEN 'x' || i
+                 ELSE (CASE WHEN s[1] BETWEEN '0' AND '9' THEN 'x' ELSE '' END) || s || (CASE WHEN n > 1 THEN '_' || i ELSE '' END) END AS f
+  FROM snake),
+numbered AS (
+  SELECT *, f || (CASE WHEN row_number() OVER w > 1 THEN '_' || row_number() OVER w ELSE '' END) AS g
+  FROM base WINDOW w AS (PARTITION BY p_brand, p_size, f ORDER BY i))
+SELECT p_brand, p_size, CAST(i - 1 AS INTEGER) AS pos,
+       g || (CASE WHEN row_number() OVER (PARTITION BY p_brand, p_size, g ORDER BY i) > 1 THEN '_p' || i ELSE '' END) AS name
+FROM numbered"""
+
+QUARANTINE = f"""
+WITH mm AS (SELECT DISTINCT CAST(date_trunc('month', l_shipdate) AS DATE) AS m FROM lineitem),
+u AS (SELECT m, CASE WHEN month(m) = 2 THEN 'https://data.example.org/dss-demographics-x' || year(m) || '.xlsx'
+                     ELSE 'https://data.example.org/dss-demographics-' || {_TOKEN} || '.xlsx' END AS source_url FROM mm)
+SELECT source_url, g AS geography, 'no period' AS reason FROM u, (VALUES ('sa2'), ('lga'), ('postcode')) v(g) WHERE month(m) = 2
+UNION ALL SELECT source_url, 'sa2', 'no code column' FROM u WHERE month(m) = 4
+UNION ALL SELECT source_url, 'sa2', 'several sheets' FROM u WHERE month(m) = 6
+UNION ALL SELECT source_url, 'postcode', 'no sheet' FROM u WHERE month(m) = 8"""
+
 ORACLE_SQL = {
     "apportioned_distribution": APPORTIONED,
     "distribution_bucket_rank": BUCKET_RANK,
@@ -343,4 +397,9 @@ ORACLE_SQL = {
     "jobseeker_load": JOBSEEKER,
     "rental_load_lga": RENTAL_LGA,
     "rental_load_suburb": RENTAL_SUBURB,
+    "income_distribution_blocks": INCOME_BLOCKS,
+    "seifa_index_blocks": SEIFA_BLOCKS,
+    "area_time_series_blocks": SERIES_BLOCKS,
+    "clean_header_names": HEADER_NAMES,
+    "quarantined_sheets": QUARANTINE,
 }

@@ -103,10 +103,37 @@ def load_payment_types(sheet_rows: DataFrame, geography: str = "sa2",
     The geography filter reaches the per-sheet layout side of the plan."""
     if geography not in PAYMENT_GEOGRAPHIES:
         raise ValueError("geography should be one of " + ", ".join(PAYMENT_GEOGRAPHIES))
-    g = PAYMENT_GEOGRAPHIES[geography]
     # only sheets whose name can serve this geography; drops the others' rows at the scan
-    picked = pick_sheets(sheet_rows, name_contains=g["sheet"])
-    rows = load_payment_types_all(picked, compare, with_source).filter(F.col("geography") == geography)
-    return rows.select(*(["source_url"] if with_source else []), F.col("code").alias(g["out_code"]),
-                       *([F.col("name").alias(g["out_name"])] if g["name"] else []),
-                       "quarter", "series", "value", "month_date")
+    picked = pick_sheets(sheet_rows, name_contains=PAYMENT_GEOGRAPHIES[geography]["sheet"])
+    return one_payment_geography(load_payment_types_all(picked, compare, with_source), geography)
+
+
+def one_payment_geography(every: DataFrame, geography: str) -> DataFrame:
+    """One geography's rows of ``load_payment_types_all``, named as its stored table."""
+    g = PAYMENT_GEOGRAPHIES[geography]
+    source = [c for c in ("source_url",) if c in every.columns]
+    return every.filter(F.col("geography") == geography).select(
+        *source, F.col("code").alias(g["out_code"]), *([F.col("name").alias(g["out_name"])] if g["name"] else []),
+        "quarter", "series", "value", "month_date")
+
+
+def payment_quarantine(sheet_rows: DataFrame) -> DataFrame:
+    """(source_url, geography, reason) of what a load can't place: ``no period``
+    in the file name, not exactly one sheet (``no sheet``, ``several sheets``),
+    ``no code column``.  Publications without any of the workbook's sheets are
+    not payment-type ones.  Read from header rows only."""
+    layout = payment_layout(sheet_rows)
+    found = layout.groupBy("source_url", "geography").agg(
+        F.countDistinct("sheet_no").alias("sheets"),
+        F.max((F.element_at("id_pos", 1) == 0).cast("int")).alias("no_code"))
+    names = F.array(*[F.lit(g) for g in PAYMENT_GEOGRAPHIES])
+    wanted = (layout.select("source_url").distinct()
+              .select("source_url", period_to_date(payment_period("source_url")).alias("month_date"),
+                      F.explode(names).alias("geography")))
+    faults = F.filter(F.array(
+        F.when(F.col("month_date").isNull(), F.lit("no period")),
+        F.when(F.col("sheets").isNull(), F.lit("no sheet")),
+        F.when(F.col("sheets") > 1, F.lit("several sheets")),
+        F.when(F.col("no_code") == 1, F.lit("no code column"))), lambda x: x.isNotNull())
+    return (wanted.join(found, ["source_url", "geography"], "left")
+            .select("source_url", "geography", F.explode(faults).alias("reason")))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from arealens.functions.period import (PAYMENT_PERIOD_PATTERN, expand_header_month, extract_period,
                                        fix_header_typos, period_to_date, repair_period_label,
                                        sentence_case)
+from arealens.functions.text import clean_header_names
 from arealens.operators.area import apportioned_distribution, area_series, weighted_index
 from arealens.operators.clean import (cast_numbers, drop_labels, keep_positive, keep_prefix,
                                       keep_present, strip_markers_all)
@@ -19,8 +20,9 @@ from arealens.operators.gate import (current_period_rows, freshness_gate, new_pe
                                      newest_period)
 from arealens.operators.reshape import melt, tagged_union
 from arealens.plans import bindings as b
+from arealens.plans import catalog
 from arealens.plans.jobseeker import jobseeker_month, load_jobseeker
-from arealens.plans.payment_types import load_payment_types, payment_period
+from arealens.plans.payment_types import load_payment_types, payment_period, payment_quarantine
 from arealens.plans.publications import pending_publications
 from arealens.plans.rental import load_rental, rental_period
 from arealens.sources.links import first_link, link_inventory
@@ -256,5 +258,31 @@ def q_rental_load_suburb(spark, d):
     return load_rental(b.rental_sheets(spark, d, "suburb"), "suburb")
 
 
+def q_income_distribution_blocks(spark, d):
+    """A literal block list and one year, tables by name."""
+    return catalog.income_distribution(spark, list(b.CALL_BLOCKS), sel_year=2016, tables=b.named_tables(spark, d))
+
+
+def q_seifa_index_blocks(spark, d):
+    """A literal block list, one index, one measure and one year, tables by name."""
+    return catalog.seifa_index(spark, list(b.CALL_BLOCKS), seifaindex="IRSD", measure="SCORE", sel_year=2016,
+                               tables=b.named_tables(spark, d))
+
+
+def q_area_time_series_blocks(spark, d):
+    """A literal block list and a table chosen by name at run time."""
+    return catalog.area_time_series(spark, list(b.CALL_BLOCKS), "payment_types_qrt_sa2", tables=b.named_tables(spark, d))
+
+
+def q_clean_header_names(spark, d):
+    """One cleaned name per header cell, with blanks, repeats, marks and accents."""
+    return b.odd_headers(spark, d).select("p_brand", "p_size", F.posexplode(clean_header_names("header")).alias("pos", "name"))
+
+
+def q_quarantined_sheets(spark, d):
+    """Payment-type sheets that a load can't place, with the reason."""
+    return payment_quarantine(b.faulty_payment_sheets(spark, d))
+
+
 QUERIES = {name[2:]: fn for name, fn in list(globals().items())
            if name.startswith("q_") and callable(fn)}

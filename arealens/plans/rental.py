@@ -22,7 +22,7 @@ from arealens.functions.period import (RENTAL_PERIOD_PATTERN, expand_header_mont
                                        extract_period, fix_header_typos, period_to_date,
                                        title_case)
 from arealens.functions.text import clean_header_names, lenient_number
-from arealens.operators.selection import bounded_broadcast
+from arealens.operators.selection import bounded_broadcast, staged
 from arealens.sources.sheets import SHEET_KEY, body_rows, header_rows, pick_sheets
 
 # --- Fixed values: workbook layout, dwelling types by sheet, series names. --
@@ -83,7 +83,7 @@ def load_rental_all(sheet_rows: DataFrame, current_only: bool = True, with_sourc
            .withColumn("period", rental_period("source_url")))
     if current_only:
         hdr = hdr.withColumn("columns", F.filter("columns", lambda c: c["quarter"] == F.col("period")))
-    t = body_rows(rows, RENTAL_SKIP).join(bounded_broadcast(hdr), SHEET_KEY, "inner")
+    t = body_rows(rows, RENTAL_SKIP).join(bounded_broadcast(staged(hdr)), SHEET_KEY, "inner")
     area_pos = F.array_position("names", F.lit(AREA_COLUMN)).cast("int")
     area = F.when(area_pos > 0, F.try_element_at(F.col("cells"), area_pos))
     t = (t.withColumn("area", area)
@@ -107,7 +107,12 @@ def load_rental(sheet_rows: DataFrame, geography: str = "lga",
     distinct.  The geography filter reaches the header side of the plan."""
     if geography not in RENTAL_GEOGRAPHIES:
         raise ValueError("geography should be one of " + ", ".join(RENTAL_GEOGRAPHIES))
-    return (load_rental_all(sheet_rows, current_only, with_source)
-            .filter(F.col("geography") == geography)
-            .select(*(["source_url"] if with_source else []), F.col("area").alias(geography), "value", "quarter", "series", "dwelling_type",
+    return one_rental_geography(load_rental_all(sheet_rows, current_only, with_source), geography)
+
+
+def one_rental_geography(every: DataFrame, geography: str) -> DataFrame:
+    """One geography's rows of ``load_rental_all``, named as its stored table."""
+    source = [c for c in ("source_url",) if c in every.columns]
+    return (every.filter(F.col("geography") == geography)
+            .select(*source, F.col("area").alias(geography), "value", "quarter", "series", "dwelling_type",
                     "month_date"))

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arealens.operators.selection import bounded_broadcast
+from arealens.operators.selection import bounded_broadcast, staged
 from arealens.schemas import SHEET_ROWS
 
 SHEET_KEY = ["source_url", "sheet_no"]
@@ -75,9 +75,10 @@ def body_rows(sheet_rows: DataFrame, skip: int) -> DataFrame:
 
 def sheet_table(sheet_rows: DataFrame, skip: int, header: DataFrame | None = None) -> DataFrame:
     """Body rows with their sheet's header array attached (column ``header``,
-    or whatever per-sheet columns ``header`` carries)."""
+    or whatever per-sheet columns ``header`` carries).  The header side is
+    staged, so the landing table is read once for it and once for the body."""
     hdr = header_rows(sheet_rows, skip) if header is None else header
-    return body_rows(sheet_rows, skip).join(bounded_broadcast(hdr), SHEET_KEY, "inner")
+    return body_rows(sheet_rows, skip).join(bounded_broadcast(staged(hdr)), SHEET_KEY, "inner")
 
 
 def sheet_layout(sheet_rows: DataFrame, skip: int, id_names) -> DataFrame:

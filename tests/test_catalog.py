@@ -61,3 +61,27 @@ def test_labour_force_series_by_name(spark):
     t = {"concord.cbsa2": cbsa2(spark), "lmip.sa2_salm": salm}
     out = C.area_time_series(spark, ["83"], "sa2_salm", tables=t)
     assert rows(out) == [("206041122", "Docklands", dt.date(2011, 3, 1), "Unemployment rate", 4.5)]
+
+
+def test_sheets_that_cannot_be_placed_stop_or_are_left_out(spark):
+    recs = sheet(PAYMENT_URL, "SA2", 1, PAYMENT_SA2) + sheet("https://h/dss-demographics-x.xlsx", "SA2", 1, PAYMENT_SA2)
+    sr = sheet_rows(spark, recs)
+    from arealens.plans.payment_types import payment_quarantine
+    reasons = {(r.source_url, r.reason) for r in payment_quarantine(sr).filter("geography = 'sa2'").collect()}
+    assert reasons == {("https://h/dss-demographics-x.xlsx", "no period")}
+    with pytest.raises(ValueError, match="can't be placed"):
+        C.run_payment_types_load(sr, tables={})
+    kept = C.run_payment_types_load(sr, tables={}, faulty="skip")
+    assert kept["sa2"].count() == 3 and kept["lga"].count() == 0
+
+
+def test_load_reads_the_body_of_the_landing_table_once(spark, scratch):
+    recs = []
+    for no in range(1, 8):
+        recs += sheet(RENTAL_URL, f"Table {no}", no, RENTAL_SHEET)
+    path = scratch + "/landing"
+    sheet_rows(spark, recs).write.parquet(path)
+    from arealens.plans.rental import load_rental_all
+    from arealens.sources import read_sheet_rows
+    plan = load_rental_all(read_sheet_rows(spark, path))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1  # header rows are staged before
