@@ -84,11 +84,6 @@ def period_to_date(col) -> Column:
     return F.try_to_date(F.regexp_replace(_c(col), "-", " "), "MMMM yyyy")
 
 
-def month_label(date_col, fmt: str = "MMMM-yyyy") -> Column:
-    """Date -> label such as "December-2019"."""
-    return F.date_format(_c(date_col), fmt)
-
-
 def newest_label(date_col) -> Column:
     """Aggregate: lower-case label of the newest date ("december-2019")."""
     return F.lower(F.date_format(F.max(_c(date_col)), "MMMM-yyyy"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arealens.functions.period import (PAYMENT_PERIOD_PATTERN, extract_period, period_to_date,
+from arealens.functions.period import (PAYMENT_PERIOD_PATTERN, extract_period, newest_label, period_to_date,
                                        repair_period_label, sentence_case, url_has_period)
 from arealens.operators.selection import bounded_broadcast
 
@@ -21,7 +21,7 @@ def newest_period(stored: DataFrame, date_col: str | None = "month_date",
     d = F.col(date_col) if date_col else period_to_date(label_col)
     bad = (F.count_if(d.isNull() & F.col(label_col).isNotNull()) if label_col
            else F.lit(0).cast("bigint"))
-    return stored.agg(F.lower(F.date_format(F.max(d), "MMMM-yyyy")).alias("newest"),
+    return stored.agg(newest_label(d).alias("newest"),
                       F.max(d).alias("newest_date"),
                       bad.alias("unparsed"))
 

@@ -113,12 +113,3 @@ def explode_values(df: DataFrame, keep_cols) -> DataFrame:
     z = df.select(*keep_cols, "cells", F.explode("value_cols").alias("_z"))
     return z.select(*keep_cols, F.col("_z.series").alias("series"),
                     F.try_element_at(F.col("cells"), F.col("_z.pos")).alias("value"))
-
-
-def melt_cells(sheet_rows: DataFrame, skip: int, id_names, keep_cols=()) -> DataFrame:
-    """Wide -> long on sheet rows: id cells looked up by header label, other
-    columns become (series = header label, value = cell)."""
-    ids = list(id_names)
-    t = sheet_table(sheet_rows, skip, header=sheet_layout(sheet_rows, skip, ids))
-    wide = t.select(*keep_cols, *[id_cell(k).alias(n) for k, n in enumerate(ids)], "cells", "value_cols")
-    return explode_values(wide, [*keep_cols, *ids])

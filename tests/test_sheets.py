@@ -106,16 +106,6 @@ def test_rental_all_periods_and_suburb_geography(spark):
     assert load_rental(_rental(spark), "suburb").count() == 0
 
 
-def test_melt_cells_generic(spark):
-    recs = sheet(PAYMENT_URL, "SA2", 1, PAYMENT_SA2)
-    from arealens.sources.sheets import melt_cells
-    long = melt_cells(sheet_rows(spark, recs), 2, ["SA2"], keep_cols=["row_no"])
-    assert long.columns == ["row_no", "SA2", "series", "value"]
-    # 4 body rows x 4 non-id columns, NULL cells kept
-    assert long.count() == 16
-    assert long.filter("SA2 = '21110' AND series = 'Commonwealth Seniors Health Card'").first().value is None
-
-
 def test_both_rental_geographies_in_one_plan_and_one_write(spark, scratch):
     import os
     from arealens.plans.rental import load_rental_all
