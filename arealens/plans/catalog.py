@@ -19,7 +19,7 @@ from arealens.plans.jobseeker import load_jobseeker
 from arealens.operators.selection import staged
 from arealens.plans.payment_types import (load_payment_types_all, one_payment_geography,
                                           payment_quarantine)
-from arealens.plans.rental import load_rental_all, one_rental_geography
+from arealens.plans.rental import load_rental_all, one_rental_geography, rental_quarantine
 from arealens.sources.tables import load_key, split_unperioded
 
 # --- Fixed values: stored table names. -------------------------------------
@@ -100,6 +100,11 @@ def append_new(df: DataFrame, name: str, period_col: str = "month_date", tables=
     return new
 
 
+def _stop_at(bad: DataFrame) -> None:
+    if first := bad.limit(5).collect():
+        raise ValueError("sheets that can't be placed: " + "; ".join(" ".join(map(str, r)) for r in first))
+
+
 def run_payment_types_load(sheet_rows: DataFrame, tables=None, faulty: str = "fail") -> dict:
     """The three payment-type tables from one landing table, melted once.
 
@@ -109,9 +114,8 @@ def run_payment_types_load(sheet_rows: DataFrame, tables=None, faulty: str = "fa
     if faulty not in ("fail", "skip"):
         raise ValueError("faulty should be 'fail' or 'skip'")
     bad = staged(payment_quarantine(sheet_rows))
-    if faulty == "fail" and (first := bad.filter("reason <> 'no sheet'").limit(5).collect()):
-        raise ValueError("sheets that can't be placed: "
-                         + "; ".join(f"{r.source_url} {r.geography}: {r.reason}" for r in first))
+    if faulty == "fail":
+        _stop_at(bad.filter("reason <> 'no sheet'"))
     every = load_payment_types_all(sheet_rows, with_source=True)
     if faulty == "skip":
         every = every.join(bad.select("source_url", "geography").distinct(), ["source_url", "geography"], "left_anti")
@@ -125,7 +129,10 @@ def run_jobseeker_load(sheet_rows: DataFrame, tables=None) -> DataFrame:
 
 
 def run_rental_load(sheet_rows: DataFrame, tables=None) -> dict:
-    """Both rental tables from one melt, each gated on its own stored periods."""
+    """Both rental tables from one melt, each gated on its own stored periods.
+    Sheets that can't be placed (``rental_quarantine``) stop the load before
+    anything is written."""
+    _stop_at(rental_quarantine(sheet_rows))
     every = staged(load_rental_all(sheet_rows))
     return {g: append_new(one_rental_geography(every, g), sink, tables=tables)
             for g, sink in RENTAL_SINKS.items()}

@@ -66,19 +66,37 @@ def rental_header(sheet_rows: DataFrame, skip: int = RENTAL_SKIP) -> DataFrame:
     return h.select(*SHEET_KEY, "names", cols.alias("columns"))
 
 
+def _geographies() -> F.Column:
+    """Geographies that a workbook's URL names."""
+    return F.filter(F.array(*[F.when(F.col("source_url").rlike(g["url"]), F.lit(name))
+                              for name, g in RENTAL_GEOGRAPHIES.items()]),
+                    lambda x: x.isNotNull())
+
+
+def rental_quarantine(sheet_rows: DataFrame) -> DataFrame:
+    """(source_url, sheet_no, reason) of rental sheets that a load can't place:
+    ``no period`` in the file name, ``no area column``, or no column of the
+    publication's own period (``no current column``).  Read from header rows."""
+    h = rental_header(pick_sheets(sheet_rows, sheet_nos=list(DWELLING_TYPES))).filter(F.size(_geographies()) > 0)
+    period = rental_period("source_url")
+    faults = F.filter(F.array(
+        F.when(period.isNull(), F.lit("no period")),
+        F.when(~F.array_contains("names", AREA_COLUMN), F.lit("no area column")),
+        F.when(period.isNotNull() & ~F.exists("columns", lambda c: F.coalesce(c["quarter"] == period, F.lit(False))),
+               F.lit("no current column"))), lambda x: x.isNotNull())
+    return h.select(*SHEET_KEY, F.explode(faults).alias("reason"))
+
+
 def load_rental_all(sheet_rows: DataFrame, current_only: bool = True, with_source: bool = False) -> DataFrame:
     """Both geographies in one plan (one scan of the landing table):
     (geography, area, value, quarter, series, dwelling_type, month_date),
     distinct; ``with_source`` adds ``source_url``.  A workbook's geography comes from its URL (resolved once per
     sheet on the header side); a URL naming both is loaded for both."""
     rows = pick_sheets(sheet_rows, sheet_nos=list(DWELLING_TYPES))
-    geos = F.filter(F.array(*[F.when(F.col("source_url").rlike(g["url"]), F.lit(name))
-                              for name, g in RENTAL_GEOGRAPHIES.items()]),
-                    lambda x: x.isNotNull())
     remnant = F.create_map(*[x for name, g in RENTAL_GEOGRAPHIES.items()
                              for x in (F.lit(name), F.lit(g["remnant"]))])
     hdr = (rental_header(rows)
-           .withColumn("geography", F.explode(geos))
+           .withColumn("geography", F.explode(_geographies()))
            .withColumn("remnant", remnant[F.col("geography")])
            .withColumn("period", rental_period("source_url")))
     if current_only:

@@ -24,10 +24,12 @@ from arealens.session import checkpoint_dir
 from arealens.sources.tables import SOURCE_COLUMN, append_table
 
 
-def write_publication(rows: DataFrame, landing_dir: str, name: str) -> None:
+def write_publication(rows: DataFrame, landing_dir: str, name: str, max_rows: int = 1_000_000) -> None:
     """Land one publication's ``sheet_rows`` as a single Parquet file (a
     publication is a few thousand rows), so no micro-batch ever holds part of
-    a sheet."""
+    a sheet.  More than ``max_rows`` rows are no publication: ValueError."""
+    if rows.limit(max_rows + 1).count() > max_rows:
+        raise ValueError(f"{name!r} has more than {max_rows} rows; land publications one by one")
     rows.coalesce(1).write.mode("errorifexists").parquet(f"{landing_dir}/{name}")
 
 

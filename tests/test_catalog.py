@@ -85,3 +85,14 @@ def test_load_reads_the_body_of_the_landing_table_once(spark, scratch):
     from arealens.sources import read_sheet_rows
     plan = load_rental_all(read_sheet_rows(spark, path))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan parquet") == 1  # header rows are staged before
+
+
+def test_rental_sheets_without_period_or_area_stop_the_load(spark):
+    from arealens.plans.rental import rental_quarantine
+    good = sheet(RENTAL_URL, "Table 1", 1, RENTAL_SHEET)
+    unnamed = sheet("https://host/rental-report-quarterly-2021.xlsx", "Table 1", 1, RENTAL_SHEET)
+    assert rental_quarantine(sheet_rows(spark, good)).count() == 0
+    bad = rental_quarantine(sheet_rows(spark, good + unnamed)).collect()
+    assert [(r.source_url, r.reason) for r in bad] == [("https://host/rental-report-quarterly-2021.xlsx", "no period")]
+    with pytest.raises(ValueError, match="no period"):
+        C.run_rental_load(sheet_rows(spark, good + unnamed), tables={})
