@@ -5,6 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from arealens.plans.registry import QUERIES
 
 SMOKE = "/root/testdata/sf0.001"
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
@@ -13,7 +14,7 @@ FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "
 TABLE_WIDTH = {"lineitem": 11, "orders": 6, "customer": 5}  # no query needs all their columns
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_plan_shape(spark, key):
     df = entry.queries()[key](spark, SMOKE)
     qe = df._jdf.queryExecution()
