@@ -157,15 +157,17 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
     """
     carry = carry or []
     names = [f"c{i}" for i in range(len(carry) + 1)]
+    # a carried text travels once
+    column = names[1 + carry.index(text_col)] if text_col in carry else "text"
     slim = docs.select(*[F.col(c).alias(n) for c, n in zip([id_col, *carry], names)],
-                       F.col(text_col).alias("text"))
+                       *([] if text_col in carry else [F.col(text_col).alias("text")]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text")
+            texts = batch.column(column)
             for i in range(0, len(texts), 256):
                 part = batch.slice(i, 256)
-                got = [counts(t) for t in part.column("text").to_pylist()]
+                got = [counts(t) for t in part.column(column).to_pylist()]
                 letters = np.array([n for _, n in got])
                 lang, score = [UNKNOWN] * len(got), np.zeros(len(got))
                 rejected = np.ones(len(got), bool)
