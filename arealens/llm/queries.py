@@ -62,7 +62,7 @@ def op8_winnow_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from the rows outside the held-out fold."""
     found = langid.identify(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", (langid.fold() == 2).alias("held_out"), "lang_pred", "score", "rejected")
+    return found.select("doc_id", F.coalesce(langid.fold() == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected")
 
 
 def op10_column_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
