@@ -26,7 +26,7 @@ import re
 import zlib
 from collections import deque
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 
 CHUNK = 1 << 18  # ids packed at a time
 CACHE = 1 << 18  # words whose ids a task remembers
-_RUNS = re.compile(r"\s \s?| \s|^ | $")
+_RUNS = re.compile(r"\s\s")
 _INNER = re.compile(r"(?<=\S) (?=\S)")
 _SPECIAL = "<|endoftext|>"  # the one special token of the default vocabulary
 
@@ -61,9 +61,7 @@ class Encoder:
     """
 
     def __init__(self, vocabulary: str):
-        from tokenizers import Tokenizer
-
-        self.whole = Tokenizer.from_file(vocabulary)
+        self.vocabulary = vocabulary
         self.first, self.later = _Words(self._ids), _Words(lambda w: self._ids(" " + w))
         ranks = re.sub(r"\.json$", ".tiktoken", vocabulary)
         self.fast = None
@@ -76,6 +74,12 @@ class Encoder:
             self.fast = tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN,
                                           mergeable_ranks=table, special_tokens={})
 
+    @cached_property
+    def whole(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.vocabulary)
+
     def _ids(self, text: str) -> bytes:
         if self.fast is not None:
             return np.array(self.fast.encode_ordinary(text), "<u4").tobytes()
@@ -85,7 +89,10 @@ class Encoder:
         """Words and the ids of each."""
         if _SPECIAL in text or self.fast is None:
             return [text], [np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()]
-        words = _INNER.split(text) if _RUNS.search(text) else text.split(" ")
+        if text[0] == " " or text[-1] == " " or _RUNS.search(text):
+            words = _INNER.split(text)
+        else:
+            words = text.split(" ")
         ids = list(map(self.later.__getitem__, words))
         ids[0] = self.first[words[0]]
         return words, ids
@@ -107,9 +114,10 @@ def plan_cuts(at: np.ndarray, penalty: np.ndarray, window: int) -> list[int]:
     """Indices of the chosen cuts, first and last candidate included.
 
     ``at``: strictly ascending positions from 0, neighbours at most ``window``
-    apart; ``penalty``: the price of a cut at each.
+    apart; ``penalty``: the price of a cut at each.  Powers of two below a 32nd
+    of the window are planned as if padded (such short sequences gain nothing).
     """
-    powers = [1 << k for k in range(window.bit_length()) if 1 << k <= window]
+    powers = [1 << k for k in range(window.bit_length()) if window // 32 <= 1 << k <= window]
     position, price = at.tolist(), penalty.tolist()
     index = {p: i for i, p in enumerate(position)}
     best, back = [0.0] * len(position), [0] * len(position)
@@ -213,7 +221,8 @@ def pack(docs: DataFrame, window: int = 1024, separator: int = 0, vocabulary: st
 
         for batch in batches:
             slim_type = batch.schema.field("id").type
-            for key, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
+            for key, text in zip(batch.column("id"), batch.column("text")):
+                key, text = key.as_py(), text.as_py()
                 words, parts = encoder.pieces(text) if text else ([], [])
                 ids = b"".join(parts) + mark
                 n = len(ids) // 4
