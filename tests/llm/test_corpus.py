@@ -341,6 +341,25 @@ def test_main_text_of_marked_and_unmarked_articles(spark):
     assert wrappers.extract_pages(df.limit(0)).count() == 0
 
 
+def test_constant_texts_are_counted_over_all_pages(spark):
+    story = "<div class=story><h2>T{0}</h2><p>words of text {0} and more of them</p>{1}<p>again {0}</p>" \
+            "<h5>Read <b>our</b> rules</h5></div>"
+    ends = "<h3>Conclusion</h3><table><tr><td>all in all</td></tr></table>"  # of every second page
+    rows = [(i, f"http://many.example/{i}", _page(i, story.format(i, ends if i % 2 else ""))) for i in range(30)]
+    rows += [(100 + i, "http://few.example/", _page(i, story.format(i, ends))) for i in range(3)]
+    rows += [(200 + i, "http://one.example/", _page(1, "<h1>Head</h1><p>only paragraph</p>")) for i in range(8)]
+    rows += [(300 + i, "http://same.example/", _page(i, "<div class=story><p>one text</p></div>")) for i in range(8)]
+    rows[7] = (7, rows[7][1], rows[7][2].replace("<p>again", "<ul><li>seen once</ul><p>again"))
+    df = spark.createDataFrame(rows, "page_id int, url string, html string")
+    got = {r.page_id: r.text.split("\n\n") for r in wrappers.extract_pages(df).collect()}
+    for j in range(30):
+        assert got[j] == [f"T{j}", f"words of text {j} and more of them", *(["Conclusion", "all in all"] if j % 2 else []),
+                          *(["seen once"] if j == 7 else []), f"again {j}"]
+    for j in range(3):  # too few pages to tell
+        assert got[100 + j][-4:] == ["Conclusion", "all in all", f"again {j}", "Read our rules"]
+    assert all(got[200 + j][-2:] == ["Head", "only paragraph"] and got[300 + j] == ["one text"] for j in range(8))
+
+
 def test_main_text_of_the_test_pages(spark):
     import html
     import re
