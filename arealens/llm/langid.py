@@ -7,13 +7,15 @@
   number of documents.
 * Prediction: the language of the centroid with the largest cosine.  A text
   is *rejected* where its cosine lies far below what texts of its length
-  reached in the sample (distance-based rejection), or has no letter.
+  reached in the sample (distance-based rejection) or is no larger than letters
+  drawn at random reach at that length, or where it has no letter.
 
 Whole texts are read: counts add up over pieces of bounded size.
 """
 
 from __future__ import annotations
 
+import random
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,6 +28,11 @@ BUCKETS = 1 << 12
 PIECE = 1 << 18  # characters counted at a time
 _SALTS = (np.uint32(2654435761), np.uint32(2246822519), np.uint32(3266489917))
 UNKNOWN = "und"
+LOW = 0.01  # quantile of the sample's cosines that stands for the least of a length class
+LEAST_ROWS = 100  # sampled rows for that; a class with fewer borrows its neighbours'
+CHANCE = 1.1  # above what letters at random reach
+_AT_RANDOM = ("abcdefghijklmnopqrstuvwxyz", "abcdefghijklmnopqrstuvwxyz" * 2 + "0123456789+/",
+              "".join(map(chr, range(0x430, 0x450))), "".join(map(chr, range(0x4e00, 0x6e00))))
 
 
 def counts(text: str | None) -> tuple[np.ndarray, int]:
@@ -77,8 +84,40 @@ def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 12) -
     return c
 
 
+def chance(centroids: np.ndarray, idf: np.ndarray, seed: int, top: int = 16) -> np.ndarray:
+    """Largest cosine of words of letters drawn at random, by the bit length of the number
+    of letters (from ``top`` on it hardly grows)."""
+    draw, out = random.Random(seed), np.zeros(64)
+    for b in range(1, top + 1):
+        found = []
+        for letters in _AT_RANDOM:
+            for _ in range(8 if b < 10 else 2):
+                line = "".join(draw.choices(letters, k=(1 << b) - 1))
+                found.append(counts(" ".join(line[i:i + 6] for i in range(0, len(line), 6)))[0])
+        out[b:] = max(out[b - 1], (weigh(np.stack(found), idf) @ centroids.T).max())
+    return out
+
+
+def floors(best: np.ndarray, letters: np.ndarray, by_chance: np.ndarray, slack: float) -> np.ndarray:
+    """Least cosine accepted, by the bit length of the number of letters.
+
+    ``slack`` times a low quantile of the sample's cosines at that length (and the
+    lengths nearest to it, until these are enough rows), and at least somewhat above
+    chance, but never above that quantile.  A sample too small for a quantile at any
+    length leaves chance.
+    """
+    bits, floor = np.array([int(n).bit_length() for n in letters]), np.zeros(64)
+    for b in range(64):
+        reach = 1
+        while (near := np.abs(bits - b) <= reach).sum() < LEAST_ROWS and reach < 64:
+            reach += 1
+        low = np.quantile(best[near], LOW)
+        floor[b] = min(low, max(CHANCE * by_chance[b], slack * low if near.sum() >= LEAST_ROWS else 0.0))
+    return floor
+
+
 def fit(labelled: DataFrame, per_language: int = 600, per_class: int = 4, max_languages: int = 200,
-        slack: float = 0.4, seed: int = 5, id_col: str = "doc_id", text_col: str = "text",
+        slack: float = 0.5, seed: int = 5, id_col: str = "doc_id", text_col: str = "text",
         lang_col: str = "lang") -> Model | None:
     """Fit on a bounded sample: about ``per_language`` rows of each language,
     those with the smallest hash of text (so copies don't count twice as much
@@ -138,11 +177,7 @@ def fit(labelled: DataFrame, per_language: int = 600, per_class: int = 4, max_la
         parts.append(c)
     centroids = np.concatenate(parts).astype(np.float32)
     best = (x @ centroids.T).max(axis=1)
-    bits = np.array([int(n).bit_length() for n in letters])
-    floor = np.zeros(64)
-    for b in range(64):
-        near = best[np.abs(bits - b) <= 1]
-        floor[b] = slack * near.min() if len(near) >= 20 else 0.0
+    floor = floors(best, letters, chance(centroids, idf, seed), slack)
     return Model(langs, centroids, idf, floor)
 
 

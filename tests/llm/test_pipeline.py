@@ -1,7 +1,11 @@
 """The pipeline's stages on their own inputs, and the registered corpus queries."""
 
+import random
+import string
+
 import brute
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
@@ -38,6 +42,31 @@ def test_language_stage_keeps_clean_documents(stages):
     assert len(kept) >= len(before) - 2 - sum(not any(c.isalpha() for c in r.text) for r in before)
 
 
+def test_language_stage_drops_what_is_no_language(spark):
+    draw = random.Random(3)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    clean = [r.text for r in docs.orderBy("doc_id").limit(400).collect()]
+    kinds = {"latin": string.ascii_lowercase, "base64": string.ascii_letters + string.digits + "+/",
+             "cyrillic": "".join(map(chr, range(0x430, 0x450))), "greek": "".join(map(chr, range(0x3b1, 0x3ca))),
+             "hebrew": "".join(map(chr, range(0x5d0, 0x5eb))), "han": "".join(map(chr, range(0x4e00, 0x6e00)))}
+    planted = {}
+    for kind, letters in kinds.items():
+        for n in (120, 400, 1500, 5000, 20000, 70000, 300000):
+            words, left = [], n
+            while left > 0:
+                words.append("".join(draw.choices(letters, k=76 if kind == "base64" else draw.randint(2, 9))))
+                left -= len(words[-1])
+            planted[f"{kind}-{n}"] = " ".join(words)
+    for n in (3, 30, 150, 400):  # long texts of a language stay
+        planted[f"clean-{n}"] = "\n".join(t for t in clean[:n] if t)
+    rows = [(-i, text, None, kind, len(text)) for i, (kind, text) in enumerate(planted.items(), 1)]
+    both = docs.unionByName(spark.createDataFrame(rows, docs.schema))
+    left = {r.doc_id: r.source for r in corpus_pipeline.language_id(spark, both, DATA).select("doc_id", "source").collect()}
+    assert sorted(s for i, s in left.items() if i < 0) == sorted(k for k in planted if k.startswith("clean"))
+    lost = docs.filter(~F.col("doc_id").isin([i for i in left if i > 0])).collect()
+    assert sum(any(c.isalpha() for c in r.text or "") for r in lost) <= 0.002 * docs.count()
+
+
 def test_near_dedup_stage_keeps_one_of_each_group(stages):
     _, before, after, _ = stages[1]
     before = sorted(before, key=lambda r: r.doc_id)
