@@ -360,6 +360,21 @@ def test_constant_texts_are_counted_over_all_pages(spark):
     assert all(got[200 + j][-2:] == ["Head", "only paragraph"] and got[300 + j] == ["one text"] for j in range(8))
 
 
+def test_copies_of_a_sampled_page_are_one_before_the_ranking(spark):
+    rows = [(f"http://a.example/{i}", _page(i % 6, f"<article><p>{i % 6}</p></article>") if i % 3 else
+             _page(0, "<article><p>0</p></article>")) for i in range(300)]
+    df = spark.createDataFrame(rows, "url string, html string")
+    seen = []
+    whole = wrappers.cut
+    try:
+        wrappers.cut = lambda frame: seen.append(frame) or whole(frame)
+        got = wrappers.host_wrappers(df).collect()
+    finally:
+        wrappers.cut = whole
+    assert len(got) == 1 and len(seen) == 1
+    assert "html" not in seen[0].columns and seen[0].count() == len({tuple(r) for r in seen[0].collect()}) == 4
+
+
 def test_main_text_of_the_test_pages(spark):
     import html
     import re
