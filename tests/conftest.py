@@ -21,9 +21,3 @@ def spark():
 @pytest.fixture
 def scratch():
     return tempfile.mkdtemp(prefix="arealens-test-")
-
-
-def rows(df, *cols):
-    """Collected rows as tuples (in the frame's order)."""
-    cols = cols or df.columns
-    return [tuple(r[c] for c in cols) for r in df.collect()]

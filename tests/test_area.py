@@ -6,8 +6,7 @@ from pyspark.sql import functions as F
 from arealens import schemas as S
 from arealens.operators import selection
 from arealens.operators.area import apportioned_distribution, area_series, weighted_index
-from conftest import rows
-from fixtures import cbpostcodes, cbsa1mb, cbsa2, income, seifa
+from fixtures import cbpostcodes, cbsa1mb, cbsa2, income, rows, seifa
 
 BLOCKS = [73, 74, 83]  # numbers on purpose: ids are compared as text
 

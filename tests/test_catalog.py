@@ -4,9 +4,8 @@ import pytest
 
 from arealens import schemas as S
 from arealens.plans import catalog as C
-from conftest import rows
 from fixtures import (PAYMENT_SA2, PAYMENT_URL, RENTAL_SHEET, RENTAL_URL, cbpostcodes, cbsa1mb,
-                      cbsa2, income, seifa, sheet, sheet_rows)
+                      cbsa2, income, rows, seifa, sheet, sheet_rows)
 
 
 def _tables(spark):

@@ -10,8 +10,7 @@ from arealens.operators.gate import (current_period_rows, freshness_gate, new_pe
 from arealens.plans.payment_types import load_payment_types
 from arealens.sources.tables import append_table, read_table, write_clustered
 from arealens.streaming import incremental_load
-from conftest import rows
-from fixtures import PAYMENT_SA2, RENTAL_SHEET, sheet, sheet_rows
+from fixtures import PAYMENT_SA2, RENTAL_SHEET, rows, sheet, sheet_rows
 
 
 def _stored(spark):

@@ -6,7 +6,7 @@ from arealens.operators.clean import (cast_numbers, drop_labels, fill_numeric_nu
                                       keep_prefix, keep_present, lower_names, strip_markers_all)
 from arealens.operators.reshape import melt, tagged_union
 from arealens.sources.links import first_link, link_inventory, newest_link
-from conftest import rows
+from fixtures import rows
 
 HTML = ('<html><body><nav><a href="/home">h</a><a class="x" href="/data/latest.xlsx">l</a></nav>'
         '<div id="dataset-resources"><a href="https://x/dec-2021.xlsx">a</a>'

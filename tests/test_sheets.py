@@ -1,7 +1,7 @@
 import datetime as dt
 
 from arealens.plans.jobseeker import load_jobseeker
-from conftest import rows
+from fixtures import rows
 from arealens.plans.payment_types import load_payment_types
 from arealens.plans.rental import DWELLING_TYPES, load_rental, rental_header
 from arealens.sources.sheets import pick_sheets, sheets_per_source
