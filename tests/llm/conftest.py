@@ -5,7 +5,6 @@ import tempfile
 import pytest
 
 HERE = os.path.dirname(os.path.abspath(__file__))
-sys.path.insert(0, HERE)
 sys.path.insert(0, os.path.dirname(os.path.dirname(HERE)))
 
 from arealens.session import checkpoint_dir, get_session  # noqa: E402
