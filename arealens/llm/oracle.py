@@ -79,4 +79,37 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (rid) LEFT JOIN named USING (rid)"""
 
-ORACLES = {"op3_secret_scan": SECRETS, "op5_warc_chunks": WARC, "op8_winnow_decontamination": DECONTAMINATION}
+_SHARE = "1 + (1000000000::HUGEINT * ({0} + 2)) // ({1} + 2 * v)"
+_DISTANCE = "(({0}) - ({1})) * (({0}) - ({1})) // (({0}) + ({1}))"
+
+# Counts of every kept term in every group, zeros included, then shares and their distances.
+DIVERGENCE = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                    'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+o AS (SELECT rid, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term FROM (SELECT DISTINCT rid, lang, term FROM o) GROUP BY lang, term HAVING count(*) >= 10),
+sized AS (SELECT lang, count(*)::HUGEINT AS v FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM d),
+seen AS (SELECT lang, source, term, count(*)::HUGEINT AS c FROM o JOIN kept USING (lang, term) GROUP BY ALL),
+counts AS (SELECT g.lang, g.source, k.term, coalesce(c, 0) AS c FROM groups g JOIN kept k USING (lang)
+           LEFT JOIN seen s ON s.lang = g.lang AND s.source = g.source AND s.term = k.term),
+shares AS (SELECT lang, source, term, c, {_SHARE.format("c", "sum(c) OVER (PARTITION BY lang, source)")} AS p
+           FROM counts JOIN sized USING (lang)),
+whole AS (SELECT lang, term, {_SHARE.format("c", "sum(c) OVER (PARTITION BY lang)")} AS q
+          FROM (SELECT lang, term, sum(c) AS c FROM counts GROUP BY ALL) JOIN sized USING (lang)),
+far AS (SELECT a.lang, a.source, b.source AS item, sum({_DISTANCE.format("a.p", "b.p")}) AS value
+        FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(value, 0) AS value
+          FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN far f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source),
+terms AS (SELECT s.lang, s.source, s.term AS item, {_DISTANCE.format("p", "q")} AS value
+          FROM shares s JOIN whole USING (lang, term) WHERE c > 0 AND p > q),
+every AS (SELECT lang, source, 'pair' AS part, item, value FROM pairs
+          UNION ALL SELECT lang, source, 'term', item, value FROM terms),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS r FROM every)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(r AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR r <= 10"""
+
+ORACLES = {"op3_secret_scan": SECRETS, "op5_warc_chunks": WARC, "op8_winnow_decontamination": DECONTAMINATION,
+           "op12_source_divergence": DIVERGENCE}

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hilbert, langid, packing, repeats, secrets, shards, simhash, warc, winnow, wrappers
+from . import (alignment, bestfit, divergence, hilbert, langid, packing, repeats, secrets, shards, simhash, warc,
+               winnow, wrappers)
 from .common import table
 from .oracle import ORACLES
 
@@ -70,8 +71,24 @@ def op10_column_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents"), width=200).drop("kept")
 
 
+def op11_complement_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in few sequences of at most 1024 ids, one row per piece."""
+    return bestfit.pack_best_fit(table(spark, sf_dir, "documents"), window=1024, separator=2)
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence between the sources of every language, and every source's own terms."""
+    return divergence.source_divergence(table(spark, sf_dir, "documents"), least=10, top=10)
+
+
+def op13_pair_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's links between two vocabularies, scored by documents per id pair."""
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES = {f.__name__: f for f in (
     op1_pack_windows, op2_simhash_near_dedup, op3_secret_scan, op4_wrapper_text, op5_warc_chunks,
-    op6_hilbert_neighbours, op7_minimax_shards, op8_winnow_decontamination, op9_language_id, op10_column_repeats)}
+    op6_hilbert_neighbours, op7_minimax_shards, op8_winnow_decontamination, op9_language_id, op10_column_repeats,
+    op11_complement_packing, op12_source_divergence, op13_pair_bitmaps)}
 
 LLM_ORACLE_SQL: dict[str, str] = dict(ORACLES)
