@@ -108,3 +108,20 @@ def fix_header_typos(col) -> Column:
     for bad, good in HEADER_YEAR_TYPOS:
         c = F.regexp_replace(c, bad, good)
     return c
+
+
+# A publication's revision mark in its file name: "...-dec-2021-revised.xlsx" is
+# revision 1 of its period, "...-v3.xlsx" revision 3, a plain name revision 0.
+REVISION_PATTERN = r"(?i)[-_ .](?:v(?=[0-9])|revised|revision|rev|updated|corrected)[-_ ]?([0-9]*)"
+
+
+def revision_sql(url: str) -> str:
+    """SQL text of a publication's revision number, read from its file name."""
+    number = f"regexp_extract({url}, r'{REVISION_PATTERN}', 1)"
+    return (f"CASE WHEN {url} RLIKE r'{REVISION_PATTERN}' "
+            f"THEN coalesce(try_cast(nullif({number}, '') AS INT), 1) ELSE 0 END")
+
+
+def publication_order(url: str = "source_url") -> F.Column:
+    """Sortable order of the publications of one period: revision number, then name."""
+    return F.struct(F.expr(revision_sql(url)).alias("revision"), F.col(url).alias("name"))

@@ -30,7 +30,10 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arealens.operators.selection import SEIFA_INDEX_TYPES, SEIFA_MEASURES, bounded_broadcast
+from arealens.functions.period import period_to_date
+from arealens.operators.selection import SEIFA_INDEX_TYPES, SEIFA_MEASURES, bounded_broadcast, staged
+
+from arealens.plans.payment_types import payment_period
 
 # Money and shares are exact decimals (as a numeric database column would
 # be): sums are then exact, and round() meets a true .5 tie the same way in
@@ -408,3 +411,108 @@ def faulty_payment_sheets(spark, d) -> DataFrame:
     twice = F.when((F.col("mon") == 6) & (F.col("sheet_name") == "By SA2"), F.array(F.lit(1), F.lit(9)))
     return (x.withColumn("sheet_no", F.explode(F.coalesce(twice, F.array("sheet_no"))))
              .select(*rows.columns))
+
+
+# ------------------------------------------------ revisions, accounts, overlaps --
+
+def payment_month(url="source_url") -> F.Column:
+    return period_to_date(payment_period(url))
+
+
+def revised_payment_sheets(spark, d) -> DataFrame:
+    """SA2 sheets of every month, and of every third month a revised publication:
+    areas divisible by 11 are gone, areas divisible by 7 have another Age
+    Pension figure, areas divisible by 13 have a second area beside them."""
+    rows = staged(payment_type_sheets(spark, d).filter("sheet_name = 'By SA2'"))  # file names are read below
+    key = F.try_element_at(F.col("cells"), F.lit(1)).try_cast("int")
+    later = (rows.filter(F.month(payment_month()) % 3 == 0)
+                 .withColumn("source_url", F.regexp_replace("source_url", r"\.xlsx$", "-revised.xlsx"))
+                 .withColumn("k", key).filter(F.col("k").isNull() | (F.col("k") % 11 != 0)))
+    changed = F.concat(F.slice("cells", 1, 2), F.array(F.lit("1234")), F.slice("cells", 4, 2))
+    beside = later.filter("k % 13 = 0").withColumn("row_no", F.col("row_no") + 100_000_000).withColumn(
+        "cells", F.array(F.concat(F.lit("2x"), F.col("cells")[0]), F.col("cells")[1], F.lit("7"),
+                         F.lit(None).cast("string"), F.lit("n.p.")))
+    later = later.withColumn("cells", F.when(F.col("k") % 7 == 0, changed).otherwise(F.col("cells")))
+    return rows.unionByName(later.drop("k")).unionByName(beside.drop("k"))
+
+
+def noisy_payment_sheets(spark, d) -> DataFrame:
+    """Payment-type workbooks with cells that can't be loaded: areas divisible by 9
+    have a text, areas divisible by 10 an empty cell among their figures."""
+    rows = payment_type_sheets(spark, d)
+    key = F.try_element_at(F.col("cells"), F.lit(1)).try_cast("int")
+    last = F.size("cells")
+    text = F.concat(F.slice(F.col("cells"), F.lit(1), last - 1), F.array(F.lit("n.p.")))
+    blank = F.concat(F.slice(F.col("cells"), F.lit(1), last - 1), F.array(F.lit(None).cast("string")))
+    cells = F.when(key % 9 == 0, text).when(key % 10 == 0, blank).otherwise(F.col("cells"))
+    return rows.withColumn("cells", cells)
+
+
+def faulty_jobseeker_sheets(spark, d) -> DataFrame:
+    """Jobseeker workbooks with faults by order month: February's file names have no
+    period, April's sheet another name, June's another code column, August's
+    workbook two such sheets, October's no series column."""
+    rows = jobseeker_sheets(spark, d)
+    month = period_to_date(F.replace(F.regexp_extract("source_url", "profile-(.*)[.]xlsx$", 1), F.lit("-"), F.lit(" ")))
+    x = rows.withColumn("mon", F.month(month)).withColumn("y", F.year(month))
+    own = F.col("sheet_no") == 4
+    x = x.withColumn("source_url", F.when(F.col("mon") == 2, F.concat(
+        F.lit("https://data.example.org/jobseeker-profile-"), F.col("y"), F.lit(".xlsx"))).otherwise(F.col("source_url")))
+    x = x.withColumn("sheet_name", F.when((F.col("mon") == 4) & own, F.lit("Table 5 - By SA2")).otherwise(F.col("sheet_name")))
+    header = own & (F.col("row_no") == 7)
+    x = x.withColumn("cells", F.when((F.col("mon") == 6) & header, F.transform(
+        "cells", lambda c: F.when(c == "SA2", F.lit("SA2 code")).otherwise(c)))
+        .when((F.col("mon") == 10) & header, F.slice("cells", 1, 2)).otherwise(F.col("cells")))
+    twice = F.when((F.col("mon") == 8) & own, F.array(F.lit(4), F.lit(9)))
+    return x.withColumn("sheet_no", F.explode(F.coalesce(twice, F.array("sheet_no")))).select(*rows.columns)
+
+
+# Fixed value: the classes of blocks that the overlapping selections are made of.
+RINGS = 64
+
+
+def overlapping_selections(spark, d) -> DataFrame:
+    """(selection_id, block_id): every interval of rings 0 to 63 is a selection (2,080
+    of them, nested and overlapping); a supplier's ring is its number modulo 64."""
+    ring = table(spark, d, "supplier").select(_txt("s_suppkey").alias("block_id"),
+                                              (F.col("s_suppkey") % RINGS).cast("int").alias("ring"))
+    low = ring.withColumn("low", F.explode(F.sequence(F.lit(0), F.col("ring"))))
+    return (low.withColumn("high", F.explode(F.sequence(F.col("ring"), F.lit(RINGS - 1))))
+               .select(F.concat_ws("-", "low", "high").alias("selection_id"), "block_id"))
+
+
+def neighbour_concord(spark, d) -> DataFrame:
+    """Concordance whose areas lie in neighbouring blocks: three suppliers share an area."""
+    li = table(spark, d, "lineitem").select("l_suppkey", F.expr("l_suppkey div 3").alias("area"), F.year("l_shipdate").alias("year"))
+    return li.select(_txt("l_suppkey").alias("block_id"), _txt("area").alias("sa1_main"),
+                     (F.col("area") % 97 + 1).alias("sa1_persons"), "year")
+
+
+def maker_index(spark, d) -> DataFrame:
+    """Area index with few types: part prices by the first digit of their brand."""
+    return (seifa_index(spark, d).withColumn("seifaindextype", F.substring("seifaindextype", 1, 7))
+            .withColumn("seifa_measure", F.lit("SCORE")))
+
+
+def header_typos(spark, d) -> DataFrame:
+    """(m, header): cleaned header labels of order months as published, every third
+    year with one of the two year marks that two sheets of one name carry."""
+    o = table(spark, d, "orders").select(F.trunc("o_orderdate", "month").alias("m")).distinct()
+    mark = F.when(F.year("m") % 3 == 0, F.lit("2003_31")).when(F.year("m") % 3 == 1, F.lit("2003_39")).otherwise(
+        F.date_format("m", "yyyy"))
+    return o.select(F.col("m").cast("date").alias("m"), F.concat(F.lower(F.date_format("m", "MMM")), F.lit("_"), mark).alias("header"))
+
+
+def flat_customers(spark, d, folder: str) -> None:
+    """One delimited text file per customer nation: two title rows, a header, a row
+    per customer with a quoted name that holds the delimiter and quotes."""
+    c = table(spark, d, "customer")
+    quoted = F.concat(F.lit('"'), F.col("c_name"), F.lit(', ""'), F.col("c_mktsegment"), F.lit('"""'))
+    body = c.select("c_nationkey", F.col("c_custkey").alias("place"), F.concat_ws(
+        ",", _txt("c_custkey"), quoted, F.when(F.col("c_custkey") % 5 != 0, _txt("c_custkey")).otherwise(F.lit(""))).alias("line"))
+    titles = F.array(*[F.struct(F.lit(i - 3).cast("bigint").alias("place"), F.lit(t).alias("line"))
+                       for i, t in enumerate(("Customers", "", "Key,Name,Again"))])
+    top = c.select("c_nationkey").distinct().select("c_nationkey", F.explode(titles).alias("t")).select("c_nationkey", "t.*")
+    (body.withColumn("place", F.col("place").cast("bigint")).unionByName(top)
+         .repartition("c_nationkey").sortWithinPartitions("c_nationkey", "place")
+         .select("c_nationkey", "line").write.partitionBy("c_nationkey").text(folder))

@@ -15,12 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from arealens.operators.area import (AREA_SERIES_SPECS, apportioned_distribution, area_series,
                                      unknown_series, weighted_index)
 from arealens.operators.gate import new_periods_only
-from arealens.plans.jobseeker import load_jobseeker
+from arealens.plans.jobseeker import jobseeker_quarantine, load_jobseeker
 from arealens.operators.selection import staged
 from arealens.plans.payment_types import (load_payment_types_all, one_payment_geography,
                                           payment_quarantine)
 from arealens.plans.rental import load_rental_all, one_rental_geography, rental_quarantine
-from arealens.sources.tables import load_key, split_unperioded
+from arealens.sources.store import create_view, ledger, write_load
+from arealens.sources.tables import SOURCE_COLUMN, load_key, split_unperioded
 
 # --- Fixed values: stored table names. -------------------------------------
 CONCORD_SA1 = "concord.cbsa1mb"
@@ -72,32 +73,37 @@ def area_time_series(spark: SparkSession, blocks, sel_tbl: str = "jobseeker_mont
     return area_series(fact, resolve(spark, concord, tables), blocks, spec=spec)
 
 
-def _stored_or_none(spark: SparkSession, name: str, tables=None) -> DataFrame | None:
-    if tables is not None:
-        return tables.get(name)
-    return spark.table(name) if spark.catalog.tableExists(name) else None
+def default_store(spark: SparkSession) -> str:
+    """The folder of the loads: beside the session's tables, in its warehouse."""
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/arealens_loads"
 
 
 def append_new(df: DataFrame, name: str, period_col: str = "month_date", tables=None) -> DataFrame:
-    """Append the rows of periods not yet in table ``name`` (created on the
-    first load, partitioned by the period).  Returns the lazy frame that was
-    appended (evaluated again later, it compares with the table as it is
-    then).  ``tables`` (name -> DataFrame) replaces the catalog and skips the
-    write, for dry runs and tests."""
-    spark = df.sparkSession
-    stored = _stored_or_none(spark, name, tables)
+    """What a load would add to table ``name`` of ``tables`` (name -> stored
+    rows): the rows of periods, and of publications where the rows name them,
+    that are not stored yet.  A dry run: nothing is written."""
+    stored = (tables or {}).get(name)
+    df = split_unperioded(df, period_col, None)
+    if stored is None:
+        return df
     keys = load_key(df, period_col)
-    if stored is not None and (missing := [k for k in keys if k not in stored.columns]):
+    if missing := [k for k in keys if k not in stored.columns]:
         raise ValueError(f"table {name} has no column {', '.join(missing)}")
-    df = split_unperioded(df, period_col, None)
-    new = df if stored is None else new_periods_only(df, stored, keys)
-    if tables is None:
-        if stored is None:
-            new.write.mode("append").format("parquet").partitionBy(period_col).saveAsTable(name)
-        else:
-            # insertInto matches by position: use the stored column order
-            new.select(*stored.columns).write.insertInto(name)
-    return new
+    return new_periods_only(df, stored, keys)
+
+
+def _load(outputs: Mapping[str, DataFrame], spark: SparkSession, store: str | None, tables, load_id: str | None) -> dict:
+    """Add the outputs' new rows to their tables, visible together, each table
+    under a catalog view of its name; with ``tables`` a dry run against those."""
+    if tables is not None:
+        return {name: append_new(df, name, tables=tables) for name, df in outputs.items()}
+    store = store or default_store(spark)
+    added = write_load(outputs, store, load_id)
+    have = {r.table_name for r in ledger(spark, store).select("table_name").distinct().collect()}  # a few names
+    for name, df in outputs.items():
+        if name in have:
+            create_view(spark, name, store, name, [c for c in df.columns if c != SOURCE_COLUMN])
+    return added
 
 
 def _stop_at(bad: DataFrame) -> None:
@@ -105,8 +111,11 @@ def _stop_at(bad: DataFrame) -> None:
         raise ValueError("sheets that can't be placed: " + "; ".join(" ".join(map(str, r)) for r in first))
 
 
-def run_payment_types_load(sheet_rows: DataFrame, tables=None, faulty: str = "fail") -> dict:
-    """The three payment-type tables from one landing table, melted once.
+def run_payment_types_load(sheet_rows: DataFrame, tables=None, faulty: str = "fail", store: str | None = None,
+                           load_id: str | None = None) -> dict:
+    """The three payment-type tables from one landing table, melted once and made
+    visible together (``sources.store``; by default in the session's warehouse).
+    A table's view shows the last publication of every period.
 
     Sheets that can't be placed (``payment_quarantine``) stop the load before
     anything is written, or are left out with ``faulty="skip"``.  A geography
@@ -119,20 +128,28 @@ def run_payment_types_load(sheet_rows: DataFrame, tables=None, faulty: str = "fa
     every = load_payment_types_all(sheet_rows, with_source=True)
     if faulty == "skip":
         every = every.join(bad.select("source_url", "geography").distinct(), ["source_url", "geography"], "left_anti")
-    every = staged(every.drop("source_url"))
-    return {g: append_new(one_payment_geography(every, g), sink, tables=tables)
-            for g, sink in PAYMENT_SINKS.items()}
+    every = staged(every)
+    added = _load({sink: one_payment_geography(every, g) for g, sink in PAYMENT_SINKS.items()},
+                  sheet_rows.sparkSession, store, tables, load_id)
+    return {g: added[sink] for g, sink in PAYMENT_SINKS.items()}
 
 
-def run_jobseeker_load(sheet_rows: DataFrame, tables=None) -> DataFrame:
-    return append_new(load_jobseeker(sheet_rows), JOBSEEKER_SINK, tables=tables)
+def run_jobseeker_load(sheet_rows: DataFrame, tables=None, store: str | None = None,
+                       load_id: str | None = None) -> DataFrame:
+    """The jobseeker table from one landing table.  Publications whose sheet can't
+    be read (``jobseeker_quarantine``) stop the load before anything is written."""
+    _stop_at(jobseeker_quarantine(sheet_rows))
+    added = _load({JOBSEEKER_SINK: load_jobseeker(sheet_rows, with_source=True)}, sheet_rows.sparkSession,
+                  store, tables, load_id)
+    return added[JOBSEEKER_SINK]
 
 
-def run_rental_load(sheet_rows: DataFrame, tables=None) -> dict:
-    """Both rental tables from one melt, each gated on its own stored periods.
+def run_rental_load(sheet_rows: DataFrame, tables=None, store: str | None = None, load_id: str | None = None) -> dict:
+    """Both rental tables from one melt, each gated on its own stored publications.
     Sheets that can't be placed (``rental_quarantine``) stop the load before
     anything is written."""
     _stop_at(rental_quarantine(sheet_rows))
-    every = staged(load_rental_all(sheet_rows))
-    return {g: append_new(one_rental_geography(every, g), sink, tables=tables)
-            for g, sink in RENTAL_SINKS.items()}
+    every = staged(load_rental_all(sheet_rows, with_source=True))
+    added = _load({sink: one_rental_geography(every, g) for g, sink in RENTAL_SINKS.items()},
+                  sheet_rows.sparkSession, store, tables, load_id)
+    return {g: added[sink] for g, sink in RENTAL_SINKS.items()}

@@ -364,6 +364,143 @@ UNION ALL SELECT source_url, 'sa2', 'no code column' FROM u WHERE month(m) = 4
 UNION ALL SELECT source_url, 'sa2', 'several sheets' FROM u WHERE month(m) = 6
 UNION ALL SELECT source_url, 'postcode', 'no sheet' FROM u WHERE month(m) = 8"""
 
+_PAY_URL = f"'https://data.example.org/dss-demographics-' || {_TOKEN} || '.xlsx'"
+
+
+def _loaded(table: str, code: str, prefix: str) -> str:
+    return f"""
+SELECT '{table}' AS table_name, m AS month_date, count(*) AS rows, sum(CASE WHEN c BETWEEN 1 AND 4 THEN 5 ELSE c END) AS total
+FROM (SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS m, l_returnflag, count(*) AS c
+      FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE CAST({code} AS VARCHAR) LIKE '{prefix}%'
+      GROUP BY m, {code}, l_returnflag) GROUP BY m"""
+
+
+_LOADS = " UNION ALL ".join([_loaded("dss.payment_types_qrt_sa2", "l_suppkey", "2"),
+                             _loaded("dss.payment_types_qrt_lga", "(s_nationkey + 19990)", "2"),
+                             _loaded("dss.payment_types_qrt_pc", "l_partkey", "3")])
+
+LEDGER = f"""
+SELECT table_name, m AS month_date, {_PAY_URL} AS source_url, rows, CAST(total AS DOUBLE) AS total
+FROM (SELECT *, month_date AS m FROM ({_LOADS}))"""
+
+NEWEST_LOADED = f"""
+SELECT table_name, max(month_date) AS newest, CAST(sum(rows) AS BIGINT) AS rows FROM ({_LOADS}) GROUP BY table_name"""
+
+# First and revised publications of the SA2 sheets; a revision has every third month.
+_REVISED = "WITH " + _PAY.format(code="l_suppkey", name="s_name") + f""",
+one AS (SELECT m, CAST(code AS VARCHAR) AS code, code AS k, name, series,
+               CAST(CASE WHEN c BETWEEN 1 AND 4 THEN 5 ELSE c END AS DOUBLE) AS value
+        FROM pl WHERE c > 0 AND CAST(code AS VARCHAR) LIKE '2%'),
+every AS (
+  SELECT m, 0 AS ord, {_PAY_URL} AS url, code, name, series, value FROM one
+  UNION ALL
+  SELECT m, 1, replace({_PAY_URL}, '.xlsx', '-revised.xlsx'), code, name, series, value FROM (
+    SELECT m, code, name, series, value FROM one WHERE k % 11 <> 0 AND NOT (k % 7 = 0 AND series = 'Age Pension')
+    UNION ALL SELECT m, CAST(code AS VARCHAR), name, 'Age Pension', 1234 FROM pay
+    WHERE code % 11 <> 0 AND code % 7 = 0 AND CAST(code AS VARCHAR) LIKE '2%'
+    UNION ALL SELECT m, '2x' || code, name, 'Age Pension', 7 FROM pay WHERE code % 11 <> 0 AND code % 13 = 0)
+  WHERE month(m) % 3 = 0),
+pubs AS (SELECT m, ord, url, CAST(row_number() OVER (PARTITION BY m ORDER BY ord) AS INTEGER) AS place
+         FROM (SELECT DISTINCT m, ord, url FROM every)),
+x AS (SELECT every.*, place FROM every JOIN pubs USING (m, ord))"""
+
+REVISED = _REVISED + """
+SELECT n.m AS month_date, n.code AS sa2_5dig, n.name AS sa2_name, n.series, n.url AS source_url, n.place,
+       CASE WHEN b.value IS NULL THEN 'inserted' WHEN b.value = n.value THEN 'same' ELSE 'changed' END AS status,
+       b.value AS old_value, n.value
+FROM x n LEFT JOIN x b ON b.m = n.m AND b.code = n.code AND b.name = n.name AND b.series = n.series AND b.place = n.place - 1
+UNION ALL
+SELECT b.m, b.code, b.name, b.series, p.url, p.place, 'withdrawn', b.value, NULL
+FROM x b JOIN pubs p ON p.m = b.m AND p.place = b.place + 1
+WHERE NOT EXISTS (SELECT 1 FROM x n WHERE n.m = b.m AND n.code = b.code AND n.name = b.name AND n.series = b.series
+                  AND n.place = p.place)"""
+
+LATEST = _REVISED + """
+SELECT code AS sa2_5dig, name AS sa2_name, series, value, m AS month_date, url AS source_url
+FROM x WHERE place = (SELECT max(place) FROM pubs WHERE pubs.m = x.m)"""
+
+JOBSEEKER_QUARANTINE = """
+WITH mm AS (SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) AS m FROM orders),
+u AS (SELECT month(m) AS mon, year(m) AS y,
+             'https://data.example.org/jobseeker-payment-and-youth-allowance-recipients-monthly-profile-'
+             || lower(strftime(m, '%B')) || '-' || strftime(m, '%Y') || '.xlsx' AS url FROM mm)
+SELECT 'https://data.example.org/jobseeker-profile-' || y || '.xlsx' AS source_url, 'no period' AS reason FROM u WHERE mon = 2
+UNION ALL SELECT url, CASE mon WHEN 4 THEN 'no sheet' WHEN 6 THEN 'no code column' WHEN 8 THEN 'several sheets' ELSE 'no series' END
+FROM u WHERE mon IN (4, 6, 8, 10)"""
+
+
+def _account(geography: str, code: str, prefix: str) -> str:
+    return f"""
+SELECT m, '{geography}' AS geography, CAST({code} AS VARCHAR) LIKE '{prefix}%' AS ours, {code} % 9 = 0 AS noted,
+       {code} % 10 = 0 AS blank, count(*) FILTER (WHERE l_returnflag = 'A') AS a,
+       count(*) FILTER (WHERE l_returnflag = 'N') AS n, count(*) FILTER (WHERE l_returnflag = 'R') AS r
+FROM (SELECT *, CAST(date_trunc('month', l_shipdate) AS DATE) AS m FROM lineitem JOIN supplier ON l_suppkey = s_suppkey)
+GROUP BY m, {code}"""
+
+
+ACCOUNT = f"""
+WITH areas AS ({" UNION ALL ".join([_account("sa2", "l_suppkey", "2"), _account("lga", "(s_nationkey + 19990)", "2"),
+                                    _account("postcode", "l_partkey", "3")])}),
+cells AS (
+  SELECT m, geography, ours, unnest([a, n, CASE WHEN noted THEN -1 WHEN blank THEN -2 ELSE r END]) AS c FROM areas),
+sums AS (
+  SELECT m, geography, count(*) + 3 AS landed, count(*) FILTER (WHERE ours AND c > 0) AS kept,
+         count(*) FILTER (WHERE ours AND c BETWEEN 1 AND 4) AS marked, CAST(3 AS BIGINT) AS footnote,
+         count(*) FILTER (WHERE NOT ours) AS other_region, count(*) FILTER (WHERE ours AND c = -2) AS empty,
+         count(*) FILTER (WHERE ours AND c = -1) AS unparsed, count(*) FILTER (WHERE ours AND c = 0) AS not_positive
+  FROM cells GROUP BY m, geography)
+SELECT {_PAY_URL} AS source_url, * EXCLUDE (m) FROM sums"""
+
+_RINGS = "sel AS (SELECT a, b FROM range(64) x(a), range(64) y(b) WHERE a <= b)"
+
+OVERLAPPING = f"""
+WITH g AS (
+  SELECT l_suppkey % 64 AS ring, o_orderpriority AS w, o_orderstatus AS s, CAST(year(o_orderdate) AS INTEGER) AS y,
+         sum(CAST(o_totalprice AS DECIMAL(12,2)) * (CAST(l_quantity AS DECIMAL(12,2)) * 0.02)) AS part
+  FROM lineitem JOIN orders ON o_orderkey = l_orderkey AND year(o_orderdate) = year(l_shipdate)
+  WHERE l_suppkey IN (SELECT s_suppkey FROM supplier) GROUP BY ALL),
+{_RINGS}
+SELECT a || '-' || b AS selection_id, w AS eq_income_weekly, s AS eq_income_yearly,
+       CAST(round(sum(part)) AS DOUBLE) AS value, y AS year
+FROM sel JOIN g ON ring BETWEEN a AND b GROUP BY ALL"""
+
+# An area (three suppliers) counts in the interval from a to b if the first of its rings from a on is at most b.
+OVERLAPPING_INDEX = f"""
+WITH reached AS (SELECT DISTINCT l_suppkey // 3 AS part, CAST(year(l_shipdate) AS INTEGER) AS y, l_suppkey % 64 AS ring
+                 FROM lineitem WHERE l_suppkey IN (SELECT s_suppkey FROM supplier)),
+steps AS (SELECT *, coalesce(lag(ring) OVER (PARTITION BY part, y ORDER BY ring), -1) AS before FROM reached),
+sums AS (
+  SELECT before, ring, y, substr(p_brand, 1, 7) AS kind, sum(CAST(p_retailprice AS DECIMAL(12,2)) * (part % 97 + 1)) AS top,
+         sum(part % 97 + 1) AS bottom
+  FROM steps JOIN part p ON p_partkey = part WHERE p_retailprice IS NOT NULL GROUP BY ALL),
+{_RINGS}
+SELECT a || '-' || b AS selection_id, kind AS seifaindextype, 'SCORE' AS seifa_measure,
+       CAST(round(sum(top) / sum(bottom)) AS DOUBLE) AS value, y AS year
+FROM sel JOIN sums ON a > before AND a <= ring AND ring <= b GROUP BY ALL"""
+
+FLAT = """
+WITH c AS (SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS r FROM customer),
+n AS (SELECT DISTINCT c_nationkey FROM customer)
+SELECT CAST(c_nationkey AS VARCHAR) AS sheet_name, CAST(r + 3 AS INTEGER) AS row_no, 3 AS n_cells, CAST(c_custkey AS VARCHAR) AS first,
+       c_name || ', "' || c_mktsegment || '"' AS second, CASE WHEN c_custkey % 5 <> 0 THEN CAST(c_custkey AS VARCHAR) END AS third FROM c
+UNION ALL SELECT CAST(c_nationkey AS VARCHAR), 1, 1, 'Customers', NULL, NULL FROM n
+UNION ALL SELECT CAST(c_nationkey AS VARCHAR), 2, 1, NULL, NULL, NULL FROM n
+UNION ALL SELECT CAST(c_nationkey AS VARCHAR), 3, 3, 'Key', 'Name', 'Again' FROM n"""
+
+HEADER_TYPOS = """
+WITH mm AS (SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) AS m FROM orders),
+y AS (SELECT m, CASE year(m) % 3 WHEN 0 THEN '2003_31' WHEN 1 THEN '2003_39' ELSE strftime(m, '%Y') END AS mark,
+             CASE year(m) % 3 WHEN 0 THEN '2002' WHEN 1 THEN '2003' ELSE strftime(m, '%Y') END AS y FROM mm)
+SELECT m, lower(strftime(m, '%b')) || '_' || mark AS header,
+       CASE month(m) WHEN 3 THEN 'March ' WHEN 6 THEN 'June ' WHEN 9 THEN 'September ' WHEN 12 THEN 'December '
+            ELSE lower(strftime(m, '%b')) || '_' END || y AS label,
+       CASE WHEN month(m) IN (3, 6, 9, 12) THEN make_date(CAST(y AS BIGINT), month(m), 1) END AS month_date
+FROM y"""
+
+LOWER_NAMES = """
+SELECT c_custkey AS custkey, c_name AS name, CASE WHEN c_acctbal > 0 THEN c_acctbal ELSE 0 END AS acctbal,
+       CASE WHEN c_nationkey > 4 THEN c_mktsegment END AS segment FROM customer"""
+
 ORACLE_SQL = {
     "apportioned_distribution": APPORTIONED,
     "distribution_bucket_rank": BUCKET_RANK,
@@ -402,4 +539,18 @@ ORACLE_SQL = {
     "area_time_series_blocks": SERIES_BLOCKS,
     "clean_header_names": HEADER_NAMES,
     "quarantined_sheets": QUARANTINE,
+    "load_ledger": LEDGER,
+    "newest_loaded": NEWEST_LOADED,
+    "revised_cells": REVISED,
+    "latest_publications": LATEST,
+    "jobseeker_quarantine": JOBSEEKER_QUARANTINE,
+    "load_account": ACCOUNT,
+    "sql_income_distribution": INCOME_BLOCKS,
+    "sql_seifa_index": SEIFA_BLOCKS,
+    "sql_area_series": SERIES_BLOCKS,
+    "overlapping_selections": OVERLAPPING,
+    "overlapping_index": OVERLAPPING_INDEX,
+    "flat_sheets": FLAT,
+    "header_typos": HEADER_TYPOS,
+    "lower_names": LOWER_NAMES,
 }

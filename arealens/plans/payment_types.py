@@ -10,7 +10,7 @@ positive values, type the result.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from arealens.functions.period import (PAYMENT_PERIOD_PATTERN, extract_period, period_to_date,
@@ -74,19 +74,85 @@ def payment_layout(sheet_rows: DataFrame) -> DataFrame:
                     period_to_date(quarter).alias("month_date"))
 
 
-def load_payment_types_all(sheet_rows: DataFrame, compare: str = "numeric",
-                           with_source: bool = False) -> DataFrame:
+class LoadAccount:
+    """Counts of a load's cells by outcome, observed by the load's own job:
+    ``load_payment_types_all(rows, account=account)``, then, after the frame was
+    evaluated once, ``account.counts()``."""
+
+    def __init__(self):
+        self.rows, self.cells = Observation(), Observation()
+
+    def observe_rows(self, rows: DataFrame) -> DataFrame:
+        return rows.observe(self.rows, *[F.coalesce(F.sum(F.when(_row_outcome() == o, F.size("value_cols"))), F.lit(0))
+                                          .alias(o) for o in ROW_OUTCOMES])
+
+    def observe_cells(self, cells: DataFrame) -> DataFrame:
+        return cells.observe(self.cells, *[F.count_if(_cell_outcome("cell") == o).alias(o) for o in CELL_OUTCOMES],
+                             F.count_if((_cell_outcome("cell") == "kept") & F.col("cell").contains("<")).alias("marked"))
+
+    def counts(self) -> dict[str, int]:
+        """Cells per outcome; ``marked`` counts the kept ones published as "<n"."""
+        return {**self.rows.get, **self.cells.get}
+
+
+# Why a landed cell is not loaded: its row has no area code, or one outside the region ...
+ROW_OUTCOMES = ("footnote", "other region")
+# ... or the cell itself is empty, no number, or not above zero.
+CELL_OUTCOMES = ("kept", "empty", "unparsed", "not positive")
+
+
+def _row_outcome() -> F.Column:
+    return (F.when(F.col("code").isNull(), F.lit("footnote"))
+             .when(~F.col("code").startswith(F.col("prefix")), F.lit("other region")))
+
+
+def _cell_outcome(cell: str) -> F.Column:
+    number = lenient_number(strip_marker(cell))
+    return (F.when(F.col(cell).isNull(), F.lit("empty")).when(number.isNull(), F.lit("unparsed"))
+             .when(number > 0, F.lit("kept")).otherwise(F.lit("not positive")))
+
+
+def _payment_rows(sheet_rows: DataFrame) -> DataFrame:
+    rows = sheet_table(sheet_rows, PAYMENT_SKIP, header=payment_layout(sheet_rows))
+    return rows.withColumn("code", strip_marker(id_cell(0))).withColumn("name", strip_marker(id_cell(1)))
+
+
+def payment_account(sheet_rows: DataFrame) -> DataFrame:
+    """(source_url, geography, landed, kept, marked, footnote, other_region, empty,
+    unparsed, not_positive): the cells of every publication by what a load
+    does with them; ``landed`` is the sum of ``kept`` and all reasons, and
+    ``marked`` counts the kept cells published as "<n".  One pass: a row that is
+    left out as a whole is one row of the aggregate, weighted by its cells."""
+    whole = F.array(F.struct(_row_outcome().alias("outcome"), F.size("value_cols").alias("n"), F.lit(None).cast("string").alias("cell")))
+    single = F.transform("value_cols", lambda z: F.struct(
+        F.lit(None).cast("string").alias("outcome"), F.lit(1).alias("n"), F.try_element_at(F.col("cells"), z["pos"]).alias("cell")))
+    x = (_payment_rows(sheet_rows).select("source_url", "geography", F.explode(F.when(_row_outcome().isNotNull(), whole).otherwise(single)).alias("z"))
+         .select("source_url", "geography", "z.n", "z.cell", F.coalesce("z.outcome", _cell_outcome("z.cell")).alias("outcome")))
+
+    def cells(condition):
+        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0)).cast("bigint")
+
+    return x.groupBy("source_url", "geography").agg(
+        F.sum("n").alias("landed"), cells(F.col("outcome") == "kept").alias("kept"),
+        cells((F.col("outcome") == "kept") & F.col("cell").contains("<")).alias("marked"),
+        *[cells(F.col("outcome") == o).alias(o.replace(" ", "_")) for o in (*ROW_OUTCOMES, *CELL_OUTCOMES[1:])])
+
+
+def load_payment_types_all(sheet_rows: DataFrame, compare: str = "numeric", with_source: bool = False,
+                           account: LoadAccount | None = None) -> DataFrame:
     """Every geography of every publication in one plan:
     (geography, code, name, quarter, series, value, month_date);
-    ``with_source`` adds ``source_url``."""
+    ``with_source`` adds ``source_url``; ``account`` observes in the same job
+    what becomes of every landed cell (numeric positivity)."""
     source = ["source_url"] if with_source else []
-    rows = sheet_table(sheet_rows, PAYMENT_SKIP, header=payment_layout(sheet_rows))
-    wide = (rows.withColumn("code", strip_marker(id_cell(0)))
-                .withColumn("name", strip_marker(id_cell(1)))
-                .filter(F.col("code").isNotNull())
-                .filter(F.col("code").startswith(F.col("prefix"))))
-    long = (explode_values(wide, [*source, "geography", "quarter", "month_date", "code", "name"])
-                .withColumn("value", strip_marker("value")))
+    rows = _payment_rows(sheet_rows)
+    if account is not None:
+        rows = account.observe_rows(rows)
+    wide = rows.filter(F.col("code").isNotNull()).filter(F.col("code").startswith(F.col("prefix")))
+    long = explode_values(wide, [*source, "geography", "quarter", "month_date", "code", "name"])
+    if account is not None:
+        long = account.observe_cells(long.withColumn("cell", F.col("value")))
+    long = long.withColumn("value", strip_marker("value"))
     if compare == "text":
         long = long.filter(~F.col("series").isin(list(PAYMENT_NUMERIC_SERIES))
                            | lenient_number("value").isNotNull())
@@ -122,18 +188,20 @@ def payment_quarantine(sheet_rows: DataFrame) -> DataFrame:
     in the file name, not exactly one sheet (``no sheet``, ``several sheets``),
     ``no code column``.  Publications without any of the workbook's sheets are
     not payment-type ones.  Read from header rows only."""
-    layout = payment_layout(sheet_rows)
-    found = layout.groupBy("source_url", "geography").agg(
-        F.countDistinct("sheet_no").alias("sheets"),
-        F.max((F.element_at("id_pos", 1) == 0).cast("int")).alias("no_code"))
+    layout = payment_layout(sheet_rows).select(
+        "source_url", "geography", "sheet_no", (F.element_at("id_pos", 1) == 0).cast("int").alias("no_code"))
+    found = layout.groupBy("source_url", "geography").agg(F.countDistinct("sheet_no").alias("sheets"),
+                                                          F.max("no_code").alias("no_code"))
+    per_source = found.groupBy("source_url").agg(F.map_from_entries(F.collect_list(F.struct(
+        "geography", F.struct("sheets", "no_code")))).alias("found"))   # at most one entry per geography
     names = F.array(*[F.lit(g) for g in PAYMENT_GEOGRAPHIES])
-    wanted = (layout.select("source_url").distinct()
-              .select("source_url", period_to_date(payment_period("source_url")).alias("month_date"),
-                      F.explode(names).alias("geography")))
+    wanted = (per_source.select("source_url", period_to_date(payment_period("source_url")).alias("month_date"),
+                                "found", F.explode(names).alias("geography"))
+              .withColumn("_f", F.try_element_at("found", F.col("geography")))
+              .select("source_url", "geography", "month_date", "_f.sheets", "_f.no_code"))
     faults = F.filter(F.array(
         F.when(F.col("month_date").isNull(), F.lit("no period")),
         F.when(F.col("sheets").isNull(), F.lit("no sheet")),
         F.when(F.col("sheets") > 1, F.lit("several sheets")),
         F.when(F.col("no_code") == 1, F.lit("no code column"))), lambda x: x.isNotNull())
-    return (wanted.join(found, ["source_url", "geography"], "left")
-            .select("source_url", "geography", F.explode(faults).alias("reason")))
+    return wanted.select("source_url", "geography", F.explode(faults).alias("reason"))

@@ -6,6 +6,8 @@ names match the DuckDB statements in ``arealens.plans.oracle``.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,19 +16,27 @@ from arealens.functions.period import (PAYMENT_PERIOD_PATTERN, expand_header_mon
                                        sentence_case)
 from arealens.functions.text import clean_header_names
 from arealens.operators.area import apportioned_distribution, area_series, weighted_index
-from arealens.operators.clean import (cast_numbers, drop_labels, keep_positive, keep_prefix,
-                                      keep_present, strip_markers_all)
+from arealens.operators.classes import overlapping_distribution, overlapping_index
+from arealens.operators.clean import (cast_numbers, drop_labels, fill_numeric_nulls, keep_positive,
+                                      keep_prefix, keep_present, lower_names, strip_markers_all)
 from arealens.operators.gate import (current_period_rows, freshness_gate, new_periods_only,
                                      newest_period)
 from arealens.operators.reshape import melt, tagged_union
+from arealens.operators.revisions import revised_cells
+from arealens.operators.selection import staged
 from arealens.plans import bindings as b
 from arealens.plans import catalog
-from arealens.plans.jobseeker import jobseeker_month, load_jobseeker
-from arealens.plans.payment_types import load_payment_types, payment_period, payment_quarantine
+from arealens.plans.jobseeker import jobseeker_month, jobseeker_quarantine, load_jobseeker
+from arealens.plans.payment_types import (load_payment_types, load_payment_types_all, one_payment_geography,
+                                          payment_account, payment_period, payment_quarantine)
 from arealens.plans.publications import pending_publications
 from arealens.plans.rental import load_rental, rental_period
+from arealens.plans.sql import register_area_functions
+from arealens.session import shared_folder
+from arealens.sources.flat import read_flat_sheets
 from arealens.sources.links import first_link, link_inventory
 from arealens.sources.sheets import pick_sheets, sheets_per_source
+from arealens.sources.store import ledger, read_loads, write_load
 
 # Rank rules for order priorities: an overlapping label (first rule wins)
 # and an unlisted one (no rank).
@@ -284,5 +294,122 @@ def q_quarantined_sheets(spark, d):
     return payment_quarantine(b.faulty_payment_sheets(spark, d))
 
 
+def _new_store(spark) -> str:
+    return f"{shared_folder(spark).rstrip('/')}/store-{uuid.uuid4().hex}"
+
+
+def _payment_outputs(sheets) -> dict:
+    every = staged(load_payment_types_all(sheets, with_source=True))
+    return {sink: one_payment_geography(every, g) for g, sink in catalog.PAYMENT_SINKS.items()}
+
+
+def q_load_ledger(spark, d):
+    """The ledger after three loads (every other year, all years, all years
+    again) of the three payment tables: one row per table, period and publication."""
+    store, sheets = _new_store(spark), staged(b.payment_type_sheets(spark, d))
+    odd = sheets.filter(F.year(b.payment_month()) % 2 == 1)
+    for part in (odd, sheets, sheets):
+        write_load(_payment_outputs(part), store)
+    return ledger(spark, store).select("table_name", "month_date", "source_url", "rows", F.col("total").cast("double").alias("total"))
+
+
+def q_newest_loaded(spark, d):
+    """A3/L1: newest period of every payment table, from the ledger alone."""
+    store = _new_store(spark)
+    write_load(_payment_outputs(b.payment_type_sheets(spark, d)), store)
+    return ledger(spark, store).groupBy("table_name").agg(F.max("month_date").alias("newest"), F.sum("rows").alias("rows"))
+
+
+def q_revised_cells(spark, d):
+    """Every SA2 cell of every publication against the one before it in its month."""
+    rows = load_payment_types(b.revised_payment_sheets(spark, d), "sa2", with_source=True)
+    return revised_cells(staged(rows), ["sa2_5dig", "sa2_name", "series"])
+
+
+def q_latest_publications(spark, d):
+    """The stored SA2 table after revised publications were loaded before the
+    first ones: the last publication of every month, whatever the order."""
+    store, sheets = _new_store(spark), staged(b.revised_payment_sheets(spark, d))
+    revised = F.col("source_url").contains("revised")
+    for part in (sheets.filter(revised), sheets.filter(~revised)):
+        write_load({"sa2": load_payment_types(part, "sa2", with_source=True)}, store)
+    return read_loads(spark, store, "sa2").drop("quarter")
+
+
+def q_jobseeker_quarantine(spark, d):
+    """Jobseeker publications that a load can't place, with the reason."""
+    return jobseeker_quarantine(b.faulty_jobseeker_sheets(spark, d))
+
+
+def q_load_account(spark, d):
+    """What becomes of every landed payment cell, per publication and geography."""
+    return payment_account(b.noisy_payment_sheets(spark, d))
+
+
+def _sql_names(spark, d) -> dict:
+    """Session views of the tables by name (dots replaced), for the SQL functions."""
+    names = {}
+    for name, df in b.named_tables(spark, d).items():
+        names[name] = "area_" + name.replace(".", "_")
+        df.createOrReplaceTempView(names[name])
+    return names
+
+
+def q_sql_income_distribution(spark, d):
+    """T1 from SQL: a table function with a block list and one year."""
+    register_area_functions(spark, _sql_names(spark, d), series=["payment_types_qrt_sa2"])
+    return spark.sql("SELECT * FROM income_distribution(:blocks, array(2016))", args={"blocks": list(b.CALL_BLOCKS)})
+
+
+def q_sql_seifa_index(spark, d):
+    """T2 from SQL: a table function with a block list, an index, a measure and one year."""
+    register_area_functions(spark, _sql_names(spark, d), series=["payment_types_qrt_sa2"])
+    return spark.sql("SELECT * FROM seifa_index(:blocks, array('IRSD'), array('SCORE'), array(2016))",
+                     args={"blocks": list(b.CALL_BLOCKS)})
+
+
+def q_sql_area_series(spark, d):
+    """T3/S5 from SQL: a table function with a block list."""
+    register_area_functions(spark, _sql_names(spark, d), series=["payment_types_qrt_sa2"])
+    return spark.sql("SELECT * FROM area_series_payment_types_qrt_sa2(:blocks) ORDER BY quarter, series, sa2_main",
+                     args={"blocks": list(b.CALL_BLOCKS)})
+
+
+def q_overlapping_selections(spark, d):
+    """Order totals apportioned to 2,080 nested and overlapping selections."""
+    return overlapping_distribution(b.income_measure(spark, d), b.cbsa1mb(spark, d), b.overlapping_selections(spark, d))
+
+
+def q_overlapping_index(spark, d):
+    """Part prices weighted by persons over the distinct areas of 2,080 selections."""
+    return overlapping_index(b.maker_index(spark, d), b.neighbour_concord(spark, d), b.overlapping_selections(spark, d))
+
+
+def q_flat_sheets(spark, d):
+    """Delimited text files with title rows, read back as a landing table."""
+    folder = _new_store(spark)
+    b.flat_customers(spark, d, folder)
+    nation = F.regexp_extract("file", "c_nationkey=([0-9]+)", 1)
+    rows = read_flat_sheets(spark, folder, suffix=".txt", sheet_name=nation)
+    return rows.select("sheet_name", "row_no", F.size("cells").alias("n_cells"), F.get("cells", F.lit(0)).alias("first"),
+                       F.get("cells", F.lit(1)).alias("second"), F.get("cells", F.lit(2)).alias("third"))
+
+
+def q_header_typos(spark, d):
+    """Header labels with a published year mark, repaired and read as months."""
+    h = b.header_typos(spark, d)
+    label = fix_header_typos(expand_header_month("header"))
+    return h.select("m", "header", label.alias("label"), period_to_date(label).alias("month_date"))
+
+
+def q_lower_names(spark, d):
+    """Column names in lower case, NULL numbers as 0."""
+    c = b.table(spark, d, "customer")
+    odd = c.select(F.col("c_custkey").alias("CustKey"), F.col("c_name").alias("NAME"),
+                   F.when(F.col("c_acctbal") > 0, F.col("c_acctbal")).alias("AcctBal"),
+                   F.when(F.col("c_nationkey") > 4, F.col("c_mktsegment")).alias("Segment"))
+    return lower_names(fill_numeric_nulls(odd))
+
+
 QUERIES = {name[2:]: fn for name, fn in list(globals().items())
            if name.startswith("q_") and callable(fn)}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -83,3 +84,11 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     spark.conf.set("spark.checkpoint.dir", fallback)
     spark.sparkContext.setCheckpointDir(fallback)
     return fallback
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``.  Where it is unset a temporary
+    folder takes its place in local mode only (tests, the local bench): on a
+    cluster every machine would have its own, so that is an error."""
+    local = spark.sparkContext.master.startswith("local") and not spark.conf.get("spark.checkpoint.dir", None)
+    return checkpoint_dir(spark, tempfile.mkdtemp(prefix="arealens-shared-") if local else None)

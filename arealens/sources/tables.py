@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arealens.operators.gate import new_periods_only
+from arealens.operators.selection import staged
 
 
 def read_table(spark: SparkSession, name: str, fmt: str = "parquet") -> DataFrame:
@@ -35,6 +36,26 @@ def write_clustered(df: DataFrame, path: str, by, mode: str = "overwrite",
     clustered(df, by, partitions).write.mode(mode).format(fmt).save(path)
 
 
+def write_bucketed(df: DataFrame, name: str, keys, buckets: int, mode: str = "overwrite") -> None:
+    """Store ``df`` as the catalog table ``name`` in ``buckets`` buckets of ``keys``, sorted on them.
+
+    Two tables bucketed alike on all the columns of a join (a concordance and
+    an area fact on area and year, say) meet without an exchange, and an
+    aggregate on these columns needs none either.  Rows are
+    dealt by the same hash first, so each bucket is one file."""
+    cols = [keys] if isinstance(keys, str) else list(keys)
+    (df.repartition(buckets, *cols).write.mode(mode).format("parquet")
+       .bucketBy(buckets, *cols).sortBy(*cols).saveAsTable(name))
+
+
+def newest_partition(spark: SparkSession, name: str, period_col: str = "month_date") -> DataFrame:
+    """One row with the newest period of a table partitioned by it.  Only the
+    partition column is read, so no data page is: the values come from the
+    folders, and row groups give their counts."""
+    stored = read_table(spark, name)
+    return stored.select(period_col).agg(F.max(period_col).alias(period_col))
+
+
 #: Column naming the publication a row came from; part of a load's key where present.
 SOURCE_COLUMN = "source_url"
 _NOTHING_STORED = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
@@ -91,7 +112,8 @@ def append_table(df: DataFrame, path: str, period_col: str = "month_date",
     """
     partitions = [*([by] if isinstance(by, str) else by), period_col]
     spark = df.sparkSession
-    out = split_unperioded(df, period_col, quarantine, fmt)
+    # computed once: the tests below, the range sample and the write all read it
+    out = split_unperioded(staged(df), period_col, quarantine, fmt)
     if only_new and not replace_periods:
         stored = stored_table(spark, path, fmt)
         if stored is not None:

@@ -6,9 +6,14 @@ batches by file, and a sheet's body rows are matched to its header row within
 a batch, so a publication must not be split across files.  A file-source stream with ``trigger(availableNow=True)`` processes
 every file not seen before and stops; its checkpoint (under the cluster's
 ``spark.checkpoint.dir``) remembers which files were loaded, so a scheduler
-can simply start it again.  Each micro-batch is cleaned by the given plan
-and appended with an anti-join on period and publication, so a batch replayed
-after a failure adds nothing twice.
+can simply start it again.
+
+Rows that were landed before, under whatever file name, are dropped by keyed
+state of the stream (``source_url``, ``sheet_no``, ``row_no``), which its
+checkpoint keeps as well.  Each micro-batch is cleaned by the given plan and
+written as a load of its own (``sources.store``) whose id is the stream's name
+and the batch's number: a batch replayed after a failure writes the same
+folders again.  No batch reads the stored table.
 """
 
 from __future__ import annotations
@@ -19,9 +24,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from arealens.operators.selection import staged
 from arealens.schemas import SHEET_ROWS
 from arealens.session import checkpoint_dir
-from arealens.sources.tables import SOURCE_COLUMN, append_table
+from arealens.sources.store import write_load
+from arealens.sources.tables import SOURCE_COLUMN
+
+LANDING_KEY = ["source_url", "sheet_no", "row_no"]
 
 
 def write_publication(rows: DataFrame, landing_dir: str, name: str, max_rows: int = 1_000_000) -> None:
@@ -44,22 +53,36 @@ def sheets_without_header(batch: DataFrame, header_row: int) -> DataFrame:
 def incremental_load(spark: SparkSession, landing_dir: str, plan: Callable[[DataFrame], DataFrame],
                      sink_path: str, name: str, header_row: int, period_col: str = "month_date",
                      max_files_per_trigger: int | None = None, by=(),
-                     quarantine: str | None = None) -> StreamingQuery:
+                     quarantine: str | None = None, keep_state: str | None = None) -> StreamingQuery:
     """Start the stream; call ``awaitTermination()`` on the result to wait
     until every available file is loaded.
 
-    ``plan``'s rows carry ``source_url``: together with ``by`` and the period
-    it is the load's key, so the result is the same whether
+    ``sink_path`` is ``<store>/<table>``; ``sources.store.read_loads`` reads it.
+    ``plan``'s rows carry ``source_url`` and ``period_col``; with ``by`` they
+    carry those columns too (``geography``).  The result is the same whether
     ``max_files_per_trigger`` bounds the batches or not.  ``header_row`` is the
     plan's ``skip + 1``: a sheet whose header row is not in its batch fails the
     batch, so its files stay unprocessed instead of losing body rows.  Rows
-    without a period go to ``quarantine`` or fail the batch."""
+    without a period go to ``quarantine`` or fail the batch.
+
+    State holds the key of every landed row; ``keep_state`` (such as "90 days",
+    by the files' modification time) bounds it where publications land again
+    only within that time.  What lands again later is still kept out of the
+    table by the ledger, a publication at a time."""
+    store, table = sink_path.rstrip("/").rsplit("/", 1)
     reader = spark.readStream.schema(SHEET_ROWS)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     rows = reader.parquet(landing_dir)
+    if keep_state:
+        rows = (rows.withColumn("landed_at", F.col("_metadata.file_modification_time"))
+                    .withWatermark("landed_at", keep_state).dropDuplicatesWithinWatermark(LANDING_KEY)
+                    .drop("landed_at"))
+    else:
+        rows = rows.dropDuplicates(LANDING_KEY)
 
     def load_batch(batch: DataFrame, epoch_id: int) -> None:
+        batch = staged(batch)
         if not sheets_without_header(batch, header_row).isEmpty():
             raise ValueError(f"batch {epoch_id}: a sheet's header row is in another file; "
                              "land each publication as one file")
@@ -67,7 +90,8 @@ def incremental_load(spark: SparkSession, landing_dir: str, plan: Callable[[Data
         if SOURCE_COLUMN not in out.columns:
             raise ValueError(f"the plan's rows need {SOURCE_COLUMN}: loads of one period by several files "
                              "can't be told apart without it")
-        append_table(out, sink_path, period_col, only_new=True, by=by, quarantine=quarantine)
+        write_load({table: out.withColumnRenamed(period_col, "month_date")}, store,
+                   load_id=f"stream-{name}-{epoch_id}", quarantine=quarantine)
 
     location = f"{checkpoint_dir(spark)}/streams/{name}"
     return (rows.writeStream.foreachBatch(load_batch)
