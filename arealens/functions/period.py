@@ -112,7 +112,7 @@ def fix_header_typos(col) -> Column:
 
 # A publication's revision mark in its file name: "...-dec-2021-revised.xlsx" is
 # revision 1 of its period, "...-v3.xlsx" revision 3, a plain name revision 0.
-REVISION_PATTERN = r"(?i)[-_ .](?:v(?=[0-9])|revised|revision|rev|updated|corrected)[-_ ]?([0-9]*)"
+REVISION_PATTERN = r"(?i)[-_ .](?:v(?=[0-9])|(?:revised|revision|rev|updated|corrected)(?![a-z]))[-_ ]?([0-9]*)"
 
 
 def revision_sql(url: str) -> str:

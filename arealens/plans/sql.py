@@ -17,8 +17,19 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from arealens.operators.selection import SEIFA_INDEX_TYPES, SEIFA_MEASURES, SUPPORTED_YEARS
 from arealens.plans import catalog as C
 
+
+
+def _checked(argument: str, name: str, values) -> str:
+    """SQL of an array argument whose members must be among ``values``."""
+    known = ", ".join(repr(v) for v in values)
+    return (f"CASE WHEN size(array_except({argument}, array({known}))) > 0 "
+            f"THEN raise_error('{name} should be one of {', '.join(map(str, values))}') ELSE {argument} END")
+
+
+_YEARS = f"array_contains({_checked('years', 'year', SUPPORTED_YEARS)}, year)"
 _BLOCKS = "block_id BETWEEN array_min(blocks) AND array_max(blocks) AND array_contains(blocks, block_id)"
 
 INCOME = f"""
@@ -28,9 +39,7 @@ RETURN
   SELECT eq_income_weekly, eq_income_yearly, CAST(round(sum(value * share)) AS DOUBLE), year
   FROM IDENTIFIER(:measure) JOIN (
     SELECT sa1_7dig, year, sum(per_pct) AS share FROM IDENTIFIER(:concord)
-    WHERE {_BLOCKS} AND array_contains(years, year)
-      AND CASE WHEN size(array_except(years, array(2011, 2016))) > 0
-               THEN raise_error('''year'' should be one of 2011, 2016') ELSE true END
+    WHERE {_BLOCKS} AND {_YEARS}
     GROUP BY sa1_7dig, year) USING (sa1_7dig, year)
   GROUP BY eq_income_weekly, eq_income_yearly, year"""
 
@@ -43,17 +52,11 @@ RETURN
   FROM (
     SELECT DISTINCT sa1_main, sa1_persons, seifaindextype, seifa_measure, i.value, c.year, i.value * sa1_persons AS weight
     FROM (SELECT sa1_main, seifaindextype, seifa_measure, value FROM IDENTIFIER(:index)
-          WHERE value IS NOT NULL AND array_contains(index_types, seifaindextype)
-            AND array_contains(measures, seifa_measure)) i
+          WHERE value IS NOT NULL
+            AND array_contains({_checked("index_types", "seifaindex", SEIFA_INDEX_TYPES)}, seifaindextype)
+            AND array_contains({_checked("measures", "measure", SEIFA_MEASURES)}, seifa_measure)) i
     JOIN (SELECT DISTINCT sa1_main, sa1_persons, year FROM IDENTIFIER(:concord)
-          WHERE {_BLOCKS} AND array_contains(years, year)
-            AND CASE WHEN size(array_except(years, array(2011, 2016))) > 0
-                     THEN raise_error('''year'' should be one of 2011, 2016')
-                     WHEN size(array_except(index_types, array('IRSD', 'IEO', 'IER', 'IRSAD'))) > 0
-                     THEN raise_error('''seifaindex'' should be one of IRSD, IEO, IER, IRSAD')
-                     WHEN size(array_except(measures, array('SCORE', 'RWAD', 'RWSD', 'RWSP', 'RWSR', 'RWAR', 'RWAP', 'URP'))) > 0
-                     THEN raise_error('''measure'' should be one of SCORE, RWAD, RWSD, RWSP, RWSR, RWAR, RWAP, URP')
-                     ELSE true END) c USING (sa1_main))
+          WHERE {_BLOCKS} AND {_YEARS}) c USING (sa1_main))
   GROUP BY seifaindextype, seifa_measure, year"""
 
 _DATE = "try_to_date(replace({0}, '-', ' '), 'MMMM yyyy')"
