@@ -20,13 +20,10 @@ writes the same pieces, since a partition's result depends on its rows alone.
 
 from __future__ import annotations
 
-import base64
-import os
-import re
 import zlib
 from collections import deque
 from collections.abc import Iterator
-from functools import cached_property, lru_cache
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,94 +32,48 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CHUNK = 1 << 18  # ids packed at a time
-CACHE = 1 << 18  # words whose ids a task remembers
-_RUNS = re.compile(r"\s\s")
-_INNER = re.compile(r"(?<=\S) (?=\S)")
-_SPECIAL = "<|endoftext|>"  # the one special token of the default vocabulary
-
+from .tokens import byte_vocabulary, default_vocabulary
 
-def default_vocabulary() -> str:
-    import public_tokenizers
+CHUNK = 1 << 18  # ids packed at a time
 
-    return public_tokenizers.path("byte_bpe_50k.json")
 
+@lru_cache(maxsize=2)
+def _sentence_tables(vocabulary: str) -> tuple[np.ndarray, np.ndarray]:
+    """Per id: whether its bytes end a sentence, whether they begin with white space."""
+    tokens = byte_vocabulary(vocabulary).token_bytes
+    return (np.array([t.endswith((b".", b"!", b"?")) for t in tokens]),
+            np.array([t[:1].isspace() for t in tokens]))
 
-class Encoder:
-    """Ids of a text as little-endian 32-bit bytes, word by word.
 
-    With this vocabulary's split pattern a single space between two
-    non-space characters always starts a new word, so ids of a text are the
-    concatenated ids of its space-separated words; those are looked up once
-    and remembered (a bounded number of them).  Words are encoded with the
-    rank file beside the vocabulary where there is one (the same merges,
-    faster); texts that hold the special token's string go to the vocabulary's
-    own library as a whole.
-    """
-
-    def __init__(self, vocabulary: str):
-        self.vocabulary = vocabulary
-        self.first, self.later = _Words(self._ids), _Words(lambda w: self._ids(" " + w))
-        ranks = re.sub(r"\.json$", ".tiktoken", vocabulary)
-        self.fast = None
-        if ranks != vocabulary and os.path.exists(ranks):
-            import public_tokenizers
-            import tiktoken
-
-            with open(ranks, "rb") as f:
-                table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-            self.fast = tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN,
-                                          mergeable_ranks=table, special_tokens={})
-
-    @cached_property
-    def whole(self):
-        from tokenizers import Tokenizer
-
-        return Tokenizer.from_file(self.vocabulary)
-
-    def _ids(self, text: str) -> bytes:
-        if self.fast is not None:
-            return np.array(self.fast.encode_ordinary(text), "<u4").tobytes()
-        return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def pieces(self, text: str) -> tuple[list[str], list[bytes]]:
-        """Words and the ids of each."""
-        if _SPECIAL in text or self.fast is None:
-            return [text], [np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()]
-        if text[0] == " " or text[-1] == " " or _RUNS.search(text):
-            words = _INNER.split(text)
-        else:
-            words = text.split(" ")
-        ids = list(map(self.later.__getitem__, words))
-        ids[0] = self.first[words[0]]
-        return words, ids
-
-
-class _Words(dict):
-    def __init__(self, encode):
-        super().__init__()
-        self.encode = encode
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self.encode(word) if word else b""
-        if len(word) <= 64 and len(self) < CACHE:
-            self[word] = ids
-        return ids
+def sentence_ends(ids: np.ndarray, vocabulary: str) -> np.ndarray:
+    """Places after ids that end a sentence before white space."""
+    stop, blank = _sentence_tables(vocabulary)
+    return np.flatnonzero(stop[ids[:-1]] & blank[ids[1:]]) + 1
 
 
 def plan_cuts(at: np.ndarray, penalty: np.ndarray, window: int) -> list[int]:
     """Indices of the chosen cuts, first and last candidate included.
 
     ``at``: strictly ascending positions from 0, neighbours at most ``window``
-    apart; ``penalty``: the price of a cut at each.  Powers of two below a 32nd
-    of the window are planned as if padded (such short sequences gain nothing).
+    apart; ``penalty``: the price of a cut at each.  Every power of two up to the
+    window is planned: the candidates that lie one before another by exactly
+    such a length are found for all candidates at once.
     """
-    powers = [1 << k for k in range(window.bit_length()) if window // 32 <= 1 << k <= window]
+    n = len(at)
+    sources, targets = [], []
+    for p in (1 << k for k in range(window.bit_length()) if 1 << k <= window):
+        i = np.searchsorted(at, at - p)
+        j = np.flatnonzero((at >= p) & (at[i] == at - p))
+        sources.append(i[j])
+        targets.append(j)
+    target = np.concatenate(targets)
+    order = np.argsort(target, kind="stable")
+    source = np.concatenate(sources)[order].tolist()
+    first = np.searchsorted(target[order], np.arange(n + 1)).tolist()
     position, price = at.tolist(), penalty.tolist()
-    index = {p: i for i, p in enumerate(position)}
-    best, back = [0.0] * len(position), [0] * len(position)
+    best, back = [0.0] * n, [0] * n
     queue: deque[tuple[float, int]] = deque()  # (best + position, index), ascending
-    for j in range(1, len(position)):
+    for j in range(1, n):
         here = position[j]
         key = best[j - 1] + position[j - 1]
         while queue and queue[-1][0] >= key:
@@ -130,13 +81,14 @@ def plan_cuts(at: np.ndarray, penalty: np.ndarray, window: int) -> list[int]:
         queue.append((key, j - 1))
         while position[queue[0][1]] < here - window:
             queue.popleft()
-        least, source = queue[0][0] + window - here, queue[0][1]
-        for p in powers:
-            i = index.get(here - p)
-            if i is not None and best[i] < least:
-                least, source = best[i], i
-        best[j], back[j] = least + price[j], source
-    cuts = [len(position) - 1]
+        least, i = queue[0]
+        least += window - here
+        if first[j] < first[j + 1]:
+            for k in source[first[j]:first[j + 1]]:
+                if best[k] < least:
+                    least, i = best[k], k
+        best[j], back[j] = least + price[j], i
+    cuts = [n - 1]
     while cuts[-1]:
         cuts.append(back[cuts[-1]])
     return cuts[::-1]
@@ -159,11 +111,6 @@ def _candidates(ends: list[int], sentences: list[np.ndarray], total: int, window
     return at, price
 
 
-@lru_cache(maxsize=2)
-def _encoder(vocabulary: str) -> Encoder:
-    return Encoder(vocabulary)  # kept by the Python worker from task to task
-
-
 def pack(docs: DataFrame, window: int = 1024, separator: int = 0, vocabulary: str | None = None,
          sentence_cost: float = 2.0, inner_cost: float = 12.0, id_col: str = "doc_id",
          text_col: str = "text", with_ids: bool = True) -> DataFrame:
@@ -180,10 +127,10 @@ def pack(docs: DataFrame, window: int = 1024, separator: int = 0, vocabulary: st
     """
     path = vocabulary or default_vocabulary()
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    mark = np.array([separator], "<u4").tobytes()
+    mark = np.array([separator], "<u4")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(path)
+        encoder = byte_vocabulary(path)
         sequence = TaskContext.get().partitionId() << 40
         held: list[tuple] = []  # (id, first id's place in the document, ids, all ids of the document)
         ends: list[int] = []
@@ -196,12 +143,12 @@ def pack(docs: DataFrame, window: int = 1024, separator: int = 0, vocabulary: st
             cuts = at[plan_cuts(at, price, window)].tolist()
             rows, k, here = [], 0, 0
             for key, first, ids, size in held:
-                n, done = len(ids) // 4, 0
+                n, done = len(ids), 0
                 while done < n:
                     if here >= cuts[k + 1]:
                         k += 1
                     take = min(n - done, cuts[k + 1] - here)
-                    part = ids[4 * done:4 * (done + take)]
+                    part = ids[done:done + take].tobytes()
                     rows.append((key, first + done, take, zlib.crc32(part), size, sequence + k,
                                  here - cuts[k], part))
                     done, here = done + take, here + take
@@ -223,16 +170,15 @@ def pack(docs: DataFrame, window: int = 1024, separator: int = 0, vocabulary: st
             slim_type = batch.schema.field("id").type
             for key, text in zip(batch.column("id"), batch.column("text")):
                 key, text = key.as_py(), text.as_py()
-                words, parts = encoder.pieces(text) if text else ([], [])
-                ids = b"".join(parts) + mark
-                n = len(ids) // 4
+                own = encoder.ids(text)
+                ids = np.concatenate((own, mark))
+                n = len(ids)
                 if total and total + n > CHUNK:
                     yield from flush()
-                stops = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts))) // 4
-                soft = stops[[i for i, w in enumerate(words) if w.endswith((".", "!", "?"))]] if words else stops
+                soft = sentence_ends(own, path)
                 for first in range(0, n, CHUNK):  # a document longer than a chunk fills several
                     last = min(n, first + CHUNK)
-                    held.append((key, first, ids[4 * first:4 * last], n))
+                    held.append((key, first, ids[first:last], n))
                     inside = soft[(soft > first) & (soft < last)] - first
                     sentences.append(inside + total)
                     total += last - first

@@ -146,6 +146,23 @@ def test_cuts_are_optimal():
         assert cost == brute.best_cuts(at, price, window)
 
 
+def test_cuts_are_optimal_with_every_power_of_two():
+    rng = random.Random(1)
+    window = 1024
+    for _ in range(40):
+        ends = sorted({0, *[rng.randrange(1, 6000) for _ in range(rng.randrange(20, 120))]})
+        more = {a + window for a in ends} | {a + p for a in ends for p in (1, 2, 8, 16) if rng.random() < 0.1}
+        at = [0]
+        for x in sorted(set(ends[1:]) | {m for m in more if m < ends[-1]}):
+            while x - at[-1] > window:
+                at.append(at[-1] + window)
+            at.append(x)
+        price = [rng.choice((0, 2, 12)) for _ in at]
+        cuts = packing.plan_cuts(np.array(at), np.array(price, float), window)
+        cost = sum((0 if (n := at[j] - at[i]) & (n - 1) == 0 else window - n) + price[j] for i, j in zip(cuts, cuts[1:]))
+        assert cost == brute.best_cuts(at, price, window)
+
+
 def test_packing_edge_rows(spark, edges, nothing):
     rows = packing.pack(edges).collect()
     count = defaultdict(int)
