@@ -6,10 +6,15 @@ ordered along a Hilbert curve, several times over.  Each ordering is cut into
 query meets the vectors of its own and the neighbouring segments of every
 ordering, and what it meets is merged and ranked by the exact inner product.
 
+The measure is the inner product, the curve knows distances: vectors get one
+more coordinate, sqrt(longest**2 - norm**2), and queries are brought to the
+longest norm with 0 there, so that the nearest point is the one with the
+largest product whatever the norms.
+
 The window is a share of each ordering, not a number of rows: for vectors
 without structure (all directions alike) no curve separates near from far, and
-only a share keeps the recall at every size.  Clustered vectors do with more
-segments.
+only a share keeps the recall at every size.  A query that met fewer rows than
+it asks for meets all of them.  ``curves=1, segments=1`` is the exact search.
 
 Work is dealt by (ordering, segment, block): blocks of vectors and of queries
 are bounded, so no task holds a segment whole.  Equal vectors are one row with
@@ -60,6 +65,14 @@ def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
     return key
 
 
+def lifted(x: np.ndarray, ask: np.ndarray, longest: float) -> np.ndarray:
+    """Vectors with the coordinate that makes all norms equal; queries scaled to that norm, with 0."""
+    norm = np.linalg.norm(x, axis=1)
+    extra = np.where(ask, 0.0, np.sqrt(np.maximum(longest ** 2 - norm ** 2, 0.0)))
+    scale = np.where(ask, longest / np.maximum(norm, np.finfo(float).tiny), 1.0)
+    return np.column_stack((x * scale[:, None], extra))
+
+
 class Orderings:
     """Rotations, shifts, scales and segment boundaries of all orderings."""
 
@@ -133,7 +146,8 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, curves: int = 8, s
     finite = F.forall(vec_col, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     valid = (vectors.filter(F.col(id_col).isNotNull() & F.col(vec_col).isNotNull() & finite
                             & F.exists(vec_col, lambda x: x != 0))
-             .select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("vec")))
+             .select(F.col(id_col).alias("id"),  # adding 0 makes one zero of the two
+                     F.transform(F.col(vec_col).cast("array<double>"), lambda x: x + F.lit(0.0)).alias("vec")))
     width = (valid.groupBy(F.size("vec").alias("w")).agg(F.count(F.lit(1)).alias("n"))
              .orderBy(F.desc("n"), F.desc("w")).first())
     if width is None:
@@ -143,18 +157,21 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, curves: int = 8, s
     # k + 1 smallest ids of each vector; the window keeps no more than that of a map task's rows
     first = (valid.withColumn("n", F.row_number().over(W.partitionBy("vec").orderBy("id")))
              .filter(F.col("n") <= k + 1))
+    key = F.md5(F.to_json("vec"))
     classes = cut(first.groupBy("vec").agg(F.array_sort(F.collect_list("id")).alias("ids"))
-                  .withColumn("cls", F.concat_ws(":", F.format_string("%020d", F.get("ids", F.lit(0))),
-                                                 F.hex(F.xxhash64("vec")))))
-    asks = cut(valid.filter(F.col("id") % every == 0).join(classes.select("vec", "cls"), "vec")
-               .select(F.col("id").alias("query_id"), "cls"))
-    n, n_asks = classes.count(), asks.select("cls").distinct().count()
+                  .withColumn("key", key)
+                  .withColumn("cls", F.concat_ws(":", F.format_string("%020d", F.get("ids", F.lit(0))), "key")))
+    # a query's class is computed from its vector: no join on vectors, which copies make a hot key
+    asks = cut(valid.filter(F.col("id") % every == 0).select(F.col("id").alias("query_id"), key.alias("key")))
+    n, n_asks = classes.count(), asks.select("key").distinct().count()
     if not n_asks:
         return asks.select("query_id", F.lit(0).alias("rank"), F.col("query_id").alias(id_col),
                            F.lit(0.0).alias("score")).limit(0)
     sample = np.array([r["vec"] for r in sorted(
         hash_sample(classes.select("cls", "vec"), sample_rows, n, "cls").collect(), key=lambda r: r["cls"])])
-    plan = Orderings(sample, curves, segments, dims, bits, seed)
+    square = F.aggregate("vec", F.lit(0.0), lambda t, x: t + x * x)
+    longest = math.sqrt(classes.agg(F.max(square)).first()[0])
+    plan = Orderings(lifted(sample, np.zeros(len(sample), bool), longest), curves, segments, dims, bits, seed)
     blocks = math.ceil(n / segments / BLOCK)
     ask_blocks = math.ceil(3 * n_asks / segments / BLOCK)
 
@@ -165,8 +182,9 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, curves: int = 8, s
                 continue
             ask = np.array(batch.column("ask").to_pylist(), bool)
             mine = np.array(batch.column("h").to_pylist(), np.int64)
+            points = lifted(x, ask, longest)
             for c in range(curves):
-                at = plan.segment(x, c)
+                at = plan.segment(points, c)
                 for others, own, count, shifts in ((blocks, ask_blocks, ask, (-1, 0, 1)),
                                                    (ask_blocks, blocks, ~ask, (0,))):
                     rows = np.flatnonzero(count)
@@ -184,13 +202,25 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, curves: int = 8, s
 
     spread = F.pmod(F.xxhash64("cls"), F.lit(1 << 20)).alias("h")
     every_class = classes.select("cls", F.lit(False).alias("ask"), "vec", spread)
-    asking = (classes.join(asks.select("cls").distinct(), "cls", "left_semi")
-              .select("cls", F.lit(True).alias("ask"), "vec", spread))
-    dealt = every_class.unionByName(asking).mapInArrow(
-        deal, "place long, cls string, ask boolean, vec array<double>")
-    met = (dealt.groupBy("place").applyInArrow(lambda t: _nearest(t, k + 1),
-                                               "query string, cls string, score double")
-           .groupBy("query", "cls").agg(F.max("score").alias("score")))
+    asking = cut(classes.join(asks.select("key").distinct(), "key", "left_semi")
+                 .select("cls", F.lit(True).alias("ask"), "vec", spread))
+
+    def scores(dealt: DataFrame) -> DataFrame:
+        return (dealt.groupBy("place").applyInArrow(lambda t: _nearest(t, k + 1), "query string, cls string, score double")
+                .groupBy("query", "cls").agg(F.max("score").alias("score")))
+
+    dealt = "place long, cls string, ask boolean, vec array<double>"
+    met = cut(scores(every_class.unionByName(asking).mapInArrow(deal, dealt)))
+    # what met fewer classes than it asks for meets every block of all of them
+    enough = met.groupBy("query").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min(k + 1, n))
+    short = asking.join(enough, asking["cls"] == enough["query"], "left_anti")
+    if n_short := short.count():
+        rows, groups = math.ceil(n / BLOCK), math.ceil(n_short / BLOCK)
+        here = F.col("h") % rows * groups
+        all_rows = every_class.select((here + F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).alias("place"), "cls", "ask", "vec")
+        all_short = short.select((F.explode(F.sequence(F.lit(0), F.lit(rows - 1))) * groups + F.col("h") % groups).alias("place"),
+                                 "cls", "ask", "vec")
+        met = met.join(short, met["query"] == short["cls"], "left_anti").unionByName(scores(all_rows.unionByName(all_short)))
 
     def best(by: str, *order) -> W:
         return W.partitionBy(by).orderBy(*order)
@@ -202,7 +232,7 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, curves: int = 8, s
              .withColumn("n", F.row_number().over(best("query", F.desc("score"), "id")))
              .filter(F.col("n") <= k + 1)
              .groupBy("query").agg(F.array_sort(F.collect_list(F.struct("n", "id", "score"))).alias("found")))
-    own = asks.join(named, asks["cls"] == named["query"])
+    own = asks.join(named.withColumn("key", F.substring_index("query", ":", -1)), "key")
     without_self = F.slice(F.filter("found", lambda x: x["id"] != F.col("query_id")), 1, k)
     return own.select("query_id", F.posexplode(without_self).alias("p", "x")).select(
         "query_id", (F.col("p") + 1).cast("int").alias("rank"), F.col("x.id").alias(id_col),

@@ -439,6 +439,49 @@ def test_recall_and_scores(spark):
     assert hits >= 0.9 * 20 * len(found)
 
 
+@pytest.mark.parametrize("n", [1, 2, 5, 10, 15, 20, 22, 40])
+def test_small_tables_are_searched_whole(spark, n):
+    x = np.random.default_rng(n).normal(size=(n, 8))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = defaultdict(list)
+    for r in hilbert.nearest(df).collect():
+        found[r.query_id].append((r.rank, r.vec_id))
+    for q in range(0, n, 20):
+        best = [int(i) for i in np.lexsort((np.arange(n), -(x @ x[q]))) if i != q][:20]
+        assert len(found[q]) == min(20, n - 1)
+        if n <= 22:  # every candidate is owed
+            assert [i for _, i in sorted(found[q])] == best
+
+
+def _recall(spark, x, **options):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>").repartition(4)
+    found = defaultdict(set)
+    for r in hilbert.nearest(df, **options).collect():
+        found[r.query_id].add(r.vec_id)
+    hits = []
+    for q in range(0, len(x), 20):
+        score = x @ x[q]
+        score[q] = -np.inf
+        hits.append(len(found[q] & set(np.argsort(-score)[:20].tolist())) / 20)
+    return float(np.mean(hits))
+
+
+def test_recall_with_uneven_norms_and_clusters(spark):
+    rng = np.random.default_rng(2)
+    even = rng.normal(size=(3000, 64))
+    even /= np.linalg.norm(even, axis=1, keepdims=True)
+    assert _recall(spark, even) >= 0.9
+    for spread in (0.5, 1.0):
+        assert _recall(spark, even * rng.lognormal(0, spread, (3000, 1))) >= 0.9
+    centres = rng.normal(size=(60, 64))
+    clustered = centres[rng.integers(0, 60, 3000)] + 0.15 * rng.normal(size=(3000, 64))
+    assert _recall(spark, clustered / np.linalg.norm(clustered, axis=1, keepdims=True)) >= 0.9
+    outlier = even.copy()
+    outlier[7] *= 1e4
+    assert _recall(spark, outlier) >= 0.9
+    assert _recall(spark, even, curves=1, segments=1) == 1.0
+
+
 def test_copies_ties_and_odd_vectors(spark):
     inf, nan = float("inf"), float("nan")
     rows = [(i, [1.0, 0.0, 0.0]) for i in range(200)] + [(200 + i, [0.5, 0.1 * i, 1.0]) for i in range(10)]
