@@ -216,10 +216,13 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, curves: int = 8, s
     short = asking.join(enough, asking["cls"] == enough["query"], "left_anti")
     if n_short := short.count():
         rows, groups = math.ceil(n / BLOCK), math.ceil(n_short / BLOCK)
-        here = F.col("h") % rows * groups
-        all_rows = every_class.select((here + F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).alias("place"), "cls", "ask", "vec")
-        all_short = short.select((F.explode(F.sequence(F.lit(0), F.lit(rows - 1))) * groups + F.col("h") % groups).alias("place"),
-                                 "cls", "ask", "vec")
+
+        def over(df: DataFrame, others: int, place) -> DataFrame:
+            each = df.withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(others - 1))))
+            return each.select(place.alias("place"), "cls", "ask", "vec")
+
+        all_rows = over(every_class, groups, F.col("h") % rows * groups + F.col("o"))
+        all_short = over(short, rows, F.col("o") * groups + F.col("h") % groups)
         met = met.join(short, met["query"] == short["cls"], "left_anti").unionByName(scores(all_rows.unionByName(all_short)))
 
     def best(by: str, *order) -> W:
