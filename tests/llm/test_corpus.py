@@ -404,6 +404,96 @@ def test_main_text_of_the_test_pages(spark):
         assert r.text == "\n\n".join(b for b in blocks if b)
 
 
+def _stream(page):
+    """The page's tokens as the text that a wrapper's expression is matched against."""
+    out = []
+    for node, before in wrappers.tree(page, grouped=False).walk():
+        out.append((node.text if before else "") if node.sig == "#" else f"<{node.sig}>" if before else "</>")
+    return "".join(out)
+
+
+def test_a_wrapper_covers_every_page_it_was_inferred_from():
+    import re
+
+    rng = random.Random(11)
+
+    def part(depth):
+        kids = "".join(part(depth + 1) if depth < 3 and rng.random() < 0.6 else rng.choice(("x", "y", "long text", ""))
+                       for _ in range(rng.randrange(4)))
+        tag = rng.choice(("div", "p", "ul", "b", "section", "div class='a.b'", "li"))
+        return f"<{tag}>{kids}</{tag.split()[0]}>"
+
+    for _ in range(300):
+        pages = ["".join(part(0) for _ in range(rng.randrange(1, 4))) for _ in range(rng.randrange(1, 4))]
+        pattern = wrappers.infer(pages).pattern()
+        for page in pages:
+            assert re.fullmatch(pattern, _stream(page), re.S), (pattern, page)
+
+
+def test_aligned_signatures_are_a_longest_common_subsequence():
+    rng = random.Random(3)
+
+    def longest(a, b):
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+        return best[-1][-1]
+
+    for _ in range(300):
+        a, b = [[rng.choice("abcd") for _ in range(rng.randrange(9))] for _ in range(2)]
+        pairs = wrappers._common(a, b)
+        assert all(a[i] == b[j] for i, j in pairs) and len(pairs) == longest(a, b)
+        assert all(x[0] < y[0] and x[1] < y[1] for x, y in zip(pairs, pairs[1:]))
+    many = ["a", "b"] * 20_000
+    pairs = wrappers._common(many, ["b", *many])
+    assert len(pairs) >= 39_999
+
+
+def test_article_parts_and_odd_classes_are_kept(spark):
+    one = ("<main><article class='teaser'><p>teaser text {0}</p></article><article class='full'><h1>Title {0}</h1>"
+           "<section class='social-history'><p>history {0}</p></section><div class='search-methods'>methods {0}</div>"
+           "<p>sum <math><mi>x</mi><mo>=</mo><mn>{0}</mn></math></p><div class='ad-slot'>buy</div>"
+           "<section id='comments-section'>nice</section><div class='social-share'>share</div></article></main>")
+    rows = [(i, f"http://h.example/{i}", _page(i, one.format(i))) for i in range(4)]
+    rows.append((9, "http://h.example/9", _page(9, "<div><article class='new'><p>another layout</p></article></div>")))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in wrappers.extract_pages(df).collect()}
+    for i in range(4):
+        assert got[i] == f"teaser text {i}\n\nTitle {i}\n\nhistory {i}\n\nmethods {i}\n\nsum x={i}"
+    assert got[9] == "another layout"
+
+
+def test_the_wrapper_finds_unmarked_articles_where_the_page_alone_does_not(spark):
+    # the box has more text than the story, but the same on every page: only aligned pages tell
+    page = "<div class=box><div class=inner><p>" + "same words everywhere " * 30 + "</p></div></div>" \
+           "<div class=story><h2>T{0}</h2><p>words {0} of this page alone</p></div>"
+    rows = [(i, f"http://u.example/{i}", f"<html><body>{page.format(i)}</body></html>") for i in range(6)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in wrappers.extract_pages(df).collect()}
+    assert got == {i: f"T{i}\n\nwords {i} of this page alone" for i in range(6)}
+    assert wrappers.main_text(rows[0][2], None).startswith("same words")
+
+
+def test_deep_and_unclosed_markup_is_read_in_linear_time(spark):
+    import time
+
+    pages = ["<b>" * 100_000 + "x", "<div>" * 3_000 + "deep" + "</div>" * 3_000, '<a "' * 100_000, "<p a='" * 50_000,
+             "<article>" + "<b>" * 50_000 + "<p>" * 50_000 + "tail", "<ul>" + "<b>" * 20_000 + "<li>x" * 20_000,
+             "</i>" * 100_000 + "<article>y</article>", "<!--" * 50_000, "<table>" + "<tr><td>c" * 20_000,
+             "<article>" + "<b>u</b><i>v</i>" * 20_000 + "</article>", "<div>" * 2_000 + "<p>q" + "</div>" * 1_000 + "<p>r"]
+    start = time.time()
+    for page in pages:
+        assert isinstance(wrappers.main_text(page, None), str)
+    wrapper = wrappers.infer(pages)  # as if one host had them all
+    assert wrapper.pattern() and wrappers.describe(wrapper)["marked"] == "article"
+    rows = [(i, "http://deep.example/", p) for i, p in enumerate([*pages, "<article><p>plain</p></article>"])]
+    got = {r.page_id: r.text for r in wrappers.extract_pages(
+        spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[len(pages)] == "plain" and got[6] == "y" and got[1] == "deep" and got[0] == "x" and got[4] == "tail"
+    assert time.time() - start < 120
+
+
 def test_broken_markup_does_not_fail():
     for page in ("<", "<p", "<p><p><", "</p></div>", "<a href='x", "<!-- open", "<script>x", "<li>" * 2000, "&#xZ; &bogus; &amp",
                  "<div " + "a='b' " * 3000 + ">x</div>", "<article>" * 300 + "deep"):
