@@ -38,6 +38,7 @@ from .graph import components
 
 PIECE = 1 << 16  # shingles hashed at a time
 BROADCAST_ROWS = 200_000
+HOT = 1000  # rows of one fingerprint that are labelled by broadcast
 TILE = 1 << 15  # fingerprints of a shard compared in one task
 
 
@@ -241,14 +242,19 @@ def near_duplicates(docs: DataFrame, width: int = 4, max_bits: int = 4, blocks:
     other columns are ignored; an empty table gives no rows.
     """
     slim = cut(fingerprints(docs, width, id_col, text_col))
-    classes = cut(slim.groupBy("fp").agg(F.min("id").alias("first")))
+    classes = cut(slim.groupBy("fp").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")))
     links = hamming_links(classes.select("fp"), max_bits, blocks)
     member = components(links).select(F.col("node").alias("fp"), "component")
     tops = (member.join(classes, "fp").groupBy("component").agg(F.min("first").alias("least")))
     named = member.join(tops, "component").select("fp", "least")
-    labels = classes.join(named, "fp", "left").select(
-        "fp", F.coalesce("least", "first").alias("component_id"))
-    return slim.join(labels, "fp").select(
+    labels = cut(classes.join(named, "fp", "left").select(
+        "fp", "n", F.coalesce("least", "first").alias("component_id")))
+    # fingerprints of very many rows (a row of theirs per HOT rows) are not dealt by value
+    hot = small(labels.filter(F.col("n") > HOT).select("fp", "component_id"), BROADCAST_ROWS)
+    rest = labels.filter(F.col("n") <= HOT).select("fp", "component_id")
+    labelled = (slim.join(hot, "fp").select("fp", "id", "component_id")
+                .unionByName(slim.join(hot, "fp", "left_anti").join(rest, "fp").select("fp", "id", "component_id")))
+    return labelled.select(
         F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         "component_id")
 
