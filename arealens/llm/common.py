@@ -3,23 +3,21 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from arealens.operators.selection import bounded_broadcast
+from arealens.session import shared_folder
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a temporary one only where it is unset (tests)."""
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="arealens-shared-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    return current
+    """The folder of ``spark.checkpoint.dir``; a temporary one only where it is unset in local mode."""
+    return shared_folder(spark).rstrip("/")
 
 
 def new_dir(spark: SparkSession, name: str) -> str:
@@ -37,13 +35,13 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint if ``df`` (already cut, cheap to count) has at most ``max_rows`` rows.
+    """Broadcast hint if ``df`` (already cut, cheap to read) has at most ``max_rows`` rows
+    and no more than 64 MiB of them.
 
-    The bound is checked, not estimated; a larger frame comes back without a
+    Both bounds are checked, not estimated; a larger frame comes back without a
     hint, so the join shuffles.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return bounded_broadcast(df, max_rows)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -55,6 +53,26 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def prefix(values: Column, zero: Column, combine: Callable[[Column, Column], Column], block: int = 256) -> Column:
+    """For every element of an array, ``combine`` of ``zero`` and all elements before it.
+
+    ``combine`` is associative.  Elements go in blocks: an array grows by
+    appending within a block only, so the work is linear up to very long arrays.
+    """
+    def fold(part: Column, start: Column) -> Column:
+        state = F.struct(start.alias("at"), F.slice(F.array(start), 1, 0).alias("out"))
+        return F.aggregate(part, state, lambda acc, x: F.struct(
+            combine(acc["at"], x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")), lambda acc: acc["out"])
+
+    def of(every: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(every), F.lit(block))
+        totals = F.transform(starts, lambda i: F.aggregate(F.slice(every, i, block), zero, lambda a, x: combine(a, x)))
+        return let(fold(totals, zero), lambda at: F.flatten(F.zip_with(
+            starts, at, lambda i, before: fold(F.slice(every, i, F.lit(block)), before))))
+
+    return let(values, lambda every: F.when(F.size(every) > 0, of(every)).otherwise(F.slice(F.array(zero), 1, 0)))
+
+
 def hash_sample(df: DataFrame, rows: int, total: int, *columns: str) -> DataFrame:
     """About ``rows`` of ``total`` rows, those with the smallest hash of ``columns``:
     the same rows whatever the partitions."""

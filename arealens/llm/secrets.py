@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, small, text_key
+from .common import cut, let, prefix, small, text_key
 
 # The base patterns as given, letters of the names in either case.
 _NAMES = (r"([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]"
@@ -43,6 +43,7 @@ _SECRET, _IDENTITY = ("assign", "hex", "opaque"), ("access", "ident")
 COMPLETES = {"ident": _SECRET, "opaque": (*_IDENTITY, "endpoint"), "endpoint": _SECRET}
 _SPAN = "array<struct<start:int,order:int,stop:int>>"
 BROADCAST_ROWS = 200_000
+RUN = 64  # spans of a text that are replaced in one piece of it
 
 
 def _spans(text: Column, pattern: str, order: int, keep=None) -> Column:
@@ -58,13 +59,14 @@ def _spans(text: Column, pattern: str, order: int, keep=None) -> Column:
         F.coalesce(F.length(gap), F.lit(0)).alias("gap"),
         F.coalesce(F.length(hit), F.lit(0)).alias("len"),
         (F.lit(True) if keep is None else F.coalesce(keep(hit), F.lit(False))).alias("keep")))
-    start = F.struct(F.lit(0).alias("at"), empty.alias("out"))
-    folded = F.aggregate(lengths, start, lambda acc, x: F.struct(
-        (acc["at"] + x["gap"] + x["len"]).alias("at"),
-        F.when(x["keep"] & (x["len"] > 0), F.concat(acc["out"], F.array(F.struct(
-            (acc["at"] + x["gap"]).alias("start"), F.lit(order).alias("order"),
-            (acc["at"] + x["gap"] + x["len"]).alias("stop"))))).otherwise(acc["out"]).alias("out")),
-        lambda acc: acc["out"])
+
+    def placed(parts: Column) -> Column:
+        before = prefix(F.transform(parts, lambda x: x["gap"] + x["len"]), F.lit(0), lambda a, b: a + b)
+        spans = F.zip_with(parts, before, lambda x, at: F.when(x["keep"] & (x["len"] > 0), F.struct(
+            (at + x["gap"]).alias("start"), F.lit(order).alias("order"), (at + x["gap"] + x["len"]).alias("stop"))))
+        return F.filter(spans, lambda s: s.isNotNull()).cast(_SPAN)
+
+    folded = let(lengths, placed)
     return F.when(text.rlike(pattern), folded).otherwise(empty)
 
 
@@ -148,11 +150,24 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spans = (scan_secrets(docs, id_col=id_col, text_col=text_col).filter(F.size("spans") > 0)
              .select(F.col("key").alias("__key"), F.col("spans").alias("__spans"))
              .dropDuplicates(["__key"]))
-    text, zero = F.col(text_col), F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    clean = F.aggregate("__spans", zero, lambda acc, s: F.when(
-        s["start"] >= acc["at"], F.struct(s["stop"].alias("at"), F.concat(
-            acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark)).alias("out"))
-    ).otherwise(F.struct(F.greatest(acc["at"], s["stop"]).alias("at"), acc["out"].alias("out"))),
-        lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.lit(2**31 - 1))))
+    text, zero = F.col(text_col), F.lit(0)
+    # what every span leaves before it: from the farthest end so far to its start
+    reach = prefix(F.transform("__spans", lambda s: s["stop"]), zero, F.greatest)
+    left = F.filter(F.zip_with("__spans", reach, lambda s, at: F.when(
+        s["start"] >= at, F.struct(at.alias("from"), s["start"].alias("to")))), lambda x: x.isNotNull())
+
+    def joined_up(parts: Column) -> Column:
+        """Text of the parts, each before a mark; a run of parts is cut out of the text first, so
+        that places are counted from its start."""
+        def run(i: Column) -> Column:
+            own = F.slice(parts, i, RUN)
+            first, last = F.get(own, F.lit(0))["from"], F.element_at(own, -1)["to"]
+            return let(F.struct(F.substring(text, first + 1, last - first).alias("text"), first.alias("first")), lambda r: F.array_join(
+                F.transform(own, lambda x: F.concat(F.substring(r["text"], x["from"] - r["first"] + 1, x["to"] - x["from"]), F.lit(mark))), ""))
+
+        return F.array_join(F.transform(F.sequence(F.lit(1), F.size(parts), F.lit(RUN)), run), "")
+
+    end = F.array_max(F.transform("__spans", lambda s: s["stop"]))
+    clean = F.concat(let(left, joined_up), F.substring(text, end + 1, F.lit(2**31 - 1)))
     joined = keyed.join(small(cut(spans), BROADCAST_ROWS // 4), "__key", "left")
     return joined.withColumn(text_col, F.when(F.col("__spans").isNotNull(), clean).otherwise(text)).select(*names)

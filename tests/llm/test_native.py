@@ -160,3 +160,60 @@ def test_native_operators_run_no_python(spark, edges):
     for df in (secrets.secret_report(edges), shards.shard_documents(edges, 4), winnow.contamination(edges, bench)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_texts_with_very_many_hits_are_scanned_and_redacted_in_linear_time(spark):
+    import time
+
+    line = "token = abcdef{0:05d} é user=bob{0} https://host{0}.example.org ;;; "
+    texts = [(1, "".join(line.format(i) for i in range(30_000))), (2, "x" + "AKIA" + "A" * 16 + "secret: abcdef" * 3), (3, None), (4, "")]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    start = time.time()
+    got = {r.doc_id: r for r in secrets.secret_report(df).collect()}
+    clean = {r.doc_id: r.text for r in secrets.redact(df).collect()}
+    assert time.time() - start < 60
+    for i, t in texts:
+        assert (got[i].n_assign, got[i].n_access, got[i].n_hex, got[i].base_sha256) == brute.secret_row(t)
+        spans = sorted(tuple(map(int, s.split(":")[1:])) for s in got[i].spans.split(",") if s)
+        out, at = [], 0
+        for a, b in spans:
+            if a >= at:
+                out += [t[at:a], "[secret]"]
+            at = max(at, b)
+        assert clean[i] == (t if t is None else "".join(out) + t[at:])
+
+
+def test_prefix_of_arrays_of_every_length(spark):
+    from arealens.llm.common import prefix
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([(list(range(n)),) for n in (0, 1, 2, 3, 255, 256, 257, 1000)], "v array<int>")
+    for r in df.select("v", prefix(F.col("v"), F.lit(0), lambda a, b: a + b).alias("s"),
+                       prefix(F.col("v"), F.lit(-1), F.greatest, block=3).alias("m")).collect():
+        assert r.s == [sum(r.v[:i]) for i in range(len(r.v))] and r.m == [max([-1, *r.v[:i]]) for i in range(len(r.v))]
+
+
+WEAK = (("ident", r"""\b(?:user(?:name|_?id)?|login|account(?:_?id)?|client_?id|access_?key(?:_?id)?)["']?\x20*[:=]\x20*["']?[A-Za-z0-9@_.+-]{3,}"""),
+        ("opaque", r"[A-Za-z0-9+/]{40,}={0,2}"), ("endpoint", r"https?://[A-Za-z0-9.-]{4,}(?::[0-9]{1,5})?"))
+NEEDS = {"ident": {"assign", "hex", "opaque"}, "opaque": {"access", "ident", "endpoint"}, "endpoint": {"assign", "hex", "opaque"}}
+
+
+def test_weak_kinds_against_brute_force(spark):
+    import random
+    import re
+
+    rng = random.Random(4)
+    parts = ["user=alice", "client_id: x12", "https://api.example.org:8443", "password=hunter22", "a1" * 14, "AKIA" + "Z9" * 8,
+             "Ab1" + "cD2/" * 12, "plain words", "é" * 30, " " * 150, "x " * 60, "login = bob"]
+    texts = [" ".join(rng.choice(parts) for _ in range(rng.randrange(14))) for _ in range(150)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in secrets.secret_report(df).collect()}
+    names = [k for k, _ in brute.SECRET_PATTERNS]
+    for i, text in enumerate(texts):
+        base = [(a, names[o], b) for a, o, b in brute.base_secrets(text)]
+        weak = [(m.start(), kind, m.end()) for kind, pattern in WEAK for m in re.finditer(pattern, text, re.A)
+                if kind != "opaque" or all(re.search(c, m[0]) for c in ("[a-z]", "[A-Z]", "[0-9]"))]
+        kept = [w for w in weak if any(p[1] in NEEDS[w[1]] and p[0] <= w[2] + 200 and p[2] >= w[0] - 200 for p in base + weak)]
+        order = [*names, "ident", "opaque", "endpoint"]
+        want = sorted(base + kept, key=lambda s: (s[0], order.index(s[1]), s[2]))
+        assert got[i] == ",".join(f"{k}:{a}:{b}" for a, k, b in want), text
