@@ -53,11 +53,13 @@ class Segment:
     offset: int
 
 
-def complement(gap: int, top: int, free: np.ndarray, pairs: np.ndarray) -> tuple[int, ...] | None:
-    """One, two or three available lengths of at most ``top`` that add up to ``gap``,
-    those with the longest first part first; ``free[n]`` counts pieces of length n."""
-    if gap <= top and free[gap]:
+def complement(gap: int, top: int, free: np.ndarray, pairs: np.ndarray, most: int = 3) -> tuple[int, ...] | None:
+    """One, two or three (at ``most``) available lengths of at most ``top`` that add up to
+    ``gap``, those with the longest first part first; ``free[n]`` counts pieces of length n."""
+    if most and gap <= top and free[gap]:
         return (gap,)
+    if most < 2:
+        return None
     firsts = np.flatnonzero(free[:min(top, gap - 1) + 1])[::-1]
     for a in firsts.tolist():
         b = gap - a
@@ -65,7 +67,7 @@ def complement(gap: int, top: int, free: np.ndarray, pairs: np.ndarray) -> tuple
             break
         if free[b] > (a == b):
             return a, b
-    for a in firsts.tolist():
+    for a in firsts.tolist() if most > 2 else ():
         rest = gap - a
         if rest > 2 * a:
             break
@@ -82,16 +84,30 @@ def complement(gap: int, top: int, free: np.ndarray, pairs: np.ndarray) -> tuple
 
 def pair_sums(free: np.ndarray) -> np.ndarray:
     """Whether n is the sum of two available lengths."""
-    have = np.flatnonzero(free)
-    out = np.zeros(len(free), bool)
-    for a in have.tolist():
-        sums = have + a
-        out[sums[sums < len(free)]] = True
-    return out
+    have = (free > 0).astype(np.float64)
+    return np.convolve(have, have)[:len(free)] > 0.5
 
 
 def plan_patterns(counts: dict[int, int], window: int) -> list[tuple[Counter, int]]:
-    """[(lengths of a sequence, number of such sequences)] that use every piece once."""
+    """[(lengths of a sequence, number of such sequences)] that use every piece once.
+
+    Long combinations help where there are pieces of every length; with few pieces
+    they may use up what fits better elsewhere.  So plans with up to three, two, one
+    and no exact complements are made until one needs no more sequences than the
+    pieces' sum, and the one with the fewest sequences is taken."""
+    least = -(-sum(n * k for n, k in counts.items()) // window)
+    best: list[tuple[Counter, int]] = []
+    for most in (3, 2, 1, 0):
+        plan = _patterns(counts, window, most)
+        if not best or sum(t for _, t in plan) < sum(t for _, t in best):
+            best = plan
+        if sum(t for _, t in best) == least:
+            break
+    return best
+
+
+def _patterns(counts: dict[int, int], window: int, most: int) -> list[tuple[Counter, int]]:
+    """A plan with exact complements of up to ``most`` lengths, then best fit."""
     free = np.zeros(window + 1, np.int64)
     for n, k in counts.items():
         free[n] = k
@@ -100,7 +116,7 @@ def plan_patterns(counts: dict[int, int], window: int) -> list[tuple[Counter, in
     for length in range(window, 0, -1):
         while free[length]:
             free[length] -= 1  # the piece whose gap is looked up
-            found = () if length == window else complement(window - length, length, free, pairs)
+            found = () if length == window else complement(window - length, length, free, pairs, most)
             free[length] += 1
             if found is None:
                 break
