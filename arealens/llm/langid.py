@@ -117,11 +117,13 @@ def floors(best: np.ndarray, letters: np.ndarray, by_chance: np.ndarray, slack:
 
 
 def fit(labelled: DataFrame, per_language: int = 600, per_class: int = 4, max_languages: int = 200,
-        slack: float = 0.5, seed: int = 5, id_col: str = "doc_id", text_col: str = "text",
+        sample_rows: int = 12_000, slack: float = 0.5, seed: int = 5, id_col: str = "doc_id", text_col: str = "text",
         lang_col: str = "lang") -> Model | None:
     """Fit on a bounded sample: about ``per_language`` rows of each language,
     those with the smallest hash of text (so copies don't count twice as much
-    as their rows do, and the choice doesn't depend on partitions).
+    as their rows do, and the choice doesn't depend on partitions).  With many
+    languages it is fewer of each, so that the driver gets at most about twice
+    ``sample_rows`` rows of 8 KB.
 
     Rows with a null language or text are ignored; without any labelled row
     the model is None.  More than ``max_languages`` labels raise ValueError.
@@ -134,10 +136,11 @@ def fit(labelled: DataFrame, per_language: int = 600, per_class: int = 4, max_la
         return None
     if len(sizes) > max_languages:
         raise ValueError(f"more than {max_languages} languages")
+    per_language = max(1, min(per_language, sample_rows // len(sizes)))
     wanted: Column = F.lit(False)
     draw = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30))
     for lang, n in sizes.items():
-        share = min(1.0, 2 * per_language / n)
+        share = min(1.0, max(2 * per_language, 40) / n)
         wanted = wanted | ((F.col("lang") == lang) & (draw < F.lit(int(share * (1 << 30)))))
     sample = own.filter(wanted)
 
