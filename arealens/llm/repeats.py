@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, text_key
 
 PIECE = 1 << 20  # bytes worked on at a time; places within fit 20 bits
 SHARD = 1 << 15  # parts ordered in one go
@@ -194,20 +194,19 @@ def repeated_spans(docs: DataFrame, width: int = 200, gram: int = 56, step: int
                    shard: int = SHARD, text_col: str = "text") -> DataFrame:
     """(key, spans): byte ranges of repeated ``width``-byte strings of every text that has any.
 
-    ``key`` is the XXH64 of the text, ``spans`` disjoint (start, stop) in order.
+    ``key`` is the 128-bit digest of the text, ``spans`` disjoint (start, stop) in order.
     """
-    slim = docs.select(F.xxhash64(F.col(text_col)).alias("key"), F.col(text_col).cast("binary").alias("text"),
-                       ).filter(F.octet_length("text") >= width)
+    slim = docs.select(text_key(F.col(text_col)).alias("key"), F.col(text_col).cast("binary").alias("text")).filter(F.octet_length("text") >= width)
 
     def find(named_only: bool) -> Callable:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                keys = batch.column("key").to_numpy(zero_copy_only=False)
+                keys = batch.column("key")
                 for _, who, shift, name, digest, place, first, last in all_reads(
                         batch.column("text").to_pylist(), width, gram, named_only):
                     columns = [pa.array(name.view(np.int64))]
                     if not named_only:
-                        columns += [pa.array(digest.view(np.int64)), pa.array(keys[who]),
+                        columns += [pa.array(digest.view(np.int64)), keys.take(pa.array(who)),
                                     pa.array(((first + shift) << 32) | (last + shift))]
                     yield pa.RecordBatch.from_arrays(columns, names=["name", "cls", "key", "span"][:len(columns)])
 
@@ -216,7 +215,7 @@ def repeated_spans(docs: DataFrame, width: int = 200, gram: int = 56, step: int
     # Most names occur once; their reads are never written.
     names = cut(slim.mapInArrow(find(True), "name long").groupBy("name").agg(F.count(F.lit(1)).alias("n"))
                 .filter("n > 1").select("name"))
-    reads = cut(slim.mapInArrow(find(False), "name long, cls long, key long, span long")
+    reads = cut(slim.mapInArrow(find(False), "name long, cls long, key binary, span long")
                 .join(_bounded(names, 16 * names.count()), "name"))
     classes = cut(reads.groupBy("name", "cls").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("key")))
     several = classes.groupBy("name").agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("least")).filter(
@@ -225,7 +224,7 @@ def repeated_spans(docs: DataFrame, width: int = 200, gram: int = 56, step: int
     once, twice_or_more = F.when(F.col("n") == 1, F.col("cls")), F.when(F.col("n") > 1, F.col("cls"))
     wanted = cut(open_.groupBy("key").agg(F.collect_list(once).alias("once"),
                                           F.collect_list(twice_or_more).alias("more")))
-    size = wanted.agg(F.sum((F.size("once") + F.size("more")) * 8 + 48)).first()[0] or 0
+    size = wanted.agg(F.sum((F.size("once") + F.size("more")) * 8 + 64)).first()[0] or 0
     sources = slim.join(_bounded(wanted, size), "key").dropDuplicates(["key"]).select("text", "once", "more")
 
     def cut_reads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -329,7 +328,7 @@ def repeated_spans(docs: DataFrame, width: int = 200, gram: int = 56, step: int
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(
                 merged, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])))], names=["key", "spans"])
 
-    return spans.mapInArrow(merge, "key long, spans array<struct<start:long,stop:long>>")
+    return spans.mapInArrow(merge, "key binary, spans array<struct<start:long,stop:long>>")
 
 
 def remove_repeats(docs: DataFrame, width: int = 200, id_col: str = "doc_id", text_col: str = "text",
@@ -343,7 +342,7 @@ def remove_repeats(docs: DataFrame, width: int = 200, id_col: str = "doc_id", te
     """
     spans = cut(repeated_spans(docs, width, shard=shard, text_col=text_col))
     size = spans.agg(F.sum(F.size("spans") * 24 + 32)).first()[0] or 0
-    slim = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("key"),
+    slim = docs.select(F.col(id_col).alias("id"), text_key(F.col(text_col)).alias("key"),
                        F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
     joined = slim.join(_bounded(spans, size), "key", "left").select("id", "text", "spans")
 
