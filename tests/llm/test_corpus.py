@@ -456,12 +456,13 @@ def test_article_parts_and_odd_classes_are_kept(spark):
            "<p>sum <math><mi>x</mi><mo>=</mo><mn>{0}</mn></math></p><div class='ad-slot'>buy</div>"
            "<section id='comments-section'>nice</section><div class='social-share'>share</div></article></main>")
     rows = [(i, f"http://h.example/{i}", _page(i, one.format(i))) for i in range(4)]
+    rows += [(7, "http://k.example/7", "<body class='sidebar-right'><main class='has-comments social'><p>body text</p></main></body>")]
     rows.append((9, "http://h.example/9", _page(9, "<div><article class='new'><p>another layout</p></article></div>")))
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     got = {r.page_id: r.text for r in wrappers.extract_pages(df).collect()}
     for i in range(4):
         assert got[i] == f"teaser text {i}\n\nTitle {i}\n\nhistory {i}\n\nmethods {i}\n\nsum x={i}"
-    assert got[9] == "another layout"
+    assert got[9] == "another layout" and got[7] == "body text"
 
 
 def test_the_wrapper_finds_unmarked_articles_where_the_page_alone_does_not(spark):
