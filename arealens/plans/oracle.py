@@ -499,7 +499,7 @@ FROM y"""
 
 LOWER_NAMES = """
 SELECT c_custkey AS custkey, c_name AS name, CASE WHEN c_acctbal > 0 THEN c_acctbal ELSE 0 END AS acctbal,
-       CASE WHEN c_nationkey > 4 THEN c_mktsegment END AS segment FROM customer"""
+       CASE WHEN c_custkey % 4 <> 0 THEN c_mktsegment END AS segment FROM customer"""
 
 ORACLE_SQL = {
     "apportioned_distribution": APPORTIONED,

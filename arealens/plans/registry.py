@@ -407,7 +407,7 @@ def q_lower_names(spark, d):
     c = b.table(spark, d, "customer")
     odd = c.select(F.col("c_custkey").alias("CustKey"), F.col("c_name").alias("NAME"),
                    F.when(F.col("c_acctbal") > 0, F.col("c_acctbal")).alias("AcctBal"),
-                   F.when(F.col("c_nationkey") > 4, F.col("c_mktsegment")).alias("Segment"))
+                   F.when(F.col("c_custkey") % 4 != 0, F.col("c_mktsegment")).alias("Segment"))
     return lower_names(fill_numeric_nulls(odd))
 
 
