@@ -120,15 +120,18 @@ def test_queries_return_their_contract(spark, name):
         "op5": "page_id payload_bytes payload_digest record_type refers_to", "op6": "query_id rank vec_id score",
         "op7": "doc_id size text_crc32 law shard slot grown_shard",
         "op8": "doc_id n_words n_hit n_items items_sha256 contaminated", "op9": "doc_id held_out lang_pred score",
-        "op10": "doc_id n_bytes n_removed n_spans kept_sha256"}[name.split("_")[0]].split()
+        "op10": "doc_id n_bytes n_removed n_spans kept_sha256",
+        "op11": "doc_id piece start length ids_crc32 sequence_id offset", "op12": "lang source part item value rank",
+        "op13": "doc_id n_a n_b n_groups n_links n_best count_sum groups_sha256"}[name.split("_")[0]].split()
     df = LLM_QUERIES[name](spark, DATA)
     assert set(columns) <= set(df.columns)
     rows = spark.read.parquet(f"{DATA}/{'pages' if name[:4] in ('op4_', 'op5_') else 'documents'}.parquet").count()
-    if name[:4] not in ("op1_", "op6_"):
+    if name.split("_")[0] not in ("op1", "op6", "op11", "op12"):
         assert df.count() == rows
     kinds = dict(df.dtypes)
     for c, kind in (("start", "bigint"), ("rank", "int"), ("shard", "int"), ("slot", "bigint"), ("n_hit", "bigint"),
-                    ("refers_to", "bigint"), ("score", "double"), ("ids_crc32", "bigint"), ("grown_shard", "int")):
+                    ("refers_to", "bigint"), ("score", "double"), ("ids_crc32", "bigint"), ("grown_shard", "int"),
+                    ("piece", "int"), ("value", "bigint"), ("n_best", "bigint"), ("count_sum", "bigint")):
         assert kinds.get(c, kind) == kind
 
 
