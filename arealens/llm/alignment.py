@@ -47,10 +47,26 @@ SCORE_ROWS = 1_000_000  # scores are 17 bytes wide, so this bounds a broadcast's
 HELD_BLOCKS = 32       # blocks whose sums a task holds
 
 
+class _Bytes:
+    """Bytes of every id of a vocabulary, one behind the other."""
+
+    def __init__(self, tokens: list[bytes]):
+        self.lengths = np.array(list(map(len, tokens)), np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.blob = np.frombuffer(b"".join(tokens), np.uint8)
+
+    def cover(self, ids: np.ndarray, raw: bytes) -> bool:
+        """Whether the ids' bytes, joined, are ``raw``."""
+        n = self.lengths[ids]
+        if int(n.sum()) != len(raw):
+            return False
+        at = np.repeat(self.starts[ids] - (np.cumsum(n) - n), n) + np.arange(len(raw))
+        return self.blob[at].tobytes() == raw
+
+
 @lru_cache(maxsize=2)
-def _lengths(first: str, second: str) -> tuple[np.ndarray, np.ndarray]:
-    return tuple(np.array(list(map(len, v.token_bytes)), np.int64)
-                 for v in (byte_vocabulary(first), piece_vocabulary(second)))
+def _tables(first: str, second: str) -> tuple[_Bytes, _Bytes]:
+    return _Bytes(byte_vocabulary(first).token_bytes), _Bytes(piece_vocabulary(second).token_bytes)
 
 
 def encode_both(text: str | None, first: str, second: str) -> tuple[np.ndarray, np.ndarray] | None:
@@ -60,10 +76,8 @@ def encode_both(text: str | None, first: str, second: str) -> tuple[np.ndarray,
         return None
     raw = b" " + text.encode()
     a, b = byte_vocabulary(first).ids(" " + text, plain=True), piece_vocabulary(second).ids(text)
-    for ids, table in ((a, byte_vocabulary(first).token_bytes), (b, piece_vocabulary(second).token_bytes)):
-        if b"".join(map(table.__getitem__, ids.tolist())) != raw:
-            return None
-    return a, b
+    left, right = _tables(first, second)
+    return (a, b) if left.cover(a, raw) and right.cover(b, raw) else None
 
 
 def group_sizes(a_lengths: np.ndarray, b_lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -106,9 +120,12 @@ def link_pairs(a: np.ndarray, b: np.ndarray, x: np.ndarray, y: np.ndarray) -> tu
 
 
 @lru_cache(maxsize=2)
-def _decimals(ids: int) -> list[str]:
-    """Every id in decimal, followed by each of the three separators."""
-    return [f"{i}{end}" for i in range(ids) for end in ",|;"]
+def _decimals(ids: int) -> np.ndarray:
+    """Every id in decimal, followed by each of the three separators, as rows of bytes
+    padded with zeros."""
+    width = len(str(ids)) + 1
+    lines = b"".join(f"{i}{end}".encode().ljust(width, b"\0") for i in range(ids) for end in ",|;")
+    return np.frombuffer(lines, np.uint8).reshape(-1, width)
 
 
 def _digest(a: np.ndarray, b: np.ndarray, x: np.ndarray, y: np.ndarray, ids: int) -> str:
@@ -122,10 +139,11 @@ def _digest(a: np.ndarray, b: np.ndarray, x: np.ndarray, y: np.ndarray, ids: int
     code = np.empty(len(last), np.int64)
     code[own], code[other] = a, b
     code = 3 * code + last
-    words, sha = _decimals(ids), hashlib.sha256()
+    lines, sha = _decimals(ids), hashlib.sha256()
     for at in range(0, len(code), SLICE):
-        text = "".join(map(words.__getitem__, code[at:at + SLICE].tolist()))
-        sha.update((text[:-1] if at + SLICE >= len(code) else text).encode())
+        padded = lines[code[at:at + SLICE]].ravel()
+        text = padded[padded > 0]
+        sha.update((text[:-1] if at + SLICE >= len(code) else text).tobytes())
     return sha.hexdigest()
 
 
@@ -193,7 +211,7 @@ def _write(docs: DataFrame, first: str, second: str, block_entries: int, id_col:
     arrow = {"integer": pa.int32(), "long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a_length, b_length = _lengths(first, second)
+        a_length, b_length = (t.lengths for t in _tables(first, second))
         base = TaskContext.get().partitionId() << 32
         block, rows = _Block(base), []
 
