@@ -20,17 +20,17 @@ def publications(rows: DataFrame, scope) -> DataFrame:
                        F.count(F.lit(1)).over(own).cast("int").alias("of"))
 
 
-def _placed(rows: DataFrame, scope) -> DataFrame:
+def _placed(rows: DataFrame, known: DataFrame, scope) -> DataFrame:
     """Rows with the place of their publication; the few publications are broadcast
     where their size is proven, so no row is shuffled on a handful of periods."""
-    pubs = publications(rows, scope).select(*[F.col(c).alias(f"_p_{c}") for c in (*scope, SOURCE_COLUMN)], "place", "of")
+    pubs = known.select(*[F.col(c).alias(f"_p_{c}") for c in (*scope, SOURCE_COLUMN)], "place", "of")
     on = [F.col(c).eqNullSafe(F.col(f"_p_{c}")) for c in (*scope, SOURCE_COLUMN)]
-    return rows.join(bounded_broadcast(staged(pubs)), on).drop(*[f"_p_{c}" for c in (*scope, SOURCE_COLUMN)])
+    return rows.join(bounded_broadcast(pubs), on).drop(*[f"_p_{c}" for c in (*scope, SOURCE_COLUMN)])
 
 
 def latest_cells(rows: DataFrame, scope=("month_date",)) -> DataFrame:
     """Rows of the last publication of every scope: cells that it leaves out are gone."""
-    return _placed(rows, list(scope)).filter("place = of").drop("place", "of")
+    return _placed(rows, staged(publications(rows, list(scope))), list(scope)).filter("place = of").drop("place", "of")
 
 
 def revised_cells(rows: DataFrame, cell, values=("value",), scope=("month_date",)) -> DataFrame:
@@ -50,7 +50,8 @@ def revised_cells(rows: DataFrame, cell, values=("value",), scope=("month_date",
     period, however many cells or periods there are.
     """
     scope, cell, values = list(scope), list(cell), list(values)
-    placed = _placed(rows, scope)
+    known = staged(publications(rows, scope))
+    placed = _placed(rows, known, scope)
     one = placed.groupBy(*scope, *cell, SOURCE_COLUMN, "place", "of").agg(F.max(F.struct(*values)).alias("now"))
     own = Window.partitionBy(*scope, *cell).orderBy("place")
     seen = one.select("*", F.lag("place").over(own).alias("before"), F.lag("now").over(own).alias("old"),
@@ -64,8 +65,8 @@ def revised_cells(rows: DataFrame, cell, values=("value",), scope=("month_date",
                   F.struct((F.col("place") + 1).alias("place"), F.lit("withdrawn").alias("status"),
                            F.col("now").alias("old"), F.lit(None).cast(one.schema["now"].dataType).alias("now")))
     events = seen.select(*scope, *cell, F.explode(F.filter(F.array(here, gone), lambda e: e.isNotNull())).alias("e"))
-    named = bounded_broadcast(staged(publications(rows, scope).select(
-        *[F.col(c).alias(f"_p_{c}") for c in scope], F.col("place").alias("_p_place"), SOURCE_COLUMN)))
+    named = bounded_broadcast(known.select(
+        *[F.col(c).alias(f"_p_{c}") for c in scope], F.col("place").alias("_p_place"), SOURCE_COLUMN))
     on = [F.col(c).eqNullSafe(F.col(f"_p_{c}")) for c in scope] + [F.col("e.place") == F.col("_p_place")]
     return events.join(named, on).select(
         *scope, *cell, SOURCE_COLUMN, F.col("e.place").alias("place"), F.col("e.status").alias("status"),
