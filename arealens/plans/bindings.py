@@ -419,6 +419,14 @@ def payment_month(url="source_url") -> F.Column:
     return period_to_date(payment_period(url))
 
 
+def of_months(rows: DataFrame, wanted: F.Column) -> DataFrame:
+    """Rows of the publications that ``wanted`` (a condition on ``source_url``, such as on
+    its ``payment_month``) holds of.  It is evaluated once per file name, not per row."""
+    # cut: as a condition of the plan it would be pushed down to the rows, through the join as well
+    names = staged(rows.select("source_url").distinct().withColumn("_wanted", wanted)).filter("_wanted")
+    return rows.join(bounded_broadcast(names.select("source_url")), "source_url", "left_semi").select(*rows.columns)
+
+
 def revised_payment_sheets(spark, d) -> DataFrame:
     """SA2 sheets of every month, and of every third month a revised publication:
     areas divisible by 11 are gone, areas divisible by 7 have another Age

@@ -307,7 +307,7 @@ def q_load_ledger(spark, d):
     """The ledger after two loads (every other year, then all years) of the
     three payment tables: one row per table, period and publication, none twice."""
     store, sheets = _new_store(spark), staged(b.payment_type_sheets(spark, d))
-    odd = sheets.filter(F.year(b.payment_month()) % 2 == 1)
+    odd = b.of_months(sheets, F.year(b.payment_month()) % 2 == 1)
     for part in (odd, sheets):
         write_load(_payment_outputs(part), store)
     return ledger(spark, store).select("table_name", "month_date", "source_url", "rows", F.col("total").cast("double").alias("total"))
