@@ -433,7 +433,7 @@ def revised_payment_sheets(spark, d) -> DataFrame:
     Pension figure, areas divisible by 13 have a second area beside them."""
     rows = staged(payment_type_sheets(spark, d).filter("sheet_name = 'By SA2'"))  # file names are read below
     key = F.try_element_at(F.col("cells"), F.lit(1)).try_cast("int")
-    later = (rows.filter(F.month(payment_month()) % 3 == 0)
+    later = (of_months(rows, F.month(payment_month()) % 3 == 0)
                  .withColumn("source_url", F.regexp_replace("source_url", r"\.xlsx$", "-revised.xlsx"))
                  .withColumn("k", key).filter(F.col("k").isNull() | (F.col("k") % 11 != 0)))
     changed = F.concat(F.slice("cells", 1, 2), F.array(F.lit("1234")), F.slice("cells", 4, 2))
