@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
@@ -19,6 +20,8 @@ MAX_INLINE_IDS = 1000
 # Largest relation ``bounded_broadcast`` will ship to every executor.
 MAX_BROADCAST_ROWS = 200_000
 MAX_BROADCAST_BYTES = 64 << 20
+# Rows that one task groups or sorts where ``dealt`` sizes the tasks.
+ROWS_PER_TASK = 500_000
 
 
 def quoted(name: str) -> F.Column:
@@ -80,6 +83,20 @@ def staged(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True) if df.sparkSession.sparkContext.getCheckpointDir() else df
 
 
+def dealt(df: DataFrame, *keys: str, rows: int | None = None, per_task: int | None = None) -> DataFrame:
+    """``df`` dealt by ``keys`` over as many tasks as its rows ask for, never fewer
+    than the session's shuffle partitions: what a task groups, joins or sorts by
+    these keys then stays the same size as tables grow.  ``rows``: their number
+    where the caller knows it, else they are counted.  Rows of one task stay as
+    they are, without a shuffle."""
+    per_task = per_task or ROWS_PER_TASK
+    rows = df.count() if rows is None else rows
+    if rows <= per_task:
+        return df
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(math.ceil(rows / per_task), least), *[quoted(k) for k in keys])
+
+
 def select_blocks(concord: DataFrame, blocks, block_col: str = "block_id") -> tuple[DataFrame, list[str]]:
     """Keep concordance rows of the selected blocks.
 

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arealens.functions.period import period_to_date
-from arealens.operators.selection import SEIFA_INDEX_TYPES, SEIFA_MEASURES, bounded_broadcast, staged
+from arealens.operators.selection import SEIFA_INDEX_TYPES, SEIFA_MEASURES, bounded_broadcast, dealt, staged
 
 from arealens.plans.payment_types import payment_period
 
@@ -281,6 +281,16 @@ def _quarter_end(col) -> F.Column:
     return F.add_months(F.trunc(col, "quarter"), 2)
 
 
+# An order is in two or three sheets, of two publications each, with two figures.
+ORDERS_PER_TASK = 100_000
+ROWS_PER_ORDER = 6
+
+
+def rental_rows(spark, d) -> int:
+    """At most so many rows have the rental workbooks of customers, but for their layout."""
+    return ROWS_PER_ORDER * table(spark, d, "orders").count()
+
+
 def rental_sheets(spark, d, geography: str = "lga") -> DataFrame:
     """Rental workbooks: per order quarter q, seven sheets (priority 1-5,
     status F, all orders); columns for the previous quarter and q, each a
@@ -295,8 +305,11 @@ def rental_sheets(spark, d, geography: str = "lga") -> DataFrame:
     # every order counts in its priority's sheet, in sheet 7, and in sheet 6 if fulfilled
     sheets = F.array(F.col("o_orderpriority").substr(1, 1).cast("int"),
                      F.when(F.col("o_orderstatus") == "F", F.lit(6)), F.lit(7))
-    stats = (x.select("q", F.col(area).alias("area"), F.col(area_key).alias("area_key"),
-                      F.explode(sheets).alias("sheet_no"), "o_totalprice")
+    orders = x.select("q", F.col(area).alias("area"), F.col(area_key).alias("area_key"),
+                      sheets.alias("sheets"), "o_totalprice")
+    if geography != "lga":  # as many areas as customers: their orders are dealt once for both groupings
+        orders = dealt(orders, "area_key", rows=table(spark, d, "orders").count(), per_task=ORDERS_PER_TASK)
+    stats = (orders.select("q", "area", "area_key", F.explode("sheets").alias("sheet_no"), "o_totalprice")
               .filter(F.col("sheet_no").isNotNull())
               .groupBy("q", "area", "area_key", "sheet_no")
               .agg(F.count("*").alias("n"), F.max("o_totalprice").alias("med")))
@@ -306,7 +319,7 @@ def rental_sheets(spark, d, geography: str = "lga") -> DataFrame:
                    .withColumn("pub", F.when(F.col("slot") == 2, F.col("q"))
                                .otherwise(F.add_months("q", 3))))
     pubs = table(spark, d, "orders").select(_quarter_end("o_orderdate").alias("pub")).distinct()
-    placed = placed.join(pubs, "pub", "left_semi")
+    placed = placed.join(bounded_broadcast(pubs), "pub", "left_semi")
 
     def slot(k, c):
         return F.max(F.when(F.col("slot") == k, F.col(c)))

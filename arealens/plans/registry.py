@@ -265,7 +265,7 @@ def q_rental_load_lga(spark, d):
 
 def q_rental_load_suburb(spark, d):
     """Rental workbooks -> suburb table, current period."""
-    return load_rental(b.rental_sheets(spark, d, "suburb"), "suburb")
+    return load_rental(b.rental_sheets(spark, d, "suburb"), "suburb", rows=b.rental_rows(spark, d))
 
 
 def q_income_distribution_blocks(spark, d):

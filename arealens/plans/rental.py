@@ -22,7 +22,7 @@ from arealens.functions.period import (RENTAL_PERIOD_PATTERN, expand_header_mont
                                        extract_period, fix_header_typos, period_to_date,
                                        title_case)
 from arealens.functions.text import clean_header_names, lenient_number
-from arealens.operators.selection import bounded_broadcast, staged
+from arealens.operators.selection import bounded_broadcast, dealt, staged
 from arealens.sources.sheets import SHEET_KEY, body_rows, header_rows, pick_sheets
 
 # --- Fixed values: workbook layout, dwelling types by sheet, series names. --
@@ -87,21 +87,24 @@ def rental_quarantine(sheet_rows: DataFrame) -> DataFrame:
     return h.select(*SHEET_KEY, F.explode(faults).alias("reason"))
 
 
-def load_rental_all(sheet_rows: DataFrame, current_only: bool = True, with_source: bool = False) -> DataFrame:
+def load_rental_all(sheet_rows: DataFrame, current_only: bool = True, with_source: bool = False,
+                    rows: int | None = None) -> DataFrame:
     """Both geographies in one plan (one scan of the landing table):
     (geography, area, value, quarter, series, dwelling_type, month_date),
     distinct; ``with_source`` adds ``source_url``.  A workbook's geography comes from its URL (resolved once per
-    sheet on the header side); a URL naming both is loaded for both."""
-    rows = pick_sheets(sheet_rows, sheet_nos=list(DWELLING_TYPES))
+    sheet on the header side); a URL naming both is loaded for both.  ``rows``: about how many
+    rows the landing table has, where the caller knows; the tasks of the DISTINCT are sized
+    by it, as counting a derived table would build it once more."""
+    picked = pick_sheets(sheet_rows, sheet_nos=list(DWELLING_TYPES))
     remnant = F.create_map(*[x for name, g in RENTAL_GEOGRAPHIES.items()
                              for x in (F.lit(name), F.lit(g["remnant"]))])
-    hdr = (rental_header(rows)
+    hdr = (rental_header(picked)
            .withColumn("geography", F.explode(_geographies()))
            .withColumn("remnant", remnant[F.col("geography")])
            .withColumn("period", rental_period("source_url")))
     if current_only:
         hdr = hdr.withColumn("columns", F.filter("columns", lambda c: c["quarter"] == F.col("period")))
-    t = body_rows(rows, RENTAL_SKIP).join(bounded_broadcast(staged(hdr)), SHEET_KEY, "inner")
+    t = body_rows(picked, RENTAL_SKIP).join(bounded_broadcast(staged(hdr)), SHEET_KEY, "inner")
     area_pos = F.array_position("names", F.lit(AREA_COLUMN)).cast("int")
     area = F.when(area_pos > 0, F.try_element_at(F.col("cells"), area_pos))
     t = (t.withColumn("area", area)
@@ -112,20 +115,22 @@ def load_rental_all(sheet_rows: DataFrame, current_only: bool = True, with_sourc
     long = t.select(*source, "geography", "area", "cells", dwelling[F.col("sheet_no")].alias("dwelling_type"),
                     F.explode("columns").alias("c"))
     # month_date is a function of quarter, so it can ride along in the DISTINCT
-    return long.select(*source, "geography", "area",
-                       lenient_number(F.try_element_at(F.col("cells"), F.col("c.pos"))).alias("value"),
-                       F.col("c.quarter").alias("quarter"), F.col("c.series").alias("series"),
-                       "dwelling_type", F.col("c.month_date").alias("month_date")).distinct()
+    out = long.select(*source, "geography", "area",
+                      lenient_number(F.try_element_at(F.col("cells"), F.col("c.pos"))).alias("value"),
+                      F.col("c.quarter").alias("quarter"), F.col("c.series").alias("series"),
+                      "dwelling_type", F.col("c.month_date").alias("month_date"))
+    # a row has a count and a median of its own period
+    return dealt(out, *out.columns, rows=2 * (rows or 0)).distinct()
 
 
 def load_rental(sheet_rows: DataFrame, geography: str = "lga",
-                current_only: bool = True, with_source: bool = False) -> DataFrame:
+                current_only: bool = True, with_source: bool = False, rows: int | None = None) -> DataFrame:
     """(lga|suburb, value, quarter, series, dwelling_type, month_date) of the
     publication's own period (all periods with ``current_only=False``),
     distinct.  The geography filter reaches the header side of the plan."""
     if geography not in RENTAL_GEOGRAPHIES:
         raise ValueError("geography should be one of " + ", ".join(RENTAL_GEOGRAPHIES))
-    return one_rental_geography(load_rental_all(sheet_rows, current_only, with_source), geography)
+    return one_rental_geography(load_rental_all(sheet_rows, current_only, with_source, rows), geography)
 
 
 def one_rental_geography(every: DataFrame, geography: str) -> DataFrame:
