@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arealens.operators.selection import bounded_broadcast, staged
+from arealens.operators.selection import bounded_broadcast, dealt, staged
 
 
 def refine(members: DataFrame, element, group: str, name: str) -> tuple[DataFrame, DataFrame]:
@@ -25,7 +25,7 @@ def refine(members: DataFrame, element, group: str, name: str) -> tuple[DataFram
     Returns ((element, name), one row per element, and (name, group), one row per
     class and group it lies in); ``name`` is a digest that stands for the class."""
     keys = [element] if isinstance(element, str) else list(element)
-    pairs = members.select(*keys, group).distinct()
+    pairs = dealt(members.select(*keys, group), *keys, group).distinct()
     h1, h2 = F.xxhash64(group).cast("decimal(20,0)"), F.xxhash64(F.lit("2"), F.col(group)).cast("decimal(20,0)")
     signed = staged(pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.sum(h1).alias("_a"), F.sum(h2).alias("_b")))
     first = signed.groupBy("_n", "_a", "_b").agg(F.min(F.struct(*keys)).alias("_first"))
@@ -33,7 +33,7 @@ def refine(members: DataFrame, element, group: str, name: str) -> tuple[DataFram
     known = bounded_broadcast(first.drop("_first"))
     elements = signed.join(known, ["_n", "_a", "_b"]).select(*keys, name)
     heads = bounded_broadcast(first.select(*[F.col(f"_first.{k}").alias(k) for k in keys], name))
-    groups = pairs.join(heads, keys).select(name, group)
+    groups = members.select(*keys, group).join(heads, keys).select(name, group).distinct()  # one element per class
     return staged(elements), staged(groups)
 
 
@@ -49,8 +49,9 @@ def overlapping_distribution(measure: DataFrame, concord: DataFrame, selections:
     cc, m = concord, measure
     if years is not None:
         cc, m = cc.filter(F.col("year").isin(list(years))), m.filter(F.col("year").isin(list(years)))
-    shares = (cc.join(bounded_broadcast(blocks), "block_id").groupBy("class_id", "sa1_7dig", "year")
-                .agg(F.sum("per_pct").alias("share")))
+    # one shuffle, on the keys of the join, serves the shares and the join
+    shares = (dealt(cc.join(bounded_broadcast(blocks), "block_id"), "sa1_7dig", "year", rows=cc.count())
+                .groupBy("class_id", "sa1_7dig", "year").agg(F.sum("per_pct").alias("share")))
     parts = (m.select("sa1_7dig", "year", "eq_income_yearly", "eq_income_weekly", "value")
               .join(shares, ["sa1_7dig", "year"])
               .groupBy("class_id", "eq_income_yearly", "eq_income_weekly", "year")
@@ -72,7 +73,7 @@ def overlapping_index(index: DataFrame, concord: DataFrame, selections: DataFram
                              "block_id", "selection_id", "class_id")
     cc = concord if years is None else concord.filter(F.col("year").isin(list(years)))
     area = ["sa1_main", "sa1_persons", "year"]
-    reached = cc.join(bounded_broadcast(blocks), "block_id").select(*area, "class_id").distinct()
+    reached = staged(cc.join(bounded_broadcast(blocks), "block_id").select(*area, "class_id").distinct())
     areas, reaching = refine(reached, area, "class_id", "area_class")
     idx = index.filter(F.col("value").isNotNull()).select("sa1_main", "seifaindextype", "seifa_measure", "value").distinct()
     sums = (idx.join(areas, "sa1_main").groupBy("area_class", "seifaindextype", "seifa_measure", "year")

@@ -490,13 +490,15 @@ def faulty_jobseeker_sheets(spark, d) -> DataFrame:
 
 # Fixed value: the classes of blocks that the overlapping selections are made of.
 RINGS = 64
+# A block is in 64 to 1,056 of them: few blocks make many rows of a task.
+BLOCKS_PER_TASK = 1_000
 
 
 def overlapping_selections(spark, d) -> DataFrame:
     """(selection_id, block_id): every interval of rings 0 to 63 is a selection (2,080
     of them, nested and overlapping); a supplier's ring is its number modulo 64."""
-    ring = table(spark, d, "supplier").select(_txt("s_suppkey").alias("block_id"),
-                                              (F.col("s_suppkey") % RINGS).cast("int").alias("ring"))
+    s = dealt(table(spark, d, "supplier").select("s_suppkey"), "s_suppkey", per_task=BLOCKS_PER_TASK)
+    ring = s.select(_txt("s_suppkey").alias("block_id"), (F.col("s_suppkey") % RINGS).cast("int").alias("ring"))
     low = ring.withColumn("low", F.explode(F.sequence(F.lit(0), F.col("ring"))))
     return (low.withColumn("high", F.explode(F.sequence(F.col("ring"), F.lit(RINGS - 1))))
                .select(F.concat_ws("-", "low", "high").alias("selection_id"), "block_id"))
