@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from arealens.functions.period import period_to_date
 from arealens.functions.rank import INCOME_WEEKLY_RANKS, bucket_rank
 from arealens.operators.selection import (SEIFA_INDEX_TYPES, SEIFA_MEASURES, SUPPORTED_YEARS,
-                                          check_members, select_blocks)
+                                          check_members, dealt, select_blocks)
 
 
 # ---------------------------------------------------------------- T1 ------
@@ -46,6 +46,8 @@ def apportioned_distribution(measure: DataFrame, concord: DataFrame, blocks,
         yrs = [int(y) for y in check_members("year", years, supported_years)]
         cc = cc.filter(F.col("year").isin(yrs))
         measure = measure.filter(F.col("year").isin(yrs))
+    if sel:  # whole concordances: one shuffle, on the keys of the join, serves the shares and the join
+        cc = dealt(cc, "sa1_7dig", "year", rows=concord.count())
     shares = (cc.groupBy(*sel, "sa1_7dig", "year")
                 .agg(F.sum("per_pct").alias("share")))
     m = measure.select("sa1_7dig", "year", "eq_income_yearly", "eq_income_weekly", "value")
@@ -86,7 +88,10 @@ def weighted_index(index: DataFrame, concord: DataFrame, blocks,
         yrs = [int(y) for y in check_members("year", years, supported_years)]
         cc = cc.filter(F.col("year").isin(yrs))
     key = ["sa1_main", "year"] if join_year else ["sa1_main"]
-    cc = cc.select(*sel, "sa1_main", "sa1_persons", "year").distinct()
+    cc = cc.select(*sel, "sa1_main", "sa1_persons", "year")
+    if sel:  # whole concordances: one shuffle, on the keys of the join, serves both DISTINCTs and the join
+        cc = dealt(cc, *key, rows=concord.count())
+    cc = cc.distinct()
     idx = index.filter(F.col("value").isNotNull())
     if index_types is not None:
         idx = idx.filter(F.col("seifaindextype").isin(
