@@ -84,7 +84,7 @@ def staged(df: DataFrame) -> DataFrame:
 
 
 def dealt(df: DataFrame, *keys: str, rows: int | None = None, per_task: int | None = None) -> DataFrame:
-    """``df`` dealt by ``keys`` over as many tasks as its rows ask for, never fewer
+    """``df`` dealt by ``keys`` over as many tasks as its rows ask for, always more
     than the session's shuffle partitions: what a task groups, joins or sorts by
     these keys then stays the same size as tables grow.  ``rows``: their number
     where the caller knows it, else they are counted.  Rows of one task stay as
@@ -94,7 +94,9 @@ def dealt(df: DataFrame, *keys: str, rows: int | None = None, per_task: int | No
     if rows <= per_task:
         return df
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(max(math.ceil(rows / per_task), least), *[quoted(k) for k in keys])
+    # one more than the session's: a join's exchange on these keys into as many
+    # partitions would stand in for this one, and be coalesced
+    return df.repartition(max(math.ceil(rows / per_task), least + 1), *[quoted(k) for k in keys])
 
 
 def select_blocks(concord: DataFrame, blocks, block_col: str = "block_id") -> tuple[DataFrame, list[str]]:

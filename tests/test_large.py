@@ -81,3 +81,9 @@ def test_a_period_is_read_once_per_file_name(spark):
     assert sorted(rows(out)) == sorted(rows(sr.filter(wanted))) and out.count() == 8
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "regexp" not in plan and "gettimestamp" not in plan.lower()
+
+
+def test_rows_dealt_after_a_join_on_the_same_key_stay_dealt(spark):
+    a, c = (spark.range(100).withColumnRenamed("id", k).hint("merge") for k in "ac")
+    out = selection.dealt(a.join(c, F.col("a") == F.col("c")), "c", rows=90, per_task=30)  # 4 shuffle partitions
+    assert "REPARTITION_BY_NUM" in _plan(out)
