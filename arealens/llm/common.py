@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from arealens.operators.selection import bounded_broadcast
 from arealens.session import shared_folder
 
+PART_ROWS = 50_000  # narrow rows of a partition of ``packed``
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -34,6 +35,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def packed(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` in as many partitions as ``rows`` (about its number) fill, at least one a core.
+
+    For frames that are cut often: a checkpoint writes a file per partition,
+    empty ones too, and without Hadoop's native library the executor forks for
+    each file (chmod), which shows its whole memory twice for a moment.
+    """
+    least = df.sparkSession.sparkContext.defaultParallelism
+    return df.coalesce(max(least, -(-rows // PART_ROWS)))
+
+
 def small(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast hint if ``df`` (already cut, cheap to read) has at most ``max_rows`` rows
     and no more than 64 MiB of them.

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, hash_sample, small, text_key
+from .common import cut, hash_sample, packed, small, text_key
 from .graph import components
 
 PIECE = 1 << 16  # shingles hashed at a time
@@ -202,8 +202,9 @@ def hamming_links(fps: DataFrame, max_bits: int = 4, blocks: int = 5, leaf_rows:
 
     dealt = cut(fps.select("fp").mapInArrow(route, "shard long, fp long"))
     # Shards over the tile size: every pair of tiles becomes a task's work.
-    large = cut(dealt.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > TILE)
-                .withColumn("tiles", F.ceil(F.col("n") / (TILE // 2)).cast("int")).drop("n"))
+    large = cut(packed(dealt.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > TILE)
+                       .withColumn("tiles", F.ceil(F.col("n") / (TILE // 2)).cast("int")).drop("n"),
+                       n * blocks // TILE))
     if large.isEmpty():
         tiled = dealt.withColumn("tile", F.lit(0).cast("long"))
     else:
@@ -242,19 +243,20 @@ def near_duplicates(docs: DataFrame, width: int = 4, max_bits: int = 4, blocks:
     other columns are ignored; an empty table gives no rows.
     """
     slim = cut(fingerprints(docs, width, id_col, text_col))
-    classes = cut(slim.groupBy("fp").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")))
+    rows = slim.count()
+    classes = cut(packed(slim.groupBy("fp").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")), rows))
     links = hamming_links(classes.select("fp"), max_bits, blocks)
-    member = components(links).select(F.col("node").alias("fp"), "component")
+    member = components(links, rows=rows * blocks).select(F.col("node").alias("fp"), "component")
     tops = (member.join(classes, "fp").groupBy("component").agg(F.min("first").alias("least")))
     named = member.join(tops, "component").select("fp", "least")
-    labels = cut(classes.join(named, "fp", "left").select(
-        "fp", "n", F.coalesce("least", "first").alias("component_id")))
+    labels = cut(packed(classes.join(named, "fp", "left").select(
+        "fp", "n", F.coalesce("least", "first").alias("component_id")), rows))
     # fingerprints of very many rows (a row of theirs per HOT rows) are not dealt by value
     hot = small(labels.filter(F.col("n") > HOT).select("fp", "component_id"), BROADCAST_ROWS)
     rest = labels.filter(F.col("n") <= HOT).select("fp", "component_id")
     labelled = (slim.join(hot, "fp").select("fp", "id", "component_id")
                 .unionByName(slim.join(hot, "fp", "left_anti").join(rest, "fp").select("fp", "id", "component_id")))
-    return labelled.select(
+    return packed(labelled, rows).select(
         F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         "component_id")
 
@@ -270,10 +272,11 @@ def keep_one(docs: DataFrame, width: int = 4, max_bits: int = 4, blocks: int = 5
     keyed = docs.withColumn("__row", F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"),
                                               text_key(F.col(text_col)).alias("text")))
     found = cut(near_duplicates(keyed, width, max_bits, blocks, "__row", text_col))
-    surplus = cut(found.filter(F.col("__row") != F.col("component_id")).select("__row").distinct())
+    rows = found.count()
+    surplus = cut(packed(found.filter(F.col("__row") != F.col("component_id")).select("__row").distinct(), rows))
     kept = keyed.join(small(surplus, BROADCAST_ROWS), "__row", "left_anti")
-    again = cut(found.filter(F.col("__row") == F.col("component_id")).groupBy("__row")
-                .agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("__row"))
+    again = cut(packed(found.filter(F.col("__row") == F.col("component_id")).groupBy("__row")
+                       .agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("__row"), rows))
     if not again.isEmpty():
         again = small(again, BROADCAST_ROWS)
         kept = kept.join(again, "__row", "left_anti").unionByName(

@@ -68,6 +68,38 @@ def test_components_of_a_long_chain(spark):
     assert graph.components(edges.limit(0)).count() == 0
 
 
+def test_simhash_checkpoints_few_files_of_few_rows(spark, monkeypatch):
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choice("abcdefgh") for _ in range(rng.choice((3, 12, 60))))) for i in range(300)]
+    rows += [(1000 + i, "one text of very many copies") for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    parts = []
+
+    def counted(frame, cut=simhash.cut):
+        done = cut(frame)
+        parts.append(done.rdd.getNumPartitions())
+        return done
+
+    monkeypatch.setattr(simhash, "cut", counted)
+    monkeypatch.setattr(graph, "cut", counted)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "41")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        got = simhash.near_duplicates(df)
+        assert got.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+        found = {r.doc_id: r for r in got.collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    # the fingerprints keep the input's partitions, everything after them is sized by its rows
+    assert parts[0] == 7 and max(parts[1:]) <= spark.sparkContext.defaultParallelism
+    fps = {i: int(r.fingerprint, 16) for i, r in found.items()}
+    for i, r in found.items():
+        linked = [j for j in fps if (fps[i] ^ fps[j]).bit_count() <= 4]
+        assert len(found) == 350 and r.component_id <= min(linked) and {found[j].component_id for j in linked} == {r.component_id}
+
+
 def test_simhash_edge_rows(spark, edges, nothing):
     rows = simhash.near_duplicates(edges).collect()
     data = [(r.doc_id, r.text) for r in edges.collect()]
