@@ -2,10 +2,12 @@
 
 A *wrapper* is a union-free regular expression over a host's token streams:
 nested groups of tags, each once, optional (``?``) or repeated (``+``/``*``),
-with constant texts and text slots.  It starts as the first sample page's own
-stream and is generalised page by page: tags that match are aligned, a tag
+with constant texts and text slots.  It starts as the first page's own stream
+and is generalised by all distinct pages of the host: tags that match are aligned, a tag
 that recurs beside itself becomes a repeated group, one that some page lacks an
-optional group, and texts that differ become a slot.
+optional group, and texts that differ become a slot.  A host's pages are dealt
+by their content to buckets, each bucket's pages are aligned one by one, and the
+buckets' wrappers are aligned with one another ``FAN`` at a time.
 
 The wrapper then decides what is main text: its region is every article element
 (else every main element) that holds text, and where no element marks the
@@ -19,11 +21,10 @@ wrapper of its own.
 
 Where no element marks the article, the region also loses the host's constant
 texts: blocks that are in nearly all of its distinct pages, counted over every
-page, of at least ``LEAST_PAGES`` (the sample alone shows no text constant).
+page, of at least ``LEAST_PAGES``.
 
-The samples are bounded per host, the wrappers are small, and every page is
-read whole by itself, so a host with a third of the pages costs no more than
-its pages.
+Buckets are bounded, the wrappers are small, and every page is read whole by
+itself, so a host with a third of the pages costs no more than its pages.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ import json
 import re
 from bisect import bisect_left
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
@@ -44,7 +45,9 @@ from pyspark.sql import functions as F
 
 from .common import cut
 
-SAMPLE_PAGES = 4  # pages of a host that its wrapper is inferred from
+SAMPLE_PAGES = 4  # pages of a host where its wrapper is asked for of a few only
+BUCKET_PAGES, BUCKET_CHARS = 64, 8 << 20  # distinct pages of a host that one task aligns, about
+FAN = 16  # wrappers aligned with one another at a time
 LEAST_PAGES = 5  # distinct pages of a host before any text counts as constant
 NEARLY_ALL = 0.95  # share of them that a constant text is in (all, under 20 pages)
 BROADCAST_BYTES = 16 << 20
@@ -83,13 +86,17 @@ _ARTICLE = frozenset("article main".split())
 class Group:
     """One group of a wrapper, or one element of a page."""
 
-    __slots__ = ("sig", "low", "high", "kids", "text", "chars", "linked")
+    __slots__ = ("sig", "low", "high", "kids", "text", "chars", "linked", "seen", "usual", "lead")
 
     def __init__(self, sig: str):
         self.sig, self.low, self.high = sig, 1, 1
         self.kids: list[Group] = []
         self.text: str | None = ""  # constant text; None: a slot
         self.chars, self.linked = 0, False  # of a text: its length on all pages, whether in a link
+        self.seen = 1  # how many were aligned (of the root: pages)
+        # of a text: the one text that may be most of them, and by how many at least it outnumbers the others
+        self.usual: str | None = None
+        self.lead = 0
 
     def walk(self) -> Iterator[tuple[Group, bool]]:
         """Every group before (True) and after (False) its kids, without recursion."""
@@ -101,6 +108,34 @@ class Group:
                 stack.append((node, False))
                 stack += [(k, True) for k in reversed(node.kids)]
 
+    def constant(self) -> bool:
+        """One text in nearly all places: always if it has ``NEARLY_ALL`` of them, never under 2 * ``NEARLY_ALL`` - 1."""
+        return self.lead >= (2 * NEARLY_ALL - 1) * self.seen
+
+    def merge_text(self, other: Group) -> None:
+        self.chars += other.chars
+        self.linked = self.linked and other.linked
+        if self.text != other.text:
+            self.text = None
+        if self.usual == other.usual:
+            self.lead += other.lead
+        else:  # each place of one text makes up for a place of another
+            if other.lead > self.lead:
+                self.usual = other.usual
+            self.lead = abs(self.lead - other.lead)
+            if not self.lead:
+                self.usual = None
+
+    def dump(self) -> str:
+        """The wrapper as flat rows, each group with its depth."""
+        rows, depth = [], 0
+        for node, before in self.walk():
+            if before:
+                leaf = [node.text, node.chars, node.linked, node.lead, 0 if node.usual == node.text else node.usual]
+                rows.append([depth, node.sig, node.low, node.high, node.seen, *(leaf if node.sig == "#" else [])])
+            depth += 1 if before else -1
+        return json.dumps(rows, separators=(",", ":"))
+
     def pattern(self) -> str:
         """The wrapper as an expression."""
         out = []
@@ -117,6 +152,22 @@ class Group:
         return "".join(out)
 
 
+def load(rows: str) -> Group:
+    """The wrapper that ``Group.dump`` wrote."""
+    path: list[Group] = []
+    for depth, sig, low, high, seen, *leaf in json.loads(rows):
+        node = Group(sig)
+        node.low, node.high, node.seen = low, high, seen
+        if leaf:
+            node.text, node.chars, node.linked, node.lead, usual = leaf
+            node.usual = node.text if usual == 0 else usual
+        del path[depth:]
+        if path:
+            path[-1].kids.append(node)
+        path.append(node)
+    return path[0]
+
+
 def signature(tag: str, attributes: str) -> str:
     """Tag and the words of class, id and role; numbers in them are one (``row-12`` is ``row-0``)."""
     if not attributes:
@@ -191,6 +242,7 @@ def tree(page: str, grouped: bool = True) -> Group:
         elif text := _SPACE.sub(" ", entities.unescape(value)).strip():
             leaf = Group("#")
             leaf.text, leaf.chars, leaf.linked = text, len(text), linked > 0
+            leaf.usual, leaf.lead = text, 1
             stack[-1].kids.append(leaf)
     if grouped:
         _repeat(root)
@@ -265,11 +317,9 @@ def _generalise(todo: list[tuple[Group, Group, bool]]) -> None:
         if aligned:  # its kids are generalised: neighbours may have become one group
             todo += _merged(x)
             continue
+        x.seen += y.seen
         if x.sig == "#":
-            x.chars += y.chars
-            x.linked = x.linked and y.linked
-            if x.text != y.text:
-                x.text = None
+            x.merge_text(y)
             continue
         pairs = _common([k.sig for k in x.kids], [k.sig for k in y.kids])
         kids: list[Group] = []
@@ -288,11 +338,12 @@ def _generalise(todo: list[tuple[Group, Group, bool]]) -> None:
         x.kids = kids
 
 
-def infer(pages: list[str]) -> Group:
-    """The wrapper of some pages of a host."""
-    wrapper = tree(pages[0])
-    for page in pages[1:]:
-        align(wrapper, tree(page))
+def infer(pages: Iterable[str], read: Callable[[str], Group] = tree) -> Group:
+    """The wrapper of some pages of a host (``read``: of what else wrappers are read from)."""
+    first, *others = pages
+    wrapper = read(first)
+    for page in others:
+        align(wrapper, read(page))
     return wrapper
 
 
@@ -339,7 +390,7 @@ def describe(wrapper: Group, varied: bool = True) -> dict:
             dropped += 1
             continue
         nodes.append((node, path[-1] if path else -1, kind))
-        counts = node.sig == "#" and not node.linked and not (varied and node.text is not None)
+        counts = node.sig == "#" and not node.linked and not (varied and node.constant())
         own.append(node.chars if counts else 0)
         path.append(len(nodes) - 1)
     if varied and not own[0]:  # nothing varies: all text counts
@@ -451,7 +502,7 @@ def region_blocks(page: str, region: Region) -> list[str] | None:
         kind = _kind(sig, inside)
         dropped = dropped or kind == "drop"
         if not inside and not dropped:
-            # an article that the sample did not show is one as well
+            # an article that the wrapper's pages did not show is one as well
             inside = (own is not None and region.chosen[own]) or (region.marked != "" and kind == region.marked)
             seen = seen or inside
         state.append((own, inside, dropped))
@@ -481,30 +532,67 @@ def _region(rules: str) -> Region:
     return Region(json.loads(rules))
 
 
-def host_wrappers(pages: DataFrame, sample_pages: int = SAMPLE_PAGES, url_col: str = "url",
+def host_wrappers(pages: DataFrame, sample_pages: int | None = SAMPLE_PAGES, url_col: str = "url",
                   html_col: str = "html") -> DataFrame:
-    """(host, rules, pattern) of every host, inferred from a bounded sample of its distinct pages."""
+    """(host, rules, pattern) of every host, inferred from ``sample_pages`` of its distinct pages (None: from all)."""
     from_host = pages.select(host_of(url_col).alias("host"), F.col(html_col).alias("html")).filter(
         "host is not null and html is not null and html <> ''")
+    inferred = "host string, rules string, pattern string"
+    if sample_pages is None:
+        return _every_page(from_host).select("host", "wrapper").mapInArrow(_described, inferred)
     hashed = from_host.withColumn("h", F.xxhash64("html"))
     # copies are one key before the ranking, and their html is read for the chosen keys only
     order = W.partitionBy("host").orderBy("h")
     chosen = cut(hashed.select("host", "h").distinct().withColumn("n", F.row_number().over(order))
                  .filter(F.col("n") <= sample_pages).select("host", "h"))
     sample = hashed.join(_bounded(chosen, "host"), ["host", "h"]).groupBy("host", "h").agg(F.min("html").alias("html"))
-    grouped = sample.groupBy("host").agg(F.array_sort(F.collect_list("html")).alias("pages"))
+    grouped = sample.groupBy("host").agg(F.array_sort(F.collect_list("html")).alias("parts"))
+    return _aligned(grouped, tree, "host").mapInArrow(_described, inferred)
+
+
+def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rules, patterns = [], []
+        for rows in batch.column("wrapper"):
+            wrapper = load(rows.as_py())
+            rules.append(json.dumps(describe(wrapper, wrapper.seen > 1), ensure_ascii=False))
+            patterns.append(wrapper.pattern())
+        yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(rules, pa.string()), pa.array(patterns, pa.string())],
+                                         names=["host", "rules", "pattern"])
 
+
+def _aligned(grouped: DataFrame, read: Callable[[str], Group], *keys: str) -> DataFrame:
+    """(keys, wrapper): the wrapper of every row's ``parts``, in their order."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rules, patterns = [], []
-            for i in range(len(batch)):
-                wrapper = infer(batch.column("pages")[i].as_py())
-                rules.append(json.dumps(describe(wrapper, len(batch.column("pages")[i]) > 1), ensure_ascii=False))
-                patterns.append(wrapper.pattern())
-            yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(rules), pa.array(patterns)],
-                                             names=["host", "rules", "pattern"])
+            found = [infer((p.as_py() for p in parts), read).dump() for parts in batch.column("parts")]
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keys), pa.array(found, pa.string())],
+                                             names=[*keys, "wrapper"])
+
+    return grouped.select(*keys, "parts").mapInArrow(run, grouped.select(*keys).schema.add("wrapper", "string"))
+
 
-    return grouped.mapInArrow(run, "host string, rules string, pattern string")
+def _every_page(from_host: DataFrame) -> DataFrame:
+    """(host, bucket, wrapper): one row per host, its wrapper of all its distinct pages.
+
+    A page's bucket follows from its text, so the wrapper depends on the
+    distinct pages only, not on their order, copies or partitions.
+    """
+    sizes = cut(from_host.select("host", F.xxhash64("html").alias("h"), F.length("html").alias("chars")).distinct()
+                .groupBy("host").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BUCKET_PAGES),
+                                                F.ceil(F.sum("chars") / BUCKET_CHARS)).alias("buckets")))
+    dealt = from_host.join(_bounded(sizes, "host"), "host").select(
+        "host", F.pmod(F.xxhash64("html"), F.col("buckets")).alias("bucket"), "html")
+    # copies are one before the shuffle already
+    found = _aligned(dealt.groupBy("host", "bucket").agg(F.array_sort(F.collect_set("html")).alias("parts")),
+                     tree, "host", "bucket")
+    left = sizes.agg(F.max("buckets")).first()[0] or 1
+    while left > 1:
+        level = cut(found).select("host", F.floor(F.col("bucket") / FAN).alias("to"), F.struct("bucket", "wrapper").alias("part"))
+        parts = F.transform(F.array_sort(F.collect_list("part")), lambda p: p["wrapper"])
+        found = _aligned(level.groupBy("host", F.col("to").alias("bucket")).agg(parts.alias("parts")), load, "host", "bucket")
+        left = -(-left // FAN)
+    return found
 
 
 def constant_texts(pages: DataFrame, rules: DataFrame) -> DataFrame:
@@ -546,9 +634,12 @@ def host_of(url_col: str):
 
 
 def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
-                  html_col: str = "html", sample_pages: int = SAMPLE_PAGES) -> DataFrame:
+                  html_col: str = "html", sample_pages: int | None = None) -> DataFrame:
     """One row per page row: id, url, ``text`` (main text, empty if none), ``n_chars``.
 
+    Wrappers are inferred from all distinct pages of their host, or from
+    ``sample_pages`` of them where that is given.
+
     Null or empty html gives an empty text; pages with a null or odd url, and
     pages that their host's wrapper does not fit, are read with a wrapper of
     their own; repeated rows are repeated; null ids are kept; other columns are

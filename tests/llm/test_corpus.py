@@ -424,6 +424,51 @@ def test_copies_of_a_sampled_page_are_one_before_the_ranking(spark):
     assert "html" not in seen[0].columns and seen[0].count() == len({tuple(r) for r in seen[0].collect()}) == 4
 
 
+def test_wrappers_come_from_every_page_not_from_a_few(spark, monkeypatch):
+    # the four pages that a sample would take have another layout than all the others
+    box = "<div class=box><div class=inner><p>" + "same words everywhere " * 30 + "</p></div></div>"
+    wall = "<html><body><div class=wall><h2>Wall {0}</h2><p>log in at once, visitor {0}</p></div></body></html>"
+    story = "<html><body>" + box + "<div class=story><h2>T{0}</h2><p>words {0} of this page alone</p></div></body></html>"
+    pages = spark.createDataFrame([(i, f.format(i), f is wall) for f in (wall, story) for i in range(300)],
+                                  "i long, html string, wall boolean").selectExpr("*", "xxhash64(html) h").collect()
+    walls = sorted((p for p in pages if p.wall), key=lambda p: p.h)[:wrappers.SAMPLE_PAGES]
+    stories = [p for p in pages if not p.wall and p.h > walls[-1].h][:40]
+    assert len(stories) == 40
+    # one story has another box: it is nearly always the same
+    rows = [(p.i + 1000 * p.wall, "http://s.example/", p.html) for p in walls + stories]
+    rows[-1] = (*rows[-1][:2], rows[-1][2].replace("same words everywhere", "almost the same"))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    want = {p.i: f"T{p.i}\n\nwords {p.i} of this page alone" for p in stories}
+    want |= {1000 + p.i: f"Wall {p.i}\n\nlog in at once, visitor {p.i}" for p in walls}
+    assert {r.page_id: r.text for r in wrappers.extract_pages(df).collect()} == want
+    whole = wrappers.host_wrappers(df, None).collect()
+    assert len(whole) == 1 and wrappers.host_wrappers(df.limit(0), None).count() == 0
+    # copies, order and partitions change nothing; nor does the text with many buckets on several levels
+    copies = df.unionByName(df).unionByName(df.limit(9)).orderBy("html").repartition(5)
+    assert wrappers.host_wrappers(copies, None).collect() == whole
+    monkeypatch.setattr(wrappers, "BUCKET_PAGES", 3)
+    monkeypatch.setattr(wrappers, "FAN", 2)
+    levels = wrappers.host_wrappers(copies, None).collect()
+    assert levels == wrappers.host_wrappers(df, None).collect() and len(levels) == 1
+    assert {r.page_id: r.text for r in wrappers.extract_pages(df).collect()} == want
+    import re
+
+    assert all(re.fullmatch(levels[0].pattern, _stream(r[2]), re.S) for r in rows)
+
+
+def test_wrappers_of_wrappers_cover_their_pages():
+    import re
+
+    rng = random.Random(12)
+    for _ in range(200):
+        pages = ["".join(f"<{t}>{rng.choice(('x', 'y', ''))}</{t}>" for t in rng.choices(("p", "b", "ul", "i"), k=rng.randrange(1, 7)))
+                 for _ in range(rng.randrange(1, 9))]
+        halves = [wrappers.infer(part).dump() for part in (pages[::2], pages[1::2]) if part]
+        assert all(wrappers.load(h).dump() == h and wrappers.load(h).pattern() for h in halves)
+        whole = wrappers.infer(halves, wrappers.load)
+        assert whole.seen == len(pages) and all(re.fullmatch(whole.pattern(), _stream(p), re.S) for p in pages)
+
+
 def test_main_text_of_the_test_pages(spark):
     import html
     import re
