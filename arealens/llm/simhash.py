@@ -247,8 +247,8 @@ def near_duplicates(docs: DataFrame, width: int = 4, max_bits: int = 4, blocks:
     classes = cut(packed(slim.groupBy("fp").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")), rows))
     links = hamming_links(classes.select("fp"), max_bits, blocks)
     member = components(links, rows=rows * blocks).select(F.col("node").alias("fp"), "component")
-    tops = (member.join(classes, "fp").groupBy("component").agg(F.min("first").alias("least")))
-    named = member.join(tops, "component").select("fp", "least")
+    tops = cut(packed(member.join(classes, "fp").groupBy("component").agg(F.min("first").alias("least")), rows))
+    named = member.join(small(tops, BROADCAST_ROWS), "component").select("fp", "least")
     labels = cut(packed(classes.join(named, "fp", "left").select(
         "fp", "n", F.coalesce("least", "first").alias("component_id")), rows))
     # fingerprints of very many rows (a row of theirs per HOT rows) are not dealt by value
